@@ -59,15 +59,23 @@ def request_bounds(days: DataFrame, date: str = "date", tz: str = times.EASTERN)
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str, version: str, op: str = "op") -> DataFrame:
-    """A table after a log of inserts, updates and deletes; the last change of a key counts.
+    """A table after a log of inserts, updates and deletes, in ``version`` order per key.
 
-    An update replaces the whole row. Updates of unknown keys and their deletes leave no row.
+    A row exists if it was born (stored or inserted) after its last delete; its content is
+    that of its last insert or update. An update replaces the whole row and does nothing
+    for an unknown or deleted key.
     """
     tagged = changes.withColumn("_log", F.lit(1)).unionByName(
         base.withColumn("_log", F.lit(0)), allowMissingColumns=True
     )
-    known = F.max((F.col("_log") == 0) | (F.col(op) == "insert"))
+    when = F.struct("_log", version)
+    born = F.max(F.when((F.col("_log") == 0) | (F.col(op) == "insert"), when))
+    died = F.max(F.when(F.col(op) == "delete", when))
+    alive = (
+        tagged.groupBy(key)
+        .agg(born.alias("_born"), died.alias("_died"))
+        .filter(F.col("_born").isNotNull() & (F.col("_died").isNull() | (F.col("_born") > F.col("_died"))))
+        .select(key)
+    )
     last = first_per_key(tagged, [key], [F.col("_log").desc(), F.col(version).desc_nulls_last()])
-    valid = tagged.groupBy(key).agg(known.alias("_known")).filter("_known").select(key)
-    kept = last.filter(F.coalesce(F.col(op), F.lit("keep")) != "delete").join(valid, key, "left_semi")
-    return kept.drop("_log", op, version)
+    return last.join(alive, key, "left_semi").drop("_log", op, version)

@@ -106,8 +106,10 @@ def read_whole_text(spark, path) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
 
 
-def preamble_csv(texts: DataFrame, ddl: str, marker: str = "raw_text", text: str = "value") -> tuple[DataFrame, DataFrame]:
-    """CSV rows after a preamble, and the payloads that have no header line.
+def preamble_csv(
+    texts: DataFrame, ddl: str, marker: str = "raw_text", text: str = "value", width: int = 64
+) -> tuple[DataFrame, DataFrame]:
+    """CSV rows after a preamble, and the payloads without a header line (or wider than ``width``).
 
     The header is the first line that starts with ``marker``; its names decide which
     column a value goes to. Blank lines are skipped. ``ddl`` lists the wanted columns.
@@ -116,10 +118,14 @@ def preamble_csv(texts: DataFrame, ddl: str, marker: str = "raw_text", text: str
     lines = F.split(F.col(text), "\r?\n")
     at = F.array_position(F.transform(lines, lambda x: x.startswith(marker)), True)
     located = texts.select(*rest, lines.alias("_lines"), at.alias("_at"))
-    rejected = located.filter("_at = 0 or _at is null").select(*rest)
-    good = located.filter("_at > 0").select(
+    located = located.withColumn(
+        "_names", F.split(F.get("_lines", F.coalesce(F.col("_at").cast("int"), F.lit(0)) - 1), ",")
+    )
+    usable = F.coalesce((F.col("_at") > 0) & (F.size("_names") <= width), F.lit(False))
+    rejected = located.filter(~usable).select(*rest)
+    good = located.filter(usable).select(
         *rest,
-        F.split(F.element_at("_lines", F.col("_at").cast("int")), ",").alias("_names"),
+        "_names",
         F.explode(
             F.filter(
                 F.slice("_lines", F.col("_at").cast("int") + 1, F.size("_lines")), lambda x: F.length(F.trim(x)) > 0
@@ -127,7 +133,6 @@ def preamble_csv(texts: DataFrame, ddl: str, marker: str = "raw_text", text: str
         ).alias("_line"),
     )
     wanted = [f.strip().split(" ", 1) for f in _split(ddl)]
-    width = 64
     cells = F.from_csv("_line", F.lit(", ".join(f"c{i} string" for i in range(width))), {"mode": "PERMISSIVE"})
     values = F.array(*[F.col("_row")[f"c{i}"] for i in range(width)])
     rows = good.withColumn("_row", cells).withColumn("_values", values)
