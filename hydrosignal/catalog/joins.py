@@ -151,8 +151,8 @@ def unmatched(spark, folder):
 @query(
     "d11_parameter_grid",
     """
-SELECT event_type AS model_id, alpha, lambda, count(*) AS n FROM events
-CROSS JOIN (SELECT unnest([0e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1e0]) AS alpha) a CROSS JOIN (SELECT unnest([0.0001e0, 0.001e0, 0.01e0, 0.1e0]) AS lambda) l
+SELECT event_type AS model_id, alpha, penalty, count(*) AS n FROM events
+CROSS JOIN (SELECT unnest([0e0, 0.2e0, 0.4e0, 0.6e0, 0.8e0, 1e0]) AS alpha) a CROSS JOIN (SELECT unnest([0.0001e0, 0.001e0, 0.01e0, 0.1e0]) AS penalty) l
 GROUP BY 1, 2, 3""",
 )
 def parameter_grid(spark, folder):
@@ -160,7 +160,7 @@ def parameter_grid(spark, folder):
 
     groups = s.read(spark, folder, "events").groupBy(F.col("event_type").alias("model_id")).agg(F.count(F.lit(1)).alias("n"))
     one = lambda vs, n: spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in vs])).alias(n))
-    return groups.crossJoin(one(ALPHAS, "alpha")).crossJoin(one(LAMBDAS, "lambda"))
+    return groups.crossJoin(one(ALPHAS, "alpha")).crossJoin(one(LAMBDAS, "penalty"))
 
 
 @query(
@@ -211,16 +211,16 @@ def latest_at(spark, folder):
     "d15_asof_join",
     f"""
 WITH {s.OBS}, {s.FLOW},
-q AS (SELECT station_id, date + INTERVAL 30 DAY + INTERVAL 6 HOUR AS at FROM flow),
+q AS (SELECT station_id, date + INTERVAL 30 DAY + INTERVAL 6 HOUR AS asked FROM flow),
 wet AS (SELECT substr('12345', (abs(user_id) % 5 + 1)::INTEGER, 1) AS station_id, ts, event_id, temp FROM obs WHERE value > 100)
-SELECT q.station_id, {s.stamp('q.at')} AS at, w.event_id, round(w.temp, 6) AS temp
-FROM (SELECT * FROM q UNION ALL SELECT station_id, at - INTERVAL 32 DAY AS at FROM q) q ASOF LEFT JOIN wet w ON w.station_id = q.station_id AND w.ts <= q.at""",
+SELECT q.station_id, {s.stamp('q.asked')} AS asked, w.event_id, round(w.temp, 6) AS temp
+FROM (SELECT * FROM q UNION ALL SELECT station_id, asked - INTERVAL 32 DAY AS asked FROM q) q ASOF LEFT JOIN wet w ON w.station_id = q.station_id AND w.ts <= q.asked""",
 )
 def asof(spark, folder):
     f = s.flow(spark, folder)
-    at = lambda days: (F.date_add("date", days).cast("timestamp") + F.expr("INTERVAL 6 HOURS")).alias("at")
+    at = lambda days: (F.date_add("date", days).cast("timestamp") + F.expr("INTERVAL 6 HOURS")).alias("asked")
     q = f.select("station_id", at(30)).unionByName(f.select("station_id", at(-2)))
     o = s.observations(spark, folder).filter("value > 100")
     wet = o.select(F.element_at(F.array(*[F.lit(x) for x in "12345"]), (F.abs("user_id") % 5).cast("int") + 1).alias("station_id"), "ts", "event_id", "temp")
-    out = joins.asof_join(q, wet, ["station_id"], "at", "ts", ["event_id", "temp"], ["event_id"])
-    return s.rounded(out.select("station_id", s.text("at").alias("at"), "event_id", "temp"))
+    out = joins.asof_join(q, wet, ["station_id"], "asked", "ts", ["event_id", "temp"], ["event_id"])
+    return s.rounded(out.select("station_id", s.text("asked").alias("asked"), "event_id", "temp"))

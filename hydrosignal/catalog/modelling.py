@@ -1 +1,495 @@
-"""Placeholder."""
+"""Splits, metrics, fits and scoring on the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hydrosignal.catalog import standins as s
+from hydrosignal.catalog.registry import query
+from hydrosignal.catalog.windows import shown
+from hydrosignal.operators import labels, metrics, models, reshape, summaries
+from hydrosignal.plans import weather
+from hydrosignal.session import materialize, scratch_dir
+from hydrosignal.sources import model_files
+
+_ORDERS = """o AS (SELECT o_orderkey, o_orderpriority AS model_id, (o_totalprice > 400000)::INTEGER AS label FROM orders)"""
+
+
+def _orders(spark, folder):
+    o = s.read(spark, folder, "orders")
+    return o.select("o_orderkey", F.col("o_orderpriority").alias("model_id"), (F.col("o_totalprice") > 400000).cast("int").alias("label"))
+
+
+def _ranked(seed, keys="model_id, label"):
+    return f"{_ORDERS}, r AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY md5(o_orderkey::VARCHAR || ':{seed}'), o_orderkey) AS rn, count(*) OVER (PARTITION BY {keys}) AS n FROM o)"
+
+
+@query(
+    "j1_stratified_split",
+    f"WITH {_ranked(7)} SELECT o_orderkey, model_id, label, CASE WHEN rn <= ceil(round(n * 0.75e0, 9)) THEN 'train' ELSE 'test' END AS subset FROM r",
+)
+def split(spark, folder):
+    return labels.stratified_split(_orders(spark, folder), ["model_id", "label"], ["o_orderkey"], 0.75, 7)
+
+
+@query(
+    "d13_training_complement",
+    f"WITH {_ranked(7)} SELECT o_orderkey FROM r WHERE rn > ceil(round(n * 0.75e0, 9))",
+)
+def complement(spark, folder):
+    o = _orders(spark, folder)
+    train = labels.stratified_split(o, ["model_id", "label"], ["o_orderkey"], 0.75, 7).filter("subset = 'train'")
+    return o.join(train, "o_orderkey", "left_anti").select("o_orderkey")
+
+
+@query(
+    "j10_stratified_folds",
+    f"WITH {_ranked(3)} SELECT o_orderkey, model_id, label, ((rn - 1) % 10)::INTEGER AS fold FROM r",
+)
+def folds(spark, folder):
+    return labels.stratified_folds(_orders(spark, folder), ["model_id", "label"], ["o_orderkey"], 10, 3)
+
+
+@query(
+    "j22_down_sampling",
+    f"WITH {_ranked(5)} SELECT o_orderkey, model_id, label FROM r WHERE rn <= (SELECT min(n) FROM r r2 WHERE r2.model_id = r.model_id)",
+)
+def down(spark, folder):
+    return labels.down_sample(_orders(spark, folder), ["model_id"], "label", ["o_orderkey"], 5)
+
+
+@query(
+    "j22_up_sampling",
+    f"""
+WITH {_ranked(5)}, t AS (SELECT model_id, max(n) AS top FROM r GROUP BY 1)
+SELECT o_orderkey, r.model_id, label, unnest(generate_series(1, top // n + (rn <= top % n)::INTEGER)) AS copy FROM r JOIN t ON t.model_id = r.model_id""",
+)
+def up(spark, folder):
+    return labels.up_sample(_orders(spark, folder), ["model_id"], "label", ["o_orderkey"], 5)
+
+
+_KEYS = ["model_id", "subset"]
+_POINTS = f"""{s.SCORED},
+c AS (SELECT model_id, subset, prob, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY 1, 2, 3),
+cum AS (
+  SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER g AS np, sum(neg) OVER g AS nn FROM c
+  WINDOW w AS (PARTITION BY model_id, subset ORDER BY prob DESC), g AS (PARTITION BY model_id, subset)),
+points AS (SELECT model_id, subset, prob AS threshold, tp, fp, tp / np AS tpr, fp / nn AS fpr FROM cum)"""
+
+
+@query(
+    "j11_roc_points",
+    f"WITH {_POINTS} SELECT model_id, subset, threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, round(tpr, 9) AS tpr, round(fpr, 9) AS fpr FROM points",
+)
+def roc(spark, folder):
+    return s.rounded(metrics.roc_points(s.scored(spark, folder), _KEYS), 9, "tpr", "fpr")
+
+
+@query(
+    "j11_auc",
+    f"""
+WITH {s.SCORED},
+ranked AS (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, subset, prob) / 2 - 0.5e0) AS r FROM scored WINDOW w AS (PARTITION BY model_id, subset ORDER BY prob))
+SELECT model_id, subset, round((sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)), 9) AS auc,
+       sum(label)::BIGINT AS n_pos, sum(1 - label)::BIGINT AS n_neg FROM ranked GROUP BY 1, 2""",
+)
+def auc(spark, folder):
+    return s.rounded(metrics.auc(s.scored(spark, folder), _KEYS), 9)
+
+
+def _sweep(step, top):
+    return f"""{s.SCORED},
+cut AS (SELECT round(i * {step}, 2) AS cutoff FROM (SELECT unnest(generate_series(1, {top}))::DOUBLE AS i)),
+four AS (
+  SELECT model_id, cutoff, sum((prob > cutoff AND label = 1)::INTEGER) AS tp, sum((prob > cutoff AND label = 0)::INTEGER) AS fp,
+         sum((prob <= cutoff AND label = 1)::INTEGER) AS fn, sum((prob <= cutoff AND label = 0)::INTEGER) AS tn FROM scored CROSS JOIN cut GROUP BY 1, 2),
+rates AS (SELECT *, tp / (tp + fn) AS sens, tn / (tn + fp) AS spec FROM four),
+sweep AS (
+  SELECT model_id, cutoff, sens, spec, sqrt((1 - spec) ** 2 + (1 - sens) ** 2) AS dist,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS prec, sens AS recall, (tp + tn) / (tp + fp + fn + tn) AS acc FROM rates)"""
+
+
+_ROUNDED = "model_id, cutoff, round(sens, 9) AS sens, round(spec, 9) AS spec, round(dist, 9) AS dist, round(prec, 9) AS prec, round(recall, 9) AS recall, round(acc, 9) AS acc"
+
+
+@query("j12_cutoff_sweep", f"WITH {_sweep('0.05e0', 19)} SELECT {_ROUNDED} FROM sweep")
+def sweep(spark, folder):
+    return s.rounded(metrics.cutoff_sweep(s.scored(spark, folder), ["model_id"]), 9)
+
+
+@query(
+    "j12_fine_cutoff_sweep_with_auc",
+    f"""
+WITH {_sweep('0.01e0', 99)},
+ranked AS (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, prob) / 2 - 0.5e0) AS r FROM scored WINDOW w AS (PARTITION BY model_id ORDER BY prob)),
+a AS (SELECT model_id, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS roc FROM ranked GROUP BY 1)
+SELECT {_ROUNDED.replace('model_id', 'sweep.model_id', 1)}, round(roc, 9) AS roc FROM sweep JOIN a ON a.model_id = sweep.model_id""",
+)
+def fine_sweep(spark, folder):
+    return s.rounded(metrics.sweep_with_auc(s.scored(spark, folder), ["model_id"], metrics.CUTOFFS_1), 9)
+
+
+@query(
+    "g2_best_cutoff",
+    f"""
+WITH {_sweep('0.01e0', 99)}, d AS (SELECT model_id, cutoff, round(dist, 12) AS dist FROM sweep)
+SELECT model_id, round(avg(cutoff), 9) AS best_cutoff, round(min(dist), 9) AS dist FROM d WHERE dist = (SELECT min(dist) FROM d d2 WHERE d2.model_id = d.model_id) GROUP BY 1""",
+)
+def best_cutoff(spark, folder):
+    sw = metrics.cutoff_sweep(s.scored(spark, folder), ["model_id"], metrics.CUTOFFS_1)
+    return s.rounded(metrics.best_cutoff(sw, ["model_id"]), 9)
+
+
+@query(
+    "g3_nearest_threshold",
+    f"""
+WITH {_POINTS}
+SELECT model_id, subset, threshold, round(tpr, 9) AS curve_tpr FROM points
+QUALIFY row_number() OVER (PARTITION BY model_id, subset ORDER BY round(abs(tpr - 0.5e0), 12), fpr) = 1""",
+)
+def nearest(spark, folder):
+    points = metrics.roc_points(s.scored(spark, folder), _KEYS)
+    return s.rounded(metrics.threshold_for(points, _KEYS, F.lit(0.5)), 9)
+
+
+_CONFUSION = f"""{s.SCORED},
+four AS (
+  SELECT model_id, subset, count(*) FILTER (WHERE prob > 0.6e0 AND label = 1) AS tp, count(*) FILTER (WHERE prob > 0.6e0 AND label = 0) AS fp,
+         count(*) FILTER (WHERE prob <= 0.6e0 AND label = 1) AS fn, count(*) FILTER (WHERE prob <= 0.6e0 AND label = 0) AS tn FROM scored GROUP BY 1, 2),
+m AS (
+  SELECT *, tp + fp + fn + tn AS n, (tp + tn) / n AS accuracy, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (n * n) AS chance,
+         greatest(tp + fn, fp + tn) / n AS accuracy_null FROM four),
+tail AS (
+  SELECT model_id, subset, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(accuracy_null) + (n - k) * ln(1 - accuracy_null))) AS pvalue
+  FROM (SELECT *, unnest(generate_series(tp + tn, n))::DOUBLE AS k FROM m) GROUP BY 1, 2)"""
+
+
+@query(
+    "j13_confusion_and_rates",
+    f"""
+WITH {_CONFUSION}
+SELECT model_id, subset, tp, fp, fn, tn, round(accuracy, 9) AS accuracy, round((accuracy - chance) / (1 - chance), 9) AS kappa,
+       round(tp / (tp + fn), 9) AS sensitivity, round(tn / (tn + fp), 9) AS specificity, round(tp / (tp + fp), 9) AS ppv, round(tn / (tn + fn), 9) AS npv,
+       round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall, round(accuracy_null, 9) AS accuracy_null, round(pvalue, 6) AS accuracy_pvalue
+FROM m JOIN tail USING (model_id, subset)""",
+)
+def confusion(spark, folder):
+    out = metrics.confusion(s.scored(spark, folder), _KEYS, F.lit(0.6))
+    return out.withColumns({c: F.round(c, 6 if c == "accuracy_pvalue" else 9) for c, t in out.dtypes if t == "double"})
+
+
+_GRID_SIZE = 201
+_CURVE = f"""{_POINTS},
+xs AS (SELECT i AS grid, i / {_GRID_SIZE - 1} AS x FROM (SELECT unnest(generate_series(0, {_GRID_SIZE - 1})) AS i)),
+near AS (
+  SELECT model_id, subset, grid, x, max(fpr) FILTER (WHERE fpr <= x + 1e-12) AS af, max(tpr) FILTER (WHERE fpr <= x + 1e-12) AS at_, min(threshold) FILTER (WHERE fpr <= x + 1e-12) AS ah,
+         min(fpr) FILTER (WHERE fpr > x + 1e-12) AS bf, min(tpr) FILTER (WHERE fpr > x + 1e-12) AS bt, max(threshold) FILTER (WHERE fpr > x + 1e-12) AS bh
+  FROM points CROSS JOIN xs GROUP BY 1, 2, 3, 4),
+filled AS (SELECT model_id, subset, grid, x, coalesce(af, 0) AS af, coalesce(at_, 0) AS at_, coalesce(ah, bh) AS ah, bf, bt, bh FROM near),
+curve AS (
+  SELECT model_id, subset, grid, x AS fpr, CASE WHEN grid = 0 THEN 0 WHEN bf IS NULL OR x <= af THEN at_ ELSE at_ + (bt - at_) * ((x - af) / (bf - af)) END AS tpr,
+         CASE WHEN bf IS NULL OR x <= af THEN ah ELSE ah + (bh - ah) * ((x - af) / (bf - af)) END AS threshold FROM filled),
+mean AS (
+  SELECT model_id, grid, fpr, CASE WHEN grid = {_GRID_SIZE - 1} THEN 1 ELSE avg(tpr) END AS tpr, stddev_pop(tpr) AS tpr_sd, avg(threshold) AS threshold FROM curve GROUP BY 1, 2, 3)"""
+
+
+def _mean(spark, folder):
+    points = metrics.roc_points(s.scored(spark, folder), _KEYS)
+    return metrics.mean_roc(points, ["model_id"], "subset", _GRID_SIZE)
+
+
+@query(
+    "j20_mean_roc_over_folds",
+    f"WITH {_CURVE} SELECT model_id, grid, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr, round(tpr_sd, 9) AS tpr_sd, round(threshold, 9) AS threshold FROM mean",
+)
+def mean_roc(spark, folder):
+    return s.rounded(_mean(spark, folder), 9)
+
+
+@query(
+    "j20_mean_auc",
+    f"""
+WITH {_CURVE}
+SELECT model_id, round(sum(tpr * CASE WHEN grid IN (0, {_GRID_SIZE - 1}) THEN 0.5e0 ELSE 1 END) / {_GRID_SIZE - 1}, 6) AS mean_auc FROM mean GROUP BY 1""",
+)
+def mean_auc(spark, folder):
+    return s.rounded(metrics.curve_area(_mean(spark, folder), ["model_id"], _GRID_SIZE))
+
+
+@query(
+    "j19_threshold_for_sensitivity",
+    f"""
+WITH {_CURVE}
+SELECT model_id, round(threshold, 6) AS threshold, round(tpr, 6) AS curve_tpr FROM mean
+QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY round(abs(tpr - 0.8e0), 12), fpr) = 1""",
+)
+def threshold_for(spark, folder):
+    return s.rounded(metrics.threshold_for(_mean(spark, folder), ["model_id"], F.lit(0.8)))
+
+
+_TARGETS = (0.5, 0.7, 0.8, 0.9, 0.95, 0.99)
+
+
+@query(
+    "j21_sensitivity_response",
+    f"""
+WITH {_CURVE},
+picked AS (
+  SELECT model_id, target, threshold FROM mean CROSS JOIN (SELECT unnest([{', '.join(f'{t}e0' for t in _TARGETS)}]) AS target)
+  QUALIFY row_number() OVER (PARTITION BY model_id, target ORDER BY round(abs(tpr - target), 12), fpr) = 1)
+SELECT p.model_id, target, round(threshold, 6) AS threshold, round(sum((prob > threshold AND label = 1)::INTEGER) / sum(label), 6) AS tpr,
+       round(sum((prob <= threshold AND label = 0)::INTEGER) / sum(1 - label), 6) AS tnr
+FROM scored s JOIN picked p ON p.model_id = s.model_id GROUP BY 1, 2, threshold""",
+)
+def sensitivity(spark, folder):
+    out = metrics.sensitivity_response(s.scored(spark, folder), _mean(spark, folder), ["model_id"], _TARGETS)
+    return s.rounded(out)
+
+
+# Demonstration coefficients on standardised predictors.
+COEFFICIENTS = (
+    ("dry", "temp", 0.8, 0.3),
+    ("dry", "wspd", -0.5, 0.3),
+    ("wet", "precip", 1.2, 0.2),
+    ("wet", "temp", -0.3, 0.2),
+    ("wind", "wspd", 0.9, 0.5),
+)
+INTERCEPTS = {"dry": -1.0, "wet": -1.5, "wind": 0.1}
+
+
+def _gappy(h):
+    """Hours whose wind reading is missing above 30 mph."""
+    return h.withColumn("wspd", F.when(F.col("wspd") <= 30, F.col("wspd")))
+
+
+def coefficients(h):
+    """Coefficient rows with the mean and spread of the given hours."""
+    cols = ["temp", "precip", "wspd"]
+    stats = h.agg(*[f(c).alias(f"{n}_{c}") for c in cols for f, n in ((F.avg, "m"), (F.stddev_samp, "s"))])
+    cut = {m: c for m, _, _, c in COEFFICIENTS}
+    rows = [
+        F.struct(F.lit(m).alias("model_id"), F.lit(k).alias("key"), F.col(f"m_{k}").alias("mean"), F.col(f"s_{k}").alias("sd"), F.lit(b).alias("coef"), F.lit(c).alias("cutoff"))
+        for m, k, b, c in COEFFICIENTS
+    ] + [
+        F.struct(F.lit(m).alias("model_id"), F.lit("(Intercept)").alias("key"), F.lit(0.0).alias("mean"), F.lit(1.0).alias("sd"), F.lit(b).alias("coef"), F.lit(cut[m]).alias("cutoff"))
+        for m, b in INTERCEPTS.items()
+    ]
+    return stats.select(F.inline(F.array(*rows)))
+
+
+def score_sql(source):
+    z = lambda c: f"(({c} - m_{c}) / s_{c})"
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in ("temp", "precip", "wspd"))
+    parts = []
+    for m, b0 in INTERCEPTS.items():
+        odds = f"{b0}e0 + " + " + ".join(f"({b}e0) * {z(k)}" for mm, k, b, _ in COEFFICIENTS if mm == m)
+        cut = next(c for mm, _, _, c in COEFFICIENTS if mm == m)
+        parts.append(f"SELECT series_id, hour, '{m}' AS name, 1 / (1 + exp(-({odds}))) AS prob, {cut}e0 AS cutoff FROM gappy, stats")
+    return f"""gappy AS (SELECT series_id, hour, temp, precip, CASE WHEN wspd <= 30 THEN wspd END AS wspd FROM {source}),
+stats AS (SELECT {stats} FROM gappy),
+scores AS (SELECT *, prob > cutoff AS exceedance FROM ({' UNION ALL '.join(parts)}))"""
+
+
+_H = f"{s.stamp('hour')} AS hour"
+_SCORES = f"WITH {s.HOURS}, {score_sql('hours')} SELECT series_id, {_H}, name, round(prob, 9) AS prob, exceedance FROM scores"
+
+
+def _hours(spark, folder):
+    return _gappy(weather.hourly_from_observations(s.observations(spark, folder), s.SERIES, "ts", ["temp", "wspd"]))
+
+
+@query("j16_score_many_models", _SCORES)
+def score_many(spark, folder):
+    h = _hours(spark, folder)
+    out = models.score_many(h, coefficients(h), ["series_id", "hour"]).drop("predictors")
+    return shown(out, 9)
+
+
+@query("j16_score_by_coefficient_join", _SCORES)
+def score_long(spark, folder):
+    h = _hours(spark, folder)
+    keys = ["temp", "precip", "wspd"]
+    long = h.select("series_id", "hour", F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))])).alias("key", "value"))
+    return shown(models.score_long(long, coefficients(h), ["series_id", "hour"]), 9)
+
+
+@query(
+    "j17_range_audit",
+    f"""
+WITH {s.HOURS}, long AS (SELECT series_id, hour, key, value FROM (UNPIVOT (SELECT series_id, hour, temp, precip FROM hours) ON temp, precip INTO NAME key VALUE value)),
+r AS (SELECT series_id, key, min(value) AS lo, max(value) AS hi FROM long WHERE hour < TIMESTAMP '2024-01-20' GROUP BY 1, 2)
+SELECT l.series_id AS model_id, l.key, count(*) AS n, count(*) FILTER (WHERE value < lo) AS n_below, count(*) FILTER (WHERE value > hi) AS n_above
+FROM long l JOIN r ON r.series_id = l.series_id AND r.key = l.key GROUP BY 1, 2""",
+)
+def range_audit(spark, folder):
+    h = weather.hourly_from_observations(s.observations(spark, folder), s.SERIES, "ts", ["temp"])
+    long = reshape.to_long(h.withColumnRenamed("series_id", "model_id"), ["model_id", "hour"], ["temp", "precip"])
+    train = long.filter(F.col("hour") < F.lit("2024-01-20").cast("timestamp"))
+    audit = models.range_audit(long, summaries.ranges(train, ["model_id", "key"]))
+    return audit.groupBy("model_id", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("below").alias("n_below"), F.count_if("above").alias("n_above")
+    )
+
+
+@query(
+    "j24_effect_curve",
+    f"""
+WITH {s.HOURS}, {score_sql('hours')},
+x AS (SELECT i * 0.5e0 AS x FROM (SELECT unnest(generate_series(0, 100)) AS i)),
+c AS (SELECT 'dry' AS model_id, -1e0 AS b0, 0.8e0 AS b UNION ALL SELECT 'wet', -1.5e0, -0.3e0)
+SELECT model_id, x, round(b0 + b * ((x - m_temp) / s_temp), 6) AS log_odds, round(1 / (1 + exp(-(b0 + b * ((x - m_temp) / s_temp)))), 6) AS prob FROM c, x, stats""",
+)
+def effect(spark, folder):
+    return s.rounded(models.effect_curve(coefficients(_hours(spark, folder)), "temp", 0.0, 50.0, 100))
+
+
+def _screen_sql(steps=8):
+    base = f"""{s.LABELLED},
+long AS (SELECT model_id, key AS var, sqrt(round(value, 5)) AS x, label FROM (UNPIVOT labelled ON log_text, vowel_share, log_lines, digit_share INTO NAME key VALUE value)),
+b AS (SELECT model_id, var, x, count(*)::DOUBLE AS n, sum(label) AS k FROM long GROUP BY 1, 2, 3),
+mo AS (
+  SELECT model_id, var, sum(n) AS nn, sum(k) AS kk, sum(n * x) / sum(n) AS mx, sqrt(greatest(sum(n * x * x) / sum(n) - (sum(n * x) / sum(n)) ** 2, 0)) AS sx FROM b GROUP BY 1, 2),
+c0 AS (SELECT *, ln(kk / (nn - kk)) AS b0, 0e0 AS b1 FROM mo WHERE sx > 0 AND kk > 0 AND kk < nn)"""
+    for i in range(steps):
+        base += f""",
+c{i + 1} AS (
+  SELECT model_id, var, nn, kk, mx, sx, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b0, b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b1
+  FROM (SELECT model_id, var, nn, kk, mx, sx, b0, b1, sum(w) AS h00, sum(w * z) AS h01, sum(w * z * z) AS h11, sum(g) AS g0, sum(g * z) AS g1
+        FROM (SELECT c.*, (x - mx) / sx AS z, 1 / (1 + exp(-(b0 + b1 * ((x - mx) / sx)))) AS p, n * p * (1 - p) AS w, k - n * p AS g FROM b JOIN c{i} c ON c.model_id = b.model_id AND c.var = b.var)
+        GROUP BY 1, 2, 3, 4, 5, 6, 7, 8))"""
+    return base + f""",
+ranked AS (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, var, x) / 2 - 0.5e0) AS r FROM long WINDOW w AS (PARTITION BY model_id, var ORDER BY x)),
+a AS (SELECT model_id, var, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS auc FROM ranked GROUP BY 1, 2),
+f AS (
+  SELECT b.model_id, b.var, max(nn)::BIGINT AS n_sample, max(kk / nn) AS frac_exceed,
+         4 - 2 * sum(k * (b0 + b1 * ((x - mx) / sx)) - n * ln(1 + exp(b0 + b1 * ((x - mx) / sx)))) AS aic, max(b1 / sx) AS slope
+  FROM b JOIN c{steps} c ON c.model_id = b.model_id AND c.var = b.var GROUP BY 1, 2)
+SELECT f.model_id, f.var, n_sample, round(frac_exceed, 6) AS frac_exceed, round(aic, 4) AS aic, round(slope, 4) AS slope,
+       round(CASE WHEN slope < 0 THEN 1 - auc ELSE auc END, 6) AS auc FROM f JOIN a ON a.model_id = f.model_id AND a.var = f.var"""
+
+
+@query("j23_univariate_screening", "WITH " + _screen_sql())
+def screening(spark, folder):
+    rows = materialize(s.labelled(spark, folder), "labelled")
+    long = reshape.to_long(rows, ["model_id", "label"], s.FEATURES, "var", "value")
+    fit = models.univariate_screen(long.withColumn("x", F.sqrt(F.round("value", 5))), ["model_id", "var"])
+    out = s.rounded(fit.drop("intercept"), 6, "frac_exceed", "auc")
+    return s.rounded(out, 4, "aic", "slope")
+
+
+# ------------------------------------------------------------- fits: rows-only checks
+
+
+def _training(spark, folder):
+    """Labelled rows with split and folds, written once because every fit reads them again."""
+    x = s.labelled(spark, folder)
+    x = labels.stratified_split(x, ["label"], ["doc_id"], 0.75, 11)
+    return materialize(labels.stratified_folds(x, ["label"], ["doc_id"], 3, 13), "training")
+
+
+@query("j4_glm_coefficients")
+def glm(spark, folder):
+    t = _training(spark, folder).filter("subset = 'train'")
+    fit = models.fit_glm(t, s.FEATURES)
+    table = models.coefficient_table(spark, "documents", fit)
+    return table.withColumns({k: F.lit(v) for k, v in fit.figures.items()})
+
+
+@query("j5_elastic_net_tuning")
+def elastic(spark, folder):
+    t = _training(spark, folder)
+    return models.tuning_table(spark, models.elastic_net(t, s.FEATURES, folds=3, alphas=(0.0, 0.6), lambdas=(0.001, 0.1)))
+
+
+@query("j6_random_forest_scores")
+def forest(spark, folder):
+    t = _training(spark, folder)
+    m = models.random_forest(t.filter("subset = 'train'"), s.FEATURES, trees=20, depth=5)
+    return models.score_with(m, t).select("doc_id", "subset", "label", "prob")
+
+
+@query("j7_boosted_tree_scores")
+def boosted(spark, folder):
+    t = _training(spark, folder)
+    m = models.boosted_trees(t.filter("subset = 'train'"), s.FEATURES, rounds=5)
+    return models.score_with(m, t).select("doc_id", "subset", "label", "prob")
+
+
+@query("j8_forward_selection_path")
+def forward(spark, folder):
+    t = _training(spark, folder).filter("subset = 'train'")
+    _, path = models.forward_selection(t, s.FEATURES)
+    return spark.createDataFrame(path, "step int, term string, aic double")
+
+
+@query("j9_penalty_path")
+def penalty(spark, folder):
+    cv = models.ridge_path(_training(spark, folder), s.FEATURES, folds=3, n_values=3)
+    return models.tuning_table(spark, cv)
+
+
+@query("j10_repeated_cv_metrics")
+def repeated(spark, folder):
+    x = materialize(models.repeated_folds(s.labelled(spark, folder), ["label"], ["doc_id"], 3, 2, 5), "repeats")
+    out = None
+    for r in (1, 2):
+        scored = models.held_out_scores(x, s.FEATURES, f"fold_{r}", 3).withColumn("resample", F.format_string(f"Fold%02d.Rep{r}", F.col(f"fold_{r}") + 1))
+        m = models.resample_metrics(scored, "resample")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def _board(spark, folder):
+    t = _training(spark, folder)
+    train = t.filter("subset = 'train'")
+    sets = {"all": s.FEATURES, "some": s.FEATURES[:2]}
+    fitted = {
+        (name, learner): m
+        for name, cols in sets.items()
+        for learner, m in models.train_learners(train, cols, "fold", 3, alphas=(0.0,), lambdas=(0.01,), trees=10, rounds=3).items()
+    }
+    return models.score_learners(t, fitted, ["doc_id", "subset", "label"])
+
+
+@query("j14_leaderboard")
+def leaderboard(spark, folder):
+    return models.leaderboard(_board(spark, folder), ["predictor_set", "model_name"], cutoff=models.CUTOFF)
+
+
+@query("j15_final_model_table")
+def final(spark, folder):
+    t = _training(spark, folder)
+    figures, scored = [], None
+    for m in ("EN", "OTHER"):
+        rows = t.filter(F.col("model_id") == m)
+        fit = models.fit_glm(rows.filter("subset = 'train'"), s.FEATURES[:2])
+        f = fit.figures
+        figures.append((m, f["aic"], f["deviance"], f["null_deviance"], f["r2"], int(f["n_predictors"])))
+        part = fit.score(rows).select("model_id", "subset", "label", "prob")
+        scored = part if scored is None else scored.unionByName(part)
+    table = spark.createDataFrame(figures, "model_id string, aic double, deviance double, null_deviance double, r2 double, n_predictors int")
+    return models.final_table(t, scored, table)
+
+
+@query("j18_variable_importance")
+def importance(spark, folder):
+    t = _training(spark, folder).filter("subset = 'train'")
+    glm_rows = models.importance(spark, "glm", models.fit_glm(t, s.FEATURES))
+    return glm_rows.unionByName(models.tree_importance(spark, "rf", models.random_forest(t, s.FEATURES, trees=10, depth=4)))
+
+
+@query("j26_weighted_fit")
+def weighted(spark, folder):
+    t = summaries.class_weights(_training(spark, folder), [], "label")
+    return models.coefficient_table(spark, "weighted", models.fit_glm(t, s.FEATURES[:1], weight="weight"))
+
+
+@query("a14_model_save_and_load")
+def save_load(spark, folder):
+    t = _training(spark, folder)
+    fit = models.fit_glm(t.filter("subset = 'train'"), s.FEATURES)
+    info = spark.createDataFrame([("documents", 0.2, fit.figures["aic"])], "model_id string, cutoff double, aic double")
+    path = scratch_dir(spark, "model")
+    model_files.save_model(fit.model, path, info.withColumn("version", model_files.version_id("model_id", F.col("aic").cast("string"))))
+    loaded, back = model_files.load_model(spark, path)
+    return models.score_with(loaded, t).select("doc_id", "prob").crossJoin(F.broadcast(back.limit(1)))

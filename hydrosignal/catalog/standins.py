@@ -43,7 +43,11 @@ def measures(k: Column) -> dict[str, Column]:
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    e = read(spark, folder, "events")
+    return observe(read(spark, folder, "events"))
+
+
+def observe(e: DataFrame) -> DataFrame:
+    """Event rows (batch or stream) as observations."""
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
         "event_id",

@@ -350,11 +350,12 @@ hflow AS (SELECT station_id, hour, agency AS agency_cd, {s.line_sql('flow')} FRO
 
 @query(
     "f17_daily_to_hourly_flow",
-    f"WITH {_HOURLY_FLOW} SELECT station_id, {_H}, agency_cd, round(flow, 9) AS flow FROM hflow",
+    f"WITH {_HOURLY_FLOW} SELECT station_id, {_H}, agency_cd, flow FROM hflow",
 )
 def hourly_flow(spark, folder):
     d = s.flow(spark, folder).select("station_id", F.col("date").cast("timestamp").alias("hour"), "flow", F.lit("USGS").alias("agency_cd"))
-    return shown(flow_plan.hourly_flow(d, ["station_id"], "hour", ["flow"], ["agency_cd"]).select("station_id", "hour", "agency_cd", "flow"), 9)
+    out = flow_plan.hourly_flow(d, ["station_id"], "hour", ["flow"], ["agency_cd"])
+    return out.select("station_id", s.text("hour").alias("hour"), "agency_cd", "flow")
 
 
 @query(

@@ -451,3 +451,35 @@ def best_by(df: DataFrame, keys: Sequence[str], metric: Column, tie: Sequence[Co
     from hydrosignal.operators.ordered import first_per_key
 
     return first_per_key(df, keys, [metric.desc(), *tie])
+
+
+def train_learners(
+    df: DataFrame, predictors: Sequence[str], fold: str, folds: int, label: str = "label", seed: int = 1, **sizes
+) -> dict[str, PipelineModel]:
+    """The five learners of the comparison on one predictor set."""
+    step, _ = forward_selection(df, predictors, label)
+    net = elastic_net(
+        df, predictors, label, fold, folds, sizes.get("alphas", ALPHAS), sizes.get("lambdas", LAMBDAS)
+    ).bestModel
+    learners = {
+        "net": net,
+        "rf": random_forest(df, predictors, label, sizes.get("trees", 100), seed=seed),
+        "gbm": boosted_trees(df, predictors, label, sizes.get("rounds", 50), seed=seed),
+        "glm": fit_glm(df, predictors, label).model,
+    }
+    if step is not None:
+        learners["step"] = step.model
+    return learners
+
+
+def score_learners(
+    df: DataFrame, models: dict[tuple[str, str], PipelineModel], keep: Sequence[str]
+) -> DataFrame:
+    """All candidates' scores stacked, tagged by predictor set and learner."""
+    out = None
+    for (predictor_set, name), model in models.items():
+        rows = score_with(model, df).select(
+            *keep, "prob", F.lit(predictor_set).alias("predictor_set"), F.lit(name).alias("model_name")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out

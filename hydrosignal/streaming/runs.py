@@ -10,9 +10,14 @@ from hydrosignal.session import scratch_dir
 
 
 def read_table_stream(spark: SparkSession, path: str, columns: list[str] | None = None, files: int = 64) -> DataFrame:
-    """A parquet table as a stream; the schema comes from the table itself."""
+    """A parquet table as a stream; the schema comes from the table itself.
+
+    The file source takes a plain path for a folder; written as a glob, the path may also
+    be a single file.
+    """
     schema = spark.read.parquet(path).schema
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    source = f"{path[:-1]}[{path[-1]}]" if path.endswith(".parquet") else path
+    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
     return df.select(*columns) if columns else df
 
 

@@ -23,7 +23,7 @@ def event_clock(hours: DataFrame, key: str, time: str = "hour", is_event: str =
     out = f"{key} string, {time} timestamp, hours_since long, last_flow double"
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values(time)
+        rows = pd.concat([p for p in parts if len(p)], ignore_index=True).sort_values(time, ignore_index=True)
         first, event, known = state.get if state.exists else (None, None, None)
         first = pd.Timestamp(first) if first is not None else rows[time].iloc[0]
         # the event mark of every row: its own hour if it is one, else the last one before it
