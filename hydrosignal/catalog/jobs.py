@@ -222,7 +222,7 @@ _EDGES = (0, 24, 48)
 _MATRIX = f"""{s.SAMPLES}, {s.FLOW},
 x AS (SELECT * REPLACE (date_trunc('hour', Datetime) AS Datetime) FROM samples WHERE ((CharacteristicID = 'ECOLI' AND Units = 'MPN/100ml') OR (CharacteristicID = 'ENT' AND Units = 'MPN/100ml')) AND FlagID IS NULL),
 fl AS (SELECT date::TIMESTAMP + INTERVAL 8 HOUR - INTERVAL 10592 DAY AS at, max(flow) FILTER (WHERE station_id = '1') AS flow_1 FROM flow GROUP BY 1),
-rain AS (SELECT o_orderdate AS at, sum(o_totalprice) / 1000000 AS precip FROM orders GROUP BY 1),
+rain AS (SELECT o_orderdate AS at, sum(o_totalprice) / 1000 AS precip FROM orders GROUP BY 1),
 t AS (SELECT DISTINCT Datetime FROM x),
 bins AS (
   SELECT t.Datetime, {', '.join(f'round(coalesce(sum(r.precip) FILTER (WHERE r.at >= t.Datetime - INTERVAL {b} HOUR AND r.at < t.Datetime - INTERVAL {a} HOUR), 0), 6) AS precip_{a}_{b}' for a, b in zip(_EDGES, _EDGES[1:]))}
@@ -242,7 +242,7 @@ def feature_matrix(spark, folder):
         (F.date_sub("date", 10592).cast("timestamp") + F.expr("INTERVAL 8 HOURS")).alias("Datetime")
     ).agg(F.max(F.when(F.col("station_id") == "1", F.col("flow"))).alias("flow_1"))
     o = s.read(spark, folder, "orders")
-    rain = o.select(F.col("o_orderdate").cast("timestamp").alias("at"), (F.col("o_totalprice") / 1000000).alias("precip"))
+    rain = o.select(F.col("o_orderdate").cast("timestamp").alias("at"), (F.col("o_totalprice") / 1000).alias("precip"))
     pairs = [("ECOLI", "MPN/100ml"), ("ENT", "MPN/100ml")]
     x = s.samples(spark, folder).withColumn("Datetime", F.date_trunc("hour", "Datetime"))
     rows, features = sample_plan.feature_matrix(x, pairs, f, rain, [], "Datetime", "at", "precip", _EDGES)

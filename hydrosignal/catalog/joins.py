@@ -25,8 +25,7 @@ FROM hours h LEFT JOIN days d ON d.series_id = h.series_id AND d.date = h.hour::
 )
 def prior_day(spark, folder):
     h = weather.hourly_from_observations(s.observations(spark, folder), K, "ts", ["temp", "wspd"])
-    days = weather.prior_day_means(h, K, "hour", ["temp", "wspd"])
-    out = h.withColumn("date", F.to_date("hour")).join(days, ["series_id", "date"], "left")
+    out = weather.prior_day_means(h, K, "hour", ["temp", "wspd"])
     return shown(out.select("series_id", "hour", "temp", "temp_mean_p1d", "wspd_mean_p1d"))
 
 

@@ -22,6 +22,10 @@ RAIN_LAGS = (0, 6, 12, 18, 24, 36, 48)
 WEATHER_WIDTHS = (24, 48, 72)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _w(keys: Sequence[str], time: str):
     return Window.partitionBy(*keys).orderBy(time)
 
@@ -82,9 +86,10 @@ def antecedent(
     """Trailing sum and max for every width x lag; 0 until the window is full.
 
     A wide trailing window is a chain of equal blocks, so only one short frame (the
-    common divisor of the widths) slides over the rows; wider and lagged windows add or
-    compare lagged copies of it. Spark re-reads a sliding frame for every row, so this
-    turns 360 frame reads per row into 12, and all windows still share one sort.
+    common divisor of the widths) slides over the rows and wider windows add or compare
+    lagged copies of it: 12 frame reads per row instead of 360. Values are rounded before
+    they are lagged, which keeps the projections small enough to be compiled. All windows
+    share one sort.
     """
     block = reduce(gcd, widths)
     if max(widths) // block > 48:
@@ -95,23 +100,32 @@ def antecedent(
     base = df.withColumns(
         {"_s": F.when(full, F.sum(col).over(frame)), "_m": F.when(full, F.max(col).over(frame))}
     )
-    offsets = sorted({j * block + n for k in widths for j in range(k // block) for n in lag_hours})
-    shifted = base.withColumns(
-        {f"_{a}{o}": F.lag(f"_{a}", o).over(w) for o in offsets if o for a in "sm"} 
-    ).withColumnsRenamed({"_s": "_s0", "_m": "_m0"})
-    out = {}
+    # many columns: SQL text is much quicker to build than column objects
+    over = f"OVER (PARTITION BY {', '.join(map(quoted, keys))} ORDER BY {quoted(time)})"
+    blocks = max(widths) // block
+    shifted = base.selectExpr(
+        "*", *[f"lag(_{a}, {j * block}) {over} AS _{a}{j}" for j in range(blocks) for a in "sm"]
+    )
+    # rint on a scaled value: round() on doubles goes through decimals, many times slower
+    scale = f"{10 ** digits}D"
+    full = []
     for k in widths:
-        for n in lag_hours:
-            blocks = [j * block + n for j in range(k // block)]
-            total = reduce(lambda a, b: a + b, [F.col(f"_s{o}") for o in blocks])
-            peak = [F.col(f"_m{o}") for o in blocks]
-            top = F.greatest(*peak) if len(peak) > 1 else peak[0]
-            # greatest() skips nulls, the window must be full
-            top = F.when(F.col(f"_m{blocks[-1]}").isNotNull() & total.isNotNull(), top)
-            zero = F.lit(0.0)
-            out[f"{col}_sum_p{k}hr_lag{n}hr"] = F.round(F.coalesce(total, zero), digits)
-            out[f"{col}_max_p{k}hr_lag{n}hr"] = F.round(F.coalesce(top, zero), digits)
-    return shifted.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+        n = k // block
+        total = " + ".join(f"_s{j}" for j in range(n))
+        # greatest() skips nulls, but the window counts only when all its blocks are full
+        peak = f"greatest({', '.join(f'_m{j}' for j in range(n))})" if n > 1 else "_m0"
+        full.append(f"rint(coalesce({total}, 0D) * {scale}) / {scale} AS _sum{k}")
+        full.append(f"rint(CASE WHEN {total} IS NULL THEN 0D ELSE {peak} END * {scale}) / {scale} AS _max{k}")
+    wide = shifted.selectExpr(*map(quoted, df.columns), *full)
+    return wide.selectExpr(
+        *map(quoted, df.columns),
+        *[
+            (f"lag(_{a}{k}, {n}, 0D) {over}" if n else f"_{a}{k}") + f" AS {quoted(f'{col}_{a}_p{k}hr_lag{n}hr')}"
+            for k in widths
+            for n in lag_hours
+            for a in ("sum", "max")
+        ],
+    )
 
 
 def in_time_parts(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrosignal.functions import times
@@ -37,11 +37,14 @@ def document_series(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
 def prior_day_means(
     hours: DataFrame, keys: Sequence[str], time: str, cols: Sequence[str], day_tz: str = "UTC"
 ) -> DataFrame:
-    """Daily means dated one day later, so that an hour can look up the day before it."""
-    days = hours.groupBy(*keys, times.local_date(F.col(time), day_tz).alias("date")).agg(
-        *[F.avg(c).alias(f"{c}_mean_p1d") for c in cols]
-    )
-    return days.withColumn("date", F.date_add("date", 1))
+    """Adds the mean of the calendar day before, null when that day has no hours.
+
+    A range frame of exactly one day back, so the daily table is neither built nor joined
+    and the hourly series is computed once.
+    """
+    day = F.datediff(times.local_date(F.col(time), day_tz), F.lit("1970-01-01").cast("date"))
+    before = Window.partitionBy(*keys).orderBy(day).rangeBetween(-1, -1)
+    return hours.withColumns({f"{c}_mean_p1d": F.avg(c).over(before) for c in cols})
 
 
 def weather_predictors(
@@ -54,8 +57,8 @@ def weather_predictors(
 ) -> DataFrame:
     """All weather predictors of an hourly series as columns of one frame.
 
-    Rolling, event and rainfall columns share the series partitioning; only the prior-day
-    means need a join (a day-grain table on series and date).
+    After the roll-up there is one shuffle, by series; every window reuses it and nothing
+    is joined.
     """
     w = hours.withColumn("date", times.local_date(F.col(time), day_tz))
     w = events.rain_events(w, keys, time, precip)
@@ -64,7 +67,7 @@ def weather_predictors(
     w = rolling.rolling_means(w, keys, time, variables)
     w = rolling.changes(w, keys, time, variables)
     w = rolling.antecedent(w, keys, time, precip)
-    w = w.join(prior_day_means(hours, keys, time, variables, day_tz), [*keys, "date"], "left")
+    w = prior_day_means(w, keys, time, variables, day_tz)
     rain = [
         f"{precip}_{a}_p{k}hr_lag{n}hr" for k in rolling.RAIN_WIDTHS for n in rolling.RAIN_LAGS for a in ("sum", "max")
     ]

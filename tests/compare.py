@@ -76,7 +76,7 @@ if __name__ == "__main__":
     from hydrosignal.session import build_session
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     reg, con = load(), connect(folder)
     wanted = [n for n in reg.queries if not sys.argv[1:] or any(n.startswith(a) for a in sys.argv[1:])]
