@@ -122,7 +122,7 @@ FROM p LEFT JOIN rain r ON r.series_id = p.series_id AND r.at < p.ts AND r.at >=
 def rain_bins(spark, folder):
     o = s.observations(spark, folder)
     rain = o.select("series_id", times.floor_hour(F.col("ts")).alias("at"), "precip")
-    out = joins.range_sums(o, rain, K, "ts", "at", "precip", _BINS, part_seconds=3 * joins.DAY)
+    out = joins.range_sums(o, rain, K, "ts", "at", "precip", _BINS)
     return s.rounded(out.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 

@@ -135,11 +135,14 @@ def scenario(spark, folder):
 
 @query(
     "i7_nest_and_unnest",
-    "SELECT n_regionkey, n_nationkey, n_name FROM nation",
+    f"WITH {s.FLOW} SELECT station_id, strftime(date, '%Y-%m') AS month, strftime(date, '%Y-%m-%d') AS date, flow FROM flow",
 )
 def nest_unnest(spark, folder):
-    n = s.read(spark, folder, "nation")
-    return reshape.unnest(reshape.nest(n, ["n_regionkey"]), ["n_regionkey"])
+    days = s.flow(spark, folder).select(
+        "station_id", F.date_format("date", "yyyy-MM").alias("month"), F.date_format("date", "yyyy-MM-dd").alias("date"), "flow"
+    )
+    keys = ["station_id", "month"]  # at most 31 rows per group
+    return reshape.unnest(reshape.nest(days, keys), keys)
 
 
 @query(

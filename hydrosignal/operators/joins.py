@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hydrosignal.operators.ordered import PART, first_per_key, running_totals, time_part
 
+HOUR = 3_600
 DAY = 86_400
 
 
@@ -48,50 +49,37 @@ def asof_join(
     right_time: str,
     cols: Sequence[str],
     tie: Sequence[str] = (),
-    part_seconds: int = DAY,
+    part_seconds: int = HOUR,
 ) -> DataFrame:
     """For every left row the last right row at or before it, per series.
 
-    Both sides are merged in time order inside (series, time part); a left row with no
-    right row in its part takes the last one of the nearest earlier part. ``tie`` orders
-    right rows of the same instant.
+    Only distinct instants are put in order: right rows are first reduced to one per
+    (series, instant), ``tie`` deciding, and left rows to their distinct instants, so
+    repeated instants of a busy series cost nothing. Instants are ordered inside (series,
+    time part); one with no right row in its part takes the last one of the nearest
+    earlier part. Left rows then look their instant up by an equi join.
     """
-    tied = F.struct(F.col(right_time).alias("t"), *[F.col(c) for c in tie])
-    r = right.select(
-        *keys,
-        F.col(right_time).alias("_t"),
-        F.lit(0).alias("_side"),
-        tied.alias("_ord"),
-        F.struct(F.col(right_time), *[F.col(c) for c in cols]).alias("_r"),
-        F.lit(None).alias("_l"),
-    )
-    rest = [c for c in left.columns if c not in keys]
-    l = left.select(
-        *keys,
-        F.col(left_time).alias("_t"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast(r.schema["_ord"].dataType).alias("_ord"),
-        F.lit(None).cast(r.schema["_r"].dataType).alias("_r"),
-        F.struct(*rest).alias("_l"),
-    )
-    r = r.withColumn("_l", F.lit(None).cast(l.schema["_l"].dataType))
-    both = l.unionByName(r).withColumn(PART, time_part(F.col("_t"), part_seconds))
-    inside = (
-        Window.partitionBy(*keys, PART).orderBy("_t", "_side", "_ord").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    ties = F.struct(*[F.col(c) for c in (tie or cols)])
+    hit = F.struct(F.col(right_time), *[F.col(c) for c in cols])
+    r = right.groupBy(*keys, F.col(right_time).alias("_t")).agg(F.max_by(hit, ties).alias("_r"))
+    probes = left.select(*keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side")).distinct()
+    # readings come before probes of the same instant
+    both = probes.unionByName(r.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    both = both.withColumn(PART, time_part(F.col("_t"), part_seconds))
+    inside = Window.partitionBy(*keys, PART).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         both.groupBy(*keys, PART)
-        .agg(F.max_by("_r", "_ord").alias("_last"))
+        .agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col("_t"))).alias("_last"))
         .select(*keys, PART, F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
     )
     found = (
         both.withColumn("_in", F.last("_r", ignorenulls=True).over(inside))
         .filter("_side = 1")
         .join(carried, [*keys, PART], "left")
-        .withColumn("_hit", F.coalesce("_in", "_carry"))
+        .select(*keys, F.col("_t").alias(left_time), F.coalesce("_in", "_carry").alias("_hit"))
     )
-    return found.select(*keys, "_l.*", "_hit.*")
+    return left.join(found, [*keys, left_time], "left").select(*left.columns, "_hit.*")
 
 
 def latest_at(df: DataFrame, keys: Sequence[str], time: str, at) -> DataFrame:
@@ -146,7 +134,7 @@ def range_sums(
     value: str,
     edges_hours: Sequence[int] = (0, 12, 24, 48, 72, 96, 120),
     prefix: str = "precip",
-    part_seconds: int = 30 * DAY,
+    part_seconds: int = HOUR,
     digits: int = 8,
 ) -> DataFrame:
     """Sum of readings in every bin ``[t - h1, t - h0)`` for every distinct point (key, t).

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrosignal.operators.ordered import hash_order, hash_rank
-from hydrosignal.operators.summaries import group_stats_join
 
 # Bacteria standards (per 100 ml) by use and parameter.
 STANDARDS = (
@@ -45,9 +44,8 @@ def stratified_split(
     ``id_cols`` must identify a row.
     """
     ranked = hash_rank(df, strata, id_cols, seed, "_rank")
-    counted = group_stats_join(ranked, strata, {"_n": F.count(F.lit(1))})
-    train = F.col("_rank") <= F.ceil(F.round(F.col("_n") * F.lit(share), 9))
-    return counted.withColumn(name, F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("_rank", "_n")
+    train = F.col("_rank") <= F.ceil(F.round(F.col("_rank_all") * F.lit(share), 9))
+    return ranked.withColumn(name, F.when(train, F.lit("train")).otherwise(F.lit("test"))).drop("_rank", "_rank_all")
 
 
 def stratified_folds(
@@ -55,7 +53,7 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold number 0..folds-1, class sizes differing by at most one row between folds."""
     ranked = hash_rank(df, strata, id_cols, seed, "_rank")
-    return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")
+    return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank", "_rank_all")
 
 
 def down_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[str], seed: int = 1) -> DataFrame:
@@ -63,7 +61,7 @@ def down_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequenc
     ranked = hash_rank(df, [*keys, label], id_cols, seed, "_rank")
     sizes = df.groupBy(*keys, label).count().groupBy(*keys).agg(F.min("count").alias("_n"))
     joined = ranked.join(sizes, list(keys)) if keys else ranked.crossJoin(F.broadcast(sizes))
-    return joined.filter(F.col("_rank") <= F.col("_n")).drop("_rank", "_n")
+    return joined.filter(F.col("_rank") <= F.col("_n")).drop("_rank", "_rank_all", "_n")
 
 
 def up_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[str], seed: int = 1) -> DataFrame:
@@ -73,12 +71,13 @@ def up_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[
     hash order once more.
     """
     ranked = hash_rank(df, [*keys, label], id_cols, seed, "_rank")
-    counts = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.groupBy(*keys).agg(F.max("_n").alias("_top"))
-    sizes = counts.join(top, list(keys)) if keys else counts.crossJoin(F.broadcast(top))
-    joined = ranked.join(sizes, [*keys, label])
-    copies = F.floor(F.col("_top") / F.col("_n")) + (F.col("_rank") <= F.col("_top") % F.col("_n")).cast("long")
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_rank", "_n", "_top")
+    top = df.groupBy(*keys, label).count().groupBy(*keys).agg(F.max("count").alias("_top"))
+    joined = ranked.join(top, list(keys)) if keys else ranked.crossJoin(F.broadcast(top))
+    n = F.col("_rank_all")
+    copies = F.floor(F.col("_top") / n) + (F.col("_rank") <= F.col("_top") % n).cast("long")
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop(
+        "_rank", "_rank_all", "_top"
+    )
 
 
 __all__ = [

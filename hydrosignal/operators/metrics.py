@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from hydrosignal.operators.ordered import running_totals, value_part
+from hydrosignal.session import materialize
 
 # The two cutoff sweeps.
 CUTOFFS_5 = tuple(round(i * 0.05, 2) for i in range(1, 20))
@@ -37,20 +38,14 @@ def score_counts(df: DataFrame, keys: Sequence[str], prob="prob", label="label")
 
 
 def _cumulated(df: DataFrame, keys, prob, label) -> DataFrame:
-    counts = score_counts(df, keys, prob, label)
-    part = value_part(df.filter(F.col(prob).isNotNull()), prob)
-    return running_totals(
-        counts, keys, part, [F.col(prob).desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, descending_parts=True
-    )
-
+    """Counts per distinct score with their running totals from the highest score down.
 
-def _class_totals(df: DataFrame, keys, prob, label) -> DataFrame:
-    y = F.col(label).cast("long")
-    return (
-        df.filter(F.col(prob).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys)
-        .agg(F.sum(y).alias("n_pos"), F.sum(1 - y).alias("n_neg"))
-    )
+    The counts are written once: the cut points, the part totals and the rows all read
+    the small count table, and the scored rows are scanned a single time.
+    """
+    counts = materialize(score_counts(df, keys, prob, label), "score-counts")
+    totals = {"tp": F.col("pos"), "fp": F.col("neg")}
+    return running_totals(counts, keys, value_part(counts, prob), [F.col(prob).desc()], totals, descending_parts=True)
 
 
 def _with_totals(df, totals, keys):
@@ -59,28 +54,24 @@ def _with_totals(df, totals, keys):
 
 def roc_points(df: DataFrame, keys: Sequence[str], prob="prob", label="label") -> DataFrame:
     """One point per distinct score: predicting positive for scores at or above the threshold."""
-    cum = _with_totals(_cumulated(df, keys, prob, label), _class_totals(df, keys, prob, label), keys)
-    return cum.select(
+    return _cumulated(df, keys, prob, label).select(
         *keys,
         F.col(prob).alias("threshold"),
         "tp",
         "fp",
-        ratio(F.col("tp"), F.col("n_pos")).alias("tpr"),
-        ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
+        ratio(F.col("tp"), F.col("tp_all")).alias("tpr"),
+        ratio(F.col("fp"), F.col("fp_all")).alias("fpr"),
     )
 
 
 def auc(df: DataFrame, keys: Sequence[str], prob="prob", label="label", name="auc") -> DataFrame:
     """Area under the ROC curve: share of (positive, negative) pairs in the right order, ties half."""
     cum = _cumulated(df, keys, prob, label)
-    # negatives scored lower = all negatives - those at or above this score
-    area = F.sum(F.col("pos") * (F.col("_n_neg") - F.col("fp") + F.col("neg") / 2.0))
-    totals = cum.groupBy(*keys).agg(F.sum("neg").alias("_n_neg"))
-    joined = _with_totals(cum, totals, keys)
-    return joined.groupBy(*keys).agg(
-        (ratio(area, F.sum("pos") * F.max("_n_neg"))).alias(name),
-        F.sum("pos").alias("n_pos"),
-        F.max("_n_neg").alias("n_neg"),
+    # negatives scored at or above a positive count against it, those level with it half
+    lost = F.sum(F.col("pos") * (F.col("fp") - F.col("neg") / 2.0))
+    pairs = F.sum("pos") * F.sum("neg").cast("double")
+    return cum.groupBy(*keys).agg(
+        ratio(pairs - lost, pairs).alias(name), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
     )
 
 
@@ -322,7 +313,7 @@ def sensitivity_response(
     each = curve.select(*keys, "fpr", "tpr", "threshold", F.explode(wanted).alias("target"))
     picked = threshold_for(each, [*keys, "target"], F.col("target"))
     counts = score_counts(scored, keys, prob, label)
-    joined = counts.join(picked, list(keys)) if keys else counts.crossJoin(picked)
+    joined = counts.join(picked, list(keys)) if keys else counts.crossJoin(F.broadcast(picked))
     return joined.groupBy(*keys, "target", "threshold").agg(
         ratio(F.sum(F.when(F.col(prob) > F.col("threshold"), F.col("pos")).otherwise(0)), F.sum("pos")).alias("tpr"),
         ratio(F.sum(F.when(F.col(prob) > F.col("threshold"), 0).otherwise(F.col("neg"))), F.sum("neg")).alias("tnr"),

@@ -8,6 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrosignal.operators.ordered import quantiles
+
 
 def share_by(df: DataFrame, keys: Sequence[str], flag: Column, n="n_samples", share="frac_exceed") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.avg(flag.cast("double")).alias(share))
@@ -37,34 +39,21 @@ def cross_tab_totals(df: DataFrame, row: str, col: str, values: Sequence, label:
     return cells.groupBy(row).pivot("_col", [*map(str, values), label]).agg(F.sum("n")).na.fill(0)
 
 
-def ranges(df: DataFrame, keys: Sequence[str], value: str = "value", exact: bool = True) -> DataFrame:
-    """min / median / mean / max per group.
+def _attach(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.join(other, list(keys)) if keys else df.crossJoin(F.broadcast(other))
 
-    The exact median keeps a value -> count table per group in its buffer; set
-    ``exact=False`` for groups with very many distinct values.
-    """
-    median = F.percentile(value, F.lit(0.5)) if exact else F.percentile_approx(value, 0.5, 100_000)
-    return df.groupBy(*keys).agg(
-        F.min(value).alias("min"), median.alias("median"), F.avg(value).alias("mean"), F.max(value).alias("max")
-    )
+
+def ranges(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """min / median / mean / max per group, the median exact."""
+    plain = df.groupBy(*keys).agg(F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    return _attach(plain, quantiles(df, keys, value, {"median": 0.5}), keys).select(*keys, "min", "median", "mean", "max")
 
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Six-number summary of resampled metrics."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(value).alias("min"), q.alias("_q"), F.avg(value).alias("mean"), F.max(value).alias("max"))
-        .select(
-            *keys,
-            "min",
-            F.col("_q")[0].alias("q1"),
-            F.col("_q")[1].alias("median"),
-            "mean",
-            F.col("_q")[2].alias("q3"),
-            "max",
-        )
-    )
+    plain = df.groupBy(*keys).agg(F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    q = quantiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return _attach(plain, q, keys).select(*keys, "min", "q1", "median", "mean", "q3", "max")
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, low: float, high: float, bins: int) -> DataFrame:

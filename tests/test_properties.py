@@ -74,7 +74,7 @@ def test_asof_join_matches_scan(spark, skewed):
     rnd = random.Random(8)
     asks = [(k, START + timedelta(minutes=rnd.randrange(-50, 21_000)), n) for n, k in enumerate(["hot", "k1", "none"] * 60)]
     left = spark.createDataFrame(asks, "key string, asked timestamp, n int")
-    got = {r["n"]: r["id"] for r in joins.asof_join(left, df, ["key"], "asked", "t", ["id"], ["id"], 3 * 3600).collect()}
+    got = {r["n"]: r["id"] for r in joins.asof_join(left, df, ["key"], "asked", "t", ["id"], ["id"]).collect()}
     assert len(got) == len(asks)
     for k, at, n in asks:
         seen = [(t, i) for kk, i, t, _, _ in rows if kk == k and t <= at]
@@ -91,6 +91,14 @@ def test_range_sums_match_scan(spark, skewed):
             assert r[f"precip_{a}_{b}"] == pytest.approx(want, abs=1e-7)
 
 
+def test_quantiles_match_numpy(skewed):
+    rows, df = skewed
+    got = {r["key"]: r for r in ordered.quantiles(df, ["key"], "prob", {"a": 0.25, "b": 0.5, "c": 0.9}).collect()}
+    for k, r in got.items():
+        want = np.quantile([x[3] for x in rows if x[0] == k], [0.25, 0.5, 0.9])
+        assert [r["a"], r["b"], r["c"]] == pytest.approx(list(want))
+
+
 def test_auc_matches_pairs(skewed):
     rows, df = skewed
     got = {r["key"]: r["auc"] for r in metrics.auc(df, ["key"]).collect()}
