@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,29 +22,41 @@ def read_table_stream(spark: SparkSession, path: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Every state partition is a store of its own, so no more of them than two per core."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_append(df: DataFrame, name: str) -> DataFrame:
     """Process everything available into a parquet folder and return that table."""
     base = scratch_dir(df.sparkSession, name)
-    query = (
+    writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", f"{base}/data")
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    with _state_partitions(df.sparkSession):
+        writer.start().awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{base}/data")
 
 
 def run_batches(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None], mode: str = "update") -> None:
     """Process everything available, one call of ``sink`` per micro-batch."""
     base = scratch_dir(df.sparkSession, name)
-    query = (
+    writer = (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
         .foreachBatch(sink)
-        .start()
     )
-    query.awaitTermination()
+    with _state_partitions(df.sparkSession):
+        writer.start().awaitTermination()
