@@ -145,7 +145,7 @@ def best_cutoff(spark, folder):
     f"""
 WITH {_POINTS}
 SELECT model_id, subset, threshold, round(tpr, 9) AS curve_tpr FROM points
-QUALIFY row_number() OVER (PARTITION BY model_id, subset ORDER BY round(abs(tpr - 0.5e0), 12), fpr) = 1""",
+QUALIFY row_number() OVER (PARTITION BY model_id, subset ORDER BY round(abs(tpr - 0.5e0), 12), fpr, tpr) = 1""",
 )
 def nearest(spark, folder):
     points = metrics.roc_points(s.scored(spark, folder), _KEYS)

@@ -118,7 +118,7 @@ bins AS (SELECT t.t, {_flow_bins('t.t')} FROM t LEFT JOIN rain r ON r.at < t.t A
     "i6_scenario_features",
     f"""
 WITH {SCENARIO}
-SELECT {s.stamp('f.t')} AS t, {', '.join(f'round(max({c}) FILTER (WHERE station_id = {chr(39)}{x}{chr(39)}), 6) AS flow_{x}_{n}' for x in '12' for c, n in (('flow', 'current'), ('flow_deriv', 'deriv')))},
+SELECT {s.stamp('f.t')} AS t, {', '.join(f'round(max({c}) FILTER (WHERE station_id = {chr(39)}{x}{chr(39)}), 10) AS flow_{x}_{n}' for x in '12' for c, n in (('flow', 'current'), ('flow_deriv', 'deriv')))},
        {', '.join(f'max(precip_{a}_{b}) AS precip_{a}_{b}' for a, b in zip(_EDGES, _EDGES[1:]))}
 FROM filled f JOIN bins USING (t) GROUP BY f.t""",
 )
@@ -130,7 +130,8 @@ def scenario(spark, folder):
     f = flow_derivative(s.flow(spark, folder), ["station_id"], "date").withColumn("at", F.col("date").cast("timestamp"))
     o = s.observations(spark, folder).select(F.date_trunc("hour", "ts").alias("at"), "precip")
     out = predictor_plan.scenario_table(t, "t", f, "station_id", ["1", "2"], "at", o, "at", "precip", _EDGES)
-    return s.rounded(out.withColumn("t", s.text("t")))
+    out = s.rounded(out.withColumn("t", s.text("t")), 10, *[c for c in out.columns if c.startswith("flow_")])
+    return s.rounded(out, 6, *[c for c in out.columns if c.startswith("precip_")])
 
 
 @query(

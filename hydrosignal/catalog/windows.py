@@ -165,8 +165,8 @@ def antecedent_parts(spark, folder):
 
 _MEANS = ", ".join(
     f"round(CASE WHEN count({v}) OVER (w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) = {k} "
-    f"THEN avg({v}) OVER (w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END, 9) AS {v}_mean_p{k}hr, "
-    f"round({v} - lag({v}, {k}) OVER w, 9) AS {v}_change_p{k}hr"
+    f"THEN avg({v}) OVER (w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) END, 11) AS {v}_mean_p{k}hr, "
+    f"round({v} - lag({v}, {k}) OVER w, 11) AS {v}_change_p{k}hr"
     for k in rolling.WEATHER_WIDTHS
     for v in ("temp", "pressure")
 )
@@ -179,7 +179,7 @@ _MEANS = ", ".join(
 def means_changes(spark, folder):
     h = weather.hourly_from_observations(s.observations(spark, folder), K, "ts", ["temp", "pressure"])
     out = rolling.changes(rolling.rolling_means(h, K, "hour", ["temp", "pressure"]), K, "hour", ["temp", "pressure"])
-    return shown(out.drop("n_hour", "missing_hour", "temp", "pressure", "precip"), 9)
+    return shown(out.drop("n_hour", "missing_hour", "temp", "pressure", "precip"), 11)
 
 
 def events_sql(source="grid"):

@@ -291,11 +291,11 @@ def curve_area(grid: DataFrame, keys: Sequence[str], grid_size: int, name: str =
 
 
 def threshold_for(curve: DataFrame, keys: Sequence[str], target: Column) -> DataFrame:
-    """Threshold of the curve point whose tpr is nearest to the target; lowest fpr wins ties.
+    """Threshold of the curve point whose tpr is nearest to the target; on ties the first along the curve.
 
     ``target`` may be a column of the curve (one per target row).
     """
-    rank = F.struct(F.round(F.abs(F.col("tpr") - target), 12), F.col("fpr"))
+    rank = F.struct(F.round(F.abs(F.col("tpr") - target), 12), F.col("fpr"), F.col("tpr"))
     return curve.groupBy(*keys).agg(
         F.min_by("threshold", rank).alias("threshold"), F.min_by("tpr", rank).alias("curve_tpr")
     )

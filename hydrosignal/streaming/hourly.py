@@ -66,7 +66,10 @@ def rain_sessions(
     delay: str = "1 day",
 ) -> DataFrame:
     """Rain events as sessions of wet hours; spells not deeper than the minimum are left out."""
-    wet = hours.withWatermark(time, delay).filter(F.col(precip) > 0)
+    # The condition mentions the time so that it is not moved below the watermark: dry
+    # hours must advance it, or an event would stay open until the next rain.
+    fell = F.when(F.col(time).isNotNull(), F.col(precip)) > 0
+    wet = hours.withWatermark(time, delay).filter(fell)
     return (
         wet.groupBy(F.session_window(time, gap), *keys)
         .agg(
