@@ -266,19 +266,19 @@ def longest_gap(spark, folder):
 
 @query(
     "f11_interpolate_in_time",
-    f"WITH {s.HOURS} SELECT series_id, {_H}, round(temp, 6) AS temp, round(wspd, 6) AS wspd, round(pressure, 6) AS pressure FROM hours",
+    f"WITH {s.HOURS} SELECT series_id, {_H}, round(temp, 10) AS temp, round(wspd, 10) AS wspd, round(pressure, 10) AS pressure FROM hours",
 )
 def interpolate(spark, folder):
-    return shown(s.hours(spark, folder).select("series_id", "hour", "temp", "wspd", "pressure"))
+    return shown(s.hours(spark, folder).select("series_id", "hour", "temp", "wspd", "pressure"), 10)
 
 
 @query(
     "f11_interpolate_in_time_parts",
-    f"WITH {s.HOURS} SELECT series_id, {_H}, round(temp, 6) AS temp, round(pressure, 6) AS pressure FROM hours",
+    f"WITH {s.HOURS} SELECT series_id, {_H}, round(temp, 10) AS temp, round(pressure, 10) AS pressure FROM hours",
 )
 def interpolate_parts(spark, folder):
     h = grid.hourly_series(s.observations(spark, folder), K, "ts", ["temp", "pressure"])
-    return shown(fill.interpolate_parts(h, K, "hour", ["temp", "pressure"], 36 * 3600).select("series_id", "hour", "temp", "pressure"))
+    return shown(fill.interpolate_parts(h, K, "hour", ["temp", "pressure"], 36 * 3600).select("series_id", "hour", "temp", "pressure"), 10)
 
 
 @query(
@@ -369,12 +369,12 @@ a AS (
   FROM n WINDOW up AS (PARTITION BY series_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                down AS (PARTITION BY series_id ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT series_id, {_H}, round(CASE WHEN temp IS NOT NULL THEN temp WHEN b.x <> f.x THEN b.y + (f.y - b.y) * ((pos - b.x) / (f.x - b.x)::DOUBLE)
-       WHEN b.y IS NOT NULL THEN b.y ELSE 0 END, 5) AS temp FROM a""",
+       WHEN b.y IS NOT NULL THEN b.y ELSE 0 END, 10) AS temp FROM a""",
 )
 def by_position(spark, folder):
     r = grid.hourly_rollup(s.observations(spark, folder), K, "ts", ["temp"])
     gappy = r.select("series_id", "hour", F.when(F.col("temp") < 18, F.col("temp")).alias("temp"))
-    return shown(fill.interpolate_rows(gappy, K, "hour", ["temp"]), 5)
+    return shown(fill.interpolate_rows(gappy, K, "hour", ["temp"]), 10)
 
 
 @query("g1_sorted_result", "SELECT o_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders")
