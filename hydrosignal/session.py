@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,21 +27,28 @@ def build_session(master: str | None = None, app: str = "hydrosignal", **conf) -
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables, below the shared ``spark.checkpoint.dir``.
+    """A fresh folder for intermediate tables.
 
-    Only a local session may fall back to a machine folder; on a cluster the other
-    executors could not read it.
+    It lies below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which
+    all executors can reach as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        base = tempfile.gettempdir()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/hydrosignal/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared scratch folder and reading it back."""
-    path = scratch_dir(df.sparkSession, name)
+    return materialize_at(df, scratch_dir(df.sparkSession, name))
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that no later read needs, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
