@@ -41,6 +41,10 @@ SEGMENTS = 0.4
 BUCKET_BYTES = 6_000_000
 LEAST_BUCKETS = 64
 FLUSH_SIGNATURES, FLUSH_SETS = 2_000_000, 16_000
+#: Sets of a block; pairs of blocks with at least so many candidate pairs are verified as blocks.
+BLOCK_SETS, DENSE = 256, 256
+#: Columns of the element matrices with which two blocks are compared at a time.
+SLICE = 8192
 
 _SEGMENT_KEY, _VALUE_KEY = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 INDEXED, PROBE_BELOW, DELETED, DELETED_BELOW = range(4)
@@ -196,7 +200,7 @@ def _unpack(raw: bytes, *kinds) -> list[np.ndarray]:
 ENTRY = ("u4", "u2", "u2", "u8")
 INFO = ("u8", "u4", "u4", "u4", "u4", "u4")
 SHARED = ("u8", "u8", "u8", "u4", "u2", "u1")
-MEMBER = ("u8", "u8", "u4", "u8", "u1")
+MEMBER = ("u8", "u8", "u4", "u8", "u8", "u1")
 
 
 def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
@@ -434,17 +438,17 @@ def _first_pairs(shared: pd.DataFrame) -> pd.DataFrame:
 def _members(shared: pd.DataFrame, labels: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Probing and indexed sets with their components, dealt by bucket of signature."""
     plans, columns = _plans(shared)
-    known = dict(zip(labels.node.to_numpy(), labels.component.to_numpy(), strict=True))
+    known = dict(zip(labels.node.to_numpy(), zip(labels.component.to_numpy(), labels.block.to_numpy(), strict=True), strict=True))
     parts = []
     for name, size, probed, indexed in plans:
-        component = known.get(int(name.astype(np.int64)), int(name.astype(np.int64)))
+        component, block = known[int(name.astype(np.int64))]
         for rows, role in ((probed, 1), (indexed, 0)):
             if len(rows):
                 k = len(rows)
-                parts.append((columns[1][rows], np.full(k, name), np.full(k, size), np.full(k, component), np.full(k, role)))
+                parts.append((columns[1][rows], np.full(k, name), np.full(k, size), np.full(k, component), np.full(k, block), np.full(k, role)))
     if not parts:
         return _frame([], [], [])
-    sig, name, size, component, role = (np.concatenate(x) for x in zip(*parts, strict=True))
+    sig, name, size, component, block, role = (np.concatenate(x) for x in zip(*parts, strict=True))
     bucket = (sig >> np.uint64(32)).astype(np.int64)
     order = np.lexsort((sig, bucket))
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -453,29 +457,38 @@ def _members(shared: pd.DataFrame, labels: pd.DataFrame, buckets: int) -> pd.Dat
         r = order[cuts[b] : cuts[b + 1]]
         numbers.append(int(b))
         blobs.append(
-            _pack(sig[r], name[r].astype("u8"), size[r].astype("u4"), component[r].view(np.uint64), role[r].astype("u1"))
+            _pack(
+                sig[r], name[r].astype("u8"), size[r].astype("u4"), component[r].view(np.uint64),
+                block[r].view(np.uint64), role[r].astype("u1"),
+            )
         )
     return _frame(numbers, [0] * len(numbers), blobs)
 
 
 def _cross_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a probing and an indexed set of different components that meet in a signature."""
-    sig, name, size, component, role = (
+    """Pairs of a probing and an indexed set of different components that meet in a signature.
+
+    Few pairs between two blocks are rows (a, b); many are one row (p, q, pairs) for the blocks.
+    """
+    sig, name, size, component, block, role = (
         np.concatenate(x) for x in zip(*(_unpack(b, *MEMBER) for b in rows.blob), strict=True)
     )
+    names, number = np.unique(name, return_inverse=True)
+    block_of = np.zeros(len(names), np.int64)
+    block_of[number] = block.view(np.int64)
     order = np.lexsort((role, sig))
-    sig, name, size, component, role = (x[order] for x in (sig, name, size.astype(np.int64), component, role))
+    sig, number, size, component, role = (x[order] for x in (sig, number, size.astype(np.int64), component, role))
     start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     end = np.append(start[1:], len(sig))
     low = np.minimum.reduceat(component, start)
     high = np.maximum.reduceat(component, start)
-    left, right, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+    met, held = [np.zeros(0, np.int64)], 0
 
-    def unique():
-        pairs = np.unique(np.column_stack([np.concatenate(left), np.concatenate(right)]), axis=0)
-        left[:], right[:] = [pairs[:, 0]], [pairs[:, 1]]
-        return len(pairs)
+    def unique() -> int:
+        met[:] = [np.unique(np.concatenate(met))]
+        return len(met[0])
 
+    limit = 1_000_000
     for a, z in zip(start[low < high], end[low < high], strict=True):
         probes = a + np.flatnonzero(role[a:z] == 1)
         index = a + np.flatnonzero(role[a:z] == 0)
@@ -484,13 +497,121 @@ def _cross_pairs(rows: pd.DataFrame) -> pd.DataFrame:
                 (component[index] != component[x]) & (size[index] <= size[x]) & (4 * size[index] >= 3 * size[x])
             ]
             if len(fits):
-                left.append(np.minimum(name[fits], name[x]))
-                right.append(np.maximum(name[fits], name[x]))
+                met.append(np.minimum(number[fits], number[x]) * len(names) + np.maximum(number[fits], number[x]))
                 held += len(fits)
-        if held > 1_000_000:
-            held = unique() // 2
+        if held > limit:
+            held = unique()
+            limit = max(limit, 2 * held)
     unique()
-    return pd.DataFrame({"a": left[0].view(np.int64), "b": right[0].view(np.int64)})
+    a, b = met[0] // len(names), met[0] % len(names)
+    p, q = np.minimum(block_of[a], block_of[b]), np.maximum(block_of[a], block_of[b])
+    order = np.lexsort((q, p))
+    a, b, p, q = a[order], b[order], p[order], q[order]
+    cuts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])) if len(a) else []
+    few, dense = [np.zeros(0, np.int64)], []
+    for i, z in zip(cuts, np.append(cuts[1:], len(a)), strict=True) if len(a) else ():
+        if z - i < DENSE:
+            few.append(np.arange(i, z))
+        else:
+            dense.append((int(p[i]), int(q[i]), np.concatenate([names[a[i:z]], names[b[i:z]]]).tobytes()))
+    few = np.concatenate(few)
+    blank = [None] * len(dense)
+    columns = {
+        "a": [*names[a[few]].view(np.int64).tolist(), *blank],
+        "b": [*names[b[few]].view(np.int64).tolist(), *blank],
+    }
+    for i, c in enumerate(("p", "q", "pairs")):
+        columns[c] = [*[None] * len(few), *(row[i] for row in dense)]
+    # nullable integers: a float column would round the hashes
+    return pd.DataFrame({c: pd.array(v, dtype="Int64") if c != "pairs" else v for c, v in columns.items()})
+
+
+def _merged(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs between two blocks, each once."""
+    parts = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in rows.pairs]
+    a, b = np.concatenate(parts, axis=1)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    pairs = np.stack([a[new], b[new]])
+    return pd.DataFrame({"p": [key[0]], "q": [key[1]], "pairs": [pairs.tobytes()]})
+
+
+def _packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """The sets of a block in one row."""
+    sizes = rows.elements.str.len().to_numpy(np.int64) // 8
+    return pd.DataFrame(
+        {
+            "block": [key[0]],
+            "ids": [rows.set_hash.to_numpy(np.int64).tobytes()],
+            "sizes": [sizes.tobytes()],
+            "elements": [b"".join(rows.elements)],
+        }
+    )
+
+
+def _common(x: np.ndarray, x_sizes: np.ndarray, y: np.ndarray, y_sizes: np.ndarray) -> np.ndarray:
+    """Intersection sizes of all sets of one block with all of another, in slices of the elements they share."""
+    shared = np.intersect1d(x, y)
+    out = np.zeros((len(x_sizes), len(y_sizes)), np.float64)
+    for s in range(0, len(shared), SLICE):
+        part = shared[s : s + SLICE]
+        tables = []
+        for flat, sizes in ((x, x_sizes), (y, y_sizes)):
+            at = np.minimum(np.searchsorted(part, flat), len(part) - 1)
+            hit = part[at] == flat
+            table = np.zeros((len(sizes), len(part)), np.float32)
+            table[np.repeat(np.arange(len(sizes)), sizes)[hit], at[hit]] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """A forest with the same components as the links (a, b)."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = root(x), root(y)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
+def _verified_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Links (a spanning forest per pair of blocks) among the listed pairs of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, sizes, flat = zip(
+                    *((np.frombuffer(row[f"{s}ids"], np.int64), np.frombuffer(row[f"{s}sizes"], np.int64), np.frombuffer(row[f"{s}elements"], np.uint64)) for s in "pq"),
+                    strict=True,
+                )
+                common = _common(flat[0], sizes[0], flat[1], sizes[1])
+                linked = 100 * common >= 75 * (sizes[0][:, None] + sizes[1][None] - common)
+                pairs = np.frombuffer(row["pairs"], np.int64).reshape(2, -1)
+                order = [np.argsort(i) for i in ids]
+                found = [np.zeros((2, 0), np.int64)]
+                for x, y in (pairs, pairs[::-1]):
+                    i = order[0][np.minimum(np.searchsorted(ids[0], x, sorter=order[0]), len(ids[0]) - 1)]
+                    j = order[1][np.minimum(np.searchsorted(ids[1], y, sorter=order[1]), len(ids[1]) - 1)]
+                    good = (ids[0][i] == x) & (ids[1][j] == y) & linked[i, j]
+                    found.append(np.stack([x[good], y[good]]))
+                forest = _spanning(*np.concatenate(found, axis=1))
+                a, b = zip(*forest, strict=True) if forest else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    sides = [blocks.select(F.col("block").alias(s), *[F.col(c).alias(f"{s}{c}") for c in ("ids", "sizes", "elements")]) for s in "pq"]
+    return dense.join(sides[0], "p").join(sides[1], "q").mapInArrow(run, "a long, b long")
 
 
 def _set_table(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -529,6 +650,22 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _labelled(first: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, component, block) of every set that may have a partner.
+
+    Sets that the first candidate pairs connect are likely to meet, so they share blocks; a large
+    group of them is cut into blocks by hash.
+    """
+    nodes = first.select(F.col("a").alias("node"))
+    groups = components(first).withColumnRenamed("component", "cluster")
+    known = attach(attach(nodes, labels, ["node"]), groups, ["node"])
+    known = known.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("cluster", "node").alias("cluster"))
+    counts = known.groupBy("cluster").count().filter(F.col("count") > BLOCK_SETS)
+    parts = F.ceil(F.coalesce("count", F.lit(1)) / F.lit(BLOCK_SETS))
+    block = F.xxhash64("cluster", F.pmod(F.xxhash64("node"), parts))
+    return materialize(attach(known, counts, ["cluster"]).select("node", "component", block.alias("block")), "labelled")
+
+
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
@@ -542,7 +679,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Groups of signatures and of sets are dealt by hash in buckets of bounded text size. A set is
     first verified against the set that it meets most often; then every pair that still lies in
     different components and meets in a probed signature is verified, so no link between
-    components is lost and a group of near copies costs one pair per copy, not all pairs.
+    components is lost. Where many such pairs lie between two blocks of sets, the blocks are
+    compared inside one task and give a spanning forest; only scattered pairs are rows.
     """
     spark = docs.sparkSession
     documents = materialize(profiles(docs, key, text), "profiles")
@@ -560,17 +698,27 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sets_at = scratch_dir(spark, "sets")
     sets = materialize_at(_set_table(docs, key, text, wanted), sets_at)
     edges = materialize(_verified(first.filter("b IS NOT NULL"), sets), "edges")
-    labels = components(edges)
+    labels = _labelled(first, components(edges))
     unsigned = F.col("node").cast("decimal(21,0)")
     unsigned = F.when(F.col("node") < 0, unsigned + F.lit(str(2**64)).cast("decimal(21,0)")).otherwise(unsigned)
     dealt = labels.withColumn("bucket", (unsigned % F.lit(buckets)).cast("int"))
     members = shared.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInPandas(
         lambda x, y: _members(x, y, buckets), "bucket int, kind int, blob binary"
     )
-    rest = materialize(
-        members.groupBy("bucket").applyInPandas(_cross_pairs, "a long, b long").distinct(), "pairs"
+    met = materialize(
+        members.groupBy("bucket").applyInPandas(_cross_pairs, "a long, b long, p long, q long, pairs binary"), "met"
+    )
+    few = met.filter("a IS NOT NULL").select("a", "b").distinct()
+    dense = materialize(
+        met.filter("a IS NULL").groupBy("p", "q").applyInPandas(_merged, "p long, q long, pairs binary"), "dense"
+    )
+    needed = dense.select(F.explode(F.array("p", "q")).alias("block")).distinct()
+    placed = labels.select(F.col("node").alias("set_hash"), "block").join(needed, "block")
+    packs = materialize(
+        sets.join(placed, "set_hash").groupBy("block").applyInPandas(_packed, "block long, ids binary, sizes binary, elements binary"),
+        "packs",
     )
-    more = _verified(rest, sets)
+    more = _verified(few, sets).unionByName(_verified_blocks(dense, packs))
     edges = materialize(edges.unionByName(more), "edges")
     labels = components(edges)
     discard(spark, shared_at)
