@@ -47,6 +47,6 @@ def attach(
         match = F.col("_salt") == F.col("_s")
         for c in keys:
             match = match & left[c].eqNullSafe(F.col(f"_k_{c}"))
-        repeated = renamed.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        repeated = renamed.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         out = left.join(repeated, match, how).drop("_salt", "_s")
     return out.drop(*[f"_k_{c}" for c in keys])

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrosignal.functions.clean import sigmoid
+from hydrosignal.operators.attach import attach
 from hydrosignal.operators import labels, metrics
 
 # The elastic-net grid, default cutoff and acceptance limits.
@@ -56,10 +57,20 @@ def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def standardize(train: DataFrame, df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """Centre and scale by the training mean and sample standard deviation."""
-    work = Pipeline(stages=_scaled(cols)).fit(train).transform(df)
-    z = vector_to_array("_features")
-    return work.withColumns({f"{c}{suffix}": z[i] for i, c in enumerate(cols)}).drop("_raw", "_features")
+    """Centre and scale by mean and sample standard deviation of the complete training rows.
+
+    Every row of ``df`` stays; a null stays null. A constant column becomes 0.
+    """
+    whole = train.dropna(subset=list(cols))
+    row = whole.agg(
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)]
+    ).first()
+    new = {}
+    for i, c in enumerate(cols):
+        mean, sd = row[f"m{i}"], row[f"s{i}"]
+        x = F.col(c).cast("double") - F.lit(mean).cast("double")
+        new[f"{c}{suffix}"] = x / F.lit(float(sd)) if sd else F.when(x.isNotNull(), F.lit(0.0))
+    return df.withColumns(new)
 
 
 def fit_glm(
@@ -344,8 +355,8 @@ def score_long(df: DataFrame, coefficients: DataFrame, ids: Sequence[str]) -> Da
 
 
 def range_audit(values: DataFrame, ranges: DataFrame, keys: Sequence[str] = ("model_id", "key")) -> DataFrame:
-    """Long predictor values with the training range and whether they leave it."""
-    return values.join(ranges, list(keys)).withColumns(
+    """Long predictor values with the training range and whether they leave it; null without a range."""
+    return attach(values, ranges, list(keys)).withColumns(
         {"below": F.col("value") < F.col("min"), "above": F.col("value") > F.col("max")}
     )
 

@@ -74,6 +74,32 @@ def changes(df: DataFrame, keys, time, cols, widths=WEATHER_WIDTHS) -> DataFrame
     )
 
 
+#: Beyond so many blocks a frame per width is cheaper than lagged copies.
+MOST_BLOCKS = 48
+
+
+def _antecedent_by_frames(df, keys, time, col, widths, lag_hours, digits) -> DataFrame:
+    """``antecedent`` with one frame per width, for widths without a large common divisor."""
+    scale = f"{10 ** digits}D"
+    by = f"PARTITION BY {', '.join(map(quoted, keys))} ORDER BY {quoted(time)}"
+    value, full = quoted(col), []
+    for k in widths:
+        frame = f"OVER ({by} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        for a, f in (("sum", "sum"), ("max", "max")):
+            inside = f"CASE WHEN count({value}) {frame} = {k} THEN {f}({value}) {frame} ELSE 0D END"
+            full.append(f"rint({inside} * {scale}) / {scale} AS _{a}{k}")
+    wide = df.selectExpr(*map(quoted, df.columns), *full)
+    return wide.selectExpr(
+        *map(quoted, df.columns),
+        *[
+            (f"lag(_{a}{k}, {n}, 0D) OVER ({by})" if n else f"_{a}{k}") + f" AS {quoted(f'{col}_{a}_p{k}hr_lag{n}hr')}"
+            for k in widths
+            for n in lag_hours
+            for a in ("sum", "max")
+        ],
+    )
+
+
 def antecedent(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,8 +118,8 @@ def antecedent(
     share one sort.
     """
     block = reduce(gcd, widths)
-    if max(widths) // block > 48:
-        raise ValueError("widths need a larger common divisor")
+    if max(widths) // block > MOST_BLOCKS:
+        return _antecedent_by_frames(df, keys, time, col, widths, lag_hours, digits)
     w = _w(keys, time)
     frame = w.rowsBetween(-(block - 1), 0)
     full = F.count(col).over(frame) == block

@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrosignal.operators.attach import attach
 from hydrosignal.operators.ordered import quantiles
 
 
@@ -80,13 +81,11 @@ def linear_fit(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataF
 
 
 def group_stats_join(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
-    """Attach group aggregates to rows by aggregate + join.
+    """Attach group aggregates to rows without sending a large group to one task.
 
-    Unlike an unordered window this does not send a large group to one task: the
-    aggregate is combined map-side and the stats side is small enough to broadcast or has
-    its skewed key split at run time.
+    The aggregate is combined map-side, finished, and joined by the size-checked ``attach``.
     """
-    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
+    return attach(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
 
 
 def z_scores(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

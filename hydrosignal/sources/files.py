@@ -78,9 +78,15 @@ def scan(
 
 
 def date_predicates(column: str, days: Sequence[str]) -> list[str]:
-    """Disjoint date conditions, one read task each, for ``spark.read.jdbc(predicates=...)``."""
+    """Conditions for ``spark.read.jdbc(predicates=...)`` that together take every row exactly once.
+
+    One read task each: before the first edge or null, between edges, from the last edge on.
+    """
     edges = sorted(days)
-    return [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(edges, edges[1:])]
+    if not edges:
+        return ["1 = 1"]
+    between = [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(edges, edges[1:])]
+    return [f"{column} < '{edges[0]}' OR {column} IS NULL", *between, f"{column} >= '{edges[-1]}'"]
 
 
 def write_csv(df: DataFrame, path: str, timestamps: Sequence[str] = (), pattern: str = "yyyy-MM-dd HH:mm:ss") -> None:

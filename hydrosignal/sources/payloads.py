@@ -106,40 +106,45 @@ def read_whole_text(spark, path) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), "value")
 
 
-def preamble_csv(
-    texts: DataFrame, ddl: str, marker: str = "raw_text", text: str = "value", width: int = 64
-) -> tuple[DataFrame, DataFrame]:
-    """CSV rows after a preamble, and the payloads without a header line (or wider than ``width``).
+#: Lines of a text whose quoted cells may hold line breaks, and the cells of a line.
+_RECORD = r"((?:[^\"\n]++|\"(?:[^\"]++|\"\")*+\")++)"
+_CELL = r"(?:^|,)(\"(?:[^\"]|\"\")*+\"|[^,]*+)"
+
+
+def _cells(line):
+    """Cells of a CSV line as an array: quotes removed, an empty unquoted cell is null."""
+    return F.transform(
+        F.regexp_extract_all(line, F.lit(_CELL), 1),
+        lambda x: F.when(x.startswith('"'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).when(
+            x != "", x
+        ),
+    )
+
+
+def preamble_csv(texts: DataFrame, ddl: str, marker: str = "raw_text", text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """CSV rows after a preamble, and the payloads without a header line.
 
-    The header is the first line that starts with ``marker``; its names decide which
-    column a value goes to. Blank lines are skipped. ``ddl`` lists the wanted columns.
+    The header is the first line that starts with ``marker``; it may have any number of names, and
+    they decide which column a value goes to. Quoted cells may hold commas and line breaks. Blank
+    lines are skipped. ``ddl`` lists the wanted columns.
     """
     rest = [c for c in texts.columns if c != text]
-    lines = F.split(F.col(text), "\r?\n")
-    at = F.array_position(F.transform(lines, lambda x: x.startswith(marker)), True)
-    located = texts.select(*rest, lines.alias("_lines"), at.alias("_at"))
-    located = located.withColumn(
-        "_names", F.split(F.get("_lines", F.coalesce(F.col("_at").cast("int"), F.lit(0)) - 1), ",")
-    )
-    usable = F.coalesce((F.col("_at") > 0) & (F.size("_names") <= width), F.lit(False))
-    rejected = located.filter(~usable).select(*rest)
-    good = located.filter(usable).select(
+    plain = F.regexp_replace(F.col(text), "\r\n", "\n")
+    at = F.regexp_instr(plain, F.lit(f"(?m)^\\Q{marker}\\E"))
+    located = texts.select(*rest, F.when(at > 0, plain.substr(at, F.length(plain))).alias("_body"))
+    rejected = located.filter("_body IS NULL").select(*rest)
+    lines = F.filter(F.regexp_extract_all("_body", F.lit(_RECORD), 1), lambda x: F.length(F.trim(x)) > 0)
+    split = located.filter("_body IS NOT NULL").select(*rest, lines.alias("_lines"))
+    rows = split.select(
         *rest,
-        "_names",
-        F.explode(
-            F.filter(
-                F.slice("_lines", F.col("_at").cast("int") + 1, F.size("_lines")), lambda x: F.length(F.trim(x)) > 0
-            )
-        ).alias("_line"),
-    )
+        F.split(F.get("_lines", F.lit(0)), ",").alias("_names"),
+        F.explode(F.slice("_lines", F.lit(2), F.size("_lines"))).alias("_line"),
+    ).select(*rest, "_names", _cells(F.col("_line")).alias("_values"))
     wanted = [f.strip().split(" ", 1) for f in _split(ddl)]
-    cells = F.from_csv("_line", F.lit(", ".join(f"c{i} string" for i in range(width))), {"mode": "PERMISSIVE"})
-    values = F.array(*[F.col("_row")[f"c{i}"] for i in range(width)])
-    rows = good.withColumn("_row", cells).withColumn("_values", values)
 
     def cell(name):
         where = F.array_position("_names", name).cast("int")
-        return F.when((where > 0) & (where <= width), F.element_at("_values", F.greatest(where, F.lit(1))))
+        return F.when(where > 0, F.get("_values", where - 1))
 
     return rows.select(*rest, *[cell(n).try_cast(t).alias(n) for n, t in wanted]), rejected
 

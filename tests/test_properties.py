@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hydrosignal.operators import joins, labels, metrics, models, ordered, rolling, summaries
-from hydrosignal.sources import keyed, payloads
+from hydrosignal.operators import joins, labels, metrics, models, ordered, reshape, rolling, summaries
+from hydrosignal.operators.attach import attach
+from hydrosignal.sources import files, keyed, payloads
 
 START = datetime(2024, 1, 1)
 
@@ -230,10 +231,47 @@ def test_empty_and_odd_documents(spark):
     assert payloads.daily_flow(flow).count() == 0
 
 
-def test_text_payload_too_wide_is_rejected(spark):
-    body = "x\nraw_text," + ",".join(f"c{i}" for i in range(80)) + "\nv,1"
-    rows, rejected = payloads.preamble_csv(spark.createDataFrame([("p", body)], "path string, value string"), "raw_text string")
-    assert rows.count() == 0 and rejected.count() == 1
+def test_text_payload_of_any_width_and_with_quoted_line_breaks(spark):
+    names = ",".join(f"c{i}" for i in range(80))
+    body = f"x\nraw_text,{names}\n\n\"a \"\"b\"\",\nc\"," + ",".join(map(str, range(80))) + "\nv,,1\r\n"
+    texts = spark.createDataFrame([("p", body), ("q", "no header")], "path string, value string")
+    rows, rejected = payloads.preamble_csv(texts, "raw_text string, c0 int, c1 int, c79 int")
+    assert sorted(map(tuple, rows.collect())) == [("p", 'a "b",\nc', 0, 1, 79), ("p", "v", None, 1, None)]
+    assert [r.path for r in rejected.collect()] == ["q"]
+
+
+def test_standardize_keeps_rows_with_nulls(spark):
+    df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0), (3, None, 5.0), (4, 2.0, None)], "k int, a double, b double")
+    got = {r.k: (r.a_z, r.b_z) for r in models.standardize(df, df, ["a", "b"]).collect()}
+    assert got[1] == (pytest.approx(-(0.5**0.5)), 0.0) and got[3] == (None, 0.0) and got[4] == (0.0, None)
+
+
+def test_antecedent_sums_of_coprime_widths(spark):
+    df = spark.range(200).selectExpr("1 AS k", "id AS t", "CAST(id % 7 AS double) AS precip")
+    got = rolling.antecedent(df, ["k"], "t", widths=(7, 61), lag_hours=(0, 3)).orderBy("t").collect()
+    for r in got:
+        for width in (7, 61):
+            for lag in (0, 3):
+                end = r.t - lag
+                want = sum(i % 7 for i in range(end - width + 1, end + 1)) if end >= width - 1 else 0
+                assert r[f"precip_sum_p{width}hr_lag{lag}hr"] == want
+
+
+def test_levels_without_limit(spark):
+    assert len(reshape.levels_of(spark.range(1001).selectExpr("CAST(id AS string) AS s"), "s")) == 1001
+
+
+def test_date_conditions_take_every_row_once(spark):
+    df = spark.createDataFrame([("2023-12-31",), ("2024-01-01",), ("2024-01-02",), ("2024-02-01",), (None,)], "d string")
+    found = [df.filter(c).count() for c in files.date_predicates("d", ["2024-01-02", "2024-01-01"])]
+    assert found == [2, 1, 2]
+
+
+def test_attach_agrees_on_both_ways(spark):
+    facts = spark.createDataFrame([(i, i % 3 if i % 5 else None) for i in range(60)], "i int, g int")
+    small = facts.groupBy("g").agg(F.count("i").alias("n")).filter("g IS NULL OR g > 0")
+    ways = [sorted(map(tuple, attach(facts, small, ["g"], limit=n).collect()), key=repr) for n in (100, 0)]
+    assert ways[0] == ways[1] and len(ways[0]) == 60 and sum(r[2] is None for r in ways[0]) == 16
 
 
 def test_require_fails_only_on_violations(spark):
