@@ -40,7 +40,7 @@ SEGMENTS = 0.4
 #: Bytes of text per bucket of signatures: about a million signatures.
 BUCKET_BYTES = 6_000_000
 LEAST_BUCKETS = 64
-FLUSH_SIGNATURES, FLUSH_SETS = 2_000_000, 16_000
+FLUSH_SIGNATURES, FLUSH_SETS = 800_000, 16_000
 #: Sets of a block; pairs of blocks with at least so many candidate pairs are verified as blocks.
 BLOCK_SETS, DENSE = 256, 256
 #: Columns of the element matrices with which two blocks are compared at a time.
@@ -214,16 +214,16 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
             ids = np.concatenate([h[0] for h in held])
             _, first = np.unique(ids, return_index=True)
             own = np.zeros(len(ids), bool)
-            own[first] = True
+            own[first] = True  # a set that occurs again in this run is sent once
             base = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
             sigs = np.concatenate([h[1] for h in held])
-            owner = np.concatenate([h[2] + b for h, b in zip(held, base, strict=True)])
+            owner = np.concatenate([h[2] + np.int32(b) for h, b in zip(held, base, strict=True)])
             kind = np.concatenate([h[3] for h in held])
             segment = np.concatenate([h[4] for h in held])
             info = np.concatenate([h[5] for h in held])
             use = own[owner]
             sigs, owner, kind, segment = sigs[use], owner[use], kind[use], segment[use]
-            bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
             low = (sigs & np.uint64(0xFFFFFFFF)).astype("u4")
             order = np.lexsort((low, bucket))
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -271,7 +271,9 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
                     if held and (sets_held + len(part) > FLUSH_SETS or entries_held > FLUSH_SIGNATURES):
                         yield flush()
                         sets_held = entries_held = 0
-                    held.append((ids[part], *(np.concatenate([x, y]) for x, y in zip(up[:4], down[:4], strict=True)), info))
+                    kinds = (np.uint64, np.int32, np.uint8, np.uint16)
+                    merged = (np.concatenate([x.astype(t), y.astype(t)]) for x, y, t in zip(up, down, kinds, strict=False))
+                    held.append((ids[part], *merged, info))
                     sets_held += len(part)
                     entries_held += len(up[0]) + len(down[0])
         if held:

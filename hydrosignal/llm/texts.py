@@ -23,7 +23,7 @@ FOLDED = _BYTE_CODE.copy()
 FOLDED[0x80:0x9F] = FOLDED[0xA0:0xBF]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,7 +42,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) for runs of rows of some megabytes; a null is empty.
+    """(first row, end row, bytes, offsets) for runs of rows of about a megabyte; a null is empty.
 
     A text is never cut: a longer one makes a chunk of its own.
     """
