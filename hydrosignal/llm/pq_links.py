@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrosignal.llm.links import components
@@ -39,8 +39,10 @@ ROWS_PER_LIST = 256
 PROBE_SIGMAS = 4.0
 SUBSPACE = 8
 CODES = 32
-#: Vectors of a list that are packed and compared together.
-BLOCK = 512
+#: Vectors that are packed and compared together: at least so many where a label has them, at most twice as many on average.
+BLOCK = 384
+#: Labels up to which their tables of lists are broadcast.
+LABELS = 2_000
 #: Slack for single rounding steps of the pruning distances.
 EPSILON = 1e-6
 
@@ -103,13 +105,18 @@ def encode(book: Book, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.n
     return codes, np.sqrt(error)
 
 
-def lookup(book: Book, x: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-    """Asymmetric distances from exact vectors to coded ones of a list, by tables per subspace."""
-    rest = x - book.coarse[cell]
-    out = np.zeros((len(x), len(codes)))
+def lookup(book: Book, x: np.ndarray, cells: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Asymmetric distances from exact vectors to coded ones, each of the list in ``cells``.
+
+    Products with the code centroids are tables per subspace, products with the lists one table.
+    """
+    stands = book.coarse[cells]
+    product = (x @ book.coarse.T)[:, cells]
     for i, (p, centres) in enumerate(zip(_parts(x.shape[1]), book.codes, strict=True)):
-        out += _squared(rest[:, p], centres)[:, codes[:, i]]
-    return np.sqrt(out)
+        product += (x[:, p] @ centres.T)[:, codes[:, i]]
+        stands[:, p] += centres[codes[:, i]]
+    squared = (x * x).sum(1)[:, None] + (stands * stands).sum(1) - 2 * product
+    return np.sqrt(np.maximum(squared, 0))
 
 
 def unit_rows(column: pa.Array, width: int) -> np.ndarray:
@@ -164,21 +171,25 @@ def _indexed(distinct: DataFrame, books: dict[int, Book], distance: float) -> Da
 
 
 def _packed(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """One row for the vectors of a block, with all lists that any of them probes."""
+    """One row for the vectors of a block, with all bundles of lists that any of them probes."""
     rows = rows.sort_values("id")
+    mask = np.zeros((len(rows), max(int(c.max()) for c in rows.probed) + 1), bool)
+    for i, lists in enumerate(rows.probed):
+        mask[i, lists] = True
     return pd.DataFrame(
         {
             "grp": [key[0]],
-            "cell": np.array([key[1]], np.int32),
+            "bundle": [key[1]],
             "block": [key[2]],
             "width": np.array([rows.width.iloc[0]], np.int32),
             "ids": [rows.id.to_numpy(np.int64).tobytes()],
             "copies": [rows.copies.to_numpy(np.int64).tobytes()],
             "v": [np.stack(rows.v.to_numpy()).tobytes()],
+            "cells": [rows.cell.to_numpy(np.int32).tobytes()],
             "codes": [b"".join(rows.code)],
             "error": [rows.error.to_numpy(np.float64).tobytes()],
-            "masks": [pickle.dumps([np.asarray(p, np.int32) for p in rows.probed])],
-            "lists": [np.unique(np.concatenate(rows.probed.to_list())).astype(np.int32)],
+            "masks": [np.packbits(mask, axis=1).tobytes()],
+            "asks": [np.unique(np.concatenate(rows.bundles.to_list()))],
         }
     )
 
@@ -213,18 +224,22 @@ def _compared(pairs: DataFrame, books: dict[int, Book], kind: str, least: float,
                 width = row["width"]
                 ids, copies, x = _block(row, "", width, kind)
                 other_ids, other_copies, y = _block(row, "o_", width, kind)
-                same = row["cell"] == row["o_cell"] and row["block"] == row["o_block"]
-                asks = np.array([row["o_cell"] in p for p in pickle.loads(row["masks"])])
-                asking = np.flatnonzero(asks)
+                same = row["bundle"] == row["o_bundle"] and row["block"] == row["o_block"]
+                mask = np.unpackbits(np.frombuffer(row["masks"], np.uint8).reshape(len(x), -1), axis=1).astype(bool)
+                cells = np.frombuffer(row["o_cells"], np.int32)
+                # lists behind the last one that is probed are not in the mask
+                held = np.flatnonzero(cells < mask.shape[1])
+                asks = np.zeros((len(x), len(y)), bool)
+                asks[:, held] = mask[:, cells[held]]
+                asking = np.flatnonzero(asks.any(1))
                 if not len(asking):
                     continue
+                near = asks[asking]
                 book = books.get(width)
-                if book is None:
-                    near = np.ones((len(asking), len(y)), bool)
-                else:
+                if book is not None:
                     codes = np.frombuffer(row["o_codes"], np.uint8).reshape(len(y), -1)
                     error = np.frombuffer(row["o_error"], np.float64)
-                    near = lookup(book, x[asking], row["o_cell"], codes) <= distance + error + EPSILON
+                    near &= lookup(book, x[asking], cells, codes) <= distance + error + EPSILON
                 i, j = np.nonzero(near)
                 i = asking[i]
                 if same:
@@ -268,8 +283,9 @@ def link_vectors(
     (repeated rows too). ``component_id``: smallest key reachable by links; a row with a null key
     has a null component. Other columns are not read.
 
-    Lists are cut into blocks of bounded size by hash, so a hot list or label is many blocks;
-    pairs of blocks are compared inside tasks and give counts and a spanning forest, not pairs.
+    Small lists of a label are bundled and large ones cut by hash, so that blocks are of one
+    size and a hot list or label is many of them; pairs of blocks are compared inside tasks and
+    give counts and a spanning forest, not pairs.
     """
     spark = vectors.sparkSession
     kind = "f4" if vectors.schema[vector].dataType.elementType.simpleString() == "float" else "f8"
@@ -293,17 +309,32 @@ def link_vectors(
     }
     indexed = materialize(_indexed(distinct.select("grp", "id", "copies", "width", "v"), books, distance), "indexed")
     sizes = indexed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("_n"))
-    cut = attach(indexed, sizes, ["grp", "cell"], salt_by=["id"])
-    cut = cut.withColumn("block", F.pmod("id", F.ceil(F.col("_n") / F.lit(BLOCK)))).drop("_n")
-    schema = "grp long, cell int, block long, width int, ids binary, copies binary, v binary, codes binary, error binary, masks binary, lists array<int>"
-    blocks = materialize(cut.groupBy("grp", "cell", "block").applyInPandas(_packed, schema), "blocks")
-    asking = blocks.select("grp", "cell", "block", "width", "ids", "copies", "v", "masks", F.explode("lists").alias("o_cell"))
+    before = Window.partitionBy("grp").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    bundled = sizes.withColumn("bundle", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(BLOCK)))
+    held = bundled.withColumn("_m", F.sum("_n").over(Window.partitionBy("grp", "bundle")))
+    # a label has at most as many rows here as there are lists
+    tables = held.groupBy("grp").agg(
+        F.map_from_entries(F.collect_list(F.struct("cell", F.struct("bundle", F.ceil(F.col("_m") / F.lit(2 * BLOCK)).alias("cuts"))))).alias("_to")
+    )
+    cut = attach(indexed, tables, ["grp"], limit=LABELS, salt_by=["id"])
+    cut = (
+        cut.withColumn("bundle", F.col("_to")[F.col("cell")]["bundle"])
+        .withColumn("block", F.pmod("id", F.col("_to")[F.col("cell")]["cuts"]))
+        .withColumn("bundles", F.array_distinct(F.transform(F.filter("probed", lambda c: F.map_contains_key("_to", c)), lambda c: F.col("_to")[c]["bundle"])))
+        .drop("_to")
+    )
+    schema = (
+        "grp long, bundle long, block long, width int, ids binary, copies binary, v binary, cells binary, codes binary, "
+        "error binary, masks binary, asks array<long>"
+    )
+    blocks = materialize(cut.groupBy("grp", "bundle", "block").applyInPandas(_packed, schema), "blocks")
+    asking = blocks.select("grp", "bundle", "block", "width", "ids", "copies", "v", "masks", F.explode("asks").alias("o_bundle"))
     asked = blocks.select(
-        "grp", F.col("cell").alias("o_cell"), F.col("block").alias("o_block"), F.col("ids").alias("o_ids"),
-        F.col("copies").alias("o_copies"), F.col("v").alias("o_v"), F.col("codes").alias("o_codes"), F.col("error").alias("o_error"),
+        "grp", F.col("bundle").alias("o_bundle"), F.col("block").alias("o_block"), F.col("ids").alias("o_ids"), F.col("copies").alias("o_copies"),
+        F.col("v").alias("o_v"), F.col("cells").alias("o_cells"), F.col("codes").alias("o_codes"), F.col("error").alias("o_error"),
     )
-    ahead = (F.col("o_cell") > F.col("cell")) | ((F.col("o_cell") == F.col("cell")) & (F.col("o_block") >= F.col("block")))
-    pairs = asking.join(asked, ["grp", "o_cell"]).filter(ahead)
+    ahead = (F.col("o_bundle") > F.col("bundle")) | ((F.col("o_bundle") == F.col("bundle")) & (F.col("o_block") >= F.col("block")))
+    pairs = asking.join(asked, ["grp", "o_bundle"]).filter(ahead)
     found = materialize(_compared(pairs, books, kind, least, distance), "compared")
     labels = components(found.filter("b IS NOT NULL").select("a", "b"))
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("others"))
