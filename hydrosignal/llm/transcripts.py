@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrosignal.operators.attach import attach
 from hydrosignal.session import materialize
 
 ROLES = ("system", "user", "assistant")
@@ -240,10 +241,17 @@ def parse_transcripts(texts: DataFrame, model: Model, conv: str = "conv_id") ->
         best = chain(pickle.loads(shared.value), matrices(part))
         return pd.DataFrame({"c": part.c.iloc[:1].to_list(), "i": [key[1]], "best": [best.tobytes()]})
 
-    levels = [pieces.select("c", "i", "best")]
-    while not levels[-1].filter("i > 0").isEmpty():
+    # a transcript climbs only as far as it has several parts; its last one is in ``whole``
+    level, levels, whole = pieces.select("c", "i", "best"), [], []
+    while True:
+        long = level.filter("i > 0").select("c").distinct().withColumn("_long", F.lit(True))
+        marked = attach(level, long, ["c"], salt_by=["i"])
+        whole.append(marked.filter("_long IS NULL").drop("_long"))
+        if level.filter("i > 0").isEmpty():
+            break
+        levels.append(materialize(marked.filter("_long").drop("_long"), "parts"))
         up = levels[-1].groupBy("c", F.floor(F.col("i") / FAN_IN).cast("long").alias("i2"))
-        levels.append(materialize(up.applyInPandas(join_up, f"c {kind}, i long, best binary"), "joined"))
+        level = materialize(up.applyInPandas(join_up, f"c {kind}, i long, best binary"), "joined")
 
     def top(batches):
         model = pickle.loads(shared.value)
@@ -259,10 +267,11 @@ def parse_transcripts(texts: DataFrame, model: Model, conv: str = "conv_id") ->
         return pd.DataFrame({"c": part.c.to_list(), "i": part.i.to_list(), "first": [a for a, _ in ends], "last": [b for _, b in ends]})
 
     shape = f"c {kind}, i long, first int, last int"
-    chosen = levels[-1].mapInPandas(top, shape)
-    for level in reversed(levels[:-1]):
-        below = level.withColumn("g", F.floor(F.col("i") / FAN_IN).cast("long"))
-        chosen = materialize(chosen.groupBy("c", "i").cogroup(below.groupBy("c", "g")).applyInPandas(hand_down, shape), "ends")
+    chosen = whole.pop().mapInPandas(top, shape)
+    for parts in reversed(levels):
+        below = parts.withColumn("g", F.floor(F.col("i") / FAN_IN).cast("long"))
+        handed = chosen.groupBy("c", "i").cogroup(below.groupBy("c", "g")).applyInPandas(hand_down, shape)
+        chosen = materialize(handed.unionByName(whole.pop().mapInPandas(top, shape)), "ends")
 
     def finish(batches):
         model = pickle.loads(shared.value)
