@@ -211,7 +211,7 @@ def latest_at(spark, folder):
     f"""
 WITH {s.OBS}, {s.FLOW},
 q AS (SELECT station_id, date + INTERVAL 30 DAY + INTERVAL 6 HOUR AS asked FROM flow),
-wet AS (SELECT substr('12345', (abs(user_id) % 5 + 1)::INTEGER, 1) AS station_id, ts, event_id, temp FROM obs WHERE value > 100)
+wet AS (SELECT substr('12345', (abs(user_id) % 5 + 1)::INTEGER, 1) AS station_id, ts, event_id, temp FROM obs)
 SELECT q.station_id, {s.stamp('q.asked')} AS asked, w.event_id, round(w.temp, 6) AS temp
 FROM (SELECT * FROM q UNION ALL SELECT station_id, asked - INTERVAL 32 DAY AS asked FROM q) q ASOF LEFT JOIN wet w ON w.station_id = q.station_id AND w.ts <= q.asked""",
 )
@@ -219,7 +219,7 @@ def asof(spark, folder):
     f = s.flow(spark, folder)
     at = lambda days: (F.date_add("date", days).cast("timestamp") + F.expr("INTERVAL 6 HOURS")).alias("asked")
     q = f.select("station_id", at(30)).unionByName(f.select("station_id", at(-2)))
-    o = s.observations(spark, folder).filter("value > 100")
+    o = s.observations(spark, folder)
     wet = o.select(F.element_at(F.array(*[F.lit(x) for x in "12345"]), (F.abs("user_id") % 5).cast("int") + 1).alias("station_id"), "ts", "event_id", "temp")
     out = joins.asof_join(q, wet, ["station_id"], "asked", "ts", ["event_id", "temp"], ["event_id"])
     return s.rounded(out.select("station_id", s.text("asked").alias("asked"), "event_id", "temp"))

@@ -374,12 +374,12 @@ def csv_sink(spark, folder):
 
 @query(
     "a13_dataset_sink",
-    f"WITH {s.FLOW} SELECT station_id, strftime(date, '%Y-%m-%d') AS date, flow FROM flow WHERE station_id = '3'",
+    f"WITH {s.FLOW} SELECT station_id, strftime(date, '%Y-%m-%d') AS date, flow FROM flow",
 )
 def dataset_sink(spark, folder):
     path = scratch_dir(spark, "dataset")
     files.write_dataset(s.flow(spark, folder), path, ["station_id"])
-    back = spark.read.schema("date date, flow double, station_id string").parquet(path).filter("station_id = '3'")
+    back = spark.read.schema("date date, flow double, station_id string").parquet(path)
     return back.select("station_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "flow")
 
 

@@ -114,12 +114,12 @@ def flow_lags(spark, folder):
     "i3_flow_predictor_table",
     f"WITH {_LAGGED} SELECT strftime(date, '%Y-%m-%d') AS date, "
     + ", ".join(
-        f"max({c}) FILTER (WHERE station_id = '{st}') AS \"{st}_{c}\"" for st in ("1", "3", "5") for c in flow_plan.feature_names()
+        f"max({c}) FILTER (WHERE station_id = '{st}') AS \"{st}_{c}\"" for st in s.STATIONS for c in flow_plan.feature_names()
     )
     + " FROM lagged GROUP BY date",
 )
 def flow_table(spark, folder):
-    out = flow_plan.flow_predictors(s.flow(spark, folder), "station_id", ["1", "3", "5"])
+    out = flow_plan.flow_predictors(s.flow(spark, folder), "station_id", s.STATIONS)
     return s.rounded(out.withColumn("date", F.date_format("date", "yyyy-MM-dd")))
 
 
