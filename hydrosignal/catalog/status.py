@@ -87,6 +87,40 @@ def feed(spark, folder):
     return _flat(rows, "event_id", "day_label", "timestamp_local")
 
 
+@query(
+    "k3_flags_of_feed",
+    f"""
+WITH {s.PREDICTIONS}, {s.FLAGS}
+SELECT p.event_id, f.id AS flag_id FROM predictions p
+JOIN flags f ON f.location_id = p.name AND f.start_timestamp <= p.timestamp AND p.timestamp <= f.end_timestamp WHERE {_RECENT}""",
+)
+def feed_flags(spark, folder):
+    rows = status.feed(s.predictions(spark, folder), s.flags(spark, folder), _now())
+    return rows.select("event_id", F.explode("flag_ids").alias("flag_id"))
+
+
+@query(
+    "k4_site_history",
+    f"""
+WITH {_COVERED}, {s.SITES}
+SELECT name, tweet_name, {s.stamp('timestamp')} AS timestamp, event_id, n_flags, status_type, {_LABEL} AS label, reason
+FROM decided JOIN sites USING (name) WHERE {_RECENT}""",
+)
+def history(spark, folder):
+    rows = status.site_history(s.sites(spark, folder), s.predictions(spark, folder), s.flags(spark, folder), _now())
+    rows = rows.withColumns({"timestamp": s.text("timestamp"), "n_flags": F.coalesce("n_flags", F.lit(0))})
+    return _flat(rows, "name", "tweet_name", "timestamp", "event_id", "n_flags")
+
+
+@query(
+    "k4_site_flags",
+    f"WITH {s.FLAGS}, {s.SITES} SELECT name, tweet_name, id, level, description, {_STATE} AS state FROM flags JOIN sites ON name = location_id",
+)
+def site_flags(spark, folder):
+    rows = status.site_flags(s.sites(spark, folder), s.flags(spark, folder), _now())
+    return rows.select("name", "tweet_name", "id", "level", "description", "state")
+
+
 @query(
     "k4_current_status_per_site",
     f"""

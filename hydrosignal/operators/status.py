@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrosignal.functions import times
-from hydrosignal.operators.joins import covering_intervals
+from hydrosignal.operators.joins import DAY, asof_join, covering_intervals
 from hydrosignal.operators.ordered import first_per_key
 
 # Texts shown to the public.
@@ -64,22 +64,74 @@ def decide(exceedance: Column, prefix: str = "") -> Column:
     return F.struct(kind.alias("type"), label.alias("label"), reason.alias("reason"))
 
 
+def flag_segments(flags: DataFrame) -> DataFrame:
+    """The time line of each site cut where its set of covering flags changes.
+
+    One row per (name, from): the summary of the flags (closed intervals) that cover the
+    instants from ``from`` up to the site's next row, ``n_flags`` null where there are none,
+    and ``flag_ids`` in order. Flags with a null bound or with end before start cover nothing.
+    The work grows with the flags and their overlaps, not with the predictions.
+    """
+    located = (
+        flags.withColumnRenamed("location_id", "name")
+        .select("name", "id", "start_timestamp", "end_timestamp", "level", "description")
+        .filter("start_timestamp <= end_timestamp")
+    )
+    after = F.col("end_timestamp") + F.expr("INTERVAL '0.000001' SECOND")
+    edges = located.select("name", F.explode(F.array("start_timestamp", after)).alias("from")).distinct()
+    pairs = covering_intervals(edges, located, ["name"], "from", "start_timestamp", "end_timestamp")
+    summary = pairs.groupBy("name", "from").agg(*flag_summary(), F.sort_array(F.collect_list("id")).alias("flag_ids"))
+    return edges.join(summary, ["name", "from"], "left")
+
+
 def with_covering_flags(predictions: DataFrame, flags: DataFrame) -> DataFrame:
-    """Predictions plus the summary of flags that cover their instant (name = location_id)."""
-    located = flags.withColumnRenamed("location_id", "name").select(
-        "name", "id", "start_timestamp", "end_timestamp", "level", "description"
+    """Predictions plus the summary of flags that cover their instant (name = location_id).
+
+    Flags are cut to the time span of their site's predictions, so an open-ended one costs no
+    more than that. Each prediction then looks up the segment it falls into; no pair of
+    prediction and flag is made. ``flag_ids`` lists the covering flags, null where there are none.
+    """
+    span = predictions.groupBy(F.col("name").alias("location_id")).agg(
+        F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")
     )
-    pairs = covering_intervals(
-        predictions.select("name", "timestamp").distinct(), located, ["name"], "timestamp", "start_timestamp", "end_timestamp"
+    within = (
+        flags.join(span, "location_id")
+        .filter("start_timestamp <= end_timestamp and start_timestamp <= _to and end_timestamp >= _from")
+        .withColumns(
+            {
+                "start_timestamp": F.greatest("start_timestamp", "_from"),
+                "end_timestamp": F.least("end_timestamp", "_to"),
+            }
+        )
     )
-    summary = pairs.groupBy("name", "timestamp").agg(*flag_summary())
-    return predictions.join(summary, ["name", "timestamp"], "left")
+    return asof_join(
+        predictions, flag_segments(within), ["name"], "timestamp", "from", [*FLAG_SUMMARY, "flag_ids"], tie=["from"], part_seconds=DAY
+    ).drop("from")
 
 
 def recent(predictions: DataFrame, now: Column, tz: str = times.EASTERN, days: int = 7) -> DataFrame:
-    """Predictions of the last local days, today included."""
+    """Predictions of the last local days, today included.
+
+    The plain range on the instant is a day wider than the local days and reaches the scan.
+    """
     first = F.date_sub(times.local_date(now, tz), days - 1)
-    return predictions.filter(times.local_date(F.col("timestamp"), tz) >= first)
+    earliest = F.date_sub(first, 2).cast("timestamp")
+    return predictions.filter(
+        (F.col("timestamp") >= earliest) & (times.local_date(F.col("timestamp"), tz) >= first)
+    )
+
+
+def site_history(
+    sites: DataFrame, predictions: DataFrame, flags: DataFrame, now: Column, tz: str = times.EASTERN, days: int = 7
+) -> DataFrame:
+    """The feed of every known site as a long table, one row per (site, prediction)."""
+    return feed(predictions, flags, now, tz, days).join(sites, "name")
+
+
+def site_flags(sites: DataFrame, flags: DataFrame, now: Column) -> DataFrame:
+    """All flags of every known site with their state, one row per (site, flag)."""
+    state = interval_state(F.col("start_timestamp"), F.col("end_timestamp"), now)
+    return flags.withColumnRenamed("location_id", "name").withColumn("state", state).join(sites, "name")
 
 
 def feed(predictions: DataFrame, flags: DataFrame, now: Column, tz: str = times.EASTERN, days: int = 7) -> DataFrame:
@@ -99,9 +151,11 @@ def current_status(
 ) -> DataFrame:
     """One row per site: latest recent prediction decided with the flags active now."""
     latest = first_per_key(recent(predictions, now, tz, days), ["name"], [F.col("timestamp").desc()])
-    state = interval_state(F.col("start_timestamp"), F.col("end_timestamp"), now)
     active = (
-        flags.filter(state == "ACTIVE").withColumnRenamed("location_id", "name").groupBy("name").agg(*flag_summary())
+        flags.filter((F.col("start_timestamp") <= now) & (F.col("end_timestamp") >= now))
+        .withColumnRenamed("location_id", "name")
+        .groupBy("name")
+        .agg(*flag_summary())
     )
     joined = sites.join(latest, "name", "left").join(active, "name", "left")
     return joined.withColumn("status", decide(F.col("exceedance")))
