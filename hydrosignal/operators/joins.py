@@ -141,8 +141,11 @@ def range_sums(
 
     Every point probes the running total at its bin edges; a bin is the difference of two
     probes. The work is one sort of readings and probes, whatever the bin widths and
-    however many readings fall into them.
+    however many readings fall into them. Totals are decimals of two digits more than the
+    result, so that a large early total costs later bins no digits. A bin with a reading that
+    is not finite is NaN.
     """
+    exact = f"decimal(38, {digits + 2})"
     edges = sorted(set(edges_hours))
     probes = points.select(*keys, F.col(point_time).alias("_p")).distinct()
     probes = probes.select(
@@ -155,30 +158,35 @@ def range_sums(
         "_edge",
         (F.unix_micros("_p") - F.col("_edge").cast("long") * 3_600_000_000).alias("_x"),
         F.lit(0).alias("_side"),  # a probe comes before readings of its own instant
-        F.lit(0.0).alias("_v"),
+        F.lit(0.0).cast(exact).alias("_v"),
+        F.lit(0).alias("_odd"),
     )
     sums = readings.groupBy(*keys, F.unix_micros(reading_time).alias("_x")).agg(F.sum(value).alias("_v"))
+    finite = F.abs("_v") < F.lit(float("inf"))  # NaN is above infinity
     sums = sums.select(
         *keys,
         F.lit(None).cast("timestamp").alias("_p"),
         F.lit(None).cast("int").alias("_edge"),
         "_x",
         F.lit(1).alias("_side"),
-        F.coalesce("_v", F.lit(0.0)).alias("_v"),
+        F.coalesce(F.when(finite, F.col("_v")), F.lit(0.0)).cast(exact).alias("_v"),
+        F.when(F.col("_v").isNull() | finite, 0).otherwise(1).alias("_odd"),
     )
     both = probes.unionByName(sums)
     part = F.floor(F.col("_x") / F.lit(part_seconds * 1_000_000))
-    totals = running_totals(both, keys, part, [F.col("_x"), F.col("_side"), F.col("_p"), F.col("_edge")], {"_total": F.col("_v")})
+    totals = running_totals(both, keys, part, [F.col("_x"), F.col("_side"), F.col("_p"), F.col("_edge")], {"_total": F.col("_v"), "_odds": F.col("_odd")})
     wide = (
         totals.filter("_side = 0")
         .groupBy(*keys, "_p")
-        .agg(*[F.max(F.when(F.col("_edge") == h, F.col("_total"))).alias(f"_e{h}") for h in edges])
+        .agg(*[F.max(F.when(F.col("_edge") == h, F.col(c))).alias(f"{p}{h}") for h in edges for c, p in (("_total", "_e"), ("_odds", "_o"))])
     )
     return wide.select(
         *keys,
         F.col("_p").alias(point_time),
         *[
-            F.round(F.col(f"_e{a}") - F.col(f"_e{b}"), digits).alias(f"{prefix}_{a}_{b}")
+            F.when(F.col(f"_o{a}") > F.col(f"_o{b}"), F.lit(float("nan")))
+            .otherwise(F.round((F.col(f"_e{a}") - F.col(f"_e{b}")).cast("double"), digits))
+            .alias(f"{prefix}_{a}_{b}")
             for a, b in zip(edges, edges[1:])
         ],
     )

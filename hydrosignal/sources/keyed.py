@@ -15,10 +15,16 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], version: Se
     """The table after the new rows replaced or joined the old ones.
 
     Among new rows of one key the first in ``version`` order wins; a new row always beats
-    the stored one.
+    the stored one. Keys are unique in ``existing``, and a null key equals a null key. Only
+    the news are reduced and sorted; stored rows pass an anti join, which Spark does without
+    moving them as long as the keys of the news are small.
     """
-    both = new.withColumn("_new", F.lit(1)).unionByName(existing.withColumn("_new", F.lit(0)), allowMissingColumns=True)
-    return first_per_key(both, keys, [F.col("_new").desc(), *version]).drop("_new")
+    news = first_per_key(new, keys, version)
+    named = news.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return news.unionByName(existing.join(named, same, "left_anti"), allowMissingColumns=True)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -63,19 +69,17 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, version: str, o
 
     A row exists if it was born (stored or inserted) after its last delete; its content is
     that of its last insert or update. An update replaces the whole row and does nothing
-    for an unknown or deleted key.
+    for an unknown or deleted key. Birth, death and content come from one aggregate.
     """
     tagged = changes.withColumn("_log", F.lit(1)).unionByName(
         base.withColumn("_log", F.lit(0)), allowMissingColumns=True
     )
     when = F.struct("_log", version)
-    born = F.max(F.when((F.col("_log") == 0) | (F.col(op) == "insert"), when))
-    died = F.max(F.when(F.col(op) == "delete", when))
-    alive = (
-        tagged.groupBy(key)
-        .agg(born.alias("_born"), died.alias("_died"))
-        .filter(F.col("_born").isNotNull() & (F.col("_died").isNull() | (F.col("_born") > F.col("_died"))))
-        .select(key)
+    content = [c for c in tagged.columns if c not in (key, "_log", op, version)]
+    states = tagged.groupBy(key).agg(
+        F.max(F.when((F.col("_log") == 0) | (F.col(op) == "insert"), when)).alias("_born"),
+        F.max(F.when(F.col(op) == "delete", when)).alias("_died"),
+        F.max_by(F.struct(*content), when).alias("_last"),
     )
-    last = first_per_key(tagged, [key], [F.col("_log").desc(), F.col(version).desc_nulls_last()])
-    return last.join(alive, key, "left_semi").drop("_log", op, version)
+    alive = F.col("_born").isNotNull() & (F.col("_died").isNull() | (F.col("_born") > F.col("_died")))
+    return states.filter(alive).select(key, "_last.*")

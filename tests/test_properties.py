@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hydrosignal.operators import joins, labels, metrics, models, ordered, reshape, rolling, summaries
+from hydrosignal.operators import joins, labels, metrics, models, ordered, reshape, rolling, status, summaries
 from hydrosignal.operators.attach import attach
 from hydrosignal.sources import files, keyed, payloads
 
@@ -280,3 +280,44 @@ def test_require_fails_only_on_violations(spark):
     assert summaries.require(bad.filter("k = 1"), "nulls").count() == 0
     with pytest.raises(Exception, match="nulls"):
         summaries.require(bad, "nulls").collect()
+
+
+def test_large_early_total_costs_later_bins_no_digits(spark):
+    at = F.lit("2024-01-01").cast("timestamp")
+    hour = F.make_dt_interval(hours=F.col("id").cast("int"))
+    rain = spark.range(200).select(
+        F.lit("a").alias("key"), (at + hour).alias("t"), F.when(F.col("id") == 0, 1e10).otherwise(0.01).alias("v")
+    )
+    point = spark.range(1).select(F.lit("a").alias("key"), (at + F.expr("INTERVAL 190 HOURS")).alias("t"))
+    r = joins.range_sums(point, rain, ["key"], "t", "t", "v", (0, 12, 24)).collect()[0]
+    assert (r["precip_0_12"], r["precip_12_24"]) == (0.12, 0.12)
+    odd = rain.withColumn("v", F.when(F.hour("t") == 5, float("nan")).when(F.hour("t") == 6, None).otherwise(F.col("v")))
+    assert str(joins.range_sums(point, odd, ["key"], "t", "t", "v", (0, 24)).collect()[0]["precip_0_24"]) == "nan"
+
+
+def test_flag_segments_match_pairs(spark):
+    """Ten times as many flags: one segment per change, the same flags per prediction as all pairs."""
+    rnd = random.Random(9)
+    t0 = datetime(2024, 1, 1)
+    for n in (20, 200):
+        flags = []
+        for i in range(n):
+            start = t0 + timedelta(minutes=rnd.randrange(5000))
+            flags.append((i, rnd.choice("ab"), start, start + timedelta(minutes=rnd.choice([-5, 0, 7, 600])), rnd.choice(["ADVISORY", "OFFLINE"]), f"f{i}"))
+        flags += [(n, "a", None, t0, "OFFLINE", "x"), (n + 1, "a", t0, None, "OFFLINE", "y"), (n + 2, "b", datetime(1900, 1, 1), datetime(9999, 1, 1), "OFFLINE", "z")]
+        df = spark.createDataFrame(flags, "id int, location_id string, start_timestamp timestamp, end_timestamp timestamp, level string, description string")
+        points = [(rnd.choice("abc"), t0 + timedelta(minutes=rnd.randrange(-50, 6000)), i) for i in range(300)] + [(None, t0, 300), ("a", None, 301)]
+        p = spark.createDataFrame(points, "name string, timestamp timestamp, row int")
+        got = {r["row"]: r["flag_ids"] for r in status.with_covering_flags(p, df).collect()}
+        assert len(got) == 302
+        for name, at, row in points:
+            want = [f[0] for f in flags if name and at and f[1] == name and f[2] and f[3] and f[2] <= at <= f[3]]
+            assert (got[row] or []) == want
+        assert status.flag_segments(df.filter(f"id < {n}")).count() <= 2 * n
+
+
+def test_upsert_keeps_null_keys_apart_from_none(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k int, v string")
+    new = spark.createDataFrame([(None, "n", 1), (2, "m", 1), (2, "z", 2), (3, "q", 1)], "k int, v string, seq int")
+    got = {r["k"]: r["v"] for r in keyed.upsert(old, new, ["k"], [F.col("seq").desc()]).collect()}
+    assert got == {None: "n", 1: "b", 2: "z", 3: "q"}
