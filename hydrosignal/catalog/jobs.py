@@ -9,7 +9,8 @@ from hydrosignal.catalog.modelling import coefficients, score_sql
 from hydrosignal.catalog.registry import query
 from hydrosignal.catalog.sources import _METAR, metar_documents, weather_documents
 from hydrosignal.catalog.windows import _LAGGED, antecedent_sql, events_sql, shown
-from hydrosignal.operators import events, labels, reshape, rolling
+from hydrosignal.operators import events, labels, rolling
+from hydrosignal.operators.attach import attach
 from hydrosignal.plans import flow as flow_plan
 from hydrosignal.plans import predictors as predictor_plan
 from hydrosignal.plans import samples as sample_plan
@@ -117,19 +118,20 @@ def weather_predictors(spark, folder):
     return _shown_predictors(_predictors(spark, folder))
 
 
+_FLOW_COLUMNS = [f"{x}_{c}" for x in s.STATIONS for c in flow_plan.feature_names()]
 _FLOW_WIDE = f"""{_LAGGED},
-flow_wide AS (SELECT date, {', '.join(f'max({c}) FILTER (WHERE station_id = {chr(39)}1{chr(39)}) AS "1_{c}"' for c in flow_plan.feature_names())} FROM lagged GROUP BY date)"""
+flow_wide AS (SELECT date, {', '.join(f'max({c[2:]}) FILTER (WHERE station_id = {chr(39)}{c[0]}{chr(39)}) AS "{c}"' for c in _FLOW_COLUMNS)} FROM lagged GROUP BY date)"""
 
 
 @query(
     "m6_all_predictors",
     f"""WITH {PREDICTORS}, {_FLOW_WIDE}
-SELECT {_SHOW.replace("strftime(date,", "strftime(predictors.date,")}, {', '.join(f'"1_{c}"' for c in flow_plan.feature_names())} FROM predictors LEFT JOIN flow_wide ON flow_wide.date = predictors.date""",
+SELECT {_SHOW.replace("strftime(date,", "strftime(predictors.date,")}, {', '.join(f'round("{c}", 6) AS "{c}"' for c in _FLOW_COLUMNS)} FROM predictors LEFT JOIN flow_wide ON flow_wide.date = predictors.date""",
 )
 def all_predictors(spark, folder):
-    wide = flow_plan.flow_predictors(s.flow(spark, folder), "station_id", ["1"])
+    wide = flow_plan.flow_predictors(s.flow(spark, folder), "station_id", s.STATIONS)
     p = predictor_plan.all_predictors(s.hours(spark, folder), K, wide)
-    out = p.withColumns({c: F.col(c).cast("long") for c in _SINCE} | {f"1_{c}": F.round(f"1_{c}", 6) for c in flow_plan.feature_names()})
+    out = p.withColumns({c: F.col(c).cast("long") for c in _SINCE} | {c: F.round(c, 6) + F.lit(0.0) for c in _FLOW_COLUMNS})
     return _shown_predictors(out)
 
 
@@ -218,34 +220,48 @@ def prepared(spark, folder):
     return frames["all"].select(*_ID, "LocationTypeID", *names)
 
 
-_EDGES = (0, 24, 48)
+_EDGES = (0, 12, 24, 48, 72, 96, 120)
 _MATRIX = f"""{s.SAMPLES}, {s.FLOW},
 x AS (SELECT * REPLACE (date_trunc('hour', Datetime) AS Datetime) FROM samples WHERE ((CharacteristicID = 'ECOLI' AND Units = 'MPN/100ml') OR (CharacteristicID = 'ENT' AND Units = 'MPN/100ml')) AND FlagID IS NULL),
-fl AS (SELECT date::TIMESTAMP + INTERVAL 8 HOUR - INTERVAL 10592 DAY AS at, max(flow) FILTER (WHERE station_id = '1') AS flow_1 FROM flow GROUP BY 1),
+ch AS (SELECT *, flow - lag(flow) OVER (PARTITION BY station_id ORDER BY date) AS flow_deriv FROM flow),
+fl AS (SELECT date::TIMESTAMP + INTERVAL 8 HOUR - INTERVAL 10592 DAY AS at, {', '.join(f"max({v}) FILTER (WHERE station_id = '{x}') AS {v}_{x}" for x in s.STATIONS for v in ('flow', 'flow_deriv'))} FROM ch GROUP BY 1),
 rain AS (SELECT o_orderdate AS at, sum(o_totalprice) / 1000 AS precip FROM orders GROUP BY 1),
 t AS (SELECT DISTINCT Datetime FROM x),
 bins AS (
   SELECT t.Datetime, {', '.join(f'round(coalesce(sum(r.precip) FILTER (WHERE r.at >= t.Datetime - INTERVAL {b} HOUR AND r.at < t.Datetime - INTERVAL {a} HOUR), 0), 6) AS precip_{a}_{b}' for a, b in zip(_EDGES, _EDGES[1:]))}
-  FROM t LEFT JOIN rain r ON r.at < t.Datetime AND r.at >= t.Datetime - INTERVAL 48 HOUR GROUP BY 1)"""
+  FROM t LEFT JOIN rain r ON r.at < t.Datetime AND r.at >= t.Datetime - INTERVAL 120 HOUR GROUP BY 1)"""
+
+
+_FLOWS = [f"{v}_{x}" for x in s.STATIONS for v in ("flow", "flow_deriv")]
+_BINS = [f"precip_{a}_{b}" for a, b in zip(_EDGES, _EDGES[1:])]
 
 
 @query(
     "j25_feature_matrix",
     f"""
-WITH {_MATRIX}
+WITH {_MATRIX},
+joined AS (SELECT x.*, {', '.join(_FLOWS)}, {', '.join(_BINS)} FROM x LEFT JOIN fl ON fl.at = x.Datetime LEFT JOIN bins ON bins.Datetime = x.Datetime),
+means AS (SELECT {', '.join(f'avg({c}) AS mean_{c}' for c in _FLOWS)} FROM joined)
 SELECT l_orderkey, l_linenumber, l_partkey, (CharacteristicID = 'ECOLI' AND ResultValue > 1260)::INTEGER AS label,
-       round(coalesce(flow_1, (SELECT avg(flow_1) FROM x LEFT JOIN fl ON fl.at = x.Datetime)), 6) AS flow_1, precip_0_24, precip_24_48
-FROM x LEFT JOIN fl ON fl.at = x.Datetime LEFT JOIN bins ON bins.Datetime = x.Datetime""",
+       {', '.join(f'round(coalesce({c}, mean_{c}), 6) AS {c}' for c in _FLOWS)}, {', '.join(_BINS)},
+       1e0 AS "Units_MPN/100ml", 0e0 AS "Units_nan", 1e0 AS "FlagID_nan"
+FROM joined, means""",
 )
 def feature_matrix(spark, folder):
-    f = s.flow(spark, folder).groupBy(
-        (F.date_sub("date", 10592).cast("timestamp") + F.expr("INTERVAL 8 HOURS")).alias("Datetime")
-    ).agg(F.max(F.when(F.col("station_id") == "1", F.col("flow"))).alias("flow_1"))
+    types = s.read(spark, folder, "region").select(F.col("r_regionkey").alias("ID"), F.col("r_name").alias("LocationTypeName"))
+    levels = {"Units": ["CFU/100ml", "MPN/100ml"], "FlagID": ["H"]}
+    x = s.samples(spark, folder).withColumn("Datetime", F.date_trunc("hour", "Datetime"))
+    # the dummies replace their columns, which the row filter still needs
+    x = x.withColumns({"_units": F.col("Units"), "_flag": F.col("FlagID")})
+    frames, flows, names = sample_plan.prepare({"all": x}, s.flow(spark, folder), types, levels, ["station_id"], "date")
+    coded = frames["all"].drop("Units", "FlagID").withColumnsRenamed({"_units": "Units", "_flag": "FlagID"})
+    f = flows.groupBy((F.date_sub("date", 10592).cast("timestamp") + F.expr("INTERVAL 8 HOURS")).alias("Datetime")).agg(
+        *[F.max(F.when(F.col("station_id") == x, F.col(v))).alias(f"{v}_{x}") for x in s.STATIONS for v in ("flow", "flow_deriv")]
+    )
     o = s.read(spark, folder, "orders")
     rain = o.select(F.col("o_orderdate").cast("timestamp").alias("at"), (F.col("o_totalprice") / 1000).alias("precip"))
     pairs = [("ECOLI", "MPN/100ml"), ("ENT", "MPN/100ml")]
-    x = s.samples(spark, folder).withColumn("Datetime", F.date_trunc("hour", "Datetime"))
-    rows, features = sample_plan.feature_matrix(x, pairs, f, rain, [], "Datetime", "at", "precip", _EDGES)
+    rows, features = sample_plan.feature_matrix(coded, pairs, f, rain, names, "Datetime", "at", "precip", _EDGES)
     out = sample_plan.train_test(rows, {"ECOLI": 1260.0}, features, [*_ID, "ResultValue", "LocationID"])
     return s.rounded(out.select(*_ID, "label", *features))
 
@@ -266,38 +282,48 @@ v AS (
   SELECT series_id, ts, event_id, key, value FROM (UNPIVOT (SELECT series_id, ts, event_id, temp, precip, value / 500 AS exceedence_probability FROM obs) ON temp, precip, exceedence_probability INTO NAME key VALUE value))"""
 
 
-@query(
-    "m10_prediction_report",
-    f"""
+def _report_sql(where="true"):
+    return f"""
 WITH {_REPORT}
 SELECT v.series_id AS name, strftime(v.ts, '%Y-%m-%d %H:%M:%S') AS timestamp, v.key, round(value, 6) AS value, round(lo, 6) AS min, round(med, 6) AS median, round(hi, 6) AS max
-FROM v LEFT JOIN ranges r ON r.series_id = v.series_id AND r.key = v.key WHERE v.ts::DATE >= DATE '2024-01-31' - 10""",
-)
-def report(spark, folder):
-    values = predictor_plan.since_days(predictor_plan.report_values(_saved(spark, folder)), F.lit("2024-01-31").cast("date"), 10)
+FROM v LEFT JOIN ranges r ON r.series_id = v.series_id AND r.key = v.key WHERE {where}"""
+
+
+def _reported(spark, folder, saved):
     train = s.observations(spark, folder).filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp")).withColumnRenamed("series_id", "model_id")
     rows = F.array(*[F.lit("temp"), F.lit("precip")])
     names = train.select("model_id").distinct().select("model_id", F.explode(rows).alias("key"))
     ranges = predictor_plan.training_ranges(train, names, ["temp", "dewpt", "precip"]).withColumnRenamed("model_id", "name").drop("mean")
-    out = values.join(ranges, ["name", "key"], "left")
+    out = attach(predictor_plan.report_values(saved), ranges, ["name", "key"])
     return s.rounded(out.withColumn("timestamp", s.text("timestamp")))
 
 
+@query("m10_prediction_report", _report_sql())
+def report(spark, folder):
+    return _reported(spark, folder, _saved(spark, folder))
+
+
+@query("m10_prediction_report_of_a_year", _report_sql("v.ts::DATE >= DATE '2025-01-15' - 365"))
+def report_of_a_year(spark, folder):
+    return _reported(spark, folder, predictor_plan.since_days(_saved(spark, folder), F.lit("2025-01-15").cast("date")))
+
+
 @query(
     "m11_hindcast",
     f"""
-WITH {s.HOURS}, {score_sql("(SELECT * FROM hours WHERE series_id = 'click')")},
-seen AS (SELECT CASE event_type WHEN 'click' THEN 'dry' ELSE 'wet' END AS name, date_trunc('hour', ts) AS hour, max(value) > 250 AS observed FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2)
-SELECT scores.name, {s.stamp('scores.hour')} AS hour, round(prob, 9) AS prob, exceedance, observed FROM scores LEFT JOIN seen ON seen.name = scores.name AND seen.hour = scores.hour""",
+WITH {s.HOURS}, {score_sql("hours")},
+seen AS (SELECT event_type AS series_id, ['dry', 'wet', 'wind'][(event_id % 3 + 1)::INTEGER] AS name, date_trunc('hour', ts) AS hour, max(value) > 250 AS observed FROM events GROUP BY 1, 2, 3)
+SELECT scores.series_id, scores.name, {s.stamp('scores.hour')} AS hour, round(prob, 9) AS prob, exceedance, observed
+FROM scores LEFT JOIN seen ON seen.series_id = scores.series_id AND seen.name = scores.name AND seen.hour = scores.hour""",
 )
 def hindcast(spark, folder):
-    h = weather.hourly_from_observations(s.observations(spark, folder), K, "ts", ["temp", "wspd"]).filter("series_id = 'click'")
+    h = weather.hourly_from_observations(s.observations(spark, folder), K, "ts", ["temp", "wspd"])
     h = h.withColumn("wspd", F.when(F.col("wspd") <= 30, F.col("wspd")))
-    o = s.observations(spark, folder).filter(F.col("series_id").isin("click", "view"))
-    seen = o.groupBy(
-        F.when(F.col("series_id") == "click", "dry").otherwise("wet").alias("model_id"), F.date_trunc("hour", "ts").alias("hour")
+    model = F.element_at(F.array(F.lit("dry"), F.lit("wet"), F.lit("wind")), (F.col("event_id") % 3).cast("int") + 1)
+    seen = s.observations(spark, folder).groupBy(
+        "series_id", model.alias("model_id"), F.date_trunc("hour", "ts").alias("hour")
     ).agg((F.max("value") > 250).alias("exceedance"))
-    return shown(predictor_plan.hindcast(h, coefficients(h), seen, "hour"), 9)
+    return shown(predictor_plan.hindcast(h, coefficients(h), seen, "hour", K), 9)
 
 
 @query(
@@ -322,6 +348,3 @@ def targets(spark, folder):
 def look_back(spark, folder):
     w = predictor_plan.look_back(s.observations(spark, folder), "ts")
     return w.select(F.date_format("start", "yyyy-MM-dd").alias("start"), F.date_format("end", "yyyy-MM-dd").alias("end"))
-
-
-__all__ = ["reshape"]

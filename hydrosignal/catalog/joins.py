@@ -33,16 +33,15 @@ def prior_day(spark, folder):
     "d3_day_features_on_hours",
     f"""
 WITH {s.GRID}, {s.FLOW},
-wide AS (SELECT date, max(flow) FILTER (WHERE station_id = '1') AS f1, max(flow) FILTER (WHERE station_id = '2') AS f2 FROM flow GROUP BY date)
-SELECT series_id, {_H}, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM grid LEFT JOIN wide ON wide.date = grid.hour::DATE""",
+wide AS (SELECT date, {', '.join(f"max(flow) FILTER (WHERE station_id = '{x}') AS f{x}" for x in s.STATIONS)} FROM flow GROUP BY date)
+SELECT series_id, {_H}, {', '.join(f'round(f{x}, 6) AS f{x}' for x in s.STATIONS)} FROM grid LEFT JOIN wide ON wide.date = grid.hour::DATE""",
 )
 def day_on_hour(spark, folder):
     wide = s.flow(spark, folder).groupBy("date").agg(
-        F.max(F.when(F.col("station_id") == "1", F.col("flow"))).alias("f1"),
-        F.max(F.when(F.col("station_id") == "2", F.col("flow"))).alias("f2"),
+        *[F.max(F.when(F.col("station_id") == x, F.col("flow"))).alias(f"f{x}") for x in s.STATIONS]
     )
     h = s.rain(spark, folder).withColumn("date", F.to_date("hour"))
-    return shown(h.join(wide, "date", "left").select("series_id", "hour", "f1", "f2"))
+    return shown(h.join(wide, "date", "left").select("series_id", "hour", *[f"f{x}" for x in s.STATIONS]))
 
 
 @query(

@@ -178,7 +178,7 @@ def confusion(spark, folder):
     return out.withColumns({c: F.round(c, 6 if c == "accuracy_pvalue" else 9) for c, t in out.dtypes if t == "double"})
 
 
-_GRID_SIZE = 201
+_GRID_SIZE = 10_000
 _CURVE = f"""{_POINTS},
 xs AS (SELECT i AS grid, i / {_GRID_SIZE - 1} AS x FROM (SELECT unnest(generate_series(0, {_GRID_SIZE - 1})) AS i)),
 near AS (
@@ -193,6 +193,12 @@ mean AS (
   SELECT model_id, grid, fpr, CASE WHEN grid = {_GRID_SIZE - 1} THEN 1 ELSE avg(tpr) END AS tpr, stddev_pop(tpr) AS tpr_sd, avg(threshold) AS threshold FROM curve GROUP BY 1, 2, 3)"""
 
 
+_FOLD_AUC = """
+SELECT model_id, subset, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS auc
+FROM (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, subset, prob) / 2 - 0.5e0) AS r FROM scored WINDOW w AS (PARTITION BY model_id, subset ORDER BY prob))
+GROUP BY 1, 2"""
+
+
 def _mean(spark, folder):
     points = metrics.roc_points(s.scored(spark, folder), _KEYS)
     return metrics.mean_roc(points, ["model_id"], "subset", _GRID_SIZE)
@@ -210,10 +216,13 @@ def mean_roc(spark, folder):
     "j20_mean_auc",
     f"""
 WITH {_CURVE}
-SELECT model_id, round(sum(tpr * CASE WHEN grid IN (0, {_GRID_SIZE - 1}) THEN 0.5e0 ELSE 1 END) / {_GRID_SIZE - 1}, 6) AS mean_auc FROM mean GROUP BY 1""",
+SELECT model_id, mean_auc, round(stddev_pop(auc), 6) AS auc_sd
+FROM (SELECT model_id, round(sum(tpr * CASE WHEN grid IN (0, {_GRID_SIZE - 1}) THEN 0.5e0 ELSE 1 END) / {_GRID_SIZE - 1}, 6) AS mean_auc FROM mean GROUP BY 1)
+JOIN ({_FOLD_AUC}) USING (model_id) GROUP BY 1, 2""",
 )
 def mean_auc(spark, folder):
-    return s.rounded(metrics.curve_area(_mean(spark, folder), ["model_id"], _GRID_SIZE))
+    area = metrics.curve_area(_mean(spark, folder), ["model_id"], _GRID_SIZE)
+    return s.rounded(area.join(metrics.auc_spread(s.scored(spark, folder), ["model_id"], "subset"), "model_id"))
 
 
 @query(
@@ -227,7 +236,7 @@ def threshold_for(spark, folder):
     return s.rounded(metrics.threshold_for(_mean(spark, folder), ["model_id"], F.lit(0.8)))
 
 
-_TARGETS = (0.5, 0.7, 0.8, 0.9, 0.95, 0.99)
+_TARGETS = metrics.sensitivity_targets()
 
 
 @query(
@@ -235,11 +244,12 @@ _TARGETS = (0.5, 0.7, 0.8, 0.9, 0.95, 0.99)
     f"""
 WITH {_CURVE},
 picked AS (
-  SELECT model_id, target, threshold FROM mean CROSS JOIN (SELECT unnest([{', '.join(f'{t}e0' for t in _TARGETS)}]) AS target)
+  SELECT model_id, target, threshold FROM mean CROSS JOIN (SELECT unnest([{', '.join(f"CAST('{t!r}' AS DOUBLE)" for t in _TARGETS)}]) AS target)
   QUALIFY row_number() OVER (PARTITION BY model_id, target ORDER BY round(abs(tpr - target), 12), fpr) = 1)
-SELECT p.model_id, target, round(threshold, 6) AS threshold, round(sum((prob > threshold AND label = 1)::INTEGER) / sum(label), 6) AS tpr,
+SELECT p.model_id, round(target, 6) AS target, round(threshold, 6) AS threshold, round(sum((prob > threshold AND label = 1)::INTEGER) / sum(label), 6) AS tpr,
+       round(sum(((prob > threshold) = (label = 1))::INTEGER) / count(*), 6) AS accuracy,
        round(sum((prob <= threshold AND label = 0)::INTEGER) / sum(1 - label), 6) AS tnr
-FROM scored s JOIN picked p ON p.model_id = s.model_id GROUP BY 1, 2, threshold""",
+FROM scored s JOIN picked p ON p.model_id = s.model_id GROUP BY p.model_id, p.target, threshold""",
 )
 def sensitivity(spark, folder):
     out = metrics.sensitivity_response(s.scored(spark, folder), _mean(spark, folder), ["model_id"], _TARGETS)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from hydrosignal.operators.attach import attach
 from hydrosignal.operators.ordered import running_totals, value_part
 from hydrosignal.session import materialize
 
@@ -304,17 +305,32 @@ def threshold_for(curve: DataFrame, keys: Sequence[str], target: Column) -> Data
 def sensitivity_response(
     scored: DataFrame, curve: DataFrame, keys: Sequence[str], targets: Sequence[float], prob="prob", label="label"
 ) -> DataFrame:
-    """Target sensitivity -> threshold -> sensitivity reached on the scored rows.
+    """Target sensitivity -> threshold -> sensitivity, specificity and accuracy on the scored rows.
 
-    Rows are first counted per distinct score; the targets (a bounded list) are attached
-    to the curve, not to the rows.
+    Rows are first counted per distinct score. The list of (target, threshold), as long as
+    the given targets, is attached to them once per key and never shuffles them.
     """
     wanted = F.array(*[F.lit(float(t)) for t in targets])
     each = curve.select(*keys, "fpr", "tpr", "threshold", F.explode(wanted).alias("target"))
     picked = threshold_for(each, [*keys, "target"], F.col("target"))
-    counts = score_counts(scored, keys, prob, label)
-    joined = counts.join(picked, list(keys)) if keys else counts.crossJoin(F.broadcast(picked))
+    lists = picked.groupBy(*keys).agg(F.collect_list(F.struct("target", "threshold")).alias("_picked"))
+    counts = attach(score_counts(scored, keys, prob, label), lists, keys, "inner")
+    joined = counts.select(*keys, prob, "pos", "neg", F.inline("_picked"))
+    positive = F.col(prob) > F.col("threshold")
+    tp = F.sum(F.when(positive, F.col("pos")).otherwise(0))
+    tn = F.sum(F.when(positive, 0).otherwise(F.col("neg")))
     return joined.groupBy(*keys, "target", "threshold").agg(
-        ratio(F.sum(F.when(F.col(prob) > F.col("threshold"), F.col("pos")).otherwise(0)), F.sum("pos")).alias("tpr"),
-        ratio(F.sum(F.when(F.col(prob) > F.col("threshold"), 0).otherwise(F.col("neg"))), F.sum("neg")).alias("tnr"),
+        ratio(tp, F.sum("pos")).alias("tpr"),
+        ratio(tn, F.sum("neg")).alias("tnr"),
+        ratio(tp + tn, F.sum(F.col("pos") + F.col("neg"))).alias("accuracy"),
     )
+
+
+def sensitivity_targets(n: int = 100) -> list[float]:
+    """Targets from nearly one down to nearly zero, their distance from one evenly spaced in logs."""
+    return [1 - 10 ** (-3 + (3 - 0.0001) * i / (n - 1)) for i in range(n)]
+
+
+def auc_spread(scored: DataFrame, keys: Sequence[str], fold: str, prob="prob", label="label") -> DataFrame:
+    """Spread of the folds' AUCs per key."""
+    return auc(scored, [*keys, fold], prob, label).groupBy(*keys).agg(F.stddev_pop("auc").alias("auc_sd"))

@@ -59,17 +59,24 @@ def scenario_table(
     return wide.withColumnsRenamed(names).join(bins, time)
 
 
-def hindcast(predictors: DataFrame, coefficients: DataFrame, samples: DataFrame, time: str) -> DataFrame:
-    """Predicted probability of every hour with the observed exceedance where there was a sample."""
-    scored = models.score_many(predictors, coefficients, [time]).drop("predictors")
-    seen = samples.select(F.col("model_id").alias("name"), time, F.col("exceedance").alias("observed"))
-    return scored.join(seen, ["name", time], "left")
+def hindcast(
+    predictors: DataFrame, coefficients: DataFrame, samples: DataFrame, time: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Predicted probability of every hour with the observed exceedance where there was a sample.
+
+    ``keys`` name the series; the samples carry them too, so that series do not mix.
+    """
+    scored = models.score_many(predictors, coefficients, [*keys, time]).drop("predictors")
+    seen = samples.select(*keys, F.col("model_id").alias("name"), time, F.col("exceedance").alias("observed"))
+    return scored.join(seen, [*keys, "name", time], "left")
 
 
 def report_values(predictions: DataFrame, json: str = "predictors") -> DataFrame:
-    """Probabilities and predictors of saved predictions in long form."""
-    prob = predictions.select("name", "timestamp", F.lit("exceedence_probability").alias("key"), F.col("prob").alias("value"))
-    return reshape.stack(prob, payloads.json_to_long(predictions, ["name", "timestamp"], json))
+    """Probabilities and predictors of saved predictions in long form, from one scan."""
+    entry = "array<struct<key:string,value:double>>"
+    prob = F.array(F.struct(F.lit("exceedence_probability").alias("key"), F.col("prob").alias("value")))
+    used = F.coalesce(F.map_entries(F.from_json(F.col(json), "map<string,double>")), F.array().cast(entry))
+    return predictions.select("name", "timestamp", F.inline(F.concat(prob.cast(entry), used.cast(entry))))
 
 
 def training_ranges(training: DataFrame, names: DataFrame, predictors: Sequence[str]) -> DataFrame:
@@ -79,7 +86,8 @@ def training_ranges(training: DataFrame, names: DataFrame, predictors: Sequence[
 
 
 def since_days(values: DataFrame, today: Column, days: int = 365) -> DataFrame:
-    return values.filter(F.to_date("timestamp") >= F.date_sub(today, days))
+    """Rows of the last days, as a plain range on the instant."""
+    return values.filter(F.col("timestamp") >= F.date_sub(today, days).cast("timestamp"))
 
 
 def probability_and_value(values: DataFrame) -> DataFrame:
