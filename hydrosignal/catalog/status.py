@@ -92,11 +92,11 @@ def feed(spark, folder):
     f"""
 WITH {s.PREDICTIONS}, {s.FLAGS}
 SELECT p.event_id, f.id AS flag_id FROM predictions p
-JOIN flags f ON f.location_id = p.name AND f.start_timestamp <= p.timestamp AND p.timestamp <= f.end_timestamp WHERE {_RECENT}""",
+LEFT JOIN flags f ON f.location_id = p.name AND f.start_timestamp <= p.timestamp AND p.timestamp <= f.end_timestamp WHERE {_RECENT}""",
 )
 def feed_flags(spark, folder):
     rows = status.feed(s.predictions(spark, folder), s.flags(spark, folder), _now())
-    return rows.select("event_id", F.explode("flag_ids").alias("flag_id"))
+    return rows.select("event_id", F.explode_outer("flag_ids").alias("flag_id"))
 
 
 @query(
