@@ -14,7 +14,8 @@ from hydrosignal.operators.attach import attach
 from hydrosignal.plans import flow as flow_plan
 from hydrosignal.plans import predictors as predictor_plan
 from hydrosignal.plans import samples as sample_plan
-from hydrosignal.plans import weather
+from hydrosignal.plans import scoring, weather
+from hydrosignal.session import materialize, scratch_dir
 
 K = s.SERIES
 _H = f"{s.stamp('hour')} AS hour"
@@ -348,3 +349,99 @@ def targets(spark, folder):
 def look_back(spark, folder):
     w = predictor_plan.look_back(s.observations(spark, folder), "ts")
     return w.select(F.date_format("start", "yyyy-MM-dd").alias("start"), F.date_format("end", "yyyy-MM-dd").alias("end"))
+
+
+# Demonstration models on the predictors of a period (model, predictor, mean, sd, coefficient).
+_TERMS = (
+    ("dry", "temp", 50.0, 20.0, 0.75),
+    ("dry", "1_flow_p1d", 400.0, 200.0, -0.5),
+    ("wet", "precip_sum_p24hr_lag0hr", 2.0, 1.5, 1.25),
+    ("wet", "pressure", 29.5, 0.25, -0.25),
+    ("wind", "wspd", 20.0, 10.0, 0.5),
+)
+_BASES = {"dry": (-1.0, 0.25), "wet": (-1.5, 0.25), "wind": (0.5, 0.5)}
+_FIRST = ("2024-01-10 07:00:00", "2024-01-12 07:00:00")
+_SECOND = ("2024-01-12 07:00:00", "2024-01-15 07:00:00")
+_AS_OF = "2024-01-18 15:30:00"
+
+
+def _model_rows(spark):
+    rows = [(m, k, a, b, c, _BASES[m][1]) for m, k, a, b, c in _TERMS]
+    rows += [(m, "(Intercept)", 0.0, 1.0, b0, cut) for m, (b0, cut) in _BASES.items()]
+    return spark.createDataFrame(rows, "model_id string, key string, mean double, sd double, coef double, cutoff double")
+
+
+def _version_sql(m):
+    b0, cut = _BASES[m]
+    terms = [f"{k},{a},{b},{c},{cut}" for n, k, a, b, c in _TERMS if n == m] + [f"(Intercept),0.0,1.0,{b0},{cut}"]
+    return f"md5('{m}|{';'.join(sorted(terms))}')"
+
+
+def _odds_sql(m):
+    return f"{_BASES[m][0]}e0" + "".join(f' + ({c}e0) * (("{k}" - {a}e0) / {b}e0)' for n, k, a, b, c in _TERMS if n == m)
+
+
+_STAMPS = lambda hours: ", ".join(f"TIMESTAMP '{h}'" for h in hours)
+_RUN = f"""{_METAR},
+units AS (
+  SELECT series_id, observation_time AS t, temp_c * 9 / 5 + 32 AS temp, dewpoint_c * 9 / 5 + 32 AS dewpt, wind_speed_kt * 1.152e0 AS wspd,
+         sea_level_pressure_mb * 0.02953e0 AS pressure, precip_in AS precip FROM reports),
+{series_sql('units', 't', weather.METAR_VARIABLES)},
+{antecedent_sql((24,), (0,), 'series')}, {s.FLOW},
+ready AS (
+  SELECT s.series_id, s.hour, s.temp, s.wspd, s.pressure, r.precip_sum_p24hr_lag0hr, f.flow AS "1_flow_p1d"
+  FROM series s JOIN rainfall r ON r.series_id = s.series_id AND r.hour = s.hour
+  LEFT JOIN flow f ON f.station_id = '1' AND f.date = s.hour::DATE - 1 AND f.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'),
+picked AS (
+  SELECT * FROM ready WHERE hour IN ({_STAMPS(sorted({*_FIRST, *_SECOND}))}) UNION
+  SELECT * FROM ready WHERE hour <= TIMESTAMP '{_AS_OF}' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY hour DESC) = 1),
+results AS ({' UNION ALL '.join(f"SELECT *, '{m}' AS name, {_version_sql(m)} AS version, 1 / (1 + exp(-({_odds_sql(m)}))) AS prob, {_BASES[m][1]}e0 AS cutoff FROM picked" for m in _BASES)})"""
+
+
+def _scoring_run(spark, folder):
+    """Two runs at listed hours and one as of an instant, each appended; the table and all conflicts."""
+    d = lambda x: F.lit(x).cast("date")
+    path = scratch_dir(spark, "prediction-table")
+    table = scoring.predictors_of_period(
+        metar_documents(spark, folder), s.flow(spark, folder), K, "station_id", s.STATIONS, d("2024-01-05"), d("2024-01-20")
+    )
+    table, models = materialize(table, "predictors"), _model_rows(spark)
+    conflicts = None
+    for listed, at in ((_FIRST, None), (_SECOND, None), (None, _AS_OF)):
+        if listed:
+            hours = spark.createDataFrame([(h,) for h in listed], "t string").select(F.col("t").cast("timestamp"))
+            rows = scoring.rows_to_score(table, K, "hour", listed=hours)
+        else:
+            rows = scoring.rows_to_score(table, K, "hour", at=F.lit(at).cast("timestamp"))
+        new = scoring.predictions(rows, models, K, "hour")
+        stored = spark.createDataFrame([], new.schema) if conflicts is None else spark.read.schema(new.schema).parquet(path)
+        refused = scoring.append_predictions(stored, new, path, K)
+        conflicts = refused if conflicts is None else conflicts.unionByName(refused)
+    return spark.read.schema(new.schema).parquet(path), conflicts
+
+
+_USED = {m: [k for n, k, *_ in _TERMS if n == m] for m in _BASES}
+
+
+@query(
+    "m12_scoring_run",
+    f"""
+WITH {_RUN}
+{' UNION ALL '.join(f"SELECT series_id, name, {s.stamp('hour')} AS timestamp, version, '{k}' AS key, round({chr(34)}{k}{chr(34)}, 9) AS value, round(prob, 9) AS prob, prob > cutoff AS exceedance FROM results WHERE name = '{m}'" for m, used in _USED.items() for k in used)}""",
+)
+def scoring_run(spark, folder):
+    saved, _ = _scoring_run(spark, folder)
+    long = saved.select(
+        "series_id", "name", s.text("timestamp").alias("timestamp"), "version",
+        F.explode(F.from_json("predictors", "map<string,double>")).alias("key", "value"),
+        F.round("prob", 9).alias("prob"), "exceedance",
+    )
+    return s.rounded(long, 9, "value")
+
+
+@query(
+    "m12_scoring_conflicts",
+    f"WITH {_RUN} SELECT series_id, name, {s.stamp('hour')} AS timestamp, 1::BIGINT AS n_new, 1::BIGINT AS n_stored FROM results WHERE hour IN ({_STAMPS(sorted({*_FIRST} & {*_SECOND}))})",
+)
+def scoring_conflicts(spark, folder):
+    return _scoring_run(spark, folder)[1].withColumn("timestamp", s.text("timestamp"))

@@ -320,7 +320,7 @@ def score_long(spark, folder):
     h = _hours(spark, folder)
     keys = ["temp", "precip", "wspd"]
     long = h.select("series_id", "hour", F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))])).alias("key", "value"))
-    return shown(models.score_long(long, coefficients(h), ["series_id", "hour"]), 9)
+    return shown(models.score_long(long, coefficients(h), ["series_id", "hour"]).drop("predictors"), 9)
 
 
 @query(

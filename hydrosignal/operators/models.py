@@ -29,6 +29,7 @@ LAMBDAS = (0.0001, 0.001, 0.01, 0.1)
 CUTOFF = 0.2
 ACCEPT = {"accuracy": 0.80, "sensitivity": 0.5, "specificity": 0.85}
 MAX_COEFFICIENTS = 100_000
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 @dataclass
@@ -289,11 +290,11 @@ def final_table(
     return accepted(base.join(figures, list(keys)).join(board, list(keys)).withColumn("cutoff", F.lit(cutoff)), "_test")
 
 
-def collect_coefficients(coefficients: DataFrame) -> dict:
-    """Coefficient rows (model_id, key, mean, sd, coef, cutoff) as plain numbers, size-checked."""
+def collect_coefficients(coefficients: DataFrame) -> dict | None:
+    """Coefficient rows (model_id, key, mean, sd, coef, cutoff) as plain numbers, None above the size for literals."""
     rows = coefficients.limit(MAX_COEFFICIENTS + 1).collect()
     if len(rows) > MAX_COEFFICIENTS:
-        raise ValueError("too many coefficients to inline; score with score_long")
+        return None
     models: dict = {}
     for r in rows:
         entry = models.setdefault(r["model_id"], {"cutoff": r["cutoff"], "terms": []})
@@ -308,9 +309,17 @@ def score_many(df: DataFrame, coefficients: DataFrame, keep: Sequence[str]) -> D
 
     Coefficients become literals of one expression per model. A null predictor gives a
     null probability and a null exceedance. The used predictors travel along as a map.
+    Beyond ``MAX_COEFFICIENTS`` the same rows come from ``score_long``; there ``keep`` has to
+    identify a row.
     """
+    found = collect_coefficients(coefficients)
+    if found is None:
+        numbers = [c for c, t in df.dtypes if c not in keep and (t in NUMERIC or t.startswith("decimal"))]
+        pairs = [x for c in numbers for x in (F.lit(c), F.col(c).cast("double"))]
+        long = df.select(*keep, F.explode(F.create_map(*pairs)).alias("key", "value"))
+        return score_long(long, coefficients, keep)
     entries = []
-    for model_id, m in sorted(collect_coefficients(coefficients).items()):
+    for model_id, m in sorted(found.items()):
         odds = F.lit(0.0)
         used = []
         for key, mean, sd, coef in m["terms"]:
@@ -326,7 +335,7 @@ def score_many(df: DataFrame, coefficients: DataFrame, keep: Sequence[str]) -> D
                 F.lit(model_id).alias("name"),
                 prob.alias("prob"),
                 (prob > F.lit(float(m["cutoff"]))).alias("exceedance"),
-                F.create_map(*used).alias("predictors"),
+                (F.create_map(*used) if used else F.create_map().cast("map<string,double>")).alias("predictors"),
             )
         )
     return df.select(*keep, F.inline(F.array(*entries)))
@@ -335,7 +344,10 @@ def score_many(df: DataFrame, coefficients: DataFrame, keep: Sequence[str]) -> D
 def score_long(df: DataFrame, coefficients: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Scoring as a join, for coefficient tables too large for literals.
 
-    ``df`` is long (ids, key, value). Any missing or null predictor gives a null score.
+    ``df`` is long (ids, key, value). Any missing or null predictor gives a null score; a
+    model is scored for rows that have at least one of its predictors. The terms of all
+    models on one predictor are one row, attached by size, so that values are not shuffled
+    by the name of their predictor.
     """
     terms = coefficients.filter("key <> '(Intercept)'")
     totals = coefficients.groupBy("model_id").agg(
@@ -343,15 +355,18 @@ def score_long(df: DataFrame, coefficients: DataFrame, ids: Sequence[str]) -> Da
         F.sum(F.when(F.col("key") == "(Intercept)", F.col("coef")).otherwise(0.0)).alias("_b0"),
         F.max("cutoff").alias("cutoff"),
     )
+    by_key = terms.groupBy("key").agg(F.collect_list(F.struct("model_id", "mean", "sd", "coef")).alias("_terms"))
+    each = attach(df.select(*ids, "key", "value"), by_key, ["key"], "inner").select(*ids, "key", "value", F.inline("_terms"))
     part = F.col("coef") * ((F.col("value") - F.col("mean")) / F.col("sd"))
-    sums = (
-        df.join(terms.drop("cutoff"), "key")
-        .groupBy(*ids, "model_id")
-        .agg(F.sum(part).alias("_sum"), F.count("value").alias("_got"))
+    sums = each.groupBy(*ids, "model_id").agg(
+        F.sum(part).alias("_sum"),
+        F.count("value").alias("_got"),
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("predictors"),
     )
     odds = F.when(F.col("_got") == F.col("_n"), F.col("_sum") + F.col("_b0"))
-    scored = sums.join(totals, "model_id").select(*ids, F.col("model_id").alias("name"), sigmoid(odds).alias("prob"), "cutoff")
-    return scored.withColumn("exceedance", F.col("prob") > F.col("cutoff")).drop("cutoff")
+    return attach(sums, totals, ["model_id"], salt_by=list(ids)).withColumn("prob", sigmoid(odds)).select(
+        *ids, F.col("model_id").alias("name"), "prob", (F.col("prob") > F.col("cutoff")).alias("exceedance"), "predictors"
+    )
 
 
 def range_audit(values: DataFrame, ranges: DataFrame, keys: Sequence[str] = ("model_id", "key")) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hydrosignal.operators import joins, labels, metrics, models, ordered, reshape, rolling, status, summaries
 from hydrosignal.operators.attach import attach
+from hydrosignal.plans import scoring
 from hydrosignal.sources import files, keyed, payloads
 
 START = datetime(2024, 1, 1)
@@ -321,3 +322,29 @@ def test_upsert_keeps_null_keys_apart_from_none(spark):
     new = spark.createDataFrame([(None, "n", 1), (2, "m", 1), (2, "z", 2), (3, "q", 1)], "k int, v string, seq int")
     got = {r["k"]: r["v"] for r in keyed.upsert(old, new, ["k"], [F.col("seq").desc()]).collect()}
     assert got == {None: "n", 1: "b", 2: "z", 3: "q"}
+
+
+def test_scoring_is_the_same_beyond_the_size_for_literals(spark, monkeypatch):
+    rows = [(i, float(i % 7), None if i % 5 == 0 else float(i % 3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    terms = [("m", "a", 3.0, 2.0, 0.7, 0.4), ("m", "(Intercept)", 0.0, 1.0, -0.2, 0.4), ("n", "a", 1.0, 1.0, 0.1, 0.5), ("n", "b", 1.0, 1.0, -0.3, 0.5)]
+    coefficients = spark.createDataFrame(terms, "model_id string, key string, mean double, sd double, coef double, cutoff double")
+
+    def scored():
+        return {
+            (r["id"], r["name"]): (r["prob"] and round(r["prob"], 12), r["exceedance"], r["predictors"])
+            for r in models.score_many(df, coefficients, ["id"]).collect()
+        }
+
+    literal = scored()
+    monkeypatch.setattr(models, "MAX_COEFFICIENTS", 3)
+    assert len(literal) == 80 and scored() == literal
+
+
+def test_a_run_without_predictors_fails(spark):
+    p = spark.createDataFrame([("s", START, 1.0)], "series_id string, hour timestamp, x double")
+    none = spark.createDataFrame([(START + timedelta(hours=1),)], "t timestamp")
+    with pytest.raises(ValueError, match="no predictors"):
+        scoring.rows_to_score(p, ["series_id"], "hour", listed=none)
+    at = F.lit("2024-01-01 00:30:00").cast("timestamp")
+    assert scoring.rows_to_score(p, ["series_id"], "hour", at=at).count() == 1
