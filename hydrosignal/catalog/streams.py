@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from hydrosignal.catalog import standins as s
 from hydrosignal.catalog.modelling import coefficients, score_sql, _hours
 from hydrosignal.catalog.registry import query
-from hydrosignal.catalog.windows import events_sql, shown
+from hydrosignal.catalog.windows import antecedent_sql, events_sql, shown
 from hydrosignal.functions import times
-from hydrosignal.operators import events, models
+from hydrosignal.operators import events, models, rolling
+from hydrosignal.operators.attach import attach
 from hydrosignal.session import materialize, scratch_dir
 from hydrosignal.streaming import hourly, runs, state
 
@@ -32,12 +33,11 @@ def _table_stream(df, name):
     "l1_hourly_windows",
     f"""
 WITH {s.ROLLED}
-SELECT series_id, {_H}, n_hour, round(temp, 6) AS temp, round(precip, 6) AS precip FROM rolled
-WHERE hour <= (SELECT max(ts) - INTERVAL 1 MICROSECOND - INTERVAL 1 DAY FROM obs)""",
+SELECT series_id, {_H}, n_hour, round(temp, 6) AS temp, round(precip, 6) AS precip FROM rolled""",
 )
 def hourly_windows(spark, folder):
     out = hourly.hourly_windows(_stream(spark, folder), K, "ts", ["temp"], ["precip"])
-    return shown(runs.run_append(out, "hourly"))
+    return shown(runs.run_updates(out, "hourly", K, "hour"))
 
 
 @query(
@@ -57,7 +57,7 @@ def late_upsert(spark, folder):
     )
     path = scratch_dir(spark, "flow-table")
     sink = hourly.upsert_sink(
-        path, "station_id long, date string, flow double, o_orderkey long, year string", ["station_id", "date"], [F.col("o_orderkey").desc()], "year"
+        path, "station_id long, date string, flow double, o_orderkey long, year string", ["station_id", "date"], [F.col("o_orderkey").desc()], "year", newer_only=True
     )
     runs.run_batches(rows, "flow-upsert", sink, "append")
     return spark.read.parquet(path).drop("year")
@@ -89,14 +89,31 @@ def sessions(spark, folder):
     "l5_sliding_rain_sums",
     f"""
 WITH {s.GRID}
-SELECT * FROM (
-  SELECT series_id, {_H}, round(sum(precip) OVER w, 6) AS precip_sum_p24hr_lag0hr, round(max(precip) OVER w, 6) AS precip_max_p24hr_lag0hr, count(*) OVER w AS n
-  FROM grid WINDOW w AS (PARTITION BY series_id ORDER BY hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))
-WHERE strptime(hour, '%Y-%m-%d %H:%M:%S') <= (SELECT max(hour) - INTERVAL 1 MICROSECOND - INTERVAL 1 DAY FROM grid)""",
+SELECT series_id, {_H}, round(sum(precip) OVER w, 6) AS precip_sum_p24hr_lag0hr, round(max(precip) OVER w, 6) AS precip_max_p24hr_lag0hr, count(*) OVER w AS n
+FROM grid WINDOW w AS (PARTITION BY series_id ORDER BY hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)""",
 )
 def sliding(spark, folder):
-    h = _table_stream(s.rain(spark, folder).select("series_id", "hour", "precip"), "hourly-rain")
-    return shown(runs.run_append(hourly.sliding_sums(h, K, "hour", "precip", 24), "sliding"))
+    rain = s.rain(spark, folder).select("series_id", "hour", "precip")
+    h = _table_stream(rain, "hourly-rain")
+    out = runs.run_updates(hourly.sliding_sums(h, K, "hour", "precip", 24), "sliding", K, "hour")
+    # windows that end after the last known hour are still filling
+    last = rain.groupBy("series_id").agg(F.max("hour").alias("_last"))
+    return shown(attach(out, last, K).filter("hour <= _last").drop("_last"))
+
+
+@query(
+    "l5_antecedent_grid",
+    f"WITH {s.GRID}, {antecedent_sql(rolling.RAIN_WIDTHS, rolling.RAIN_LAGS)} SELECT * REPLACE ({s.stamp('hour')} AS hour) FROM rainfall",
+)
+def antecedent_grid(spark, folder):
+    """Hours arrive in several deliveries; each recomputes the grid it reaches."""
+    rain = s.rain(spark, folder).select("series_id", "hour", "precip", F.to_date("hour").alias("day"))
+    path = scratch_dir(spark, "rain-deliveries")
+    rain.repartitionByRange(3, "hour").write.parquet(path)
+    hours_path, grid_path = scratch_dir(spark, "rain-hours"), scratch_dir(spark, "rain-grid")
+    sink = hourly.antecedent_sink(hours_path, grid_path, rain.schema, K, "hour")
+    runs.run_batches(runs.read_table_stream(spark, path, files=1), "antecedent", sink, "append")
+    return s.rounded(shown(spark.read.parquet(grid_path).drop("day", "precip")))
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hydrosignal.session import scratch_dir
+from hydrosignal.streaming.hourly import upsert_sink
 
 
 def read_table_stream(spark: SparkSession, path: str, columns: list[str] | None = None, files: int = 64) -> DataFrame:
@@ -45,3 +47,15 @@ def run_batches(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None]
         .foreachBatch(sink)
     )
     writer.start().awaitTermination()
+
+
+def run_updates(df: DataFrame, name: str, keys: Sequence[str], time: str) -> DataFrame:
+    """Process everything available in update mode and return the table of latest results.
+
+    Results that the watermark has not closed yet are in the table too, and later input
+    replaces them.
+    """
+    path = scratch_dir(df.sparkSession, f"{name}-table")
+    dated = df.withColumn("_day", F.to_date(time))
+    run_batches(dated, name, upsert_sink(path, dated.schema, [*keys, time], [F.col(time)], "_day"), "update")
+    return df.sparkSession.read.schema(dated.schema).parquet(path).drop("_day")
