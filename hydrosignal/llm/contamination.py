@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Three-word runs of the test items whose words are together rare in the corpus are seeds. Where a
-document holds a seed, the surrounding passage is aligned with the item. A matching word counts
-by its information (rare words more), gaps and differing words cost; the score is the share of
-the item's full score, so edited and paraphrased copies still score high and chance matches of
-common words score low.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+The three-word runs of a test item are its seeds, shorter runs those of a short item; a run that
+very many items share seeds only those among whose rarest it is. Where a document holds a seed and
+enough of the item's words for the least score, the surrounding passage is aligned with the item.
+A matching word counts by its information (rare words more), gaps and differing words cost a share
+of the item's mean; the score is the share of the item's full score, so edited and paraphrased
+copies still score high, chance matches of a few words score low, and neither the size of the
+corpus nor the number of copies in it decides what is found.
 """
 
 from __future__ import annotations
@@ -22,9 +24,11 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from hydrosignal.llm.texts import FOLDED, SIGNS, grams, text_chunks, words
 
 GRAM = 3
-#: Chance rate per corpus word up to which a run of words is rare.
-RARE_RATE = 1e-7
+#: A run that more items share seeds only the items of whose runs it is in the rarer half, or among
+#: the rarest so many.
+SHARED_BY, RAREST = 64, 8
 LEAST_SCORE = 0.5
+#: Costs of a differing word and of a gap, in mean weights of an item's words.
 DIFFERENT = GAP = 0.5
 #: Bytes of test items handled at once; a larger benchmark is worked on in blocks.
 BLOCK_BYTES = 16_000_000
@@ -32,25 +36,27 @@ BLOCK_BYTES = 16_000_000
 
 @dataclass
 class Block:
-    """Test items with the weight of each word, and their seeds sorted by hash."""
+    """Test items with the weight of each word, and (hashes, items, places) of their seeds by run length.
+
+    Seeds are sorted by hash.
+    """
 
     ids: list
     items: list[np.ndarray]
     weights: list[np.ndarray]
-    seeds: np.ndarray
-    seed_item: np.ndarray
-    seed_at: np.ndarray
+    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def align(item: np.ndarray, weights: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
-    """Best local alignment score and the end of it in ``passage``."""
-    slope = np.arange(len(passage)) * GAP
+def align(item: np.ndarray, weights: np.ndarray, passage: np.ndarray, unit: float = 1.0) -> tuple[float, int]:
+    """Best local alignment score and the end of it in ``passage``; costs count ``unit`` times."""
+    different, gap = DIFFERENT * unit, GAP * unit
+    slope = np.arange(len(passage)) * gap
     above = np.zeros(len(passage))
     best, end = 0.0, 0
     for word, weight in zip(item, weights, strict=True):
-        here = np.where(passage == word, weight, -DIFFERENT)
+        here = np.where(passage == word, weight, -different)
         here[1:] += above[:-1]
-        here = np.maximum(np.maximum(here, above - GAP), 0.0)
+        here = np.maximum(np.maximum(here, above - gap), 0.0)
         above = np.maximum.accumulate(here + slope) - slope
         at = int(above.argmax())
         if above[at] > best:
@@ -60,10 +66,11 @@ def align(item: np.ndarray, weights: np.ndarray, passage: np.ndarray) -> tuple[f
 
 def aligned_span(item: np.ndarray, weights: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     """(score as a share of the item's own, start, end) of the best local alignment."""
-    score, end = align(item, weights, passage)
+    unit = float(weights.mean())
+    score, end = align(item, weights, passage, unit)
     if not end:
         return 0.0, 0, 0
-    _, back = align(item[::-1], weights[::-1], passage[:end][::-1])
+    _, back = align(item[::-1], weights[::-1], passage[:end][::-1], unit)
     return score / float(weights.sum()), end - back, end
 
 
@@ -100,96 +107,131 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") ->
     return counts, int(n[place < 0].sum())
 
 
-def _block(docs: DataFrame, rows: list, text: str, gram: int, rare_rate: float) -> Block | None:
-    items = _item_words([r[1] for r in rows])
-    if not any(len(x) for x in items):
+def seed_length(n: int, gram: int) -> int:
+    """Words of a seed of an item of ``n`` words: a whole run is left wherever one word is changed."""
+    return gram if n >= 2 * gram else max(1, min(n, gram - 1))
+
+
+def _block(docs: DataFrame, rows: list, text: str, gram: int) -> Block | None:
+    filled = [(r[0], x) for r, x in zip(rows, _item_words([r[1] for r in rows]), strict=True) if len(x)]
+    if not filled:
         return None
+    ids, items = (list(x) for x in zip(*filled, strict=True))
     vocabulary = np.unique(np.concatenate(items))
     counts, total = word_counts(docs, vocabulary, text)
     rate = np.log((counts + 1.0) / (total + len(vocabulary)))
-    ids, kept, weights, seeds = [], [], [], []
-    for row, item in zip(rows, items, strict=True):
+    weights, parts = [], {}
+    for number, item in enumerate(items):
         logs = rate[np.searchsorted(vocabulary, item)]
-        runs = grams(item, gram)
-        chance = np.convolve(logs, np.ones(gram), "valid") if len(item) >= gram else np.zeros(0)
-        at = np.flatnonzero(chance <= np.log(rare_rate))
-        if len(at):
-            seeds.append((runs[at], np.full(len(at), len(ids)), at))
-            ids.append(row[0])
-            kept.append(item)
-            weights.append(np.minimum(np.maximum(-logs / -np.log(1e-4), 0.05), 1.0))
-    if not ids:
-        return None
-    hashes, owner, at = (np.concatenate(x) for x in zip(*seeds, strict=True))
-    order = np.argsort(hashes, kind="stable")
-    return Block(ids, kept, weights, hashes[order], owner[order], at[order])
-
-
-def blocks(docs: DataFrame, benchmark: DataFrame, item: str, text: str, gram: int, rare_rate: float) -> Iterator[Block]:
+        weights.append(np.minimum(np.maximum(-logs / -np.log(1e-4), 0.05), 1.0))
+        length = seed_length(len(item), gram)
+        runs = grams(item, length)
+        order = np.argsort(np.convolve(logs, np.ones(length), "valid"), kind="stable")
+        rare = np.zeros(len(runs), bool)
+        rare[order[: max(RAREST, (len(runs) + 1) // 2)]] = True
+        parts.setdefault(length, []).append((runs, np.full(len(runs), number), np.arange(len(runs)), rare))
+    seeds = {}
+    for length, part in parts.items():
+        hashes, owner, at, rare = (np.concatenate(x) for x in zip(*part, strict=True))
+        order = np.lexsort((at, owner, hashes))
+        hashes, owner, at, rare = hashes[order], owner[order], at[order], rare[order]
+        other = np.ones(len(hashes), bool)
+        other[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        _, group = np.unique(hashes, return_inverse=True)
+        use = rare | (np.bincount(group[other])[group] <= SHARED_BY)
+        seeds[length] = hashes[use], owner[use], at[use]
+    return Block(ids, items, weights, seeds)
+
+
+def blocks(docs: DataFrame, benchmark: DataFrame, item: str, text: str, gram: int) -> Iterator[Block]:
     """Blocks of test items of bounded size, one after another, whatever the size of the benchmark."""
     sized = benchmark.select(item, "text")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = total // BLOCK_BYTES + 1
     for i in range(parts):
         here = sized.filter(F.pmod(F.xxhash64(item, "text"), F.lit(parts)) == i) if parts > 1 else sized
-        block = _block(docs, sorted(here.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), text, gram, rare_rate)
+        block = _block(docs, sorted(here.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), text, gram)
         if block:
             yield block
 
 
-def _hits(block: Block, hashes: np.ndarray, gram: int, least: float) -> list[tuple[int, float, int, int]]:
-    """(item number, score, start, end) of the best alignment with each item found in one text."""
-    runs = grams(hashes, gram)
-    low, high = np.searchsorted(block.seeds, runs, "left"), np.searchsorted(block.seeds, runs, "right")
-    at = np.flatnonzero(high > low)
-    windows: dict[int, list[list[int]]] = {}
-    for position in at:
-        for k in range(low[position], high[position]):
-            number = int(block.seed_item[k])
-            size = len(block.items[number])
-            start = max(0, int(position) - int(block.seed_at[k]) - size)
-            end = min(len(hashes), int(position) - int(block.seed_at[k]) + 2 * size)
-            found = windows.setdefault(number, [])
-            if found and start <= found[-1][1]:
-                found[-1] = [min(start, found[-1][0]), max(end, found[-1][1])]
-            else:
-                found.append([start, end])
+def _places(block: Block, hashes: np.ndarray) -> np.ndarray:
+    """Rows (item number, place where the item would begin) of all seeds met in one text, each once, sorted."""
+    out = [np.zeros((0, 2), np.int64)]
+    for length, (seeds, items, places) in block.seeds.items():
+        runs = grams(hashes, length)
+        low, high = np.searchsorted(seeds, runs, "left"), np.searchsorted(seeds, runs, "right")
+        n = high - low
+        k = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out.append(np.column_stack([items[k], np.repeat(np.arange(len(runs)), n) - places[k]]))
+    found = np.concatenate(out)
+    found = found[np.lexsort((found[:, 1], found[:, 0]))]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]).any(1)
+    return found[new]
+
+
+def _hits(block: Block, hashes: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
+    """(item number, score, start, end) of the best alignment with each item found in one text.
+
+    Where the item's words that occur at all weigh less than the least score, nothing is aligned.
+    """
+    places = _places(block, hashes)
+    if not len(places):  # a run over the border of two texts
+        return []
+    known = np.unique(hashes)
+    cuts = np.flatnonzero(np.diff(places[:, 0], prepend=-1))
     out = []
-    for number, found in sorted(windows.items()):
+    for a, z in zip(cuts, np.append(cuts[1:], len(places)), strict=True):
+        number = int(places[a, 0])
+        item, weights = block.items[number], block.weights[number]
+        needed = least * float(weights.sum()) - 1e-9
+        there = known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item
+        if weights[there].sum() < needed:
+            continue
+        size, windows = len(item), []
+        for begin in places[a:z, 1].tolist():
+            start, end = max(0, begin - size), min(len(hashes), begin + 2 * size)
+            if windows and start <= windows[-1][1]:
+                windows[-1][1] = max(end, windows[-1][1])
+            else:
+                windows.append([start, end])
         best = (0.0, 0, 0)
-        for start, end in found:
-            score, a, b = aligned_span(block.items[number], block.weights[number], hashes[start:end])
-            best = max(best, (score, start + a, start + b), key=lambda x: x[0])
+        for start, end in windows:
+            passage = hashes[start:end]
+            if weights[np.isin(item, passage)].sum() >= needed:
+                score, i, j = aligned_span(item, weights, passage)
+                best = max(best, (score, start + i, start + j), key=lambda x: x[0])
         if best[0] >= least:
             out.append((number, *best))
     return out
 
 
-def _texts_with_hits(block: Block, column: pa.Array, gram: int, least: float):
+def _texts_with_hits(block: Block, column: pa.Array, least: float):
     for a, _, data, offsets in text_chunks(column):
         hashes, starts, ends, counts = words(data, offsets, SIGNS, FOLDED)
-        if len(hashes) < gram:
-            continue
-        runs = grams(hashes, gram)
-        place = np.minimum(np.searchsorted(block.seeds, runs), len(block.seeds) - 1)
-        seen = np.flatnonzero(block.seeds[place] == runs)
         first = np.concatenate([[0], np.cumsum(counts)])
-        for i in np.unique(np.searchsorted(first, seen, "right") - 1):
+        seen = [np.zeros(0, np.int64)]
+        for length, (seeds, _, _) in block.seeds.items():
+            runs = grams(hashes, length)
+            seen.append(np.flatnonzero(seeds[np.minimum(np.searchsorted(seeds, runs), len(seeds) - 1)] == runs))
+        for i in np.unique(np.searchsorted(first, np.concatenate(seen), "right") - 1):
             span = slice(first[i], first[i + 1])
-            found = _hits(block, hashes[span], gram, least)
+            found = _hits(block, hashes[span], least)
             if found:
                 yield a + int(i), found, data, starts[span], ends[span]
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-    least: float = LEAST_SCORE, gram: int = GRAM, rare_rate: float = RARE_RATE,
+    least: float = LEAST_SCORE, gram: int = GRAM,
 ) -> DataFrame:
     """(key, item, score, start_word, end_word, passage) for each document row and item that align.
 
     Per pair the best place counts. Words are runs of signs other than ASCII white space and
-    punctuation, compared without regard to the case of Latin letters. Null and empty texts hold nothing; items without a rare
-    run of ``gram`` words are found nowhere. Repeated rows and repeated items give repeated
+    punctuation, compared without regard to the case of Latin letters. Null and empty texts hold nothing; an item is
+    found where a run of its words is left whole (``gram`` words, fewer for an item of less than
+    twice as many), however common its words are. Items without words are found nowhere. Repeated rows and repeated items give repeated
     results. An empty benchmark or an empty table gives no rows. Other columns are not read.
     No document is shuffled: blocks of items of bounded size go to the tasks.
     """
@@ -198,14 +240,14 @@ def contaminated(
     schema = StructType([docs.schema[key], benchmark.schema[item]]).add("score", DoubleType())
     schema = schema.add("start_word", LongType()).add("end_word", LongType()).add("passage", StringType())
     out = spark.createDataFrame([], schema)
-    for block in blocks(docs, benchmark, item, text, gram, rare_rate):
+    for block in blocks(docs, benchmark, item, text, gram):
         shared = spark.sparkContext.broadcast(pickle.dumps(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = pickle.loads(shared.value)
             for batch in batches:
                 keys, ids, score, start, end, passage = [], [], [], [], [], []
-                for i, found, data, starts, ends in _texts_with_hits(block, batch.column(1), gram, least):
+                for i, found, data, starts, ends in _texts_with_hits(block, batch.column(1), least):
                     for number, value, a, b in found:
                         keys.append(i)
                         ids.append(block.ids[number])
@@ -226,18 +268,18 @@ def contaminated(
 
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
-    least: float = LEAST_SCORE, gram: int = GRAM, rare_rate: float = RARE_RATE,
+    least: float = LEAST_SCORE, gram: int = GRAM,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item is found by ``contaminated``."""
     out = docs
-    for block in blocks(docs, benchmark, item, text, gram, rare_rate):
+    for block in blocks(docs, benchmark, item, text, gram):
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = pickle.loads(shared.value)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for i, *_ in _texts_with_hits(block, batch.column(text), gram, least):
+                for i, *_ in _texts_with_hits(block, batch.column(text), least):
                     keep[i] = False
                 yield batch.filter(pa.array(keep))
 

@@ -344,6 +344,30 @@ def test_leaks_and_edited_copies_are_found(spark):
     assert contamination.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_hot_and_short_items_are_found(spark):
+    item = " ".join(f"hot{i}" for i in range(30))
+    edited = item.replace("hot7 ", "other ").replace("hot20 ", "")
+    rows = [(i, item) for i in range(10)] + [(10, edited)] + [(11, "of hot0"), (12, "hot1 hot2")]
+    few, bench = (spark.createDataFrame(x, f"{k} long, text string").coalesce(1) for x, k in ((rows, "doc_id"), ([(0, item)], "item_id")))
+    assert {r.doc_id for r in contamination.contaminated(few, bench).collect()} == set(range(11))
+    assert sorted(r.doc_id for r in contamination.without_contaminated(few, bench).collect()) == [11, 12]
+    rng = np.random.default_rng(7)
+    other = [" ".join(f"w{k}" for k in rng.zipf(1.3, 30) % 5000) for _ in range(300)]
+    rows = [(i, f"{x} {item} {x}" if i % 3 == 0 else f"{x} {x}") for i, x in enumerate(other)] + [(300, "alone here"), (301, "Single!"), (302, "alone, not here")]
+    rows += [(303, "to be or not be at all"), (304, "of the and in to is was that it for")]
+    short = [(0, item), (1, "alone here"), (2, "single"), (3, "to be or not to be"), (4, "of the and in to is was that it for"), (5, "...")]
+    many, bench = (spark.createDataFrame(x, f"{k} long, text string") for x, k in ((rows, "doc_id"), (short, "item_id")))
+    got = {(r.doc_id, r.item_id) for r in contamination.contaminated(many, bench).collect()}
+    assert got == {(i, 0) for i in range(0, 300, 3)} | {(300, 1), (301, 2), (303, 3), (304, 4)}
+
+
+def test_a_run_of_very_many_items_still_leaves_them_seeds(spark):
+    items = [(i, "please answer the following question " + " ".join(f"q{i}x{j}" for j in range(12))) for i in range(100)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = bench.select(F.col("item_id").alias("doc_id"), "text")
+    assert sorted((r.doc_id, r.item_id) for r in contamination.contaminated(docs, bench).collect()) == [(i, i) for i in range(100)]
+
+
 def test_alignment_equals_the_textbook_recurrence():
     rng = np.random.default_rng(2)
     for _ in range(40):
