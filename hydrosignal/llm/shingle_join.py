@@ -43,6 +43,8 @@ LEAST_BUCKETS = 64
 FLUSH_SIGNATURES, FLUSH_SETS = 800_000, 16_000
 #: Sets of a block; pairs of blocks with at least so many candidate pairs are verified as blocks.
 BLOCK_SETS, DENSE = 256, 256
+#: Pairs of sets of one signature from which only their blocks are paired; blocks of a side of a tile.
+MANY_PAIRS, TILE = 1024, 512
 #: Columns of the element matrices with which two blocks are compared at a time.
 SLICE = 8192
 
@@ -467,76 +469,94 @@ def _members(shared: pd.DataFrame, labels: pd.DataFrame, buckets: int) -> pd.Dat
     return _frame(numbers, [0] * len(numbers), blobs)
 
 
+def _sides(block: np.ndarray, size: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """(block, least and largest size, least and largest component) of some sets, a column per block."""
+    order = np.argsort(block, kind="stable")
+    block, size, component = block[order], size[order], component[order]
+    start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    low, high = np.minimum.reduceat, np.maximum.reduceat
+    return np.stack([block[start], low(size, start), high(size, start), low(component, start), high(component, start)])
+
+
+def _opposed(probing: np.ndarray, indexed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (p, q) of a probing and an indexed block that may link sets of different components."""
+    x, y = probing[:, :, None], indexed[:, None, :]
+    one = (x[3] == x[4]) & (y[3] == y[4]) & (x[3] == y[3])
+    i, j = np.nonzero(~one & (y[1] <= x[2]) & (4 * y[2] >= 3 * x[1]))
+    a, b = probing[0][i], indexed[0][j]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def _cross_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a probing and an indexed set of different components that meet in a signature.
+    """What meets in a signature: a probing and an indexed set of different components, or their blocks.
 
-    Few pairs between two blocks are rows (a, b); many are one row (p, q, pairs) for the blocks.
+    Few pairs between two blocks are rows (a, b). Many, and all those of a signature with many
+    members, are tiles (p, q) of blocks, of which ``_block_pairs`` lists the pairs elsewhere.
     """
     sig, name, size, component, block, role = (
         np.concatenate(x) for x in zip(*(_unpack(b, *MEMBER) for b in rows.blob), strict=True)
     )
     names, number = np.unique(name, return_inverse=True)
+    block, component = block.view(np.int64), component.view(np.int64)
     block_of = np.zeros(len(names), np.int64)
-    block_of[number] = block.view(np.int64)
+    block_of[number] = block
     order = np.lexsort((role, sig))
-    sig, number, size, component, role = (x[order] for x in (sig, number, size.astype(np.int64), component, role))
+    sig, number, size, component, role, block = (x[order] for x in (sig, number, size.astype(np.int64), component, role, block))
     start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     end = np.append(start[1:], len(sig))
     low = np.minimum.reduceat(component, start)
     high = np.maximum.reduceat(component, start)
-    met, held = [np.zeros(0, np.int64)], 0
-
-    def unique() -> int:
-        met[:] = [np.unique(np.concatenate(met))]
-        return len(met[0])
-
-    limit = 1_000_000
+    met, tiles, seen = [np.zeros(0, np.int64)], [], set()
     for a, z in zip(start[low < high], end[low < high], strict=True):
         probes = a + np.flatnonzero(role[a:z] == 1)
         index = a + np.flatnonzero(role[a:z] == 0)
+        if len(probes) * len(index) > MANY_PAIRS:
+            left, right = (_sides(block[i], size[i], component[i]) for i in (probes, index))
+            for i in range(0, left.shape[1], TILE):
+                for j in range(0, right.shape[1], TILE):
+                    tile = left[:, i : i + TILE].tobytes(), right[:, j : j + TILE].tobytes()
+                    if tile not in seen:
+                        seen.add(tile)
+                        tiles.append(tile)
+            continue
         for x in probes:
             fits = index[
                 (component[index] != component[x]) & (size[index] <= size[x]) & (4 * size[index] >= 3 * size[x])
             ]
             if len(fits):
                 met.append(np.minimum(number[fits], number[x]) * len(names) + np.maximum(number[fits], number[x]))
-                held += len(fits)
-        if held > limit:
-            held = unique()
-            limit = max(limit, 2 * held)
-    unique()
-    a, b = met[0] // len(names), met[0] % len(names)
+    met = np.unique(np.concatenate(met))
+    a, b = met // len(names), met % len(names)
     p, q = np.minimum(block_of[a], block_of[b]), np.maximum(block_of[a], block_of[b])
     order = np.lexsort((q, p))
     a, b, p, q = a[order], b[order], p[order], q[order]
     cuts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])) if len(a) else []
-    few, dense = [np.zeros(0, np.int64)], []
+    few = [np.zeros(0, np.int64)]
     for i, z in zip(cuts, np.append(cuts[1:], len(a)), strict=True) if len(a) else ():
         if z - i < DENSE:
             few.append(np.arange(i, z))
         else:
-            dense.append((int(p[i]), int(q[i]), np.concatenate([names[a[i:z]], names[b[i:z]]]).tobytes()))
+            # wide bounds: these two blocks are to be compared
+            wide = np.array([0, 1 << 40, 0, 1])
+            tiles.append(tuple(np.append(int(c), wide).astype(np.int64).tobytes() for c in (p[i], q[i])))
     few = np.concatenate(few)
-    blank = [None] * len(dense)
+    blank = [None] * len(tiles)
     columns = {
         "a": [*names[a[few]].view(np.int64).tolist(), *blank],
         "b": [*names[b[few]].view(np.int64).tolist(), *blank],
     }
-    for i, c in enumerate(("p", "q", "pairs")):
-        columns[c] = [*[None] * len(few), *(row[i] for row in dense)]
+    for i, c in enumerate("pq"):
+        columns[c] = [*[None] * len(few), *(tile[i] for tile in tiles)]
     # nullable integers: a float column would round the hashes
-    return pd.DataFrame({c: pd.array(v, dtype="Int64") if c != "pairs" else v for c, v in columns.items()})
+    return pd.DataFrame({c: pd.array(v, dtype="Int64") if c in "ab" else v for c, v in columns.items()})
 
 
-def _merged(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs between two blocks, each once."""
-    parts = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in rows.pairs]
-    a, b = np.concatenate(parts, axis=1)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    pairs = np.stack([a[new], b[new]])
-    return pd.DataFrame({"p": [key[0]], "q": [key[1]], "pairs": [pairs.tobytes()]})
+def _block_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs of blocks (p, q) of each tile."""
+    for batch in batches:
+        for x, y in zip(batch.p, batch.q, strict=True):
+            p, q = _opposed(*(np.frombuffer(side, np.int64).reshape(5, -1) for side in (x, y)))
+            yield pd.DataFrame({"p": p, "q": q}).drop_duplicates()
 
 
 def _packed(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -589,7 +609,7 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _verified_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Links (a spanning forest per pair of blocks) among the listed pairs of blocks."""
+    """Links (a spanning forest per pair of blocks) among all sets of the listed pairs of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -600,15 +620,8 @@ def _verified_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
                 )
                 common = _common(flat[0], sizes[0], flat[1], sizes[1])
                 linked = 100 * common >= 75 * (sizes[0][:, None] + sizes[1][None] - common)
-                pairs = np.frombuffer(row["pairs"], np.int64).reshape(2, -1)
-                order = [np.argsort(i) for i in ids]
-                found = [np.zeros((2, 0), np.int64)]
-                for x, y in (pairs, pairs[::-1]):
-                    i = order[0][np.minimum(np.searchsorted(ids[0], x, sorter=order[0]), len(ids[0]) - 1)]
-                    j = order[1][np.minimum(np.searchsorted(ids[1], y, sorter=order[1]), len(ids[1]) - 1)]
-                    good = (ids[0][i] == x) & (ids[1][j] == y) & linked[i, j]
-                    found.append(np.stack([x[good], y[good]]))
-                forest = _spanning(*np.concatenate(found, axis=1))
+                i, j = np.nonzero(linked)
+                forest = _spanning(ids[0][i], ids[1][j])
                 a, b = zip(*forest, strict=True) if forest else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -681,8 +694,9 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Groups of signatures and of sets are dealt by hash in buckets of bounded text size. A set is
     first verified against the set that it meets most often; then every pair that still lies in
     different components and meets in a probed signature is verified, so no link between
-    components is lost. Where many such pairs lie between two blocks of sets, the blocks are
-    compared inside one task and give a spanning forest; only scattered pairs are rows.
+    components is lost. Where many such pairs lie between two blocks of sets, or many sets meet in
+    one signature, only pairs of blocks are listed; two blocks are compared whole inside one task
+    and give a spanning forest. Only scattered pairs of sets are rows.
     """
     spark = docs.sparkSession
     documents = materialize(profiles(docs, key, text), "profiles")
@@ -708,12 +722,11 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         lambda x, y: _members(x, y, buckets), "bucket int, kind int, blob binary"
     )
     met = materialize(
-        members.groupBy("bucket").applyInPandas(_cross_pairs, "a long, b long, p long, q long, pairs binary"), "met"
+        members.groupBy("bucket").applyInPandas(_cross_pairs, "a long, b long, p binary, q binary"), "met"
     )
     few = met.filter("a IS NOT NULL").select("a", "b").distinct()
-    dense = materialize(
-        met.filter("a IS NULL").groupBy("p", "q").applyInPandas(_merged, "p long, q long, pairs binary"), "dense"
-    )
+    tiles = met.filter("a IS NULL").select("p", "q").distinct().repartition(buckets)
+    dense = materialize(tiles.mapInPandas(_block_pairs, "p long, q long").distinct(), "dense")
     needed = dense.select(F.explode(F.array("p", "q")).alias("block")).distinct()
     placed = labels.select(F.col("node").alias("set_hash"), "block").join(needed, "block")
     packs = materialize(

@@ -492,3 +492,23 @@ def test_limits_hold_for_all_sizes():
             h, b = shingle_join.limits(r, int(shingle_join.band_of(np.array([s]))[0]))
             least = next(k for k in range(s + 1) if 100 * k >= 75 * (r + s - k))
             assert r + s - 2 * least <= h and s - least <= b
+
+
+def test_a_hot_signature_lists_blocks_and_not_pairs():
+    n = 4000
+    ids, role = np.tile(np.arange(1, n + 1, dtype=np.uint64), 2), np.repeat([0, 1], n)
+    blob = shingle_join._pack(
+        np.full(2 * n, 9, np.uint64), ids, np.full(2 * n, 100, "u4"), ids, ids // np.uint64(250), role.astype("u1")
+    )
+    got = shingle_join._cross_pairs(pd.DataFrame({"blob": [blob]}))
+    assert sum(len(v) for c in got for v in got[c] if isinstance(v, bytes)) < 100_000 and got.a.isna().all()
+    pairs = pd.concat(shingle_join._block_pairs([got]))
+    assert set(zip(pairs.p, pairs.q, strict=True)) == {(p, q) for p in range(17) for q in range(p, 17)} - {(16, 16)}
+
+
+def test_a_large_group_just_below_the_limit(spark):
+    body = " ".join(f"b{i}" for i in range(84))  # 80 shingles of 80 + 17: two texts have 80 / 114 = 0.70
+    rows = [(i, body + " " + " ".join(f"t{i}x{j}" for j in range(17))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 600, 7)]
+    got = dict(shingle_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert got == {i: i % 1000 for i, _ in rows}
