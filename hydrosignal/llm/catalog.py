@@ -13,6 +13,7 @@ from hydrosignal.llm import (
     contamination,
     licences,
     pq_links,
+    prefix_trie,
     shard_tree,
     shingle_join,
     site_quality,
@@ -101,6 +102,22 @@ def op10_shingle_components(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.link_documents(_table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    steps, convs = prefix_trie.rebuilt(prefix_trie.numbered(_table(spark, folder, "conversations")))
+    trie = prefix_trie.build(steps, convs)
+    digests = prefix_trie.end_digests(trie.ends)
+    return trie.nodes.join(digests, prefix_trie.NODE, "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("digest", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -114,5 +131,6 @@ QUERIES: dict[str, Query] = {
         op8_contaminated_documents,
         op9_warc_round_trip,
         op10_shingle_components,
+        op11_prefix_trie,
     )
 }
