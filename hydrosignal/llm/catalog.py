@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hydrosignal.llm import (
     bpe,
     contamination,
+    hard_negatives,
     licences,
     pq_links,
     prefix_trie,
@@ -118,6 +119,12 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -132,5 +139,6 @@ QUERIES: dict[str, Query] = {
         op9_warc_round_trip,
         op10_shingle_components,
         op11_prefix_trie,
+        op12_hard_negatives,
     )
 }
