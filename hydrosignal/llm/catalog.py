@@ -13,6 +13,7 @@ from hydrosignal.llm import (
     contamination,
     hard_negatives,
     licences,
+    packing,
     pq_links,
     prefix_trie,
     shard_tree,
@@ -26,6 +27,7 @@ from hydrosignal.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+PACKED_BY = "byte_bpe_50k.json"
 SHARDS = 16
 # The rules of the url query.
 URL_RULES = [
@@ -125,6 +127,11 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op13_packed_windows(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path(PACKED_BY))
+    return packing.crc32(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -140,5 +147,6 @@ QUERIES: dict[str, Query] = {
         op10_shingle_components,
         op11_prefix_trie,
         op12_hard_negatives,
+        op13_packed_windows,
     )
 }
