@@ -9,10 +9,10 @@ from hydrosignal.catalog.modelling import coefficients, score_sql, _hours
 from hydrosignal.catalog.registry import query
 from hydrosignal.catalog.windows import antecedent_sql, events_sql, shown
 from hydrosignal.functions import times
-from hydrosignal.operators import events, models, rolling
+from hydrosignal.operators import events, grid, models, rolling
 from hydrosignal.operators.attach import attach
 from hydrosignal.session import materialize, scratch_dir
-from hydrosignal.streaming import hourly, runs, state
+from hydrosignal.streaming import hourly, rain_state, runs, state
 
 K = s.SERIES
 _H = f"{s.stamp('hour')} AS hour"
@@ -125,8 +125,6 @@ SELECT g.series_id, {s.stamp('g.hour')} AS hour, s.{events.since_name(0.5)} AS h
 FROM grid g JOIN since s ON s.series_id = g.series_id AND s.hour = g.hour""",
 )
 def event_clock(spark, folder):
-    from hydrosignal.operators import grid
-
     h = grid.hourly_series(s.observations(spark, folder), K, "ts", ["temp"], ["precip"])
     e = events.event_columns(events.rain_events(h, K, "hour"), K, "hour")
     table = e.select("series_id", "hour", (F.col("event_precip_sum") >= 0.5).alias("is_event"), F.col("temp").alias("flow"))
@@ -134,6 +132,30 @@ def event_clock(spark, folder):
     return shown(runs.run_append(out, "event-clock"))
 
 
+@query(
+    "l6_f7_f9_events_of_arriving_hours",
+    f"""
+WITH {s.GRID}, {events_sql()}
+SELECT series_id, {_H}, event_id, wet, event_hour, event_duration, event_type, round(event_precip_sum, 6) AS event_precip_sum,
+       round(event_precip_max, 6) AS event_precip_max, {", ".join(f"{events.since_name(d)}::BIGINT AS {events.since_name(d)}" for d in events.SINCE_DEPTHS)}
+FROM since""",
+)
+def arriving_events(spark, folder):
+    """Hours as they were read, without those that are missing, in four deliveries."""
+    rolled = grid.hourly_rollup(s.observations(spark, folder), K, "ts", (), ["precip"])
+    read = materialize(rolled.select("series_id", "hour", "precip"), "hours-read")
+    seconds = F.unix_seconds("hour")
+    span = read.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b")).first()
+    path = scratch_dir(spark, "hour-deliveries")
+    for i in range(4):
+        part = F.floor((seconds - F.lit(span["a"])) * 4 / F.lit(span["b"] - span["a"] + 1))
+        read.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    stream = rain_state.rain_event_stream(runs.read_table_stream(spark, path, files=1), "series_id", "hour")
+    with rain_state.rocks_state(spark):
+        found = runs.run_newest(stream, "rain-events", ["series_id", "first_hour"], "first_hour", "version")
+    return shown(rain_state.event_hours(found))
+
+
 @query(
     "l7_stream_scoring",
     f"""WITH {s.HOURS}, {score_sql('hours')} SELECT series_id, {_H}, name, round(prob, 9) AS prob, exceedance FROM scores""",

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrosignal.session import scratch_dir
+from hydrosignal.session import materialize, scratch_dir
 from hydrosignal.streaming.hourly import upsert_sink
 
 
@@ -59,3 +59,15 @@ def run_updates(df: DataFrame, name: str, keys: Sequence[str], time: str) -> Dat
     dated = df.withColumn("_day", F.to_date(time))
     run_batches(dated, name, upsert_sink(path, dated.schema, [*keys, time], [F.col(time)], "_day"), "update")
     return df.sparkSession.read.schema(dated.schema).parquet(path).drop("_day")
+
+
+def run_newest(df: DataFrame, name: str, keys: Sequence[str], time: str, version: str) -> DataFrame:
+    """Process everything available in update mode and return the greatest version of each key.
+
+    A micro-batch is written once before it is merged, so that its state is not run through again.
+    """
+    path = scratch_dir(df.sparkSession, f"{name}-table")
+    dated = df.withColumn("_day", F.to_date(time))
+    sink = upsert_sink(path, dated.schema, keys, [F.col(version).desc()], "_day", newer_only=True)
+    run_batches(dated, name, lambda batch, i: sink(materialize(batch, f"{name}-batch"), i), "update")
+    return df.sparkSession.read.schema(dated.schema).parquet(path).drop("_day")
