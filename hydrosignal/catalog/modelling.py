@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from hydrosignal.catalog import standins as s
 from hydrosignal.catalog.registry import query
 from hydrosignal.catalog.windows import shown
-from hydrosignal.operators import labels, metrics, models, reshape, summaries
+from hydrosignal.functions.clean import sigmoid
+from hydrosignal.operators import labels, metrics, models, newton, reshape, summaries
 from hydrosignal.plans import weather
 from hydrosignal.session import materialize, scratch_dir
 from hydrosignal.sources import model_files
@@ -353,148 +354,302 @@ def effect(spark, folder):
     return s.rounded(models.effect_curve(coefficients(_hours(spark, folder)), "temp", 0.0, 50.0, 100))
 
 
-def _screen_sql(steps=8):
-    base = f"""{s.LABELLED},
-long AS (SELECT model_id, key AS var, sqrt(round(value, 5)) AS x, label FROM (UNPIVOT labelled ON log_text, vowel_share, log_lines, digit_share INTO NAME key VALUE value)),
-b AS (SELECT model_id, var, x, count(*)::DOUBLE AS n, sum(label) AS k FROM long GROUP BY 1, 2, 3),
-mo AS (
-  SELECT model_id, var, sum(n) AS nn, sum(k) AS kk, sum(n * x) / sum(n) AS mx, sqrt(greatest(sum(n * x * x) / sum(n) - (sum(n * x) / sum(n)) ** 2, 0)) AS sx FROM b GROUP BY 1, 2),
-c0 AS (SELECT *, ln(kk / (nn - kk)) AS b0, 0e0 AS b1 FROM mo WHERE sx > 0 AND kk > 0 AND kk < nn)"""
-    for i in range(steps):
-        base += f""",
-c{i + 1} AS (
-  SELECT model_id, var, nn, kk, mx, sx, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b0, b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b1
-  FROM (SELECT model_id, var, nn, kk, mx, sx, b0, b1, sum(w) AS h00, sum(w * z) AS h01, sum(w * z * z) AS h11, sum(g) AS g0, sum(g * z) AS g1
-        FROM (SELECT c.*, (x - mx) / sx AS z, 1 / (1 + exp(-(b0 + b1 * ((x - mx) / sx)))) AS p, n * p * (1 - p) AS w, k - n * p AS g FROM b JOIN c{i} c ON c.model_id = b.model_id AND c.var = b.var)
-        GROUP BY 1, 2, 3, 4, 5, 6, 7, 8))"""
-    return base + f""",
-ranked AS (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, var, x) / 2 - 0.5e0) AS r FROM long WINDOW w AS (PARTITION BY model_id, var ORDER BY x)),
+def newton_sql(source: str, predictors, keys=("model_id",), weight="1e0", masks=None, steps=16):
+    """CTEs of logistic fits on centred and scaled predictors, one per group of ``source``.
+
+    ``fits``: the keys, n, pos, b0.. (the intercept last), e0.. (standard errors) and loglik of the groups
+    whose last step moved nothing. Each step solves its system by elimination. ``masks`` names a 0/1 column per predictor that leaves it out.
+    """
+    p, k = len(predictors), ", ".join(keys)
+    cols, size = range(p), p + 1
+    on = masks or ["1e0"] * p
+    z = [f"z{i}" for i in cols] + ["1e0"]
+    b = ", ".join(f"b{i}" for i in range(size))
+    eta = " + ".join(f"b{i} * {z[i]}" for i in range(size))
+    zs = ", ".join(f"(x{i} - m{i}) / s{i} * g{i} AS z{i}" for i in cols)
+    sql = f"""whole AS (
+  SELECT {k}, label AS y, ({weight})::DOUBLE AS w, {", ".join(f"{c} AS x{i}, ({on[i]})::DOUBLE AS g{i}" for i, c in enumerate(predictors))} FROM {source}
+  WHERE label IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL" for c in predictors)}),
+mo AS (SELECT {k}, sum(w) AS n, sum(w * y) AS pos, {", ".join(f"avg(x{i}) AS m{i}, stddev_samp(x{i}) AS s{i}" for i in cols)} FROM whole GROUP BY {k}),
+zs AS (SELECT {", ".join(f"whole.{c}" for c in keys)}, y, w, n, pos, {zs}, {", ".join(f"g{i}" for i in cols)} FROM whole JOIN mo USING ({k})),
+t0 AS (SELECT {k}, n, pos, {", ".join(f"0e0 AS b{i}" for i in cols)}, ln(pos / (n - pos)) AS b{p} FROM mo)"""
+    for step in range(steps):
+        last = step == steps - 1
+        free = [f"max(1 - g{i})" for i in cols] + ["0e0"]  # a predictor left out has a system of its own
+        h = [
+            f"sum(w * p * (1 - p) * {z[i]} * {z[j]})" + (f" + {free[i]}" if i == j else "") + f" AS a{i}_{j}" for i in range(size) for j in range(size)
+        ]
+        right = [f"sum(w * (y - p) * {z[i]}) AS a{i}_{size}" for i in range(size)]
+        ident = [f"{1 if i == j else 0}e0 AS a{i}_{size + 1 + j}" for i in range(size) for j in range(size)] if last else []
+        width = size + 1 + (size if last else 0)
+        sql += f""",
+e{step}_0 AS (
+  SELECT {k}, n, pos, {b}, sum(w * (y * eta - ln(1 + exp(eta)))) AS loglik, {", ".join(h + right + ident)}
+  FROM (SELECT *, 1 / (1 + exp(-eta)) AS p FROM (SELECT zs.*, {b}, {eta} AS eta FROM zs JOIN (SELECT {k}, {b} FROM t{step}) USING ({k}))) GROUP BY {k}, n, pos, {b})"""
+        for i in range(size):
+            rows = []
+            for r in range(size):
+                for c in range(width):
+                    value = f"a{i}_{c} / a{i}_{i}" if r == i else f"a{r}_{c} - a{r}_{i} * a{i}_{c} / a{i}_{i}"
+                    rows.append(f"{value} AS a{r}_{c}")
+            sql += f""",
+e{step}_{i + 1} AS (SELECT {k}, n, pos, {b}, loglik, {", ".join(rows)} FROM e{step}_{i})"""
+        new = ", ".join(f"b{i} + a{i}_{size} AS b{i}" for i in range(size))
+        if last:
+            errors = ", ".join(f"sqrt(a{i}_{size + 1 + i}) AS e{i}" for i in range(size))
+            sql += f""",
+fits AS (SELECT {k}, n, pos, loglik, {new}, {errors} FROM e{step}_{size} WHERE greatest({", ".join(f"abs(a{i}_{size})" for i in range(size))}) < 1e-6)"""
+        else:
+            sql += f""",
+t{step + 1} AS (SELECT {k}, n, pos, {new} FROM e{step}_{size})"""
+    return sql
+
+
+_NULL_DEVIANCE = "(-2 * (pos * ln(pos / n) + (n - pos) * ln(1 - pos / n)))"
+
+
+def _screen_sql():
+    return f"""{s.LABELLED},
+long AS (SELECT model_id, key AS var, sqrt(round(value, 5)) AS x, label FROM (UNPIVOT labelled ON log_text, vowel_share, log_lines, digit_share INTO NAME key VALUE value)
+  UNION ALL SELECT model_id, 'constant', 1e0, label FROM labelled UNION ALL SELECT 'POOR', 'log_text', log_text, label FROM labelled WHERE label = 1),
+can AS (SELECT model_id, var FROM long GROUP BY 1, 2 HAVING stddev_samp(x) > 0 AND min(label) < max(label)),
+fitted AS (SELECT * FROM long JOIN can USING (model_id, var)),
+{newton_sql("fitted", ["x"], ("model_id", "var"), steps=25)},
+ranked AS (SELECT *, (rank() OVER w + count(*) OVER (PARTITION BY model_id, var, x) / 2 - 0.5e0) AS r FROM fitted WINDOW w AS (PARTITION BY model_id, var ORDER BY x)),
 a AS (SELECT model_id, var, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS auc FROM ranked GROUP BY 1, 2),
-f AS (
-  SELECT b.model_id, b.var, max(nn)::BIGINT AS n_sample, max(kk / nn) AS frac_exceed,
-         4 - 2 * sum(k * (b0 + b1 * ((x - mx) / sx)) - n * ln(1 + exp(b0 + b1 * ((x - mx) / sx)))) AS aic, max(b1 / sx) AS slope
-  FROM b JOIN c{steps} c ON c.model_id = b.model_id AND c.var = b.var GROUP BY 1, 2)
-SELECT f.model_id, f.var, n_sample, round(frac_exceed, 6) AS frac_exceed, round(aic, 4) AS aic, round(slope, 4) AS slope,
-       round(CASE WHEN slope < 0 THEN 1 - auc ELSE auc END, 6) AS auc FROM f JOIN a ON a.model_id = f.model_id AND a.var = f.var"""
+every AS (SELECT model_id, var, count(*) AS n_sample, avg(label) AS frac_exceed FROM long GROUP BY 1, 2),
+scale AS (SELECT model_id, var, s0 FROM mo)
+SELECT model_id, var, n_sample, round(frac_exceed, 6) AS frac_exceed, round(4 - 2 * loglik, 4) AS aic, round(b0 / s0, 4) AS slope,
+       round(CASE WHEN b0 < 0 THEN 1 - auc ELSE auc END, 6) AS auc, loglik IS NOT NULL AS converged
+FROM every LEFT JOIN fits USING (model_id, var) LEFT JOIN scale USING (model_id, var) LEFT JOIN a USING (model_id, var)"""
 
 
 @query("j23_univariate_screening", "WITH " + _screen_sql())
 def screening(spark, folder):
+    """All groups, two kinds without a fit among them: a constant variable and a class alone."""
     rows = materialize(s.labelled(spark, folder), "labelled")
-    long = reshape.to_long(rows, ["model_id", "label"], s.FEATURES, "var", "value")
-    fit = models.univariate_screen(long.withColumn("x", F.sqrt(F.round("value", 5))), ["model_id", "var"])
+    long = reshape.to_long(rows, ["model_id", "label"], s.FEATURES, "var", "value").withColumn("x", F.sqrt(F.round("value", 5))).drop("value")
+    constant = rows.select("model_id", "label", F.lit("constant").alias("var"), F.lit(1.0).alias("x"))
+    alone = rows.filter("label = 1").select(F.lit("POOR").alias("model_id"), "label", F.lit("log_text").alias("var"), F.col("log_text").alias("x"))
+    fit = models.univariate_screen(long.unionByName(constant).unionByName(alone), ["model_id", "var"])
     out = s.rounded(fit.drop("intercept"), 6, "frac_exceed", "auc")
     return s.rounded(out, 4, "aic", "slope")
 
 
-# ------------------------------------------------------------- fits: rows-only checks
+# ------------------------------------------------------------- fits
 
 
-def _training(spark, folder):
+def _training(spark, folder, folds=10):
     """Labelled rows with split and folds, written once because every fit reads them again."""
     x = s.labelled(spark, folder)
     x = labels.stratified_split(x, ["label"], ["doc_id"], 0.75, 11)
-    return materialize(labels.stratified_folds(x, ["label"], ["doc_id"], 3, 13), "training")
+    return materialize(labels.stratified_folds(x, ["label"], ["doc_id"], folds, 13), "training")
 
 
-@query("j4_glm_coefficients")
+_SPLIT = f"""{s.LABELLED},
+placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(doc_id::VARCHAR || ':11'), doc_id) AS rn, count(*) OVER (PARTITION BY label) AS of_class FROM labelled),
+rows_ AS (SELECT * EXCLUDE (rn, of_class), CASE WHEN rn <= ceil(round(of_class * 0.75e0, 9)) THEN 'train' ELSE 'test' END AS subset FROM placed),
+train AS (SELECT *, 'documents' AS of_model FROM rows_ WHERE subset = 'train')"""
+
+
+def _terms_sql(predictors, digits=6):
+    """Coefficient rows of ``fits``."""
+    each = " UNION ALL ".join(
+        f"SELECT of_model AS model_id, '{t}' AS term, b{i} AS estimate, e{i} AS std_error FROM fits" for i, t in enumerate([*predictors, "(Intercept)"])
+    )
+    return f"SELECT model_id, term, round(estimate, {digits}) AS estimate, round(std_error, {digits}) AS std_error, round(estimate / std_error, {digits}) AS z_value FROM ({each})"
+
+
+@query(
+    "j4_glm_coefficients",
+    f"""
+WITH {_SPLIT}, {newton_sql("train", s.FEATURES, ("of_model",))}
+SELECT terms.*, round(-2 * loglik + {2 * len(s.FEATURES) + 2}, 6) AS aic, round(-2 * loglik, 6) AS deviance, round({_NULL_DEVIANCE}, 6) AS null_deviance,
+       round(1 + 2 * loglik / {_NULL_DEVIANCE}, 6) AS r2, {len(s.FEATURES)}e0 AS n_predictors
+FROM ({_terms_sql(s.FEATURES)}) terms, fits""",
+)
 def glm(spark, folder):
     t = _training(spark, folder).filter("subset = 'train'")
     fit = models.fit_glm(t, s.FEATURES)
     table = models.coefficient_table(spark, "documents", fit)
-    return table.withColumns({k: F.lit(v) for k, v in fit.figures.items()})
+    return s.rounded(table.withColumns({k: F.lit(v) for k, v in fit.figures.items()}))
 
 
 @query("j5_elastic_net_tuning")
 def elastic(spark, folder):
-    t = _training(spark, folder)
-    return models.tuning_table(spark, models.elastic_net(t, s.FEATURES, folds=3, alphas=(0.0, 0.6), lambdas=(0.001, 0.1)))
+    return models.tuning_table(spark, models.elastic_net(_training(spark, folder), s.FEATURES))
 
 
 @query("j6_random_forest_scores")
 def forest(spark, folder):
     t = _training(spark, folder)
-    m = models.random_forest(t.filter("subset = 'train'"), s.FEATURES, trees=20, depth=5)
+    m = models.random_forest(t.filter("subset = 'train'"), s.FEATURES)
     return models.score_with(m, t).select("doc_id", "subset", "label", "prob")
 
 
 @query("j7_boosted_tree_scores")
 def boosted(spark, folder):
     t = _training(spark, folder)
-    m = models.boosted_trees(t.filter("subset = 'train'"), s.FEATURES, rounds=5)
+    m = models.boosted_trees(t.filter("subset = 'train'"), s.FEATURES)
     return models.score_with(m, t).select("doc_id", "subset", "label", "prob")
 
 
-@query("j8_forward_selection_path")
+def _forward_sql():
+    """All sets of predictors are fitted, then the path is walked through them."""
+    n = len(s.FEATURES)
+    bits = [f"(mask >> {i}) & 1" for i in range(n)]
+    walk = f"""w0 AS (SELECT 0 AS mask, {_NULL_DEVIANCE} + 2 AS aic, '(none)' AS term, 0 AS step FROM (SELECT sum(label) AS pos, count(*)::DOUBLE AS n FROM train))"""
+    for k in range(n):
+        term = " ".join(f"WHEN c.mask - w.mask = {1 << i} THEN '{f}'" for i, f in enumerate(s.FEATURES))
+        walk += f""",
+w{k + 1} AS (
+  SELECT c.mask, c.aic, CASE {term} END AS term, {k + 1} AS step FROM aics c JOIN w{k} w ON (c.mask & w.mask) = w.mask AND c.size = {k + 1} AND c.aic < w.aic
+  ORDER BY round(c.aic, 9), c.mask LIMIT 1)"""
+    every = " UNION ALL ".join(f"SELECT step, term, aic FROM w{k}" for k in range(n + 1))
+    return f"""
+WITH {_SPLIT},
+sets AS (SELECT train.*, mask FROM train, (SELECT unnest(generate_series(1, {2**n - 1}))::INTEGER AS mask)),
+{newton_sql("sets", s.FEATURES, ("mask",), masks=bits)},
+aics AS (SELECT mask, bit_count(mask) AS size, -2 * loglik + 2 * bit_count(mask) + 2 AS aic FROM fits),
+{walk}
+SELECT step::INTEGER AS step, term, round(aic, 6) AS aic FROM ({every})"""
+
+
+@query("j8_forward_selection_path", _forward_sql())
 def forward(spark, folder):
     t = _training(spark, folder).filter("subset = 'train'")
     _, path = models.forward_selection(t, s.FEATURES)
-    return spark.createDataFrame(path, "step int, term string, aic double")
+    return s.rounded(spark.createDataFrame([(i, t, float(a)) for i, t, a in path], "step int, term string, aic double"))
 
 
 @query("j9_penalty_path")
 def penalty(spark, folder):
-    cv = models.ridge_path(_training(spark, folder), s.FEATURES, folds=3, n_values=3)
-    return models.tuning_table(spark, cv)
+    return models.tuning_table(spark, models.ridge_path(_training(spark, folder, 7), s.FEATURES))
+
 
+_REPEATS, _FOLDS = 3, 10
+_RESAMPLES = f"""{s.LABELLED},
+folded AS ({" UNION ALL ".join(
+    f"SELECT *, {r} AS rep, ((row_number() OVER (PARTITION BY label ORDER BY md5(doc_id::VARCHAR || ':{5 + r}'), doc_id) - 1) % {_FOLDS})::INTEGER AS fold FROM labelled"
+    for r in range(1, _REPEATS + 1))}),
+fitted AS (SELECT f.*, k FROM folded f JOIN (SELECT unnest(generate_series(0, {_FOLDS - 1}))::INTEGER AS k) ON fold <> k)"""
 
-@query("j10_repeated_cv_metrics")
+
+@query(
+    "j10_repeated_cv_metrics",
+    f"""
+WITH {_RESAMPLES}, {newton_sql("fitted", s.FEATURES, ("rep", "k"))},
+scored AS (
+  SELECT f.rep, f.k, label, 1 / (1 + exp(-({" + ".join(f"b{i} * (({c} - m{i}) / s{i})" for i, c in enumerate(s.FEATURES))} + b{len(s.FEATURES)}))) AS prob
+  FROM folded d JOIN fits f ON f.rep = d.rep AND f.k = d.fold JOIN mo ON mo.rep = f.rep AND mo.k = f.k),
+ranked AS (SELECT *, rank() OVER (PARTITION BY rep, k ORDER BY prob) + count(*) OVER (PARTITION BY rep, k, prob) / 2 - 0.5e0 AS r FROM scored)
+SELECT 'Fold' || lpad((k + 1)::VARCHAR, 2, '0') || '.Rep' || rep AS resample,
+       round((sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)), 6) AS roc,
+       round(count(*) FILTER (WHERE prob > 0.2e0 AND label = 1) / sum(label), 6) AS sens, round(count(*) FILTER (WHERE prob <= 0.2e0 AND label = 0) / sum(1 - label), 6) AS spec
+FROM ranked GROUP BY rep, k""",
+)
 def repeated(spark, folder):
-    x = materialize(models.repeated_folds(s.labelled(spark, folder), ["label"], ["doc_id"], 3, 2, 5), "repeats")
-    out = None
-    for r in (1, 2):
-        scored = models.held_out_scores(x, s.FEATURES, f"fold_{r}", 3).withColumn("resample", F.format_string(f"Fold%02d.Rep{r}", F.col(f"fold_{r}") + 1))
-        m = models.resample_metrics(scored, "resample")
-        out = m if out is None else out.unionByName(m)
-    return out
+    x = materialize(models.repeated_folds(s.labelled(spark, folder), ["label"], ["doc_id"], _FOLDS, _REPEATS, 5), "repeats")
+    scored = models.held_out_scores(x, s.FEATURES, [f"fold_{r}" for r in range(1, _REPEATS + 1)], _FOLDS)
+    return s.rounded(models.resample_metrics(materialize(scored, "held-out"), "resample"))
 
 
 def _board(spark, folder):
     t = _training(spark, folder)
     train = t.filter("subset = 'train'")
     sets = {"all": s.FEATURES, "some": s.FEATURES[:2]}
-    fitted = {
-        (name, learner): m
-        for name, cols in sets.items()
-        for learner, m in models.train_learners(train, cols, "fold", 3, alphas=(0.0,), lambdas=(0.01,), trees=10, rounds=3).items()
-    }
+    fitted = {(name, learner): m for name, cols in sets.items() for learner, m in models.train_learners(train, cols, "fold", 10).items()}
     return models.score_learners(t, fitted, ["doc_id", "subset", "label"])
 
 
 @query("j14_leaderboard")
 def leaderboard(spark, folder):
-    return models.leaderboard(_board(spark, folder), ["predictor_set", "model_name"], cutoff=models.CUTOFF)
+    return models.leaderboard(materialize(_board(spark, folder), "board"), ["predictor_set", "model_name"], cutoff=models.CUTOFF)
+
 
+_RATES = ("accuracy", "kappa", "sensitivity", "specificity", "ppv", "npv", "accuracy_null", "accuracy_pvalue")
 
-@query("j15_final_model_table")
+
+def _final_sql():
+    figures = ["auc", *_RATES]
+    wide = ", ".join(
+        f"max(CASE WHEN subset = '{t}' THEN {f} END) AS {f}_{t}" for f in figures for t in ("train", "test")
+    )
+    shown = ", ".join(f"round({f}_{t}, {6 if f == 'accuracy_pvalue' else 9}) AS {f}_{t}" for f in figures for t in ("train", "test"))
+    odds = " + ".join(f"b{i} * (({c} - m{i}) / s{i})" for i, c in enumerate(s.FEATURES))
+    return f"""
+WITH {_SPLIT}, {newton_sql("train", s.FEATURES)},
+scored AS (SELECT r.model_id, subset, label, 1 / (1 + exp(-({odds} + b{len(s.FEATURES)}))) AS prob FROM rows_ r JOIN fits USING (model_id) JOIN mo USING (model_id)),
+ranked AS (SELECT *, rank() OVER (PARTITION BY model_id, subset ORDER BY prob) + count(*) OVER (PARTITION BY model_id, subset, prob) / 2 - 0.5e0 AS r FROM scored),
+four AS (
+  SELECT model_id, subset, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2) / (sum(label) * sum(1 - label)) AS auc,
+         count(*) FILTER (WHERE prob > 0.2e0 AND label = 1) AS tp, count(*) FILTER (WHERE prob > 0.2e0 AND label = 0) AS fp,
+         count(*) FILTER (WHERE prob <= 0.2e0 AND label = 1) AS fn, count(*) FILTER (WHERE prob <= 0.2e0 AND label = 0) AS tn FROM ranked GROUP BY 1, 2),
+m0 AS (
+  SELECT *, tp + fp + fn + tn AS cnt, (tp + tn) / cnt AS accuracy, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (cnt * cnt) AS chance,
+         greatest(tp + fn, fp + tn) / cnt AS accuracy_null FROM four),
+tail AS (
+  SELECT model_id, subset, sum(exp(lgamma(cnt + 1) - lgamma(k + 1) - lgamma(cnt - k + 1) + k * ln(accuracy_null) + (cnt - k) * ln(1 - accuracy_null))) AS accuracy_pvalue
+  FROM (SELECT *, unnest(generate_series(tp + tn, cnt))::DOUBLE AS k FROM m0) GROUP BY 1, 2),
+m AS (
+  SELECT *, CASE WHEN chance < 1 THEN (accuracy - chance) / (1 - chance) END AS kappa, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END AS sensitivity, CASE WHEN tn + fp > 0 THEN tn / (tn + fp) END AS specificity,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS ppv, CASE WHEN tn + fn > 0 THEN tn / (tn + fn) END AS npv FROM m0 JOIN tail USING (model_id, subset)),
+wide AS (SELECT model_id, {wide} FROM m GROUP BY 1),
+base AS (SELECT model_id, count(*) AS n_sample, avg(label) AS freq_exceedance FROM rows_ GROUP BY 1)
+SELECT model_id, n_sample, round(freq_exceedance, 9) AS freq_exceedance, round(-2 * loglik + {2 * len(s.FEATURES) + 2}, 6) AS aic, round(-2 * loglik, 6) AS deviance,
+       round({_NULL_DEVIANCE}, 6) AS null_deviance, round(1 + 2 * loglik / {_NULL_DEVIANCE}, 6) AS r2, CASE WHEN loglik IS NOT NULL THEN {len(s.FEATURES)} END::INTEGER AS n_predictors,
+       round((auc_test - auc_train) / 2, 9) AS auc_diff, round((auc_test + auc_train) / 2, 9) AS auc_mean, {shown}, 0.2e0 AS cutoff,
+       coalesce(accuracy_test > 0.8e0, FALSE) AND coalesce(sensitivity_test > 0.5e0, FALSE) AND coalesce(specificity_test > 0.85e0, FALSE) AS accepted
+FROM base LEFT JOIN fits USING (model_id) LEFT JOIN wide USING (model_id)"""
+
+
+@query("j15_final_model_table", _final_sql())
 def final(spark, folder):
     t = _training(spark, folder)
-    figures, scored = [], None
-    for m in ("EN", "OTHER"):
-        rows = t.filter(F.col("model_id") == m)
-        fit = models.fit_glm(rows.filter("subset = 'train'"), s.FEATURES[:2])
-        f = fit.figures
-        figures.append((m, f["aic"], f["deviance"], f["null_deviance"], f["r2"], int(f["n_predictors"])))
-        part = fit.score(rows).select("model_id", "subset", "label", "prob")
-        scored = part if scored is None else scored.unionByName(part)
-    table = spark.createDataFrame(figures, "model_id string, aic double, deviance double, null_deviance double, r2 double, n_predictors int")
-    return models.final_table(t, scored, table)
+    names = [r["model_id"] for r in t.select("model_id").distinct().orderBy("model_id").collect()]
+    flags = {f"_is_{i}": (F.col("model_id") == m) & (F.col("subset") == "train") for i, m in enumerate(names)}
+    specs = [newton.Spec((m,), tuple(s.FEATURES), f"_is_{i}") for i, m in enumerate(names)]
+    fits = newton.fit_many(t.withColumns(flags), specs)
+    figures = [(f.spec.name[0], f.aic, f.deviance, f.null_deviance, 1 - f.deviance / f.null_deviance, len(s.FEATURES)) for f in fits if f.converged]
+    odds = F.lit(None).cast("double")
+    for f in fits:
+        if f.converged:
+            odds = F.when(F.col("model_id") == f.spec.name[0], f.log_odds()).otherwise(odds)
+    scored = materialize(t.select("model_id", "subset", "label", sigmoid(odds).alias("prob")), "final-scores")
+    schema = "model_id string, aic double, deviance double, null_deviance double, r2 double, n_predictors int"
+    out = models.final_table(t, scored, spark.createDataFrame(figures, schema))
+    coarse = {"aic", "deviance", "null_deviance", "r2", "accuracy_pvalue_train", "accuracy_pvalue_test"}
+    return out.withColumns({c: F.round(c, 6 if c in coarse else 9) + F.lit(0.0) for c, k in out.dtypes if k == "double" and c != "cutoff"})
 
 
 @query("j18_variable_importance")
 def importance(spark, folder):
     t = _training(spark, folder).filter("subset = 'train'")
     glm_rows = models.importance(spark, "glm", models.fit_glm(t, s.FEATURES))
-    return glm_rows.unionByName(models.tree_importance(spark, "rf", models.random_forest(t, s.FEATURES, trees=10, depth=4)))
+    return glm_rows.unionByName(models.tree_importance(spark, "rf", models.random_forest(t, s.FEATURES)))
 
 
-@query("j26_weighted_fit")
+@query(
+    "j26_weighted_fit",
+    f"""
+WITH {_SPLIT}, sizes AS (SELECT label, count(*) AS n_class FROM rows_ GROUP BY 1),
+weighted AS (SELECT 'weighted' AS of_model, rows_.*, 0.5e0 / n_class AS wt FROM rows_ JOIN sizes USING (label)),
+{newton_sql("weighted", s.FEATURES, ("of_model",), "wt")}
+{_terms_sql(s.FEATURES)}""",
+)
 def weighted(spark, folder):
     t = summaries.class_weights(_training(spark, folder), [], "label")
-    return models.coefficient_table(spark, "weighted", models.fit_glm(t, s.FEATURES[:1], weight="weight"))
+    return s.rounded(models.coefficient_table(spark, "weighted", models.fit_glm(t, s.FEATURES, weight="weight")))
 
 
-@query("a14_model_save_and_load")
+@query(
+    "a14_model_save_and_load",
+    f"""
+WITH {_SPLIT}, {newton_sql("train", s.FEATURES, ("of_model",))}
+SELECT doc_id, round(1 / (1 + exp(-({" + ".join(f"b{i} * (({c} - m{i}) / s{i})" for i, c in enumerate(s.FEATURES))} + b{len(s.FEATURES)}))), 6) AS prob,
+       'documents' AS model_id, 0.2e0 AS cutoff, round(-2 * loglik + {2 * len(s.FEATURES) + 2}, 6) AS aic
+FROM rows_, fits, mo""",
+)
 def save_load(spark, folder):
     t = _training(spark, folder)
     fit = models.fit_glm(t.filter("subset = 'train'"), s.FEATURES)
@@ -502,4 +657,5 @@ def save_load(spark, folder):
     path = scratch_dir(spark, "model")
     model_files.save_model(fit.model, path, info.withColumn("version", model_files.version_id("model_id", F.col("aic").cast("string"))))
     loaded, back = model_files.load_model(spark, path)
-    return models.score_with(loaded, t).select("doc_id", "prob").crossJoin(F.broadcast(back.limit(1)))
+    scored = models.score_with(loaded, t).select("doc_id", "prob").crossJoin(F.broadcast(back.limit(1).drop("version")))
+    return s.rounded(scored, 6, "prob", "aic")

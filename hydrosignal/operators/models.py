@@ -11,17 +11,17 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrosignal.functions.clean import sigmoid
+from hydrosignal.operators import labels, metrics, newton
 from hydrosignal.operators.attach import attach
-from hydrosignal.operators import labels, metrics
+from hydrosignal.operators.ordered import first_per_key
+from hydrosignal.session import materialize
 
 # The elastic-net grid, default cutoff and acceptance limits.
 ALPHAS = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
@@ -79,7 +79,7 @@ def fit_glm(
 ) -> Glm:
     """Binomial fit on centred and scaled predictors, with AIC, deviances and pseudo-R2."""
     glr = GeneralizedLinearRegression(
-        family="binomial", link="logit", featuresCol="_features", labelCol=label, predictionCol="_p"
+        family="binomial", link="logit", featuresCol="_features", labelCol=label, predictionCol="_p", tol=1e-12, maxIter=100
     )
     if weight:
         glr = glr.setWeightCol(weight)
@@ -130,6 +130,21 @@ def score_with(model: PipelineModel, df: DataFrame, name: str = "prob") -> DataF
     return out.select(*df.columns, F.when(complete, F.nanvl(p, F.lit(None).cast("double"))).alias(name))
 
 
+@dataclass
+class Tuned:
+    """A tuned elastic net: mean AUC of every tried setting and the best one fitted on all rows."""
+
+    settings: list[tuple[float, float, float | None]]
+    best: tuple[float, float]
+    bestModel: PipelineModel
+
+
+def _fold_rows(df: DataFrame, fold: str, folds: int) -> tuple[DataFrame, list[str]]:
+    """Adds a true/false column per fold: the rows a model that leaves the fold out is fitted on."""
+    names = [f"_not_{fold}_{k}" for k in range(folds)]
+    return df.withColumns({n: F.col(fold) != k for k, n in enumerate(names)}), names
+
+
 def elastic_net(
     df: DataFrame,
     predictors: Sequence[str],
@@ -139,40 +154,52 @@ def elastic_net(
     alphas: Sequence[float] = ALPHAS,
     lambdas: Sequence[float] = LAMBDAS,
     weight: str | None = None,
-    parallelism: int = 4,
-):
-    """Elastic net tuned by AUC over the (alpha, lambda) grid with the given fold column."""
-    lr = LogisticRegression(featuresCol="_features", labelCol=label, standardization=False)
+) -> Tuned:
+    """Elastic net tuned by the mean AUC of the held-out folds over the (alpha, lambda) grid.
+
+    All settings of all folds are fitted together, one pass over the rows per step. Of equal AUCs
+    the stronger penalty wins, then the larger alpha. A setting without a fit has a null AUC.
+    """
+    work, rows = _fold_rows(df, fold, folds)
+    grid = [(float(a), float(x)) for a in alphas for x in lambdas]
+    specs = [newton.Spec((i, k), tuple(predictors), r, x, a) for i, (a, x) in enumerate(grid) for k, r in enumerate(rows)]
+    fits = newton.fit_many(work, specs, label, weight)
+    by = {f.spec.name: f for f in fits if f.converged}
+
+    def prob(i: int) -> Column:
+        odds = F.lit(None).cast("double")
+        for k in range(folds):
+            if (i, k) in by:
+                odds = F.when(F.col(fold) == k, by[i, k].log_odds()).otherwise(odds)
+        return sigmoid(odds)
+
+    scores = F.posexplode(F.array(*[prob(i) for i in range(len(grid))])).alias("setting", "prob")
+    scored = df.select(F.col(fold).alias("fold"), F.col(label).alias("label"), scores)
+    means = metrics.auc(scored, ["setting", "fold"]).groupBy("setting").agg(F.avg("auc").alias("auc")).collect()
+    found = {r["setting"]: r["auc"] for r in means}
+    settings = [(a, x, found.get(i)) for i, (a, x) in enumerate(grid)]
+    tried = [t for t in settings if t[2] is not None]
+    if not tried:
+        raise ValueError("no setting could be fitted")
+    alpha, strength, _ = max(tried, key=lambda t: (round(t[2], 12), t[1], t[0]))
+    lr = LogisticRegression(
+        featuresCol="_features", labelCol=label, standardization=False, elasticNetParam=alpha, regParam=strength, tol=1e-9, maxIter=500
+    )
     if weight:
         lr = lr.setWeightCol(weight)
-    grid = ParamGridBuilder().addGrid(lr.elasticNetParam, list(alphas)).addGrid(lr.regParam, list(lambdas)).build()
-    cv = CrossValidator(
-        estimator=Pipeline(stages=[*_scaled(predictors), lr]),
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
-        numFolds=folds,
-        foldCol=fold,
-        parallelism=parallelism,
-    )
-    return cv.fit(df)
+    return Tuned(settings, (alpha, strength), Pipeline(stages=[*_scaled(predictors), lr]).fit(df))
 
 
-def ridge_path(df, predictors, label="label", fold="fold", folds=7, n_values=10, weight=None, parallelism=4):
+def ridge_path(df, predictors, label="label", fold="fold", folds=7, n_values=10, weight=None) -> Tuned:
     """Ten penalties spaced evenly on a log scale from strong to weak, chosen by cross-validation."""
     n = df.count()
     strengths = [10 ** (-4 + 8 * i / (n_values - 1)) for i in range(n_values)]
-    return elastic_net(
-        df, predictors, label, fold, folds, (0.0,), [1.0 / (c * n) for c in strengths], weight, parallelism
-    )
+    return elastic_net(df, predictors, label, fold, folds, (0.0,), [1.0 / (c * n) for c in strengths], weight)
 
 
-def tuning_table(spark: SparkSession, cv_model) -> DataFrame:
+def tuning_table(spark: SparkSession, tuned: Tuned) -> DataFrame:
     """One row per tried setting with its mean AUC."""
-    rows = []
-    for setting, value in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
-        named = {p.name: float(v) for p, v in setting.items()}
-        rows.append((named.get("elasticNetParam"), named.get("regParam"), float(value)))
-    return spark.createDataFrame(rows, "alpha double, lambda double, auc double")
+    return spark.createDataFrame(tuned.settings, "alpha double, lambda double, auc double")
 
 
 def random_forest(df, predictors, label="label", trees=100, depth=8, seed=1) -> PipelineModel:
@@ -193,23 +220,28 @@ def tree_importance(spark: SparkSession, model_id: str, model: PipelineModel) ->
     )
 
 
-def forward_selection(df: DataFrame, candidates: Sequence[str], label: str = "label") -> tuple[Glm, list[tuple]]:
-    """Adds the predictor that lowers AIC most until none does; returns the model and the path."""
-    base = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("k")).first()
-    n, k = float(base["n"]), float(base["k"])
-    null_dev = -2 * sum(c * _ln(c / n) for c in (k, n - k))
-    best_aic, chosen, best, path = null_dev + 2, [], None, [(0, "(none)", null_dev + 2)]
+def forward_selection(df: DataFrame, candidates: Sequence[str], label: str = "label") -> tuple[Glm | None, list[tuple]]:
+    """Adds the predictor that lowers AIC most until none does; returns the model and the path.
+
+    All candidates of a round are fitted together. A candidate without a finite fit is passed over;
+    of equal AICs the one named first is taken.
+    """
+    base = df.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label)).alias("k")).first()
+    n, k = float(base["n"]), float(base["k"] or 0)
+    null_dev = -2 * sum(c * _ln(c / n) for c in (k, n - k)) if n else 0.0
+    best_aic, chosen, path = null_dev + 2, [], [(0, "(none)", null_dev + 2)]
     left = list(candidates)
     while left:
-        fits = [(fit_glm(df, [*chosen, c], label), c) for c in left]
-        fit, name = min(fits, key=lambda f: f[0].figures["aic"])
-        if fit.figures["aic"] >= best_aic:
+        fits = newton.fit_many(df, [newton.Spec((c,), (*chosen, c)) for c in left], label)
+        done = [f for f in fits if f.converged]
+        fit = min(done, key=lambda f: round(f.aic, 9), default=None)
+        if fit is None or fit.aic >= best_aic:
             break
-        best, best_aic = fit, fit.figures["aic"]
+        name, best_aic = fit.spec.name[0], fit.aic
         chosen.append(name)
         left.remove(name)
         path.append((len(chosen), name, best_aic))
-    return best, path
+    return fit_glm(df, chosen, label) if chosen else None, path
 
 
 def _ln(x: float) -> float:
@@ -225,16 +257,27 @@ def repeated_folds(df: DataFrame, strata: Sequence[str], id_cols: Sequence[str],
     return df
 
 
-def held_out_scores(df: DataFrame, predictors: Sequence[str], fold: str, folds: int, label="label") -> DataFrame:
-    """Every row scored by the model that did not see its fold."""
-    parts = []
-    for k in range(folds):
-        fit = fit_glm(df.filter(F.col(fold) != k), predictors, label)
-        parts.append(fit.score(df.filter(F.col(fold) == k)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def held_out_scores(
+    df: DataFrame, predictors: Sequence[str], fold_columns: Sequence[str], folds: int, label: str = "label", name: str = "resample"
+) -> DataFrame:
+    """Every row scored, for each fold column, by the model that did not see its fold.
+
+    One row per row and fold column, ``name`` tells the resample (Fold01.Rep1, ...). The models of
+    all folds and repeats are fitted together. Rows that cannot be scored have a null ``prob``.
+    """
+    work, specs = df, []
+    for r, column in enumerate(fold_columns):
+        work, rows = _fold_rows(work, column, folds)
+        specs += [newton.Spec((r, k), tuple(predictors), row) for k, row in enumerate(rows)]
+    by = {f.spec.name: f for f in newton.fit_many(work, specs, label) if f.converged}
+    entries = []
+    for r, column in enumerate(fold_columns):
+        odds = F.lit(None).cast("double")
+        for k in range(folds):
+            if (r, k) in by:
+                odds = F.when(F.col(column) == k, by[r, k].log_odds()).otherwise(odds)
+        entries.append(F.struct(F.format_string(f"Fold%02d.Rep{r + 1}", F.col(column) + 1).alias(name), sigmoid(odds).alias("prob")))
+    return df.select("*", F.inline(F.array(*entries)))
 
 
 def resample_metrics(scored: DataFrame, fold: str, label: str = "label", cutoff: float = CUTOFF) -> DataFrame:
@@ -282,12 +325,17 @@ def accepted(table: DataFrame, suffix: str = "", limits: dict[str, float] | None
 def final_table(
     samples: DataFrame, scored: DataFrame, figures: DataFrame, keys: Sequence[str] = ("model_id",), cutoff: float = CUTOFF
 ) -> DataFrame:
-    """Final model table: sample count, exceedance share, fit figures, train/test metrics, verdict."""
+    """Final model table: sample count, exceedance share, fit figures, train/test metrics, verdict.
+
+    Every model of ``samples`` has a row; what is missing in ``figures`` or ``scored`` is null and
+    not accepted.
+    """
     base = samples.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_sample"), F.avg(F.col("label").cast("double")).alias("freq_exceedance")
     )
     board = leaderboard(scored, keys, cutoff=cutoff)
-    return accepted(base.join(figures, list(keys)).join(board, list(keys)).withColumn("cutoff", F.lit(cutoff)), "_test")
+    joined = base.join(figures, list(keys), "left").join(board, list(keys), "left")
+    return accepted(joined.withColumn("cutoff", F.lit(cutoff)), "_test")
 
 
 def collect_coefficients(coefficients: DataFrame) -> dict | None:
@@ -393,89 +441,97 @@ def effect_curve(
 
 
 def univariate_screen(
-    long: DataFrame, keys: Sequence[str], value: str = "x", label: str = "label", steps: int = 8
+    long: DataFrame, keys: Sequence[str], value: str = "x", label: str = "label", steps: int = 25
 ) -> DataFrame:
     """Single-predictor logistic fits for every group at once: AIC, AUC, slope and intercept.
 
-    Rows are reduced to counts per distinct value; Newton steps are then plain aggregates
-    over that table, two coefficients per group joined back each time. No group's rows are
-    gathered in one task.
+    Rows are reduced to counts per distinct value; Newton steps are then plain aggregates over that
+    table, with two coefficients per group attached each time. Groups that have converged drop out,
+    and no group's rows are gathered in one task. Every group of ``long`` gives a row: a group with
+    one class, one value or no complete row, or whose classes the value tells apart, has no finite
+    fit: its figures are null and ``converged`` is false.
     """
     y = F.col(label).cast("double")
-    base = (
+    base = materialize(
         long.filter(F.col(value).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_x"))
-        .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(y).alias("_k"))
+        .groupBy(*keys, F.col(value).cast("double").alias("_x"))
+        .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(y).alias("_k")),
+        "screen-counts",
+    )
+    means = base.groupBy(*keys).agg(
+        F.sum("_n").alias("n_sample"), F.sum("_k").alias("_pos"), (F.sum(F.col("_n") * F.col("_x")) / F.sum("_n")).alias("_mx")
     )
     # centred and scaled for a well-conditioned 2 x 2 system
-    moments = base.groupBy(*keys).agg(
-        F.sum("_n").alias("n_sample"),
-        F.sum("_k").alias("_pos"),
-        (F.sum(F.col("_n") * F.col("_x")) / F.sum("_n")).alias("_mx"),
-        F.sqrt(
-            F.greatest(
-                F.sum(F.col("_n") * F.col("_x") * F.col("_x")) / F.sum("_n")
-                - F.pow(F.sum(F.col("_n") * F.col("_x")) / F.sum("_n"), 2),
-                F.lit(0.0),
-            )
-        ).alias("_sx"),
-    ).filter("_sx > 0 and _pos > 0 and _pos < n_sample")
+    apart = F.col("_x") - F.col("_mx")
+    hit, miss = F.when(F.col("_k") > 0, F.col("_x")), F.when(F.col("_k") < F.col("_n"), F.col("_x"))
+    spread = attach(base, means, keys, "inner").groupBy(*keys, "n_sample", "_pos", "_mx").agg(
+        F.sqrt(F.sum(F.col("_n") * apart * apart) / F.first("n_sample")).alias("_sx"),
+        ((F.min(hit) < F.max(miss)) & (F.min(miss) < F.max(hit))).alias("_mixed"),
+    )
+    can = (F.col("_sx") > F.lit(1e-12) * F.abs("_mx")) & F.coalesce("_mixed", F.lit(False))
+    groups = materialize(spread.withColumn("_can", can), "screen-groups")
     # start at the intercept-only fit
-    coef = moments.select(
-        *keys, "_mx", "_sx", "n_sample", "_pos",
-        F.log(F.col("_pos") / (F.col("n_sample") - F.col("_pos"))).alias("_b0"),
-        F.lit(0.0).alias("_b1"),
+    live = groups.filter("_can").select(
+        *keys, "_mx", "_sx", F.log(F.col("_pos") / (F.col("n_sample") - F.col("_pos"))).alias("_b0"), F.lit(0.0).alias("_b1")
     )
-    z = (F.col("_x") - F.col("_mx")) / F.col("_sx")
+    live, done = materialize(live, "screen-step"), []
+    z, eta = (F.col("_x") - F.col("_mx")) / F.col("_sx"), F.col("_b0") + F.col("_b1") * F.col("_z")
+    p = sigmoid(eta)
+    w, g = F.col("_n") * p * (1 - p), F.col("_k") - F.col("_n") * p
+    h00, h01, h11, g0, g1 = (F.col(c) for c in ("_h00", "_h01", "_h11", "_g0", "_g1"))
     for _ in range(steps):
-        p = sigmoid(F.col("_b0") + F.col("_b1") * F.col("_z"))
-        w = F.col("_n") * p * (1 - p)
-        g = F.col("_k") - F.col("_n") * p
+        if live.isEmpty():
+            break
         sums = (
-            base.join(coef, list(keys))
+            attach(base, live, keys, "inner")
             .withColumn("_z", z)
-            .groupBy(*keys, "_mx", "_sx", "n_sample", "_pos", "_b0", "_b1")
+            .groupBy(*keys, "_mx", "_sx", "_b0", "_b1")
             .agg(
                 F.sum(w).alias("_h00"),
                 F.sum(w * F.col("_z")).alias("_h01"),
                 F.sum(w * F.col("_z") * F.col("_z")).alias("_h11"),
                 F.sum(g).alias("_g0"),
                 F.sum(g * F.col("_z")).alias("_g1"),
+                F.sum(F.col("_k") * eta - F.col("_n") * F.log1p(F.exp(eta))).alias("_loglik"),
             )
         )
-        det = F.nullif(F.col("_h00") * F.col("_h11") - F.col("_h01") * F.col("_h01"), F.lit(0.0))
-        d0 = (F.col("_h11") * F.col("_g0") - F.col("_h01") * F.col("_g1")) / det
-        d1 = (F.col("_h00") * F.col("_g1") - F.col("_h01") * F.col("_g0")) / det
-        coef = sums.select(
-            *keys, "_mx", "_sx", "n_sample", "_pos",
-            (F.col("_b0") + F.coalesce(d0, F.lit(0.0))).alias("_b0"),
-            (F.col("_b1") + F.coalesce(d1, F.lit(0.0))).alias("_b1"),
-        )
-    eta = F.col("_b0") + F.col("_b1") * F.col("_z")
-    loglik = F.col("_k") * eta - F.col("_n") * F.log1p(F.exp(eta))
-    fit = (
-        base.join(coef, list(keys))
-        .withColumn("_z", z)
-        .groupBy(*keys, "n_sample", "_pos", "_mx", "_sx", "_b0", "_b1")
-        .agg((4 - 2 * F.sum(loglik)).alias("aic"))
-        .select(
-            *keys,
-            F.col("n_sample").cast("long").alias("n_sample"),
-            (F.col("_pos") / F.col("n_sample")).alias("frac_exceed"),
-            "aic",
-            (F.col("_b1") / F.col("_sx")).alias("slope"),
-            (F.col("_b0") - F.col("_b1") * F.col("_mx") / F.col("_sx")).alias("intercept"),
+        det = F.nullif(h00 * h11 - h01 * h01, F.lit(0.0))
+        moved = sums.withColumns({"_d0": (h11 * g0 - h01 * g1) / det, "_d1": (h00 * g1 - h01 * g0) / det})
+        size = F.greatest(F.abs("_d0"), F.abs("_d1"))
+        # a step of no size or beyond all bounds ends the group without a fit
+        moved = materialize(
+            moved.filter(size.isNotNull() & (F.abs("_b0") + F.abs("_b1") < 1e6)).withColumn("_done", size < F.lit(1e-9)), "screen-sums"
         )
-    )
+        done.append(moved.filter("_done").select(*keys, "_b0", "_b1", "_loglik"))
+        new = [(F.col("_b0") + F.col("_d0")).alias("_b0"), (F.col("_b1") + F.col("_d1")).alias("_b1")]
+        live = materialize(moved.filter("NOT _done").select(*keys, "_mx", "_sx", *new), "screen-step")
+    fits = done[0] if done else live.select(*keys, "_b0", "_b1", F.lit(None).cast("double").alias("_loglik")).limit(0)
+    for d in done[1:]:
+        fits = fits.unionByName(d)
     # A logistic fit is monotone in x, so its AUC is that of x, mirrored for a falling fit.
     area = metrics.auc(long, keys, value, label, "_auc").select(*keys, "_auc")
-    mirrored = F.when(F.col("slope") < 0, 1 - F.col("_auc")).otherwise(F.col("_auc"))
-    return fit.join(area, list(keys)).withColumn("auc", mirrored).drop("_auc")
+    every = long.select(*keys).distinct()
+    same = lambda a, b: [a[k].eqNullSafe(b[f"_k_{k}"]) for k in keys]
+
+    def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+        renamed = b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        return a.join(renamed, same(a, renamed), "left").drop(*[f"_k_{k}" for k in keys])
+
+    out = joined(joined(joined(every, groups), fits), area)
+    slope = F.col("_b1") / F.col("_sx")
+    return out.select(
+        *keys,
+        F.coalesce(F.col("n_sample").cast("long"), F.lit(0)).alias("n_sample"),
+        (F.col("_pos") / F.col("n_sample")).alias("frac_exceed"),
+        (4 - 2 * F.col("_loglik")).alias("aic"),
+        slope.alias("slope"),
+        (F.col("_b0") - slope * F.col("_mx")).alias("intercept"),
+        F.when(slope < 0, 1 - F.col("_auc")).when(slope.isNotNull(), F.col("_auc")).alias("auc"),
+        F.col("_loglik").isNotNull().alias("converged"),
+    )
 
 
 def best_by(df: DataFrame, keys: Sequence[str], metric: Column, tie: Sequence[Column]) -> DataFrame:
-    from hydrosignal.operators.ordered import first_per_key
-
     return first_per_key(df, keys, [metric.desc(), *tie])
 
 
