@@ -165,11 +165,17 @@ def statistics(tokens: DataFrame) -> tuple[np.ndarray, float]:
 def _placed(batches: Iterator[pa.RecordBatch], weight: np.ndarray) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         near = np.full((len(rows), PLACED_BY), -1, np.int64)
-        for i, (terms, counts) in enumerate(zip(rows.column("terms").to_pylist(), rows.column("counts").to_pylist(), strict=True)):
-            terms, counts = np.frombuffer(terms, np.uint32), np.frombuffer(counts, np.uint32)
-            much = weight[terms] * np.log1p(counts)
-            best = np.lexsort((terms, -much))[:PLACED_BY]
-            near[i, : len(best)] = terms[best]
+        lists = rows.column("terms").to_pylist()
+        terms = np.frombuffer(b"".join(lists), np.uint32)
+        much = weight[terms] * np.log1p(np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint32))
+        sizes = np.array([len(x) // 4 for x in lists])  # every document has END at least
+        first, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(lists)), sizes)
+        for i in range(PLACED_BY if len(lists) else 0):
+            most = np.maximum.reduceat(much, first)
+            at = np.flatnonzero(much == most[row])
+            at = at[np.append(True, row[at][1:] != row[at][:-1])]  # the smallest of equal ones
+            near[:, i] = np.where(most >= 0, terms[at], -1)
+            much[at] = -1
         columns = [rows.column(c) for c in ("key", "doc", "place", "start", "ids", "doc_tokens", "terms", "counts")]
         yield pa.RecordBatch.from_arrays(
             columns + [pa.array(x) for x in near.T], names=["key", "doc", "place", "start", "ids", "doc_tokens", "terms", "counts", *[f"near{i}" for i in range(PLACED_BY)]]
@@ -192,9 +198,20 @@ class Shard:
         norm = K1 * (1 - B + B * lengths / mean)
         self.score = weight[term[order]] * count * (K1 + 1) / (count + norm[self.doc])
         self.terms = [t[weight[t] > 0] for t in terms]
-
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for the tokens of one of them."""
+        self.held = len(terms)
+
+    def thin(self, left: np.ndarray) -> None:
+        """Takes documents without ids left out of the lists once they are a quarter of them."""
+        unused = np.count_nonzero(left)
+        if unused < 0.75 * self.held:
+            keep = left[self.doc] > 0
+            before = np.append(0, np.cumsum(keep))
+            self.first, self.last = before[self.first], before[self.last]
+            self.doc, self.score, self.held = self.doc[keep], self.score[keep], unused
+
+    def scores(self, seed: int, left: np.ndarray) -> np.ndarray:
+        """BM25 of every unused document of the shard for the tokens of one of them."""
+        self.thin(left)
         at = np.searchsorted(self.vocabulary, self.terms[seed])
         first, size = self.first[at], (self.last - self.first)[at]
         ends = np.cumsum(size)
@@ -205,8 +222,8 @@ class Shard:
 def fill(left: np.ndarray, scores, window: int, flush: bool) -> Iterator[list[tuple[int, int]]]:
     """Windows as lists of (document, length), each taking what a document has left from its front.
 
-    ``left``: ids of each document that are not packed, changed in place. ``scores(seed)`` ranks the
-    neighbours of a seed. A document that is cut is the next seed; otherwise the next unused one is.
+    ``left``: ids of each document that are not packed, changed in place. ``scores(seed, left)``
+    ranks the neighbours of a seed. A document that is cut is the next seed; otherwise the next unused one is.
     What cannot fill a window stays in ``left``, unless ``flush``: then it is given out in sequences
     whose lengths are powers of two.
     """
@@ -223,7 +240,7 @@ def fill(left: np.ndarray, scores, window: int, flush: bool) -> Iterator[list[tu
         left[seed] -= first
         room -= first
         if room:
-            rank = scores(seed)
+            rank = scores(seed, left)
             unused = np.flatnonzero(left)
             unused = unused[np.argsort(-rank[unused], kind="stable")]
             # behind the last of these the window is full
