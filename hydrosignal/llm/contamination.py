@@ -1,12 +1,14 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
 
-The three-word runs of a test item are its seeds, shorter runs those of a short item; a run that
-very many items share seeds only those among whose rarest it is. Where a document holds a seed and
-enough of the item's words for the least score, the surrounding passage is aligned with the item.
 A matching word counts by its information (rare words more), gaps and differing words cost a share
 of the item's mean; the score is the share of the item's full score, so edited and paraphrased
 copies still score high, chance matches of a few words score low, and neither the size of the
 corpus nor the number of copies in it decides what is found.
+
+The seeds of a test item are its rarest words, as many as hold ``SEED_SHARE`` of its weight. A
+passage that reaches the least score matches that share of the weight, so all but ``1 - SEED_SHARE``
+of it is matched by seeds; its length is bounded, because every gap costs. So only where seeds of
+enough weight lie within so many words a passage is aligned, and none is missed, however it was edited.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from hydrosignal.llm.texts import FOLDED, SIGNS, grams, text_chunks, words
 
-GRAM = 3
-#: A run that more items share seeds only the items of whose runs it is in the rarer half, or among
-#: the rarest so many.
-SHARED_BY, RAREST = 64, 8
+#: Share of an item's weight that its seeds hold.
+SEED_SHARE = 0.85
+#: Words that are summed up together when seeds are looked for.
+STRIDE = 32
 LEAST_SCORE = 0.5
+#: Items of fewer words are found only where two neighbouring words of theirs (or their only one) stand together.
+SHORT = 6
 #: Costs of a differing word and of a gap, in mean weights of an item's words.
 DIFFERENT = GAP = 0.5
 #: Bytes of test items handled at once; a larger benchmark is worked on in blocks.
@@ -36,15 +40,22 @@ BLOCK_BYTES = 16_000_000
 
 @dataclass
 class Block:
-    """Test items with the weight of each word, and (hashes, items, places) of their seeds by run length.
+    """Test items with the weight of each word, and their seeds.
 
-    Seeds are sorted by hash.
+    ``words``: sorted hashes of all seeds; ``first``: where the list of each begins in ``owner`` (items)
+    and ``weight``. ``needed``: weight of seeds that an item found in a text has at least; ``reach``:
+    words of its passage at most.
     """
 
     ids: list
     items: list[np.ndarray]
     weights: list[np.ndarray]
-    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    words: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+    weight: np.ndarray
+    needed: np.ndarray
+    reach: np.ndarray
 
 
 def align(item: np.ndarray, weights: np.ndarray, passage: np.ndarray, unit: float = 1.0) -> tuple[float, int]:
@@ -107,12 +118,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") ->
     return counts, int(n[place < 0].sum())
 
 
-def seed_length(n: int, gram: int) -> int:
-    """Words of a seed of an item of ``n`` words: a whole run is left wherever one word is changed."""
-    return gram if n >= 2 * gram else max(1, min(n, gram - 1))
-
-
-def _block(docs: DataFrame, rows: list, text: str, gram: int) -> Block | None:
+def _block(docs: DataFrame, rows: list, text: str, least: float) -> Block | None:
     filled = [(r[0], x) for r, x in zip(rows, _item_words([r[1] for r in rows]), strict=True) if len(x)]
     if not filled:
         return None
@@ -120,127 +126,135 @@ def _block(docs: DataFrame, rows: list, text: str, gram: int) -> Block | None:
     vocabulary = np.unique(np.concatenate(items))
     counts, total = word_counts(docs, vocabulary, text)
     rate = np.log((counts + 1.0) / (total + len(vocabulary)))
-    weights, parts = [], {}
+    weights, needed, parts = [], np.zeros(len(items)), []
     for number, item in enumerate(items):
-        logs = rate[np.searchsorted(vocabulary, item)]
-        weights.append(np.minimum(np.maximum(-logs / -np.log(1e-4), 0.05), 1.0))
-        length = seed_length(len(item), gram)
-        runs = grams(item, length)
-        order = np.argsort(np.convolve(logs, np.ones(length), "valid"), kind="stable")
-        rare = np.zeros(len(runs), bool)
-        rare[order[: max(RAREST, (len(runs) + 1) // 2)]] = True
-        parts.setdefault(length, []).append((runs, np.full(len(runs), number), np.arange(len(runs)), rare))
-    seeds = {}
-    for length, part in parts.items():
-        hashes, owner, at, rare = (np.concatenate(x) for x in zip(*part, strict=True))
-        order = np.lexsort((at, owner, hashes))
-        hashes, owner, at, rare = hashes[order], owner[order], at[order], rare[order]
-        other = np.ones(len(hashes), bool)
-        other[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        _, group = np.unique(hashes, return_inverse=True)
-        use = rare | (np.bincount(group[other])[group] <= SHARED_BY)
-        seeds[length] = hashes[use], owner[use], at[use]
-    return Block(ids, items, weights, seeds)
-
-
-def blocks(docs: DataFrame, benchmark: DataFrame, item: str, text: str, gram: int) -> Iterator[Block]:
+        at = np.searchsorted(vocabulary, item)
+        weights.append(np.minimum(np.maximum(-rate[at] / -np.log(1e-4), 0.05), 1.0))
+        # the rarest words first, all places of a word together
+        order = np.lexsort((item, rate[at]))
+        held = np.cumsum(weights[-1][order])
+        share = max(SEED_SHARE, 1.0 - least / 2)
+        last = order[min(int(np.searchsorted(held, share * held[-1])), len(order) - 1)]
+        seeds = (rate[at] < rate[at[last]]) | ((rate[at] == rate[at[last]]) & (item <= item[last]))
+        needed[number] = weights[-1][seeds].sum() - (1 - least) * held[-1] - 1e-9
+        own, where = np.unique(item[seeds], return_index=True)
+        parts.append((own, np.full(len(own), number), weights[-1][seeds][where]))
+    seeds, owner, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((owner, seeds))
+    known, first = np.unique(seeds[order], return_index=True)
+    # matches and differing words are at most the item's own, gaps as many as the score can bear
+    reach = np.array([len(x) + int(len(x) * (1 - least) / GAP) + 1 for x in items])
+    return Block(ids, items, weights, known, np.append(first, len(order)), owner[order], weight[order], needed, reach)
+
+
+def blocks(docs: DataFrame, benchmark: DataFrame, item: str, text: str, least: float) -> Iterator[Block]:
     """Blocks of test items of bounded size, one after another, whatever the size of the benchmark."""
     sized = benchmark.select(item, "text")
     total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = total // BLOCK_BYTES + 1
     for i in range(parts):
         here = sized.filter(F.pmod(F.xxhash64(item, "text"), F.lit(parts)) == i) if parts > 1 else sized
-        block = _block(docs, sorted(here.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), text, gram)
+        block = _block(docs, sorted(here.collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), text, least)
         if block:
             yield block
 
 
-def _places(block: Block, hashes: np.ndarray) -> np.ndarray:
-    """Rows (item number, place where the item would begin) of all seeds met in one text, each once, sorted."""
-    out = [np.zeros((0, 2), np.int64)]
-    for length, (seeds, items, places) in block.seeds.items():
-        runs = grams(hashes, length)
-        low, high = np.searchsorted(seeds, runs, "left"), np.searchsorted(seeds, runs, "right")
-        n = high - low
-        k = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        out.append(np.column_stack([items[k], np.repeat(np.arange(len(runs)), n) - places[k]]))
-    found = np.concatenate(out)
-    found = found[np.lexsort((found[:, 1], found[:, 0]))]
-    new = np.ones(len(found), bool)
-    new[1:] = (found[1:] != found[:-1]).any(1)
-    return found[new]
-
+def _windows(block: Block, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item number, start, end) of the runs of words in which seeds of enough weight lie close together.
 
-def _hits(block: Block, hashes: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-    """(item number, score, start, end) of the best alignment with each item found in one text.
-
-    Where the item's words that occur at all weigh less than the least score, nothing is aligned.
+    Weights are summed by strides of words; an item's passage lies within a few strides in a row.
     """
-    places = _places(block, hashes)
-    if not len(places):  # a run over the border of two texts
-        return []
-    known = np.unique(hashes)
-    cuts = np.flatnonzero(np.diff(places[:, 0], prepend=-1))
-    out = []
-    for a, z in zip(cuts, np.append(cuts[1:], len(places)), strict=True):
-        number = int(places[a, 0])
+    at = np.minimum(np.searchsorted(block.words, hashes), len(block.words) - 1)
+    met = np.flatnonzero(block.words[at] == hashes)
+    first, size = block.first[at[met]], np.diff(block.first)[at[met]]
+    entries = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+    strides = len(hashes) // STRIDE + 1
+    keys, place = np.unique(block.owner[entries] * strides + np.repeat(met // STRIDE, size), return_inverse=True)
+    if not len(keys):
+        return
+    before = np.append(0, np.cumsum(np.bincount(place, block.weight[entries])))
+    number = keys // strides
+    span = (block.reach[number] - 2) // STRIDE + 2
+    stop = np.minimum(np.searchsorted(keys, keys + span), np.searchsorted(keys, (number + 1) * strides))
+    found = np.flatnonzero(before[stop] - before[:-1] >= block.needed[number])
+    number, start = number[found], (keys[found] % strides) * STRIDE
+    end = np.minimum(start + span[found] * STRIDE, len(hashes))
+    start = np.maximum(start - block.reach[number], 0)  # words before the first seed
+    for i, a, z in zip(number.tolist(), start.tolist(), end.tolist(), strict=True):
+        yield i, a, z
+
+
+def _hits(block: Block, hashes: np.ndarray, first: np.ndarray, least: float) -> dict[int, list[tuple[int, float, int, int]]]:
+    """By text: (item number, score, start, end) of the best alignment with each item found in it.
+
+    ``hashes`` are the words of several texts, ``first`` where each begins. Windows of one item that
+    touch are aligned as one.
+    """
+    joined: dict[int, list[list[int]]] = {}
+    for number, a, z in _windows(block, hashes):
+        runs = joined.setdefault(number, [])
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = z
+        else:
+            runs.append([a, z])
+    out: dict[int, dict[int, tuple[float, int, int]]] = {}
+    for number, runs in joined.items():
         item, weights = block.items[number], block.weights[number]
-        needed = least * float(weights.sum()) - 1e-9
-        there = known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item
-        if weights[there].sum() < needed:
-            continue
-        size, windows = len(item), []
-        for begin in places[a:z, 1].tolist():
-            start, end = max(0, begin - size), min(len(hashes), begin + 2 * size)
-            if windows and start <= windows[-1][1]:
-                windows[-1][1] = max(end, windows[-1][1])
-            else:
-                windows.append([start, end])
-        best = (0.0, 0, 0)
-        for start, end in windows:
-            passage = hashes[start:end]
-            if weights[np.isin(item, passage)].sum() >= needed:
-                score, i, j = aligned_span(item, weights, passage)
-                best = max(best, (score, start + i, start + j), key=lambda x: x[0])
-        if best[0] >= least:
-            out.append((number, *best))
-    return out
+        words_, where = np.unique(item, return_index=True)
+        by_word, needed = weights[where], least * float(weights.sum()) - 1e-9
+        for a, z in runs:
+            # a run may lie over the border of texts
+            for i in range(int(np.searchsorted(first, a, "right")) - 1, len(first) - 1):
+                if first[i] >= z:
+                    break
+                start, end = max(a, int(first[i])), min(z, int(first[i + 1]))
+                passage = hashes[start:end]
+                at = np.minimum(np.searchsorted(words_, passage), len(words_) - 1)
+                if len(passage) and by_word[at[words_[at] == passage]].sum() >= needed and weights[np.isin(item, passage)].sum() >= needed:
+                    if len(item) < SHORT and not np.isin(grams(passage, min(len(item), 2)), grams(item, min(len(item), 2))).any():
+                        continue
+                    score, p, q = aligned_span(item, weights, passage)
+                    best = out.setdefault(i, {}).get(number, (least - 1e-12, 0, 0))
+                    if score > best[0]:
+                        offset = start - int(first[i])
+                        out[i][number] = score, offset + p, offset + q
+    return {i: [(number, *hit) for number, hit in sorted(found.items())] for i, found in sorted(out.items()) if found}
 
 
 def _texts_with_hits(block: Block, column: pa.Array, least: float):
     for a, _, data, offsets in text_chunks(column):
         hashes, starts, ends, counts = words(data, offsets, SIGNS, FOLDED)
         first = np.concatenate([[0], np.cumsum(counts)])
-        seen = [np.zeros(0, np.int64)]
-        for length, (seeds, _, _) in block.seeds.items():
-            runs = grams(hashes, length)
-            seen.append(np.flatnonzero(seeds[np.minimum(np.searchsorted(seeds, runs), len(seeds) - 1)] == runs))
-        for i in np.unique(np.searchsorted(first, np.concatenate(seen), "right") - 1):
+        for i, found in _hits(block, hashes, first, least).items():
             span = slice(first[i], first[i + 1])
-            found = _hits(block, hashes[span], least)
-            if found:
-                yield a + int(i), found, data, starts[span], ends[span]
+            yield a + i, found, data, starts[span], ends[span]
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-    least: float = LEAST_SCORE, gram: int = GRAM,
+    least: float = LEAST_SCORE,
 ) -> DataFrame:
     """(key, item, score, start_word, end_word, passage) for each document row and item that align.
 
     Per pair the best place counts. Words are runs of signs other than ASCII white space and
     punctuation, compared without regard to the case of Latin letters. Null and empty texts hold nothing; an item is
-    found where a run of its words is left whole (``gram`` words, fewer for an item of less than
-    twice as many), however common its words are. Items without words are found nowhere. Repeated rows and repeated items give repeated
+    found wherever its alignment reaches the least score, however common its words are and however
+    they were edited (one of fewer than ``SHORT`` words only where two of them stand together). Items without words are found nowhere. A new column whose name the key or the
+    item has already gets an underscore in front, the item's column if it is named like the key. Repeated rows and repeated items give repeated
     results. An empty benchmark or an empty table gives no rows. Other columns are not read.
     No document is shuffled: blocks of items of bounded size go to the tasks.
     """
     spark = docs.sparkSession
     rows = docs.select(key, text)
-    schema = StructType([docs.schema[key], benchmark.schema[item]]).add("score", DoubleType())
-    schema = schema.add("start_word", LongType()).add("end_word", LongType()).add("passage", StringType())
+    schema = StructType([docs.schema[key]])
+    for name, kind in (
+        (item, benchmark.schema[item].dataType), ("score", DoubleType()), ("start_word", LongType()), ("end_word", LongType()), ("passage", StringType())
+    ):
+        while name in schema.names:
+            name = f"_{name}"
+        schema = schema.add(name, kind)
     out = spark.createDataFrame([], schema)
-    for block in blocks(docs, benchmark, item, text, gram):
+    for block in blocks(docs, benchmark, item, text, least):
         shared = spark.sparkContext.broadcast(pickle.dumps(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -268,11 +282,11 @@ def contaminated(
 
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
-    least: float = LEAST_SCORE, gram: int = GRAM,
+    least: float = LEAST_SCORE,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item is found by ``contaminated``."""
     out = docs
-    for block in blocks(docs, benchmark, item, text, gram):
+    for block in blocks(docs, benchmark, item, text, least):
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
