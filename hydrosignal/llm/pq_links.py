@@ -5,9 +5,10 @@ remains is cut into subspaces and coded by the nearest of a few sub-centroids. T
 fitted on a bounded sample, but every vector is indexed. Let d be the distance that belongs to
 the cosine threshold.
 
-* A list is probed if the vector lies within ``PROBE_SIGMAS * d / sqrt(width)`` (at most d) of the
-  border between its own cell and that list's: a difference of length d rarely has a longer part
-  along one direction. At d itself no pair could be lost; the tests measure the recall.
+* A list is probed if the vector lies within d / 2 of the border between its own cell and that
+  list's. Of two vectors at most d apart in two cells, at least one lies so near to the border
+  between them, and a pair is compared if either of the two probes the other's list. So no pair is
+  lost, whatever the lists are like.
 * A coded vector is a candidate unless its table-lookup distance exceeds d by more than the coding
   error kept with it; by the triangle inequality this loses nothing.
 
@@ -36,7 +37,6 @@ LEAST_COSINE = 0.93
 FIT_ROWS = 40_000
 #: Vectors of the fit sample per coarse list.
 ROWS_PER_LIST = 256
-PROBE_SIGMAS = 4.0
 SUBSPACE = 8
 CODES = 32
 #: Vectors that are packed and compared together: at least so many where a label has them, at most twice as many on average.
@@ -89,8 +89,7 @@ def probes(book: Book, x: np.ndarray, distance: float) -> tuple[np.ndarray, np.n
     own = to.argmin(1)
     apart = np.sqrt(_squared(book.coarse[own], book.coarse))
     border = to - to[np.arange(len(x)), own][:, None]
-    reach = distance * min(1.0, PROBE_SIGMAS / math.sqrt(x.shape[1]))
-    return own, border <= 2 * apart * (reach + EPSILON) + EPSILON
+    return own, border <= 2 * apart * (distance / 2 + EPSILON) + EPSILON
 
 
 def encode(book: Book, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,12 +224,8 @@ def _compared(pairs: DataFrame, books: dict[int, Book], kind: str, least: float,
                 ids, copies, x = _block(row, "", width, kind)
                 other_ids, other_copies, y = _block(row, "o_", width, kind)
                 same = row["bundle"] == row["o_bundle"] and row["block"] == row["o_block"]
-                mask = np.unpackbits(np.frombuffer(row["masks"], np.uint8).reshape(len(x), -1), axis=1).astype(bool)
-                cells = np.frombuffer(row["o_cells"], np.int32)
-                # lists behind the last one that is probed are not in the mask
-                held = np.flatnonzero(cells < mask.shape[1])
-                asks = np.zeros((len(x), len(y)), bool)
-                asks[:, held] = mask[:, cells[held]]
+                cells, other_cells = np.frombuffer(row["cells"], np.int32), np.frombuffer(row["o_cells"], np.int32)
+                asks = _asks(row["masks"], len(x), other_cells) | _asks(row["o_masks"], len(y), cells).T
                 asking = np.flatnonzero(asks.any(1))
                 if not len(asking):
                     continue
@@ -239,7 +234,7 @@ def _compared(pairs: DataFrame, books: dict[int, Book], kind: str, least: float,
                 if book is not None:
                     codes = np.frombuffer(row["o_codes"], np.uint8).reshape(len(y), -1)
                     error = np.frombuffer(row["o_error"], np.float64)
-                    near &= lookup(book, x[asking], cells, codes) <= distance + error + EPSILON
+                    near &= lookup(book, x[asking], other_cells, codes) <= distance + error + EPSILON
                 i, j = np.nonzero(near)
                 i = asking[i]
                 if same:
@@ -265,6 +260,15 @@ def _compared(pairs: DataFrame, books: dict[int, Book], kind: str, least: float,
     return pairs.mapInArrow(run, "a long, b long, links long")
 
 
+def _asks(masks: bytes, rows: int, cells: np.ndarray) -> np.ndarray:
+    """Which rows of a block probe the lists ``cells`` of another; lists behind the last probed one are not in the masks."""
+    mask = np.unpackbits(np.frombuffer(masks, np.uint8).reshape(rows, -1), axis=1).astype(bool)
+    out = np.zeros((rows, len(cells)), bool)
+    held = np.flatnonzero(cells < mask.shape[1])
+    out[:, held] = mask[:, cells[held]]
+    return out
+
+
 def _block(row: dict, side: str, width: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     v = np.frombuffer(row[f"{side}v"], kind)
     x = unit_rows(pa.ListArray.from_arrays(pa.array(np.arange(0, len(v) + 1, width, dtype=np.int32)), pa.array(v)), width)
@@ -275,7 +279,7 @@ def link_vectors(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
     least: float = LEAST_COSINE, fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
-    """(key, n_links, component_id, kept) of every row of ``vectors``.
+    """(key, n_links, component_id, kept) of every row of ``vectors``; all links are found.
 
     Vectors link if their labels are equal and not null, they are equally long, and their cosine
     is ``least`` or more. Null, empty and zero vectors and those with null or non-finite numbers
@@ -328,13 +332,16 @@ def link_vectors(
         "error binary, masks binary, asks array<long>"
     )
     blocks = materialize(cut.groupBy("grp", "bundle", "block").applyInPandas(_packed, schema), "blocks")
-    asking = blocks.select("grp", "bundle", "block", "width", "ids", "copies", "v", "masks", F.explode("asks").alias("o_bundle"))
-    asked = blocks.select(
-        "grp", F.col("bundle").alias("o_bundle"), F.col("block").alias("o_block"), F.col("ids").alias("o_ids"), F.col("copies").alias("o_copies"),
-        F.col("v").alias("o_v"), F.col("cells").alias("o_cells"), F.col("codes").alias("o_codes"), F.col("error").alias("o_error"),
+    asking = blocks.select("grp", F.struct("bundle", "block").alias("p"), F.explode("asks").alias("bundle"))
+    asked = blocks.select("grp", "bundle", F.struct("bundle", "block").alias("q"))
+    met = asking.join(asked, ["grp", "bundle"]).select("grp", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+    held = ("width", "ids", "copies", "v", "cells", "codes", "error", "masks")
+    one = blocks.select("grp", F.struct("bundle", "block").alias("p"), "bundle", "block", *[c for c in held if c not in ("codes", "error")])
+    other = blocks.select(
+        "grp", F.struct("bundle", "block").alias("q"), F.col("bundle").alias("o_bundle"), F.col("block").alias("o_block"),
+        *[F.col(c).alias(f"o_{c}") for c in held if c != "width"],
     )
-    ahead = (F.col("o_bundle") > F.col("bundle")) | ((F.col("o_bundle") == F.col("bundle")) & (F.col("o_block") >= F.col("block")))
-    pairs = asking.join(asked, ["grp", "o_bundle"]).filter(ahead)
+    pairs = materialize(met, "met-blocks").join(one, ["grp", "p"]).join(other, ["grp", "q"]).drop("p", "q")
     found = materialize(_compared(pairs, books, kind, least, distance), "compared")
     labels = components(found.filter("b IS NOT NULL").select("a", "b"))
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("others"))
