@@ -20,12 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrosignal.operators.attach import attach
+from hydrosignal.operators.ordered import running_totals
 from hydrosignal.session import materialize
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2 * role for a first line, 2 * role + 1 for a later one
+#: Rows, that is turns, of a piece.
 TURNS_PER_PIECE = 64
 FAN_IN = 64
+#: Characters by which rows of one turn are ordered.
+TEXT_ORDER = 64
 #: Share of speaker markers that transcripts leave out, as one in so many.
 UNMARKED = 8
 
@@ -210,23 +214,37 @@ def render(lines: list[str], states: list[int]) -> str:
     return "\n".join(out)
 
 
+def _numbered(texts: DataFrame, conv: str) -> DataFrame:
+    """(c, i, pos, text): the place of each row in its conversation and the piece that it falls into.
+
+    Rows are numbered inside ranges of (conversation, turn), so no task holds a whole conversation.
+    """
+    order = ["c", "turn", "head", "seq"]
+    rows = texts.select(
+        F.col(conv).alias("c"), F.col("turn").cast("long").alias("turn"), F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("seq")
+    ).withColumn("head", F.substring("text", 1, TEXT_ORDER))
+    # written so that the order among equal rows stays when a task is run again
+    ranged = materialize(rows, "lines").repartitionByRange(*order).withColumn("shard", F.spark_partition_id())
+    held = materialize(ranged, "line-ranges").withColumns({"k": F.xxhash64("c"), "no": F.col("c").isNull()})
+    placed = running_totals(held, ["no", "k"], F.col("shard"), [F.col(x) for x in order[1:]], {"pos": F.lit(1).cast("long")})
+    return placed.select("c", F.floor((F.col("pos") - 1) / F.lit(TURNS_PER_PIECE)).cast("long").alias("i"), "pos", "text")
+
+
 def parse_transcripts(texts: DataFrame, model: Model, conv: str = "conv_id") -> DataFrame:
     """(conv, piece, n_lines, n_turns, roles, rendered): one row per piece of a transcript.
 
-    ``texts`` has (conv, turn, text) with one or more lines per row, ordered by turn, then text. A
-    piece holds the rows of ``TURNS_PER_PIECE`` turn numbers; the pieces of a transcript put
-    together in order are its canonical form, on the best path over the whole transcript. Equal
-    rows are read once; null texts are empty lines; null and negative turns come first, with the first piece; rows with
+    ``texts`` has (conv, turn, text) with one or more lines per row, ordered by turn (null first),
+    then by the first ``TEXT_ORDER`` characters, then as they lie in the table; repeated rows stay. A
+    piece holds ``TURNS_PER_PIECE`` rows; the pieces of a transcript put together in order are its
+    canonical form, on the best path over the whole transcript. Null texts are empty lines; rows with
     a null conversation form one. An empty table gives no rows. Other columns are not read.
     """
     shared = texts.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    piece = F.when(F.col("turn") >= 0, F.floor(F.col("turn") / TURNS_PER_PIECE)).otherwise(0).cast("long")
     kind = texts.schema[conv].dataType.simpleString()
-    rows = texts.select(F.col(conv).alias("c"), F.col("turn").cast("long").alias("turn"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.distinct().withColumn("i", piece)
+    rows = _numbered(texts, conv)
 
     def pack(key, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["turn", "text"], na_position="first")
+        part = part.sort_values("pos")
         lines = "\n".join(part.text)
         best = reduce_lines(pickle.loads(shared.value), scores(pickle.loads(shared.value), lines.split("\n")))
         return pd.DataFrame({"c": part.c.iloc[:1].to_list(), "i": [key[1]], "lines": [lines], "best": [best.tobytes()]})
