@@ -254,6 +254,18 @@ def test_odd_transcripts(spark):
     assert transcripts.parse_transcripts(transcripts.plain_transcripts(empty), transcripts.train(empty)).count() == 0
 
 
+def test_repeated_turns_and_one_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(transcripts, "TURNS_PER_PIECE", 3)
+    data = [(1, 0, "user: hello"), (1, 0, "user: hello"), (1, 1, "assistant: yes"), (2, None, "a"), (2, None, None), (2, None, "a"), (None, 5, "b"), (None, 5, "b")]
+    data += [(3, i // 40, f"user: line {i}") for i in range(200)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, text string")
+    model = transcripts.train(spark.read.parquet(f"{DATA}/conversations.parquet"))
+    got = transcripts.parse_transcripts(df, model).toPandas().sort_values(["conv_id", "piece"])
+    count = got.groupby("conv_id", dropna=False).n_lines.sum()
+    assert count[1] == 3 and count[2] == 3 and count[3] == 200 and got[got.conv_id.isna()].n_lines.sum() == 2
+    assert got.n_lines.max() == 3 and "\n".join(got[got.conv_id == 1].rendered).count("hello") == 2
+
+
 # -- op6
 
 
@@ -368,6 +380,52 @@ def test_a_run_of_very_many_items_still_leaves_them_seeds(spark):
     assert sorted((r.doc_id, r.item_id) for r in contamination.contaminated(docs, bench).collect()) == [(i, i) for i in range(100)]
 
 
+def test_copies_without_any_whole_run_are_found(spark):
+    rng = np.random.default_rng(3)
+    items = [[f"w{i}x{k}" for k in range(30)] for i in range(20)]
+    third = lambda x: [f"new{k}" if k % 3 == 2 else w for k, w in enumerate(x)]
+    spread = lambda x: [w for k, w in enumerate(x) for w in ([w, "filler"] if k % 2 else [w])]
+    noise = lambda n: [f"n{k}" for k in rng.integers(0, 400, n)]
+    docs = [(i, " ".join(noise(300) + (third if i % 2 else spread)(x) + noise(200))) for i, x in enumerate(items)]
+    docs += [(100, " ".join(noise(800))), (101, " ".join(w for x in items for w in x[:6]))]
+    given, bench = (spark.createDataFrame(x, f"{k} long, text string") for x, k in ((docs, "doc_id"), ([(i, " ".join(x)) for i, x in enumerate(items)], "item_id")))
+    assert {(r.doc_id, r.item_id) for r in contamination.contaminated(given, bench).collect()} == {(i, i) for i in range(20)}
+
+
+def test_windows_lose_no_alignment():
+    """Every text and item whose alignment over the whole text reaches the least score."""
+    rng = np.random.default_rng(11)
+    vocabulary = rng.integers(1, 2**60, 60).astype(np.uint64)
+    texts_ = [vocabulary[rng.zipf(1.4, n) % 60] for n in rng.integers(5, 200, 60)]
+    items = [vocabulary[rng.zipf(1.4, n) % 60] for n in rng.integers(6, 25, 25)]
+    names, counts = np.unique(np.concatenate(texts_), return_counts=True)
+    word = lambda a: "".join(chr(97 + int(d)) for d in str(int(a)))
+    docs = [" ".join(word(w) for w in t) for t in texts_]
+    block_rows = [(i, " ".join(word(w) for w in t)) for i, t in enumerate(items)]
+    hashed = contamination._item_words(docs)
+    every = np.concatenate(hashed)
+
+    def counted(_, known, __):
+        return np.array([(every == k).sum() for k in known]), len(every)
+
+    real, contamination.word_counts = contamination.word_counts, counted
+    try:
+        block = contamination._block(None, block_rows, "text", 0.5)
+    finally:
+        contamination.word_counts = real
+    first = np.concatenate([[0], np.cumsum([len(h) for h in hashed])])
+    got = {(i, n) for i, found in contamination._hits(block, every, first, 0.5).items() for n, *_ in found}
+    want = {(i, n) for i, h in enumerate(hashed) for n, (x, w) in enumerate(zip(block.items, block.weights)) if contamination.aligned_span(x, w, h)[0] >= 0.5}
+    assert want and got == want
+
+
+def test_clashing_names_of_key_and_item(spark):
+    docs = spark.createDataFrame([(1, "some words that are leaked here today")], "score long, text string")
+    bench = spark.createDataFrame([(7, "some words that are leaked here today")], "score long, text string")
+    got = contamination.contaminated(docs, bench, key="score", item="score")
+    assert got.columns[:3] == ["score", "_score", "__score"] and [tuple(r)[:2] for r in got.collect()] == [(1, 7)]
+
+
 def test_alignment_equals_the_textbook_recurrence():
     rng = np.random.default_rng(2)
     for _ in range(40):
@@ -389,6 +447,24 @@ def test_leaks_in_the_given_tables_against_plain_search(spark):
     assert want and got == want
 
 
+# -- op1, many lists
+
+
+@pytest.mark.parametrize("rank", [2, 3, 64])
+def test_no_link_is_lost_between_lists(spark, monkeypatch, rank):
+    monkeypatch.setattr(pq_links, "ROWS_PER_LIST", 8)
+    monkeypatch.setattr(pq_links, "BLOCK", 32)
+    rng = np.random.default_rng(rank)
+    x = rng.normal(size=(900, rank)) @ rng.normal(size=(rank, 64))
+    if rank == 64:
+        x[500:] = x[:400] + 2.2 * rng.normal(size=(400, 64))
+    df = spark.createDataFrame([(i, [float(a) for a in v], 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near.any() and {r.vec_id: r.n_links for r in pq_links.link_vectors(df).collect()} == dict(enumerate(near.sum(1).tolist()))
+
+
 # -- op9
 
 
