@@ -22,9 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-#: Words and blank-free pieces kept per worker; a full table is emptied and filled anew.
-WORD_CACHE = 400_000
-PIECE_CACHE = 400_000
+from hydrosignal.llm.texts import tidy
+
+#: Words, blank-free pieces and pairs of tokens kept during a task; a full table is emptied and filled anew.
+WORD_CACHE = 100_000
+PIECE_CACHE = 150_000
+PAIR_CACHE = 400_000
 CHUNK_CHARS = 1_000_000
 _PRIVATE = 0xE000
 
@@ -122,7 +125,7 @@ class Vocabulary:
     def compatible(self, left: int, right: int) -> bool:
         got = self.pairs.get((left, right))
         if got is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) >= PAIR_CACHE:
                 self.pairs.clear()
             got = self.pairs[left, right] = self._border(left, right, 1 << 60)
         return got
@@ -195,6 +198,12 @@ class Vocabulary:
             out = out + ids if out else ids
         return out
 
+    def forget(self) -> None:
+        """Empties the tables that grow with the texts."""
+        self.known.clear()
+        self.pieces.clear()
+        self.pairs.clear()
+
     def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and offsets of the token strings of each list, joined by one blank."""
         sizes = self.sizes[ids]
@@ -211,7 +220,7 @@ class Vocabulary:
         return data[keep], new
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _tables(data: bytes) -> Vocabulary:
     return Vocabulary(data)
 
@@ -242,12 +251,15 @@ def _apply(df: DataFrame, path: str, drop: str | None, new: list[tuple[str, obje
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _tables(shared.value)
-        for batch in batches:
-            for rows, columns in run(vocabulary, batch):
-                others = [rows.column(f.name) for f in kept]
-                yield pa.RecordBatch.from_arrays(others + columns, names=[*(f.name for f in kept), *names])
-
-    return df.mapInArrow(tasks, schema)
+        try:
+            for batch in batches:
+                for rows, columns in run(vocabulary, batch):
+                    others = [rows.column(f.name) for f in kept]
+                    yield pa.RecordBatch.from_arrays(others + columns, names=[*(f.name for f in kept), *names])
+        finally:
+            vocabulary.forget()
+
+    return df.mapInArrow(tidy(tasks), schema)
 
 
 def _encoded(vocabulary: Vocabulary, batch: pa.RecordBatch, text: str):

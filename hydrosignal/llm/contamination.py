@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
-from hydrosignal.llm.texts import FOLDED, SIGNS, grams, text_chunks, words
+from hydrosignal.llm.texts import FOLDED, SIGNS, grams, text_chunks, tidy, words
 
 #: Share of an item's weight that its seeds hold.
 SEED_SHARE = 0.85
@@ -111,7 +111,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") ->
             [pa.array(np.append(seen, -1)), pa.array(np.append(counts[seen], total))], names=["word", "n"]
         )
 
-    sums = docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    sums = docs.select(text).mapInArrow(tidy(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     place, n = sums.column("word").to_numpy(), sums.column("n").to_numpy()
     counts = np.zeros(len(vocabulary), np.int64)
     counts[place[place >= 0]] = n[place >= 0]
@@ -276,7 +276,7 @@ def contaminated(
                         names=schema.names,
                     )
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(rows.mapInArrow(tidy(run), schema))
     return out
 
 
@@ -297,5 +297,5 @@ def without_contaminated(
                     keep[i] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(tidy(run), docs.schema)
     return out

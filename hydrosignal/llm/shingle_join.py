@@ -24,9 +24,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hydrosignal.llm.links import components
-from hydrosignal.llm.texts import by_text, grams, mix, text_chunks, words
+from hydrosignal.llm.texts import by_text, grams, mix, text_chunks, tidy, tidy_group, words
 from hydrosignal.operators.attach import attach
 from hydrosignal.session import discard, materialize, materialize_at, scratch_dir
 
@@ -117,7 +118,7 @@ def profiles(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, set_hash long")
+    return docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, n_shingles long, set_hash long")
 
 
 def signatures(sets: list[np.ndarray], bands: np.ndarray, below: bool):
@@ -281,7 +282,7 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select(text).mapInArrow(run, "bucket int, kind int, blob binary")
+    return docs.select(text).mapInArrow(tidy(run), "bucket int, kind int, blob binary")
 
 
 def _frame(buckets: list[int], kinds: list[int], blobs: list[bytes]) -> pd.DataFrame:
@@ -626,7 +627,7 @@ def _verified_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     sides = [blocks.select(F.col("block").alias(s), *[F.col(c).alias(f"{s}{c}") for c in ("ids", "sizes", "elements")]) for s in "pq"]
-    return dense.join(sides[0], "p").join(sides[1], "q").mapInArrow(run, "a long, b long")
+    return dense.join(sides[0], "p").join(sides[1], "q").mapInArrow(tidy(run), "a long, b long")
 
 
 def _set_table(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -641,7 +642,7 @@ def _set_table(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataF
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    sets = docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, set_hash long, elements binary")
+    sets = docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, set_hash long, elements binary")
     found = attach(sets, wanted.withColumn("_w", F.lit(1)), ["set_hash", key], "inner", salt_by=[key])
     return found.select("set_hash", "elements").dropDuplicates(["set_hash"])
 
@@ -662,7 +663,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     one = sets.select(F.col("set_hash").alias("a"), F.col("elements").alias("x"))
     two = sets.select(F.col("set_hash").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def _labelled(first: DataFrame, labels: DataFrame) -> DataFrame:
@@ -681,6 +682,20 @@ def _labelled(first: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(attach(known, counts, ["cluster"]).select("node", "component", block.alias("block")), "labelled")
 
 
+def with_set_hash(docs: DataFrame, text: str = "text", name: str = "set_hash") -> DataFrame:
+    """``docs`` with the hash of each text's set, null for an empty set."""
+    names = [*docs.columns, name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, sets, hashes in _sets(batch.column(text)):
+                empty = np.array([not len(s) for s in sets])
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(hashes.view(np.int64), mask=empty)], names=names)
+
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields]).add(name, "long"))
+
+
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) of every row.
 
@@ -690,6 +705,16 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     empty and blank texts have size 0 and are linked with nothing. Rows with equal sets, repeated
     rows among them, are one set and always linked. A row with a null key has a null component
     and does not name one, though its text still links others. Other columns are not read.
+    """
+    placed = linked_sets(docs, key, text)
+    least = placed.filter("cluster IS NOT NULL").groupBy("cluster").agg(F.min(key).alias("_least"), F.count(F.lit(1)).alias("_n"))
+    named = attach(placed, least.filter("_n > 1").select("cluster", "_least"), ["cluster"], salt_by=[key])
+    component = F.when(F.col(key).isNotNull(), F.coalesce("_least", key))
+    return named.select(key, "n_shingles", component.alias("component_id"))
+
+
+def linked_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, set_hash, cluster) of every row: rows of linked sets have one cluster, empty sets none.
 
     Groups of signatures and of sets are dealt by hash in buckets of bounded text size. A set is
     first verified against the set that it meets most often; then every pair that still lies in
@@ -705,10 +730,10 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     entries = _signature_blobs(docs, text, buckets)
     shared_at = scratch_dir(spark, "shared")
     shared = materialize_at(
-        entries.groupBy("bucket").applyInPandas(lambda k, x: _find_shared(k, x, buckets), "bucket int, kind int, blob binary"),
+        entries.groupBy("bucket").applyInPandas(tidy_group(lambda k, x: _find_shared(k, x, buckets)), "bucket int, kind int, blob binary"),
         shared_at,
     )
-    first = materialize(shared.groupBy("bucket").applyInPandas(_first_pairs, "a long, b long"), "first-pairs")
+    first = materialize(shared.groupBy("bucket").applyInPandas(tidy_group(_first_pairs), "a long, b long"), "first-pairs")
     named = documents.filter(F.col("set_hash").isNotNull()).groupBy("set_hash").agg(F.min(key).alias(key))
     wanted = first.select(F.col("a").alias("set_hash")).join(named, "set_hash")
     sets_at = scratch_dir(spark, "sets")
@@ -719,10 +744,10 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     unsigned = F.when(F.col("node") < 0, unsigned + F.lit(str(2**64)).cast("decimal(21,0)")).otherwise(unsigned)
     dealt = labels.withColumn("bucket", (unsigned % F.lit(buckets)).cast("int"))
     members = shared.groupBy("bucket").cogroup(dealt.groupBy("bucket")).applyInPandas(
-        lambda x, y: _members(x, y, buckets), "bucket int, kind int, blob binary"
+        tidy_group(lambda x, y: _members(x, y, buckets)), "bucket int, kind int, blob binary"
     )
     met = materialize(
-        members.groupBy("bucket").applyInPandas(_cross_pairs, "a long, b long, p binary, q binary"), "met"
+        members.groupBy("bucket").applyInPandas(tidy_group(_cross_pairs), "a long, b long, p binary, q binary"), "met"
     )
     few = met.filter("a IS NOT NULL").select("a", "b").distinct()
     tiles = met.filter("a IS NULL").select("p", "q").distinct().repartition(buckets)
@@ -739,8 +764,4 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     discard(spark, shared_at)
     discard(spark, sets_at)
     placed = attach(documents, labels.withColumnRenamed("node", "set_hash"), ["set_hash"], salt_by=[key])
-    placed = placed.withColumn("_c", F.coalesce("component", "set_hash"))
-    least = placed.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(key).alias("_least"), F.count(F.lit(1)).alias("_n"))
-    named = attach(placed, least.filter("_n > 1").select("_c", "_least"), ["_c"], salt_by=[key])
-    component = F.when(F.col(key).isNotNull(), F.coalesce("_least", key))
-    return named.select(key, "n_shingles", component.alias("component_id"))
+    return placed.select(key, "n_shingles", "set_hash", F.coalesce("component", "set_hash").alias("cluster"))

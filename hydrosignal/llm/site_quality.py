@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from hydrosignal.llm.texts import text_chunks, words
+from hydrosignal.llm.texts import text_chunks, tidy, words
 from hydrosignal.operators.attach import attach
 from hydrosignal.operators.ordered import first_per_key
 from hydrosignal.session import materialize
@@ -100,7 +100,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, row
                 [batch.column(label).cast(pa.float64()), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"]
             )
 
-    table = sample.mapInArrow(measure, "y double, x array<double>").orderBy("y", "x").limit(2 * rows).toArrow()
+    # repeated keys give more rows than were picked
+    table = sample.mapInArrow(tidy(measure), "y double, x array<double>").orderBy(F.xxhash64("x"), "x", "y").limit(rows).toArrow()
     y = table.column("y").to_numpy()
     x = np.array(table.column("x").to_pylist(), float).reshape(len(y), _CLASSES)
     base = float((y.sum() + 1) / (len(y) + 2))
@@ -134,7 +135,7 @@ def judged(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
             rest = [batch.column(f.name) for f in schema.fields[:-1]]
             yield pa.RecordBatch.from_arrays([*rest, odds], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def _share(odds: Column) -> Column:
@@ -160,6 +161,10 @@ def _strength(groups: DataFrame) -> float:
     return float(min(max(within / tau, 1.0), 1e6)) if tau > 1e-12 else 1e6
 
 
+#: Columns that ``posteriors`` adds.
+SCORES = ("quality_odds", "host_share", "path_share", "quality", "kept")
+
+
 def posteriors(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     levels: Sequence[str] = LEVELS, keep_from: float = KEEP_FROM, fit_rows: int = FIT_ROWS,
@@ -192,8 +197,7 @@ def posteriors(
         host, F.col("n").alias("_hn"), F.col("good").alias("_hg")
     )
     table = attach(paths, shrunk, [host]).select(*levels, F.col("n").alias("_pn"), F.col("good").alias("_pg"), "_hn", "_hg")
-    new = ["quality_odds", "host_share", "path_share", "quality", "kept"]
-    rows = judged(docs.drop(*new), model, text, "_o")
+    rows = judged(docs.drop(*SCORES), model, text, "_o")
     rows = attach(rows, table, list(levels))
     own, one = F.coalesce(_share(F.col("_o")), F.lit(0.0)), F.when(F.col("_o").isNotNull(), 1).otherwise(0)
 

@@ -58,6 +58,17 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert {r.doc_id for r in clean.collect()} == {k for k, _ in data} - leaks
 
 
+def test_near_duplicates_under_repeated_and_null_ids(spark):
+    a, b, c = ("one two three four five six seven", "red green blue white black brown pink", "north south east west up down left")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, b + " more"), (None, c), (None, "own text of a row without an id"), (None, "own text of a row without an id"), (4, ""), (4, ""), (5, None)]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, _set string")
+    docs = docs.withColumnRenamed("_set", "kept")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()), key=repr)
+    want = [(1, a), (2, b), (3, c), (None, "own text of a row without an id"), (4, ""), (4, ""), (5, None)]
+    assert got == sorted(want, key=repr) or got == sorted([*want, (3, b + " more")], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), DATA).count() == 0
+
+
 def test_pipeline_result(spark):
     library = Tokenizer.from_file(public_tokenizers.path(catalog.TOKENIZER))
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
