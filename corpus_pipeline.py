@@ -8,33 +8,50 @@ from pyspark.sql import functions as F
 
 from hydrosignal.llm import bpe, contamination, shingle_join, site_quality
 from hydrosignal.llm.catalog import TOKENIZER
-from hydrosignal.operators.attach import BROADCAST_ROWS
+from hydrosignal.operators.attach import BROADCAST_ROWS, attach
 from hydrosignal.session import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose posterior quality is at least one half."""
+    """Keeps the documents whose posterior quality is at least one half, with all their columns.
+
+    Columns named like the scores are kept under other names meanwhile.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return site_quality.posteriors(docs, labels).filter("kept").select(*docs.columns)
+    names = {c: f"_given_{c}" for c in site_quality.SCORES if c in docs.columns}
+    scored = site_quality.posteriors(docs.withColumnsRenamed(names), labels).filter("kept").drop(*site_quality.SCORES)
+    return scored.withColumnsRenamed({v: k for k, v in names.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents, once.
+    """Keeps one document of each group of linked documents: the smallest id, of equal ones the smallest set.
 
-    Rows with a null id name no document and stay. The list of what goes is broadcast up to a
-    counted size and joined by id beyond it; texts move only in that case.
+    A null id comes last. Of several rows with that id and set one stays; rows without words are
+    linked with nothing and all stay. Ids that stand for one set are decided by id alone; texts
+    under repeated or null ids are told apart by their sets. Lists of ids are broadcast up to a
+    counted size and joined beyond it; texts move only in that case.
     """
-    linked = materialize(shingle_join.link_documents(docs).select("doc_id", "component_id"), "linked")
-    goes = linked.filter("doc_id <> component_id").select("doc_id").distinct()
-    again = linked.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    linked = shingle_join.linked_sets(docs).select("doc_id", "set_hash", "cluster")
+    linked = materialize(linked.withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "set_hash")), "linked")
+    first = linked.filter("cluster IS NOT NULL").groupBy("cluster").agg(F.min("place").alias("first"))
+    decided = attach(linked, first, ["cluster"], salt_by=["doc_id"]).select(
+        "doc_id", "set_hash", (F.col("cluster").isNull() | F.col("place").eqNullSafe(F.col("first"))).alias("stays")
+    )
+    decided = materialize(decided, "decided")
 
     def sized(ids: DataFrame) -> DataFrame:
         return F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
 
-    repeated = sized(again)
-    left = docs.join(sized(goes), "doc_id", "left_anti")
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    known = decided.filter("doc_id IS NOT NULL")
+    again = materialize(known.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    goes = known.filter("NOT stays").select("doc_id").unionByName(again).distinct()
+    alone = docs.filter("doc_id IS NOT NULL").join(sized(goes), "doc_id", "left_anti")
+    repeated = docs.filter("doc_id IS NOT NULL").join(sized(again), "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    told = shingle_join.with_set_hash(repeated, name="_set")
+    choice = decided.filter("stays AND set_hash IS NOT NULL").select("doc_id", F.col("set_hash").alias("_set")).distinct()
+    chosen = attach(told.filter("_set IS NOT NULL"), choice.withColumn("_stays", F.lit(True)), ["doc_id", "_set"], "inner", salt_by=["text"])
+    once = chosen.dropDuplicates(["doc_id", "_set"])
+    return alone.select(*docs.columns).unionByName(once.select(*docs.columns)).unionByName(told.filter("_set IS NULL").select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
