@@ -183,6 +183,72 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(other, doc_i
 FROM s LEFT JOIN least ON least.id = doc_id
 """
 
+OP11 = """
+WITH codes AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT range::BIGINT AS i FROM range(256)))
+),
+own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+ids AS (
+  SELECT c, n, c - c % 5 AS base, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(c::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT c, count(*) AS n FROM own GROUP BY c), codes
+),
+steps AS (
+  SELECT i.c, o.pos AS d, role, text FROM ids i JOIN own o ON o.c = i.base AND o.pos < i.h
+  UNION ALL
+  SELECT i.c, least(i.h, coalesce(b.n, 0)) + o.pos - i.h, role, text
+  FROM ids i JOIN own o ON o.c = i.c AND o.pos >= i.h LEFT JOIN ids b ON b.c = i.base
+),
+seqs AS (
+  SELECT c, list(md5(md5(role) || md5(text)) ORDER BY d) AS s, list(strlen(text)::BIGINT ORDER BY d) AS b FROM steps GROUP BY c
+),
+members AS (
+  SELECT c, d, array_to_string(s[1:d], ',') AS k, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS bytes, len(s) = d AS ends
+  FROM (SELECT *, unnest(generate_series(0, len(s))) AS d FROM (SELECT ids.c, coalesce(s, []) AS s, coalesce(b, []) AS b FROM ids LEFT JOIN seqs USING (c)))
+),
+nodes AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes, count(*) FILTER (WHERE ends) AS n_ends,
+    string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends) AS e, substr(k, 1, greatest(33 * d - 34, 0)) AS above
+  FROM members GROUP BY d, k
+),
+below AS (
+  SELECT j AS d, substr(k, 1, greatest(33 * j - 1, 0)) AS k, count(*) FILTER (WHERE n_ends = n_convs) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(generate_series(0, d)) AS j FROM nodes) GROUP BY 1, 2
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, count(c.conv_id) AS n_children, any_value(n_leaves) AS n_leaves,
+  any_value(b.saved)::BIGINT AS saved_tokens, sha256(coalesce(any_value(n.e), '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.k = n.k LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.above
+LEFT JOIN nodes c ON c.d = n.d + 1 AND c.above = n.k
+GROUP BY n.d, n.k, n.conv_id, n.n_convs, p.conv_id
+"""
+
+OP12 = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, g.vec_id AS id, a.label = g.label AS same, list_dot_product(a.v, g.v)::BIGINT AS score
+  FROM good a JOIN good g ON a.vec_id % 100 = 0 AND a.vec_id <> g.vec_id
+),
+near AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT near.anchor_id, positive_id, (row_number() OVER (PARTITION BY near.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN scored s ON s.anchor_id = near.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 SQL = {
     "op1_embedding_links": OP1,
     "op2_shard_documents": OP2,
@@ -190,4 +256,6 @@ SQL = {
     "op7_url_verdicts": OP7,
     "op9_warc_round_trip": OP9,
     "op10_shingle_components": OP10,
+    "op11_prefix_trie": OP11,
+    "op12_hard_negatives": OP12,
 }
