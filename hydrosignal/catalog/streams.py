@@ -77,9 +77,26 @@ WITH {s.GRID},
 w AS (SELECT series_id, hour, precip, CASE WHEN hour - lag(hour) OVER (PARTITION BY series_id ORDER BY hour) <= INTERVAL 8 HOUR THEN 0 ELSE 1 END AS turn FROM grid WHERE precip > 0),
 g AS (SELECT *, sum(turn) OVER (PARTITION BY series_id ORDER BY hour) AS run FROM w)
 SELECT series_id, {s.stamp('min(hour)')} AS first_wet, {s.stamp('max(hour)')} AS last_wet, round(sum(precip), 6) AS depth, round(max(precip), 6) AS peak FROM g GROUP BY series_id, run
-HAVING sum(precip) > 0.1e0 AND max(hour) + INTERVAL 8 HOUR <= (SELECT max(hour) - INTERVAL 1 DAY FROM grid)""",
+HAVING sum(precip) > 0.1e0""",
 )
 def sessions(spark, folder):
+    """Open sessions are in the table too; an hour that comes late replaces those that it joins."""
+    found = _events_of_deliveries(spark, folder, "sessions").filter("wet = 1")
+    out = found.select("series_id", "first_wet", "last_wet", F.col("event_precip_sum").alias("depth"), F.col("event_precip_max").alias("peak"))
+    return s.rounded(out.withColumns({"first_wet": s.text("first_wet"), "last_wet": s.text("last_wet")}))
+
+
+@query(
+    "l4_closed_rain_sessions",
+    f"""
+WITH {s.GRID},
+w AS (SELECT series_id, hour, precip, CASE WHEN hour - lag(hour) OVER (PARTITION BY series_id ORDER BY hour) <= INTERVAL 8 HOUR THEN 0 ELSE 1 END AS turn FROM grid WHERE precip > 0),
+g AS (SELECT *, sum(turn) OVER (PARTITION BY series_id ORDER BY hour) AS run FROM w)
+SELECT series_id, {s.stamp('min(hour)')} AS first_wet, {s.stamp('max(hour)')} AS last_wet, round(sum(precip), 6) AS depth, round(max(precip), 6) AS peak FROM g GROUP BY series_id, run
+HAVING sum(precip) > 0.1e0 AND max(hour) + INTERVAL 8 HOUR <= (SELECT max(hour) - INTERVAL 1 DAY FROM grid)""",
+)
+def closed_sessions(spark, folder):
+    """Only sessions that the watermark has closed, as session windows in append mode give them."""
     h = _table_stream(s.rain(spark, folder).select("series_id", "hour", "precip"), "hourly-rain")
     out = runs.run_append(hourly.rain_sessions(h, K, "hour"), "sessions")
     return s.rounded(out.withColumns({"first_wet": s.text("first_wet"), "last_wet": s.text("last_wet")}))
@@ -141,7 +158,11 @@ SELECT series_id, {_H}, event_id, wet, event_hour, event_duration, event_type, r
 FROM since""",
 )
 def arriving_events(spark, folder):
-    """Hours as they were read, without those that are missing, in four deliveries."""
+    return shown(rain_state.event_hours(_events_of_deliveries(spark, folder, "rain-events")))
+
+
+def _events_of_deliveries(spark, folder, name):
+    """Events of the hours as they were read, without those that are missing, in four deliveries."""
     rolled = grid.hourly_rollup(s.observations(spark, folder), K, "ts", (), ["precip"])
     read = materialize(rolled.select("series_id", "hour", "precip"), "hours-read")
     seconds = F.unix_seconds("hour")
@@ -152,8 +173,8 @@ def arriving_events(spark, folder):
         read.filter(part == i).coalesce(1).write.mode("append").parquet(path)
     stream = rain_state.rain_event_stream(runs.read_table_stream(spark, path, files=1), "series_id", "hour")
     with rain_state.rocks_state(spark):
-        found = runs.run_newest(stream, "rain-events", ["series_id", "first_hour"], "first_hour", "version")
-    return shown(rain_state.event_hours(found))
+        found = runs.run_newest(stream, name, ["series_id", "first_hour"], "first_hour", "version")
+    return found.filter("event_id IS NOT NULL")
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hydrosignal.functions import times
 from hydrosignal.operators.joins import DAY, asof_join, covering_intervals
-from hydrosignal.operators.ordered import first_per_key
+from hydrosignal.operators.ordered import first_per_key, running_totals, time_part
 
 # Texts shown to the public.
 LABELS = {"advisory": "Advisory", "uncertain": "Uncertain", "good": "Good", "unknown": "Not Available"}
@@ -64,24 +64,53 @@ def decide(exceedance: Column, prefix: str = "") -> Column:
     return F.struct(kind.alias("type"), label.alias("label"), reason.alias("reason"))
 
 
-def flag_segments(flags: DataFrame) -> DataFrame:
-    """The time line of each site cut where its set of covering flags changes.
+#: Aggregates of a segment that need no list of its flags.
+COUNTED = ("n_flags", "any_offline", "any_advisory", "any_uncertain")
+_AFTER = "INTERVAL '0.000001' SECOND"
 
-    One row per (name, from): the summary of the flags (closed intervals) that cover the
-    instants from ``from`` up to the site's next row, ``n_flags`` null where there are none,
-    and ``flag_ids`` in order. Flags with a null bound or with end before start cover nothing.
-    The work grows with the flags and their overlaps, not with the predictions.
-    """
-    located = (
+
+def _located(flags: DataFrame) -> DataFrame:
+    return (
         flags.withColumnRenamed("location_id", "name")
         .select("name", "id", "start_timestamp", "end_timestamp", "level", "description")
         .filter("start_timestamp <= end_timestamp")
     )
-    after = F.col("end_timestamp") + F.expr("INTERVAL '0.000001' SECOND")
-    edges = located.select("name", F.explode(F.array("start_timestamp", after)).alias("from")).distinct()
-    pairs = covering_intervals(edges, located, ["name"], "from", "start_timestamp", "end_timestamp")
-    summary = pairs.groupBy("name", "from").agg(*flag_summary(), F.sort_array(F.collect_list("id")).alias("flag_ids"))
-    return edges.join(summary, ["name", "from"], "left")
+
+
+def flag_segments(flags: DataFrame, part_seconds: int = 30 * DAY) -> DataFrame:
+    """The time line of each site cut where its set of covering flags changes: a sweep over starts and ends.
+
+    One row per (name, from): how many flags (closed intervals) cover the instants from ``from`` up
+    to the site's next row, ``n_flags`` null where there are none, and whether one of each level is
+    among them. A flag adds one at its start and takes one away behind its end; running sums along
+    parts of a site's time give the counts, so the work grows with the flags and not with their
+    overlaps. Flags with a null bound or with end before start cover nothing.
+    """
+    level = {"any_offline": "OFFLINE", "any_advisory": "ADVISORY", "any_uncertain": "UNCERTAIN"}
+    edge = F.inline(
+        F.array(
+            F.struct(F.col("start_timestamp").alias("from"), F.lit(1).alias("sign")),
+            F.struct((F.col("end_timestamp") + F.expr(_AFTER)).alias("from"), F.lit(-1).alias("sign")),
+        )
+    )
+    changes = (
+        _located(flags)
+        .select("name", "level", edge)
+        .groupBy("name", "from")
+        .agg(F.sum("sign").alias("n"), *[F.sum(F.when(F.col("level") == v, F.col("sign")).otherwise(0)).alias(f"_{k}") for k, v in level.items()])
+    )
+    totals = {"n_flags": F.col("n"), **{k: F.col(f"_{k}") for k in level}}
+    swept = running_totals(changes, ["name"], time_part(F.col("from"), part_seconds), [F.col("from")], totals)
+    # null without flags, so that a site's gaps look like a site without any
+    some = lambda c: F.when(F.col("n_flags") > 0, c)
+    return swept.select("name", "from", some(F.col("n_flags")).alias("n_flags"), *[some(F.col(k) > 0).alias(k) for k in level])
+
+
+def segment_flags(segments: DataFrame, flags: DataFrame) -> DataFrame:
+    """(name, from, flag_text, flag_ids): descriptions and numbers of the flags that cover each given segment, in order."""
+    pairs = covering_intervals(segments.select("name", "from"), _located(flags), ["name"], "from", "start_timestamp", "end_timestamp")
+    text = F.expr("listagg(description, ' ') within group (order by id)").alias("flag_text")
+    return pairs.groupBy("name", "from").agg(text, F.sort_array(F.collect_list("id")).alias("flag_ids"))
 
 
 def with_covering_flags(predictions: DataFrame, flags: DataFrame) -> DataFrame:
@@ -89,7 +118,8 @@ def with_covering_flags(predictions: DataFrame, flags: DataFrame) -> DataFrame:
 
     Flags are cut to the time span of their site's predictions, so an open-ended one costs no
     more than that. Each prediction then looks up the segment it falls into; no pair of
-    prediction and flag is made. ``flag_ids`` lists the covering flags, null where there are none.
+    prediction and flag is made, and flags are listed only for segments that hold a prediction.
+    ``flag_ids`` lists the covering flags, null where there are none.
     """
     span = predictions.groupBy(F.col("name").alias("location_id")).agg(
         F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")
@@ -104,9 +134,10 @@ def with_covering_flags(predictions: DataFrame, flags: DataFrame) -> DataFrame:
             }
         )
     )
-    return asof_join(
-        predictions, flag_segments(within), ["name"], "timestamp", "from", [*FLAG_SUMMARY, "flag_ids"], tie=["from"], part_seconds=DAY
-    ).drop("from")
+    placed = asof_join(predictions, flag_segments(within), ["name"], "timestamp", "from", [*COUNTED], tie=["from"], part_seconds=DAY)
+    lists = segment_flags(placed.filter("n_flags > 0").select("name", "from").distinct(), within)
+    joined = placed.join(lists, ["name", "from"], "left")
+    return joined.select(*predictions.columns, *FLAG_SUMMARY, "flag_ids")
 
 
 def recent(predictions: DataFrame, now: Column, tz: str = times.EASTERN, days: int = 7) -> DataFrame:

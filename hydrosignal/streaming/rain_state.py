@@ -29,7 +29,7 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 EVENTS = (
     "series_id string, first_hour timestamp, last_hour timestamp, event_id long, wet int, event_precip_sum double, "
-    "event_precip_max double, series_start timestamp, last_hits array<timestamp>, closed boolean, version long"
+    "event_precip_max double, first_wet timestamp, last_wet timestamp, series_start timestamp, last_hits array<timestamp>, closed boolean, version long"
 )
 
 
@@ -38,7 +38,7 @@ class Track:
     """What is known of a series up to the hour before ``next``; hours are numbers since 1970.
 
     ``first``, ``number``, ``wet``, ``total``, ``peak``: the running event. ``spell`` starts the wet
-    spell whose dry run has not ended it yet (-1: none), with its last rainy hour, depth and peak.
+    spell whose dry run has not ended it yet (-1: none), with its first and last rainy hour, depth and peak.
     ``hits`` are the last hours of the latest events of each depth, ``shown`` the first hours of the
     events that were handed on and may still change, both as text.
     """
@@ -52,6 +52,7 @@ class Track:
     total: float = 0.0
     peak: float = 0.0
     spell: int = -1
+    rain_from: int = -1
     rain_at: int = -1
     depth: float = 0.0
     height: float = 0.0
@@ -59,6 +60,10 @@ class Track:
     shown: str = ""
     version: int = 0
 
+    def rained(self) -> tuple[int | None, int | None]:
+        """First and last rainy hour of the running event; none of a dry one."""
+        return (self.rain_from, self.rain_at) if self.wet else (None, None)
+
     def last_hits(self, n: int) -> list[int]:
         return [int(h) for h in self.hits.split()] if self.hits else [self.start - 1] * n
 
@@ -76,7 +81,7 @@ def advance(t: Track, rain: np.ndarray, min_depth: float, gap: int, depths: Sequ
 
     def close(last: int) -> None:
         if last >= t.first:
-            closed.append((t.first, last, t.number, t.wet, t.total, t.peak, t.last_hits(len(depths)), True))
+            closed.append((t.first, last, t.number, t.wet, t.total, t.peak, *t.rained(), t.last_hits(len(depths)), True))
         if t.wet:
             t.hits = " ".join(str(last if t.total >= d else h) for d, h in zip(depths, t.last_hits(len(depths)), strict=True))
 
@@ -96,7 +101,7 @@ def advance(t: Track, rain: np.ndarray, min_depth: float, gap: int, depths: Sequ
         if t.spell < 0:
             # a short dry run at the start of the series belongs to its first spell
             t.spell = t.start if t.rain_at < 0 and hour - t.start < gap else hour
-            t.depth, t.height = 0.0, 0.0
+            t.rain_from, t.depth, t.height = hour, 0.0, 0.0
         t.rain_at = hour
         t.depth += fell
         t.height = max(t.height, fell)
@@ -185,9 +190,9 @@ class RainEvents(StatefulProcessor):
             found += [(*e[:-1], False) for e in advance(seen, rain, *self.rule)]
         # nothing of an event that has just ended may be left to show, not even an hour
         if seen.newest >= seen.first:
-            found.append((seen.first, seen.newest, seen.number, seen.wet, seen.total, seen.peak, seen.last_hits(len(self.rule[2])), False))
+            found.append((seen.first, seen.newest, seen.number, seen.wet, seen.total, seen.peak, *seen.rained(), seen.last_hits(len(self.rule[2])), False))
         names = {e[0] for e in found}
-        found += [(int(h), int(h), None, None, None, None, [], False) for h in t.shown.split() if int(h) not in names]
+        found += [(int(h), int(h), None, None, None, None, None, None, [], False) for h in t.shown.split() if int(h) not in names]
         t.shown = " ".join(str(e[0]) for e in found if not e[-1] and e[2] is not None)
         self.track.update(tuple(asdict(t).values()))
         if t.next <= t.newest:
@@ -196,9 +201,9 @@ class RainEvents(StatefulProcessor):
 
     def _frame(self, key, t: Track, found: list[tuple]) -> pd.DataFrame:
         def instant(hours):
-            return pd.to_datetime(np.asarray(hours, np.int64) * 3600, unit="s").as_unit("us")
+            return pd.to_datetime(pd.array(hours, "Int64") * 3600, unit="s").as_unit("us")
 
-        first, last, number, wet, total, peak, hits, closed = zip(*found, strict=True) if found else [()] * 8
+        first, last, number, wet, total, peak, wet_from, wet_to, hits, closed = zip(*found, strict=True) if found else [()] * 10
         return pd.DataFrame(
             {
                 "series_id": [key[0]] * len(found),
@@ -208,8 +213,10 @@ class RainEvents(StatefulProcessor):
                 "wet": pd.array(wet, "Int32"),
                 "event_precip_sum": np.asarray(total, float),
                 "event_precip_max": np.asarray(peak, float),
+                "first_wet": instant(wet_from),
+                "last_wet": instant(wet_to),
                 "series_start": instant([t.start] * len(found)),
-                "last_hits": [list(instant(h).to_pydatetime()) for h in hits],
+                "last_hits": [list(instant(h).to_pydatetime()) if h else [] for h in hits],
                 "closed": np.asarray(closed, bool),
                 "version": np.full(len(found), t.version, np.int64),
             }
@@ -232,7 +239,7 @@ def rain_event_stream(
     repeated (the larger value counts) or not at all (a missing hour between others is dry). Later
     ones are dropped, as the watermark says. Hours without a series or time count for nothing, a
     null precip as 0. ``last_hits`` has, for each of ``depths``, the last hour of the latest event
-    before this one that reached it; before any, the hour before the series starts. Rows with the
+    before this one that reached it (``first_wet`` and ``last_wet`` are the ends of its own rain); before any, the hour before the series starts. Rows with the
     same (series, first_hour) are the same event, the greatest ``version`` counts; where that has no
     event_id, the event is gone. The state of a
     series is bounded by the delay. Needs the state store that ``rocks_state`` sets.
