@@ -122,7 +122,7 @@ WHERE year(Datetime) BETWEEN 1996 AND 1999 AND month(Datetime) BETWEEN 5 AND 10"
 )
 def season(spark, folder):
     x = s.samples(spark, folder)
-    return x.filter(clean.in_season(F.to_date("Datetime"), 1996, 1999)).select(*_ID, s.text("Datetime").alias("timestamp"))
+    return x.filter(clean.in_season(F.col("Datetime"), 1996, 1999)).select(*_ID, s.text("Datetime").alias("timestamp"))
 
 
 @query(

@@ -62,13 +62,15 @@ def metar_series(spark, folder):
     return shown(weather.metar_series(docs, K, d("2024-01-05"), d("2024-01-20")), 11)
 
 
+_DOCUMENTS = """docs AS (
+  SELECT series_id, date_trunc('minute', ts) AS t, temp, CASE WHEN k >= 5 THEN dewpt END AS dewpt, CASE WHEN k <= 90 THEN k::DOUBLE END AS hum, wspd, 10e0 AS vis, pressure, precip
+  FROM obs WHERE k <> 50)"""
+
+
 @query(
     "m2_weather_document_series",
     f"""
-WITH {s.OBS},
-docs AS (
-  SELECT series_id, date_trunc('minute', ts) AS t, temp, CASE WHEN k >= 5 THEN dewpt END AS dewpt, CASE WHEN k <= 90 THEN k::DOUBLE END AS hum, wspd, 10e0 AS vis, pressure, precip
-  FROM obs WHERE k <> 50),
+WITH {s.OBS}, {_DOCUMENTS},
 {series_sql('docs', 't', weather.DOCUMENT_VARIABLES)}
 SELECT series_id, {_H}, n_hour, missing_hour, {_rounded_list([*weather.DOCUMENT_VARIABLES, 'precip'], 11)} FROM series""",
 )
@@ -77,35 +79,49 @@ def document_series(spark, folder):
 
 
 _RAIN = [f"precip_{a}_p{k}hr_lag{n}hr" for k in rolling.RAIN_WIDTHS for n in rolling.RAIN_LAGS for a in ("sum", "max")]
-_TREND = [f"{v}_{m}_p{k}hr" for k in rolling.WEATHER_WIDTHS for m in ("mean", "change") for v in s.VARIABLES]
 _SINCE = [events.since_name(d) for d in events.SINCE_DEPTHS]
 
 
-def _trend_sql():
+def _trends(variables):
+    return [f"{v}_{m}_p{k}hr" for k in rolling.WEATHER_WIDTHS for m in ("mean", "change") for v in variables]
+
+
+def _trend_sql(variables):
     out = []
     for k in rolling.WEATHER_WIDTHS:
-        for v in s.VARIABLES:
+        for v in variables:
             frame = f"(w ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
             out.append(f"CASE WHEN count({v}) OVER {frame} = {k} THEN avg({v}) OVER {frame} END AS {v}_mean_p{k}hr")
             out.append(f"{v} - lag({v}, {k}) OVER w AS {v}_change_p{k}hr")
     return ", ".join(out)
 
 
-PREDICTORS = f"""{s.HOURS}, {antecedent_sql(rolling.RAIN_WIDTHS, rolling.RAIN_LAGS, 'hours')}, {events_sql('hours')},
-trend AS (SELECT series_id, hour, {_trend_sql()} FROM hours WINDOW w AS (PARTITION BY series_id ORDER BY hour)),
-prior AS (SELECT series_id, hour::DATE + 1 AS date, {', '.join(f'avg({v}) AS {v}_mean_p1d' for v in s.VARIABLES)} FROM hours GROUP BY series_id, hour::DATE),
+def predictors_sql(variables, source):
+    """CTEs up to ``predictors`` from an hourly series with these variables."""
+    return f"""{antecedent_sql(rolling.RAIN_WIDTHS, rolling.RAIN_LAGS, source)}, {events_sql(source)},
+trend AS (SELECT series_id, hour, {_trend_sql(variables)} FROM {source} WINDOW w AS (PARTITION BY series_id ORDER BY hour)),
+prior AS (SELECT series_id, hour::DATE + 1 AS date, {', '.join(f'avg({v}) AS {v}_mean_p1d' for v in variables)} FROM {source} GROUP BY series_id, hour::DATE),
 predictors AS (
-  SELECT h.series_id, h.hour::DATE AS date, h.hour, {', '.join('h.' + v for v in s.VARIABLES)}, {', '.join('t.' + c for c in _TREND)},
-         {', '.join(f'p.{v}_mean_p1d' for v in s.VARIABLES)}, e.event_type, {', '.join('e.' + c for c in _SINCE)}, {', '.join('r.' + c for c in _RAIN)}
-  FROM hours h JOIN trend t ON t.series_id = h.series_id AND t.hour = h.hour
+  SELECT h.series_id, h.hour::DATE AS date, h.hour, {', '.join('h.' + v for v in variables)}, {', '.join('t.' + c for c in _trends(variables))},
+         {', '.join(f'p.{v}_mean_p1d' for v in variables)}, e.event_type, {', '.join('e.' + c for c in _SINCE)}, {', '.join('r.' + c for c in _RAIN)}
+  FROM {source} h JOIN trend t ON t.series_id = h.series_id AND t.hour = h.hour
   JOIN since e ON e.series_id = h.series_id AND e.hour = h.hour JOIN rainfall r ON r.series_id = h.series_id AND r.hour = h.hour
   LEFT JOIN prior p ON p.series_id = h.series_id AND p.date = h.hour::DATE)"""
 
-_SHOW = f"series_id, strftime(date, '%Y-%m-%d') AS date, {_H}, event_type, {', '.join(_SINCE)}, {', '.join(_RAIN)}, {_rounded_list([*s.VARIABLES, *_TREND, *[v + '_mean_p1d' for v in s.VARIABLES]], 11)}"
+
+def _show(variables):
+    return f"series_id, strftime(date, '%Y-%m-%d') AS date, {_H}, event_type, {', '.join(_SINCE)}, {', '.join(_RAIN)}, {_rounded_list([*variables, *_trends(variables), *[v + '_mean_p1d' for v in variables]], 11)}"
+
+
+PREDICTORS = f"{s.HOURS}, {predictors_sql(s.VARIABLES, 'hours')}"
+_SHOW = _show(s.VARIABLES)
 
 
 def _predictors(spark, folder):
-    p = weather.weather_predictors(s.hours(spark, folder), K)
+    return _counted(weather.weather_predictors(s.hours(spark, folder), K))
+
+
+def _counted(p):
     return p.withColumns({c: F.col(c).cast("long") for c in _SINCE})
 
 
@@ -119,6 +135,19 @@ def weather_predictors(spark, folder):
     return _shown_predictors(_predictors(spark, folder))
 
 
+@query(
+    "m3_weather_predictors_with_humidity",
+    f"""WITH {s.OBS}, {_DOCUMENTS},
+{series_sql('docs', 't', weather.DOCUMENT_VARIABLES)},
+{predictors_sql(weather.DOCUMENT_PREDICTORS, 'series')}
+SELECT {_show(weather.DOCUMENT_PREDICTORS)} FROM predictors""",
+)
+def humid_predictors(spark, folder):
+    """The form with humidity, from the weather documents."""
+    h = weather.document_series(weather_documents(spark, folder), K)
+    return _shown_predictors(_counted(weather.weather_predictors(h, K, variables=weather.DOCUMENT_PREDICTORS)))
+
+
 _FLOW_COLUMNS = [f"{x}_{c}" for x in s.STATIONS for c in flow_plan.feature_names()]
 _FLOW_WIDE = f"""{_LAGGED},
 flow_wide AS (SELECT date, {', '.join(f'max({c[2:]}) FILTER (WHERE station_id = {chr(39)}{c[0]}{chr(39)}) AS "{c}"' for c in _FLOW_COLUMNS)} FROM lagged GROUP BY date)"""

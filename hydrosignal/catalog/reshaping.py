@@ -105,7 +105,7 @@ t AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-0
 fl AS (SELECT station_id, date::TIMESTAMP AS at, flow, flow - lag(flow) OVER (PARTITION BY station_id ORDER BY date) AS flow_deriv FROM flow),
 looked AS (
   SELECT st.station_id, t.t, fl.flow, fl.flow_deriv, row_number() OVER (PARTITION BY st.station_id ORDER BY t.t) AS pos
-  FROM t CROSS JOIN (SELECT unnest(['1', '2']) AS station_id) st LEFT JOIN fl ON fl.station_id = st.station_id AND fl.at = t.t),
+  FROM t CROSS JOIN (SELECT unnest({s.STATIONS}) AS station_id) st LEFT JOIN fl ON fl.station_id = st.station_id AND fl.at = t.t),
 known AS (
   SELECT *, {_around('flow')}, {_around('flow_deriv')} FROM looked
   WINDOW up AS (PARTITION BY station_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
@@ -118,7 +118,7 @@ bins AS (SELECT t.t, {_flow_bins('t.t')} FROM t LEFT JOIN rain r ON r.at < t.t A
     "i6_scenario_features",
     f"""
 WITH {SCENARIO}
-SELECT {s.stamp('f.t')} AS t, {', '.join(f'round(max({c}) FILTER (WHERE station_id = {chr(39)}{x}{chr(39)}), 10) AS flow_{x}_{n}' for x in '12' for c, n in (('flow', 'current'), ('flow_deriv', 'deriv')))},
+SELECT {s.stamp('f.t')} AS t, {', '.join(f'round(max({c}) FILTER (WHERE station_id = {chr(39)}{x}{chr(39)}), 10) AS flow_{x}_{n}' for x in s.STATIONS for c, n in (('flow', 'current'), ('flow_deriv', 'deriv')))},
        {', '.join(f'max(precip_{a}_{b}) AS precip_{a}_{b}' for a, b in zip(_EDGES, _EDGES[1:]))}
 FROM filled f JOIN bins USING (t) GROUP BY f.t""",
 )
@@ -129,7 +129,7 @@ def scenario(spark, folder):
 
     f = flow_derivative(s.flow(spark, folder), ["station_id"], "date").withColumn("at", F.col("date").cast("timestamp"))
     o = s.observations(spark, folder).select(F.date_trunc("hour", "ts").alias("at"), "precip")
-    out = predictor_plan.scenario_table(t, "t", f, "station_id", ["1", "2"], "at", o, "at", "precip", _EDGES)
+    out = predictor_plan.scenario_table(t, "t", f, "station_id", s.STATIONS, "at", o, "at", "precip", _EDGES)
     out = s.rounded(out.withColumn("t", s.text("t")), 10, *[c for c in out.columns if c.startswith("flow_")])
     return s.rounded(out, 6, *[c for c in out.columns if c.startswith("precip_")])
 

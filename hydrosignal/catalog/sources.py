@@ -46,17 +46,13 @@ SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS n_chars,
 FROM documents GROUP BY lang""",
 )
 def latin1_csv(spark, folder):
+    """Texts as they are, with their line breaks and quotes."""
     path = scratch_dir(spark, "latin1-csv")
-    docs = s.read(spark, folder, "documents").select(
-        "doc_id",
-        "lang",
-        F.translate("text", "\r\n", "  ").alias("text"),
-        F.date_format(F.date_add(F.lit("2016-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")), "MM/dd/yyyy").alias("DateHour"),
-    )
-    quoting = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    docs.write.options(header=True, encoding="ISO-8859-1", **quoting).csv(path)
+    day = F.date_add(F.lit("2016-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    docs = s.read(spark, folder, "documents").select("doc_id", "lang", "text", F.date_format(day, "MM/dd/yyyy").alias("DateHour"))
+    files.write_csv(docs.repartition("doc_id"), path, encoding="ISO-8859-1")
     schema = StructType.fromDDL("doc_id long, lang string, text string, DateHour timestamp")
-    back = spark.read.options(escape='"').schema(schema).options(header=True, encoding="ISO-8859-1", timestampFormat="MM/dd/yyyy").csv(path)
+    back = files.read_csv(spark, path, schema, encoding="ISO-8859-1", timestamp_format="MM/dd/yyyy", multi_line=True)
     return back.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text")).alias("n_chars"),
@@ -336,7 +332,8 @@ def upsert_rows(spark, folder):
 @query(
     "a11_append_new_keys",
     f"WITH {_STORED} SELECT f.station_id, strftime(f.date, '%Y-%m-%d') AS date, f.flow, f.o_orderkey FROM fresh f "
-    "WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.station_id = f.station_id AND s.date = f.date)",
+    "WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.station_id = f.station_id AND s.date = f.date) "
+    "QUALIFY row_number() OVER (PARTITION BY f.station_id, f.date ORDER BY f.flow, f.o_orderkey) = 1",
 )
 def append_rows(spark, folder):
     out = keyed.new_rows(_stored(spark, folder), _flow_rows(spark, folder, True), ["station_id", "date"])

@@ -155,11 +155,12 @@ def antecedent(spark, folder):
 
 @query(
     "f4_antecedent_rainfall_in_time_parts",
-    f"WITH {s.GRID}, {antecedent_sql((24, 72), (0, 48))} SELECT * REPLACE ({s.stamp('hour')} AS hour) FROM rainfall",
+    f"WITH {s.GRID}, {antecedent_sql(rolling.RAIN_WIDTHS, rolling.RAIN_LAGS)} SELECT * REPLACE ({s.stamp('hour')} AS hour) FROM rainfall",
 )
 def antecedent_parts(spark, folder):
-    feature = lambda df, keys: rolling.antecedent(df, keys, "hour", widths=(24, 72), lag_hours=(0, 48))
-    out = rolling.in_time_parts(s.rain(spark, folder), K, "hour", 200 * 3600, 120 * 3600, feature)
+    feature = lambda df, keys: rolling.antecedent(df, keys, "hour")
+    reach = max(rolling.RAIN_WIDTHS) + max(rolling.RAIN_LAGS)
+    out = rolling.in_time_parts(s.rain(spark, folder), K, "hour", 300 * 3600, reach * 3600, feature)
     return shown(out.drop("n_hour", "missing_hour", "precip"))
 
 

@@ -78,7 +78,13 @@ def in_delimited(value: Column, text: Column, delimiter_regex: str = r" \+ ") ->
 
 
 def in_season(date: Column, first_year=2005, last_year=2016, first_month=5, last_month=10) -> Column:
-    return F.year(date).between(first_year, last_year) & F.month(date).between(first_month, last_month)
+    """Months of a season in a range of years, for a date or timestamp column.
+
+    The range of the years is also given as a plain range of the column, which reaches the scan.
+    """
+    first, end = f"{first_year}-{first_month:02d}-01", f"{last_year + last_month // 12}-{last_month % 12 + 1:02d}-01"
+    inside = (date >= F.lit(first).cast("date")) & (date < F.lit(end).cast("date"))
+    return inside & F.month(date).between(first_month, last_month)
 
 
 def sigmoid(log_odds: Column) -> Column:

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrosignal.operators.ordered import hash_order, hash_rank
+from hydrosignal.operators.attach import attach
+from hydrosignal.operators.ordered import hash_rank
+
+#: Copies of one row that a task makes at a time.
+COPIES_PER_CHUNK = 4096
 
 # Bacteria standards (per 100 ml) by use and parameter.
 STANDARDS = (
@@ -56,37 +60,33 @@ def stratified_folds(
     return ranked.withColumn(name, ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank", "_rank_all")
 
 
+def _class_sizes(df: DataFrame, keys: Sequence[str], label: str, pick, name: str) -> DataFrame:
+    """One row per group: the size of its smallest or largest class."""
+    return df.groupBy(*keys, label).count().groupBy(*keys).agg(pick("count").alias(name))
+
+
 def down_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[str], seed: int = 1) -> DataFrame:
     """Every class is cut to the size of the smallest class of its group."""
     ranked = hash_rank(df, [*keys, label], id_cols, seed, "_rank")
-    sizes = df.groupBy(*keys, label).count().groupBy(*keys).agg(F.min("count").alias("_n"))
-    joined = ranked.join(sizes, list(keys)) if keys else ranked.crossJoin(F.broadcast(sizes))
+    joined = attach(ranked, _class_sizes(df, keys, label, F.min, "_n"), list(keys), salt_by=list(id_cols))
     return joined.filter(F.col("_rank") <= F.col("_n")).drop("_rank", "_rank_all", "_n")
 
 
-def up_sample(df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[str], seed: int = 1) -> DataFrame:
+def up_sample(
+    df: DataFrame, keys: Sequence[str], label: str, id_cols: Sequence[str], seed: int = 1, chunk: int = COPIES_PER_CHUNK
+) -> DataFrame:
     """Every class is replicated to the size of the largest class of its group.
 
-    Each row is repeated ``size div n`` times and the first ``size mod n`` rows of the
-    hash order once more.
+    Each row is repeated ``size div n`` times and the first ``size mod n`` rows of the hash order
+    once more. Copies are made in chunks that are dealt out first, so the row of a class that has
+    only one spreads over as many tasks as its copies need.
     """
     ranked = hash_rank(df, [*keys, label], id_cols, seed, "_rank")
-    top = df.groupBy(*keys, label).count().groupBy(*keys).agg(F.max("count").alias("_top"))
-    joined = ranked.join(top, list(keys)) if keys else ranked.crossJoin(F.broadcast(top))
+    joined = attach(ranked, _class_sizes(df, keys, label, F.max, "_top"), list(keys), salt_by=list(id_cols))
     n = F.col("_rank_all")
-    copies = F.floor(F.col("_top") / n) + (F.col("_rank") <= F.col("_top") % n).cast("long")
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop(
-        "_rank", "_rank_all", "_top"
-    )
-
-
-__all__ = [
-    "STANDARDS",
-    "standards",
-    "label_exceedance",
-    "stratified_split",
-    "stratified_folds",
-    "down_sample",
-    "up_sample",
-    "hash_order",
-]
+    copies = (F.floor(F.col("_top") / n) + (F.col("_rank") <= F.col("_top") % n).cast("long")).alias("_copies")
+    one = F.lit(1).cast("long")
+    chunks = joined.select(*df.columns, copies).withColumn("_chunk", F.explode(F.sequence(one, F.col("_copies"), F.lit(chunk).cast("long"))))
+    dealt = chunks.repartition(F.xxhash64(*id_cols), "_chunk")
+    last = F.least(F.col("_copies"), F.col("_chunk") + F.lit(chunk - 1))
+    return dealt.withColumn("copy", F.explode(F.sequence(F.col("_chunk"), last))).drop("_copies", "_chunk")

@@ -94,28 +94,55 @@ def rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
     }
 
 
+#: Trials from which the tail is taken from its uniform expansion; its error falls as their power -1.5.
+MANY_TRIALS = 1e7
+
+
 def _upper_tail(x: float, n: float, p: float) -> float:
-    """P(X >= x) for X ~ Binomial(n, p), by the continued fraction of the beta integral."""
-    if x <= 0:
+    """P(X >= x) for X ~ Binomial(n, p): the beta integral of p up to ``MANY_TRIALS``, its expansion beyond."""
+    if x <= 0 or p >= 1.0:
         return 1.0
-    if p >= 1.0:
-        return 1.0
-    if p <= 0.0:
+    if x > n or p <= 0.0:
         return 0.0
     a, b = x, n - x + 1.0
+    if n > MANY_TRIALS and min(a, b) > 1e4:
+        return _beta_expansion(a, b, p)
     if p > (a + 1) / (a + b + 2):
         return 1.0 - _beta_ratio(b, a, 1.0 - p)
     return _beta_ratio(a, b, p)
 
 
+def _beta_expansion(a: float, b: float, x: float) -> float:
+    """Ratio of the beta integral for large ``a`` and ``b``, uniform in ``x``.
+
+    The integrand is put in the shape of a normal density around its peak; what is left is one
+    term of order 1 / sqrt(a + b).
+    """
+    n, peak = a + b, a / (a + b)
+    # n/2 eta^2 = a ln(peak / x) + b ln((1 - peak) / (1 - x)), by log1p near the peak
+    d = x - peak
+    half = -peak * math.log1p(d / peak) - (1 - peak) * math.log1p(-d / (1 - peak))
+    if abs(d) < 1e-3 * min(peak, 1 - peak):
+        # the two logarithms cancel up to the second power of d: sum what is left as a series
+        half = sum(((-1) ** k * peak * (d / peak) ** k + (1 - peak) * (d / (1 - peak)) ** k) / k for k in range(2, 12))
+    eta = math.copysign(math.sqrt(max(2 * half, 0.0)), d)
+    spread = math.sqrt(peak * (1 - peak))
+    if abs(eta) < 1e-5:
+        term = (1 - 2 * peak) / (3 * spread) - eta * (1 + peak * (peak - 1)) / (12 * peak * (1 - peak))
+    else:
+        term = 1 / eta - spread / d
+    return 0.5 * math.erfc(-eta * math.sqrt(n / 2)) + math.exp(-n * half) / math.sqrt(2 * math.pi * n) * term
+
+
 def _beta_ratio(a: float, b: float, x: float) -> float:
+    """Ratio of the beta integral by its continued fraction, which needs some sqrt(a + b) terms."""
     front = math.exp(
         math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     )
     # Lentz evaluation of the fraction 1/(1+ d1/(1+ d2/(1+ ...)))
     tiny = 1e-300
-    f, c, d = 1.0, 1.0, 0.0
-    for i in range(0, 20_000):
+    f, c, d, i = 1.0, 1.0, 0.0, 0
+    while True:
         m = i // 2
         if i == 0:
             num = 1.0
@@ -129,8 +156,8 @@ def _beta_ratio(a: float, b: float, x: float) -> float:
         step = c * d
         f *= step
         if i > 0 and abs(step - 1.0) < 1e-14:
-            break
-    return front * (f - 1.0) / a
+            return front * (f - 1.0) / a
+        i += 1
 
 
 @F.pandas_udf(DoubleType())

@@ -41,9 +41,18 @@ def read_csv(
     encoding: str = "UTF-8",
     timestamp_format: str | None = None,
     separator: str = ",",
+    quote: str = '"',
+    escape: str = '"',
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and a declared schema; nothing is inferred."""
+    """CSV with a header and a declared schema; nothing is inferred.
+
+    A value may stand in quotes; a quote inside it is doubled (or follows another ``escape``).
+    Values that hold line breaks need ``multi_line``: then a file is read by one task, because
+    only its beginning tells where a row starts, so large tables should be several files.
+    """
     reader = spark.read.schema(schema).option("header", True).option("sep", separator).option("encoding", encoding)
+    reader = reader.option("quote", quote).option("escape", escape).option("multiLine", multi_line)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     return reader.csv(path)
@@ -89,9 +98,16 @@ def date_predicates(column: str, days: Sequence[str]) -> list[str]:
     return [f"{column} < '{edges[0]}' OR {column} IS NULL", *between, f"{column} >= '{edges[-1]}'"]
 
 
-def write_csv(df: DataFrame, path: str, timestamps: Sequence[str] = (), pattern: str = "yyyy-MM-dd HH:mm:ss") -> None:
-    """CSV with a header; the named timestamps are written as text in the session zone."""
-    df.withColumns({c: F.date_format(c, pattern) for c in timestamps}).write.option("header", True).csv(path)
+def write_csv(
+    df: DataFrame, path: str, timestamps: Sequence[str] = (), pattern: str = "yyyy-MM-dd HH:mm:ss", encoding: str = "UTF-8"
+) -> None:
+    """CSV with a header; the named timestamps are written as text in the session zone.
+
+    Quotes inside values are doubled and blanks at their ends kept, so that ``read_csv`` gives the
+    same values back (a null and an empty text alike are read as null).
+    """
+    options = {"header": True, "encoding": encoding, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.withColumns({c: F.date_format(c, pattern) for c in timestamps}).write.options(**options).csv(path)
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:

@@ -21,10 +21,7 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], version: Se
     """
     news = first_per_key(new, keys, version)
     named = news.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return news.unionByName(existing.join(named, same, "left_anti"), allowMissingColumns=True)
+    return news.unionByName(existing.join(named, _same_key(keys), "left_anti"), allowMissingColumns=True)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -37,17 +34,32 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
     )
 
 
-def new_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """New rows whose key is not stored yet (append under a unique key)."""
-    return new.join(existing.select(*keys), list(keys), "left_anti")
+def _same_key(keys: Sequence[str]) -> Column:
+    """Whether a row's key equals that of a table whose key columns are named ``_k_...``; null equals null."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return same
+
+
+def new_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[Column] | None = None) -> DataFrame:
+    """New rows whose key is not stored yet, one per key (append under a unique key).
+
+    Of new rows that repeat a key the first in ``version`` order is taken (default: all columns in
+    order, smallest first); ``key_conflicts`` reports the others. A null key equals a null key.
+    """
+    once = first_per_key(new, keys, version or [F.col(c) for c in new.columns])
+    stored = existing.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    return once.join(stored, _same_key(keys), "left_anti")
 
 
 def key_conflicts(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys an append would duplicate: stored already, or repeated among the new rows."""
     counts = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_new"))
-    stored = existing.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_stored"))
+    stored = existing.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("n_stored"))
     return (
-        counts.join(stored, list(keys), "left")
+        counts.join(stored, _same_key(keys), "left")
+        .drop(*[f"_k_{k}" for k in keys])
         .withColumn("n_stored", F.coalesce("n_stored", F.lit(0)))
         .filter("n_new > 1 or n_stored > 0")
     )
