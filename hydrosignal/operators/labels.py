@@ -87,6 +87,8 @@ def up_sample(
     copies = (F.floor(F.col("_top") / n) + (F.col("_rank") <= F.col("_top") % n).cast("long")).alias("_copies")
     one = F.lit(1).cast("long")
     chunks = joined.select(*df.columns, copies).withColumn("_chunk", F.explode(F.sequence(one, F.col("_copies"), F.lit(chunk).cast("long"))))
-    dealt = chunks.repartition(F.xxhash64(*id_cols), "_chunk")
+    # a fixed number of tasks: by the size of the chunks Spark would join them before they grow
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.repartition(tasks, F.xxhash64(*id_cols), "_chunk")
     last = F.least(F.col("_copies"), F.col("_chunk") + F.lit(chunk - 1))
     return dealt.withColumn("copy", F.explode(F.sequence(F.col("_chunk"), last))).drop("_copies", "_chunk")

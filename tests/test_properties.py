@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hydrosignal.operators import joins, labels, metrics, models, ordered, reshape, rolling, status, summaries
+from hydrosignal.operators import joins, labels, metrics, models, newton, ordered, reshape, rolling, status, summaries
 from hydrosignal.operators.attach import attach
 from hydrosignal.plans import scoring
 from hydrosignal.sources import files, keyed, payloads
@@ -348,3 +348,100 @@ def test_a_run_without_predictors_fails(spark):
         scoring.rows_to_score(p, ["series_id"], "hour", listed=none)
     at = F.lit("2024-01-01 00:30:00").cast("timestamp")
     assert scoring.rows_to_score(p, ["series_id"], "hour", at=at).count() == 1
+
+
+# ------------------------------------------------------------- shared Newton steps
+
+
+def test_many_models_equal_single_fits(spark, fit_rows):
+    x, y, df = fit_rows
+    flags = df.withColumns({"low": F.col("id") < 200, "apart": F.col("label") + F.col("x1") * 0.001, "flat": F.lit(3.0)})
+    gappy = flags.withColumn("holes", F.when(F.col("id") % 3 > 0, F.col("x2")))
+    specs = [
+        newton.Spec(("both",), ("x1", "x2")), newton.Spec(("low",), ("x1",), "low"), newton.Spec(("holes",), ("holes",)),
+        newton.Spec(("apart",), ("apart",)), newton.Spec(("flat",), ("x1", "flat")),
+    ]
+    both, low, holes, apart, flat = newton.fit_many(gappy, specs)
+    for fit, cols, keep in ((both, [0, 1], np.arange(400)), (low, [0], np.arange(200)), (holes, [1], np.flatnonzero(np.arange(400) % 3))):
+        z = x[keep][:, cols]
+        b, dev = _irls((z - z.mean(0)) / z.std(0, ddof=1), y[keep])
+        assert fit.converged and fit.deviance == pytest.approx(dev, rel=1e-9)
+        assert [fit.beta[-1], *fit.beta[:-1]] == pytest.approx(list(b), abs=1e-7)
+    assert not apart.converged and not flat.converged
+
+
+@pytest.mark.parametrize("alpha, strength", [(0.0, 0.1), (0.4, 0.02), (1.0, 0.05)])
+def test_penalised_fits_agree_with_mllib(fit_rows, alpha, strength):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    _, _, df = fit_rows
+    lr = LogisticRegression(
+        featuresCol="_features", labelCol="label", standardization=False, elasticNetParam=alpha, regParam=strength, tol=1e-10, maxIter=500
+    )
+    model = Pipeline(stages=[*models._scaled(["x1", "x2"]), lr]).fit(df).stages[-1]
+    (fit,) = newton.fit_many(df, [newton.Spec(("net",), ("x1", "x2"), None, strength, alpha)])
+    assert fit.converged and list(fit.beta) == pytest.approx([*model.coefficients, model.intercept], abs=1e-4)
+
+
+def test_tuning_covers_the_grid_and_prefers_the_stronger_penalty(fit_rows):
+    _, _, df = fit_rows
+    folded = df.withColumn("fold", (F.col("id") % 3).cast("int"))
+    tuned = models.elastic_net(folded, ["x1", "x2"], folds=3, alphas=(0.0, 1.0), lambdas=(0.001, 0.01, 50.0))
+    assert len(tuned.settings) == 6 and all(a is None or 0.4 < a < 1 for _, _, a in tuned.settings)
+    best = max(a for _, _, a in tuned.settings if a is not None)
+    assert tuned.best[1] == max(x for _, x, a in tuned.settings if a is not None and a > best - 1e-12)
+    assert models.score_with(tuned.bestModel, df).filter("prob IS NULL").count() == 0
+
+
+def test_screening_keeps_groups_without_a_fit(spark):
+    rows = [("same", 1.0, i % 2) for i in range(10)] + [("alone", float(i), 1) for i in range(10)] + [("apart", float(i), int(i > 4)) for i in range(10)]
+    rows += [("null", None, i % 2) for i in range(4)] + [(None, float(i * 7 % 10), i % 2) for i in range(10)]
+    long = spark.createDataFrame(rows, "var string, x double, label int")
+    got = {r["var"]: r for r in models.univariate_screen(long, ["var"]).collect()}
+    assert set(got) == {"same", "alone", "apart", "null", None}
+    assert [got[k]["converged"] for k in ("same", "alone", "apart", "null", None)] == [False, False, False, False, True]
+    assert got["apart"]["aic"] is None and got["apart"]["n_sample"] == 10 and got["null"]["n_sample"] == 0
+
+
+# ------------------------------------------------------------- rows that were lost or doubled
+
+
+def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text\n1,"two\nlines"\n2,"say ""hi"""\n3,"a, b"\n', encoding="utf-8")
+    schema = "id long, text string"
+    back = files.read_csv(spark, str(tmp_path / "a.csv"), schema, multi_line=True)
+    want = {1: "two\nlines", 2: 'say "hi"', 3: "a, b"}
+    assert {r["id"]: r["text"] for r in back.collect()} == want
+    files.write_csv(back, str(tmp_path / "b"))
+    assert {r["id"]: r["text"] for r in files.read_csv(spark, str(tmp_path / "b"), schema, multi_line=True).collect()} == want
+
+
+def test_appended_keys_are_unique_and_null_safe(spark):
+    schema = "k string, v int"
+    stored = spark.createDataFrame([("a", 1), (None, 2)], schema)
+    new = spark.createDataFrame([("a", 9), (None, 9), ("b", 5), ("b", 4), ("c", 1)], schema)
+    assert sorted((r["k"], r["v"]) for r in keyed.new_rows(stored, new, ["k"]).collect()) == [("b", 4), ("c", 1)]
+    assert {(r["k"], r["n_new"], r["n_stored"]) for r in keyed.key_conflicts(stored, new, ["k"]).collect()} == {("a", 1, 1), (None, 1, 1), ("b", 2, 0)}
+
+
+def test_one_row_is_copied_by_many_tasks(spark):
+    df = spark.range(5000).select("id", (F.col("id") == 7).cast("int").alias("label"), F.lit("g").alias("k"))
+    out = labels.up_sample(df, ["k"], "label", ["id"], chunk=100)
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 4999, 1: 4999}
+    rare = out.filter("label = 1")
+    assert rare.select("copy").distinct().count() == 4999 and rare.select(F.spark_partition_id()).distinct().count() > 1
+
+
+@pytest.mark.parametrize("n, x, p", [(3e7, 1.5e7 + 2000, 0.5), (3e7, 2.7e7 - 800, 0.9), (5e7, 5e5 + 300, 0.01)])
+def test_tail_expansion_equals_the_fraction(n, x, p):
+    a, b = x, n - x + 1
+    fraction = 1 - metrics._beta_ratio(b, a, 1 - p) if p > (a + 1) / (a + b + 2) else metrics._beta_ratio(a, b, p)
+    assert metrics._upper_tail(x, n, p) == pytest.approx(fraction, abs=1e-6)
+
+
+def test_tail_of_very_many_trials():
+    n = 1e13
+    for z in (-3.0, -0.5, 0.0, 1e-4, 2.0):
+        got = metrics._upper_tail(n * 0.3 + z * math.sqrt(n * 0.21), n, 0.3)
+        assert got == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=1e-6)
