@@ -34,7 +34,10 @@ HEADLINE = [
     "j12_cutoff_sweep",
     "j13_confusion_and_rates",
     "j16_score_many_models",
+    "j22_up_sampling",
+    "j23_univariate_screening",
     "k2_status_of_every_prediction",
+    "k3_seven_day_feed",
     "m3_weather_predictors",
     "m7_labelled_samples",
 ]

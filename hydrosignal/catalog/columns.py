@@ -8,6 +8,8 @@ from hydrosignal.catalog import standins as s
 from hydrosignal.catalog.registry import query
 from hydrosignal.functions import clean, times
 from hydrosignal.operators import joins, labels, models, reshape, summaries
+from hydrosignal.session import scratch_dir
+from hydrosignal.sources import gated
 
 _SAMPLE_ID = "l_orderkey, l_linenumber, l_partkey"
 _ID = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -234,6 +236,22 @@ def checksum_gate(spark, folder):
     return s.rounded(out, 2)
 
 
+@query(
+    "b16_gated_write",
+    """
+SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity, (SELECT count(*) FROM lineitem WHERE l_tax IS NULL) AS nulls_l_tax,
+       (SELECT count(*) FROM lineitem) AS all_rows FROM lineitem GROUP BY 1""",
+)
+def gated_write(spark, folder):
+    """A table published after its gates held, which were counted while it was written."""
+    path = scratch_dir(spark, "published")
+    li = s.read(spark, folder, "lineitem").select("l_returnflag", "l_quantity", "l_tax")
+    gates = [*gated.complete("l_returnflag", "l_tax"), gated.Gate("all_rows", F.count(F.lit(1)), 1, 1e18)]
+    figures = gated.publish(li, path, gates, ["l_returnflag"])
+    out = spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+    return out.withColumns({c: F.lit(figures[c]) for c in ("nulls_l_tax", "all_rows")})
+
+
 @query(
     "b17_unit_conversion",
     f"""

@@ -157,6 +157,20 @@ def dummies(spark, folder):
     return reshape.dummies(o, "st", reshape.levels_of(o, "st")).drop("st")
 
 
+@query(
+    "i8_sparse_dummies",
+    """
+WITH c AS (SELECT o_orderkey, nullif(o_custkey, 1) AS cust FROM orders),
+levels AS (SELECT cust, row_number() OVER (ORDER BY md5(cust::VARCHAR)) - 1 AS i FROM (SELECT DISTINCT cust FROM c WHERE cust IS NOT NULL))
+SELECT o_orderkey, (SELECT count(*) FROM levels) + 1 AS size, coalesce(i, (SELECT count(*) FROM levels)) AS place, 1e0 AS value
+FROM c LEFT JOIN levels ON levels.cust = c.cust""",
+)
+def sparse(spark, folder):
+    o = s.read(spark, folder, "orders").select("o_orderkey", F.nullif(F.col("o_custkey"), F.lit(1)).alias("cust"))
+    out = reshape.sparse_dummies(o, "cust")
+    return out.select("o_orderkey", "cust_level.size", F.col("cust_level.indices")[0].alias("place"), F.col("cust_level.values")[0].alias("value"))
+
+
 @query(
     "i9_two_sources_side_by_side",
     f"""

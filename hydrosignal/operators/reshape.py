@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hydrosignal.operators.ordered import first_per_key
+from hydrosignal.operators.attach import attach
+from hydrosignal.operators.ordered import first_per_key, hash_part, running_totals
+from hydrosignal.session import materialize
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -56,6 +58,30 @@ def levels_of(df: DataFrame, col: str) -> list[str]:
     return sorted(r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().collect())
 
 
+def level_index(df: DataFrame, col: str) -> DataFrame:
+    """(col, index): a number from 0 for each non-null level, in the order of a hash of its text.
+
+    The levels are numbered in slices of that order, so neither one task nor the driver holds them all.
+    """
+    levels = df.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("_hash", F.md5(F.col(col).cast("string")))
+    ranked = running_totals(materialize(levels, "levels"), [], hash_part(F.col("_hash")), [F.col("_hash")], {"index": F.lit(1).cast("long")})
+    return ranked.select(col, (F.col("index") - 1).alias("index"))
+
+
+def sparse_dummies(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """Adds ``name`` (default ``<col>_level``): a sparse 0/1 vector as struct(size, indices, values).
+
+    One place for each level of ``level_index`` and a last one for null; for any number of levels,
+    where ``dummies`` makes a column of each. The index is attached by its size.
+    """
+    index = materialize(level_index(df, col), "level-index")
+    size = index.count() + 1
+    joined = attach(df, index.withColumnRenamed("index", "_index"), [col])
+    place = F.coalesce("_index", F.lit(size - 1).cast("long"))
+    vector = F.struct(F.lit(size).cast("long").alias("size"), F.array(place).alias("indices"), F.array(F.lit(1.0)).alias("values"))
+    return joined.withColumn(name or f"{col}_level", vector).drop("_index")
+
+
 def side_by_side(
     df: DataFrame,
     keys: Sequence[str],

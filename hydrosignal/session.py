@@ -26,16 +26,30 @@ def build_session(master: str | None = None, app: str = "hydrosignal", **conf) -
     return builder.getOrCreate()
 
 
+#: Scratch folders made by this process, by session.
+_made: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables.
+    """A fresh folder for intermediate tables below ``spark.checkpoint.dir``.
 
-    It lies below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which
-    all executors can reach as well.
+    That must be a folder which all executors reach, so on a cluster it has to be set. A local
+    session without it uses a folder below its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/hydrosignal/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/hydrosignal/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch folders that this process has made; results that were not saved elsewhere are lost."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        discard(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -52,3 +66,9 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that no later read needs, in whatever store it lies."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files of a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()

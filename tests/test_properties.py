@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hydrosignal.operators import joins, labels, metrics, models, newton, ordered, reshape, rolling, status, summaries
 from hydrosignal.operators.attach import attach
 from hydrosignal.plans import scoring
-from hydrosignal.sources import files, keyed, payloads
+from hydrosignal.sources import files, gated, keyed, payloads
 
 START = datetime(2024, 1, 1)
 
@@ -445,3 +445,30 @@ def test_tail_of_very_many_trials():
     for z in (-3.0, -0.5, 0.0, 1e-4, 2.0):
         got = metrics._upper_tail(n * 0.3 + z * math.sqrt(n * 0.21), n, 0.3)
         assert got == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=1e-6)
+
+
+def test_a_table_whose_gate_fails_is_not_published(spark, tmp_path):
+    path = str(tmp_path / "table")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    gates = [*gated.complete("k", "v"), gated.adds_up("total", F.col("k").cast("double"), 3.0)]
+    assert gated.publish(good, path, gates) == {"nulls_k": 0, "nulls_v": 0, "total": 0.0}
+    with pytest.raises(gated.GateFailed) as failed:
+        gated.publish(spark.createDataFrame([(1, None), (5, "x")], good.schema), path, gates)
+    assert failed.value.figures == {"nulls_k": 0, "nulls_v": 1, "total": 3.0}
+
+    def broken(batches):
+        yield from batches
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        gated.publish(good.mapInArrow(broken, good.schema), path, gates)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+    gated.publish(spark.createDataFrame([(3, "c")], good.schema), path, gates)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(3, "c")]
+
+
+def test_sparse_dummies_of_very_many_levels(spark):
+    df = spark.range(300_000).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("level "), F.col("id").cast("string"))).alias("c"))
+    out = reshape.sparse_dummies(df, "c").select("c", "c_level.size", F.col("c_level.indices")[0].alias("i"))
+    got = out.groupBy(F.col("c").isNull().alias("none")).agg(F.countDistinct("i").alias("n"), F.min("i").alias("low"), F.max("i").alias("high"), F.max("size").alias("size"))
+    assert {r["none"]: tuple(r)[1:] for r in got.collect()} == {False: (200_000, 0, 199_999, 200_001), True: (1, 200_000, 200_000, 200_001)}
