@@ -420,7 +420,7 @@ a AS (SELECT model_id, var, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum
 every AS (SELECT model_id, var, count(*) AS n_sample, avg(label) AS frac_exceed FROM long GROUP BY 1, 2),
 scale AS (SELECT model_id, var, s0 FROM mo)
 SELECT model_id, var, n_sample, round(frac_exceed, 6) AS frac_exceed, round(4 - 2 * loglik, 4) AS aic, round(b0 / s0, 4) AS slope,
-       round(CASE WHEN b0 < 0 THEN 1 - auc ELSE auc END, 6) AS auc, loglik IS NOT NULL AS converged
+       round(CASE WHEN b0 < 0 THEN 1 - auc WHEN b0 >= 0 THEN auc END, 6) AS auc, loglik IS NOT NULL AS converged
 FROM every LEFT JOIN fits USING (model_id, var) LEFT JOIN scale USING (model_id, var) LEFT JOIN a USING (model_id, var)"""
 
 

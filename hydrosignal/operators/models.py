@@ -6,9 +6,12 @@ back to the driver.
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -166,15 +169,26 @@ def elastic_net(
     fits = newton.fit_many(work, specs, label, weight)
     by = {f.spec.name: f for f in fits if f.converged}
 
-    def prob(i: int) -> Column:
-        odds = F.lit(None).cast("double")
-        for k in range(folds):
-            if (i, k) in by:
-                odds = F.when(F.col(fold) == k, by[i, k].log_odds()).otherwise(odds)
-        return sigmoid(odds)
-
-    scores = F.posexplode(F.array(*[prob(i) for i in range(len(grid))])).alias("setting", "prob")
-    scored = df.select(F.col(fold).alias("fold"), F.col(label).alias("label"), scores)
+    # coefficients on the given predictors by fold, setting after setting; no number where there is no fit
+    width, table = len(predictors) + 1, []
+    for k in range(folds):
+        line = []
+        for i in range(len(grid)):
+            f = by.get((i, k))
+            raw = f.beta[:-1] / f.scales if f else np.full(width - 1, np.nan)
+            line += [*raw.tolist(), float(f.beta[-1] - (raw * f.means).sum()) if f else math.nan]
+        table.append(line)
+    own = F.get(F.from_json(F.lit(json.dumps(table)), "array<array<double>>"), F.col(fold))
+
+    def prob(i: Column) -> Column:
+        odds = F.get(own, i * width + width - 1)
+        for j, c in enumerate(predictors):
+            odds = odds + F.get(own, i * width + j) * F.col(c).cast("double")
+        return F.nanvl(sigmoid(odds), F.lit(None).cast("double"))
+
+    probs = F.transform(F.sequence(F.lit(0), F.lit(len(grid) - 1)), prob).alias("_p")
+    rows_ = df.select(F.col(fold).alias("_f"), F.col(label).alias("_y"), probs)
+    scored = rows_.select(F.col("_f").alias("fold"), F.col("_y").alias("label"), F.posexplode("_p").alias("setting", "prob"))
     means = metrics.auc(scored, ["setting", "fold"]).groupBy("setting").agg(F.avg("auc").alias("auc")).collect()
     found = {r["setting"]: r["auc"] for r in means}
     settings = [(a, x, found.get(i)) for i, (a, x) in enumerate(grid)]
@@ -245,8 +259,6 @@ def forward_selection(df: DataFrame, candidates: Sequence[str], label: str = "la
 
 
 def _ln(x: float) -> float:
-    import math
-
     return math.log(x) if x > 0 else 0.0
 
 

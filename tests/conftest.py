@@ -19,6 +19,10 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            # plans of finished queries are not looked at again
+            "spark.sql.ui.retainedExecutions": "10",
+            "spark.ui.retainedJobs": "50",
+            "spark.ui.retainedStages": "50",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
