@@ -50,5 +50,6 @@ def attach(
         for c in keys:
             match = match & left[c].eqNullSafe(F.col(f"_k_{c}"))
         repeated = renamed.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        out = left.join(repeated, match, how).drop("_salt", "_s")
+        # without the hint Spark goes by the size of the files, before the rows are repeated, and may broadcast them
+        out = left.join(repeated.hint("merge"), match, how).drop("_salt", "_s")
     return out.drop(*[f"_k_{c}" for c in keys])

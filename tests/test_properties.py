@@ -275,6 +275,27 @@ def test_attach_agrees_on_both_ways(spark):
     assert ways[0] == ways[1] and len(ways[0]) == 60 and sum(r[2] is None for r in ways[0]) == 16
 
 
+def test_what_is_too_large_to_attach_by_broadcast_is_not_broadcast(spark):
+    facts = spark.createDataFrame([(i, i % 3 if i % 5 else None) for i in range(60)], "i int, g int")
+    small = facts.groupBy("g").agg(F.count("i").alias("n"))
+    for how in ("left", "inner"):
+        out = attach(facts, small, ["g"], how, limit=0)
+        assert out.count() == 60
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sparse_dummies_of_more_levels_than_a_broadcast_takes(spark, monkeypatch):
+    monkeypatch.setattr(reshape, "attach", lambda df, small, keys: attach(df, small, keys, limit=10))
+    df = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 100).alias("c"))
+    out = reshape.sparse_dummies(df, "c").select("id", "c", "c_level.size", F.col("c_level.indices")[0].alias("i"))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert sorted(r["id"] for r in rows) == list(range(500)) and {r["size"] for r in rows} == {81}
+    assert {r["i"] for r in rows if r["c"] is None} == {80}
+    places = {(r["c"], r["i"]) for r in rows if r["c"] is not None}
+    assert len(places) == 80 and {i for _, i in places} == set(range(80))
+
+
 def test_require_fails_only_on_violations(spark):
     df = spark.createDataFrame([(1, 2.0), (2, None)], "k int, x double")
     bad = summaries.null_violations(df, ["k"], ["x"])
