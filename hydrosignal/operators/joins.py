@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydrosignal.operators.ordered import PART, first_per_key, running_totals, time_part
@@ -139,54 +139,41 @@ def range_sums(
 ) -> DataFrame:
     """Sum of readings in every bin ``[t - h1, t - h0)`` for every distinct point (key, t).
 
-    Every point probes the running total at its bin edges; a bin is the difference of two
-    probes. The work is one sort of readings and probes, whatever the bin widths and
-    however many readings fall into them. Totals are decimals of two digits more than the
-    result, so that a large early total costs later bins no digits. A bin with a reading that
-    is not finite is NaN.
+    A reading enters a bin once it is ``h0`` hours old and leaves it at ``h1``; a bin is the running
+    total of what has entered and left before the point. The work is one sort of the points and of
+    one row per reading and edge, whatever the bin widths and however many readings fall into them;
+    points are neither repeated nor grouped again. Totals are decimals of two digits more than the
+    result and hold only what is in the bin, so that a large early total costs later bins no
+    digits. A bin with a reading that is not finite is NaN.
     """
     exact = f"decimal(38, {digits + 2})"
     edges = sorted(set(edges_hours))
-    probes = points.select(*keys, F.col(point_time).alias("_p")).distinct()
-    probes = probes.select(
-        *keys,
-        "_p",
-        F.explode(F.array(*[F.lit(h) for h in edges])).alias("_edge"),
-    ).select(
-        *keys,
-        "_p",
-        "_edge",
-        (F.unix_micros("_p") - F.col("_edge").cast("long") * 3_600_000_000).alias("_x"),
-        F.lit(0).alias("_side"),  # a probe comes before readings of its own instant
-        F.lit(0.0).cast(exact).alias("_v"),
-        F.lit(0).alias("_odd"),
-    )
+    bins = {f"{prefix}_{a}_{b}": (a, b) for a, b in zip(edges, edges[1:])}
+    probes = points.select(*keys, F.unix_micros(point_time).alias("_x")).distinct()
     sums = readings.groupBy(*keys, F.unix_micros(reading_time).alias("_x")).agg(F.sum(value).alias("_v"))
     finite = F.abs("_v") < F.lit(float("inf"))  # NaN is above infinity
-    sums = sums.select(
+    moved = sums.select(
         *keys,
-        F.lit(None).cast("timestamp").alias("_p"),
-        F.lit(None).cast("int").alias("_edge"),
         "_x",
-        F.lit(1).alias("_side"),
+        F.explode(F.array(*[F.lit(h) for h in edges])).alias("_edge"),
         F.coalesce(F.when(finite, F.col("_v")), F.lit(0.0)).cast(exact).alias("_v"),
         F.when(F.col("_v").isNull() | finite, 0).otherwise(1).alias("_odd"),
-    )
-    both = probes.unionByName(sums)
+    ).withColumn("_x", F.col("_x") + F.col("_edge").cast("long") * 3_600_000_000)
     part = F.floor(F.col("_x") / F.lit(part_seconds * 1_000_000))
-    totals = running_totals(both, keys, part, [F.col("_x"), F.col("_side"), F.col("_p"), F.col("_edge")], {"_total": F.col("_v"), "_odds": F.col("_odd")})
-    wide = (
-        totals.filter("_side = 0")
-        .groupBy(*keys, "_p")
-        .agg(*[F.max(F.when(F.col("_edge") == h, F.col(c))).alias(f"{p}{h}") for h in edges for c, p in (("_total", "_e"), ("_odds", "_o"))])
-    )
-    return wide.select(
+    # the join by part leaves them out anyway; said here, both branches of the totals share one shuffle
+    both = probes.unionByName(moved, allowMissingColumns=True).filter(part.isNotNull())
+    order = [F.col("_x"), F.col("_edge").asc_nulls_first()]  # a point comes before readings of its own instant
+
+    def inside(a: int, b: int, c: str) -> Column:
+        return F.when(F.col("_edge") == a, F.col(c)).when(F.col("_edge") == b, -F.col(c))
+
+    totals = {f"{p}{n}": inside(*ab, c) for n, ab in bins.items() for p, c in (("_in_", "_v"), ("_odd_", "_odd"))}
+    found = running_totals(both, keys, part, order, totals).filter("_edge IS NULL")
+    return found.select(
         *keys,
-        F.col("_p").alias(point_time),
+        F.timestamp_micros("_x").alias(point_time),
         *[
-            F.when(F.col(f"_o{a}") > F.col(f"_o{b}"), F.lit(float("nan")))
-            .otherwise(F.round((F.col(f"_e{a}") - F.col(f"_e{b}")).cast("double"), digits))
-            .alias(f"{prefix}_{a}_{b}")
-            for a, b in zip(edges, edges[1:])
+            F.when(F.col(f"_odd_{n}") > 0, F.lit(float("nan"))).otherwise(F.round(F.col(f"_in_{n}").cast("double"), digits)).alias(n)
+            for n in bins
         ],
     )

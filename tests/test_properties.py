@@ -93,6 +93,40 @@ def test_range_sums_match_scan(spark, skewed):
             assert r[f"precip_{a}_{b}"] == pytest.approx(want, abs=1e-7)
 
 
+def most_rows(df) -> int:
+    """The most rows that a node of the plan hands on."""
+
+    def walk(node) -> int:
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        made, below = node.metrics().get("numOutputRows"), node.children()
+        return max([made.get().value() if made.isDefined() else 0, *[walk(below.apply(i)) for i in range(below.size())]])
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_range_sums_do_not_repeat_points(spark):
+    rnd, edges = random.Random(4), (0, 12, 24, 48, 72, 96, 120)
+    rain = [("a", START + timedelta(hours=i), rnd.choice([0.0, 0.25, None, 1.5])) for i in range(0, 96, 6)]
+    rain += [("b", START, float("inf")), ("b", START + timedelta(hours=1), -2.0), (None, START, 1.0), ("a", None, 7.0)]
+    points = [(k, START + timedelta(minutes=30 * i)) for k in "ab" for i in range(400)] + [("c", START), ("b", None)]
+    p, r = spark.createDataFrame(points * 2, "key string, t timestamp"), spark.createDataFrame(rain, "key string, t timestamp, v double")
+    out = joins.range_sums(p, r, ["key"], "t", "t", "v", edges)
+    got = {(x["key"], x["t"]): x for x in out.collect()}
+    assert out.count() == len(got) == 801 and ("b", None) not in got
+    for (k, at), x in got.items():
+        for a, b in zip(edges, edges[1:]):
+            seen = [v for key, t, v in rain if key == k and t and at - timedelta(hours=b) <= t < at - timedelta(hours=a) and v is not None]
+            if float("inf") in seen:
+                assert math.isnan(x[f"precip_{a}_{b}"])
+            else:
+                assert x[f"precip_{a}_{b}"] == sum(seen)
+    assert most_rows(out) <= 2 * len(points) + len(edges) * len(rain)  # before the points are distinct
+
+
 def test_quantiles_match_numpy(skewed):
     rows, df = skewed
     got = {r["key"]: r for r in ordered.quantiles(df, ["key"], "prob", {"a": 0.25, "b": 0.5, "c": 0.9}).collect()}
