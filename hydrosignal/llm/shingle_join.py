@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hydrosignal.llm.links import components
-from hydrosignal.llm.texts import by_text, grams, mix, text_chunks, tidy, tidy_group, words
+from hydrosignal.llm.texts import grams, mix, text_chunks, tidy, tidy_group, words
 from hydrosignal.operators.attach import attach
 from hydrosignal.session import discard, materialize, materialize_at, scratch_dir
 
@@ -38,6 +38,8 @@ SINGLE_BELOW, DELETE_BELOW = 128, 512
 #: Segments per element of the band's upper bound: enough that a set fills H + 1 of them with some
 #: to choose from (short by chance with a probability below 1e-12; the job then fails and says so).
 SEGMENTS = 0.4
+#: Bytes of text worked on at a time: arrays that stay in a core's cache.
+CHUNK_BYTES = 250_000
 #: Bytes of text per bucket of signatures: about a million signatures.
 BUCKET_BYTES = 6_000_000
 LEAST_BUCKETS = 64
@@ -49,6 +51,7 @@ MANY_PAIRS, TILE = 1024, 512
 #: Columns of the element matrices with which two blocks are compared at a time.
 SLICE = 8192
 
+_LOW = np.uint64(0xFFFFFFFF)
 _SEGMENT_KEY, _VALUE_KEY = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 INDEXED, PROBE_BELOW, DELETED, DELETED_BELOW = range(4)
 
@@ -80,26 +83,58 @@ def limits(n: int, band: int) -> tuple[int, int]:
     return (n + s) // 7, max(0, 4 * s - 3 * n) // 7
 
 
-def shingle_sets(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text; fewer words make one shingle."""
-    out = []
-    for w in by_text(hashes, counts):
-        if len(w) >= WORDS:
-            out.append(np.unique(grams(w, WORDS)))
-        else:
-            out.append(grams(w, len(w)) ^ np.uint64(len(w)) if len(w) else w[:0])
-    return out
+def shingle_sets(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingle hashes of each text, one text after the other; their number per text).
 
-
-def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([int(mix(mix(s ^ _VALUE_KEY).sum(dtype=np.uint64, keepdims=True))[0]) for s in sets], np.uint64)
+    Fewer words make one shingle.
+    """
+    start = np.cumsum(counts) - counts
+    runs = np.where(counts >= WORDS, counts - WORDS + 1, np.minimum(counts, 1))
+    ends = np.cumsum(runs)
+    begins = ends - runs
+    flat = np.empty(int(runs.sum()), np.uint64)
+    whole = np.repeat(counts >= WORDS, runs)
+    flat[whole] = grams(hashes, WORDS)[(np.repeat(start - begins, runs) + np.arange(len(flat)))[whole]]
+    for n in range(1, WORDS):
+        short = np.flatnonzero(counts == n)
+        if len(short):
+            rows = hashes[start[short][:, None] + np.arange(n)]
+            flat[begins[short]] = [grams(w, n)[0] ^ np.uint64(n) for w in rows]
+    for a, z in zip(begins.tolist(), ends.tolist(), strict=True):
+        flat[a:z].sort()
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[begins[runs > 0]] = True
+    if new.all():
+        return flat, runs
+    before = np.concatenate([[0], np.cumsum(new)])
+    return flat[new], before[ends] - before[begins]
+
+
+def set_hashes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each set from the values (``mix`` of element and key) of its elements."""
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    ends = np.cumsum(sizes)
+    return mix(before[ends] - before[ends - sizes])
+
+
+def _sets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, elements, their values, sizes, hashes) of the sets of runs of texts."""
+    for a, b, data, offsets in text_chunks(column, CHUNK_BYTES):
+        hashes, _, _, counts = words(data, offsets)
+        flat, sizes = shingle_sets(hashes, counts)
+        values = mix(flat ^ _VALUE_KEY)
+        yield a, b, flat, values, sizes, set_hashes(values, sizes)
 
 
-def _sets(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
-    for a, b, data, offsets in text_chunks(column):
-        hashes, _, _, counts = words(data, offsets)
-        sets = shingle_sets(hashes, counts)
-        yield a, b, sets, set_hashes(sets)
+def _hash_column(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(sizes, hashes) of the sets of a column of texts; the hash is null for an empty set."""
+    sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for _, _, _, _, n, hashes in _sets(column):
+        sizes.append(n)
+        ids.append(hashes)
+    n = np.concatenate(sizes)
+    return n, pa.array(np.concatenate(ids).view(np.int64), mask=n == 0)
 
 
 def profiles(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -107,71 +142,61 @@ def profiles(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for _, _, sets, hashes in _sets(batch.column(1)):
-                sizes.append(np.array([len(s) for s in sets], np.int64))
-                ids.append(hashes)
-            n = np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(np.concatenate(ids).view(np.int64), mask=n == 0)],
-                names=[key, "n_shingles", "set_hash"],
-            )
+            n, ids = _hash_column(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), ids], names=[key, "n_shingles", "set_hash"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, n_shingles long, set_hash long")
 
 
-def signatures(sets: list[np.ndarray], bands: np.ndarray, below: bool):
+def signatures(flat: np.ndarray, values: np.ndarray, spread: np.ndarray, sizes: np.ndarray, bands: np.ndarray, below: bool):
     """(signature, set number, kind, segment + 1, non-empty segments, those of two or more) in given bands.
 
-    A band of -1 leaves a set out. The segment is 0 where no deletion is possible.
+    ``flat``, ``values``, ``spread``: elements of the sets, their values, and where in the universe
+    they lie. A band of -1 leaves a set out. The segment is 0 where no deletion is possible.
     """
-    chosen = np.flatnonzero(bands >= 0)
     m = segments_of(np.maximum(bands, 0))
-    filled, plural = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
-    parts = []
+    filled, plural = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint8), np.zeros(0, np.uint16))]
     for single in (True, False):
-        own = chosen[(m[chosen] == 0) == single]
+        chosen = (bands >= 0) & ((m == 0) == single)
+        own = np.flatnonzero(chosen).astype(np.int32)
         if not len(own):
             continue
-        sizes = np.array([len(sets[i]) for i in own])
-        flat = np.concatenate([sets[i] for i in own])
-        at = np.repeat(np.arange(len(own)), sizes)
+        mine = slice(None) if chosen.all() else np.repeat(chosen, sizes)
+        at = np.repeat(np.arange(len(own), dtype=np.int32), sizes[own])
         salt = mix(bands[own].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         kind = PROBE_BELOW if below else INDEXED
         if single:
-            filled[own] = sizes
-            parts.append((mix(flat + salt[at]), own[at], np.full(len(flat), kind), np.zeros(len(flat), np.int64)))
+            filled[own] = sizes[own]
+            parts.append((mix(flat[mine] + salt[at]), own[at], np.full(len(at), kind, np.uint8), np.zeros(len(at), np.uint16)))
             continue
         base = np.cumsum(m[own]) - m[own]
-        spread = mix(flat ^ _SEGMENT_KEY) >> np.uint64(32)
-        segment = ((spread * m[own][at].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        place, value = base[at] + segment, mix(flat ^ _VALUE_KEY)
+        segment = ((spread[mine] * m[own].astype(np.uint64)[at]) >> np.uint64(32)).astype(np.int64)
+        place, value = base[at] + segment, values[mine]
         total = int(m[own].sum())
         sums = np.zeros(total, np.uint64)
         np.add.at(sums, place, value)
         counts = np.bincount(place, minlength=total)
-        owner = np.repeat(np.arange(len(own)), m[own])
+        owner = np.repeat(np.arange(len(own), dtype=np.int32), m[own])
         number = np.arange(total) - base[owner]
         deletable = (BOUNDS[bands[own] + 1] <= DELETE_BELOW)[owner] & (counts > 1)
         full = np.flatnonzero(counts)
         filled[own] = np.bincount(owner[full], minlength=len(own))
         plural[own] = np.bincount(owner[deletable], minlength=len(own))
         tag = mix(number.astype(np.uint64) + salt[owner])
-        names = np.where(deletable, number + 1, 0)
-        parts.append((mix(sums[full] + tag[full]), own[owner[full]], np.full(len(full), kind), names[full]))
+        names = np.where(deletable, number + 1, 0).astype(np.uint16)
+        parts.append((mix(sums[full] + tag[full]), own[owner[full]], np.full(len(full), kind, np.uint8), names[full]))
         loose = np.flatnonzero(deletable[place])
         there = place[loose]
         parts.append(
             (
                 mix(sums[there] - value[loose] + tag[there]),
                 own[at[loose]],
-                np.full(len(loose), DELETED_BELOW if below else DELETED),
+                np.full(len(loose), DELETED_BELOW if below else DELETED, np.uint8),
                 names[there],
             )
         )
-    if not parts:
-        parts = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
     return *(np.concatenate(x) for x in zip(*parts, strict=True)), filled, plural
 
 
@@ -224,22 +249,26 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
             kind = np.concatenate([h[3] for h in held])
             segment = np.concatenate([h[4] for h in held])
             info = np.concatenate([h[5] for h in held])
-            use = own[owner]
-            sigs, owner, kind, segment = sigs[use], owner[use], kind[use], segment[use]
-            bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-            low = (sigs & np.uint64(0xFFFFFFFF)).astype("u4")
-            order = np.lexsort((low, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            if not own.all():
+                use = own[owner]
+                sigs, owner, kind, segment = sigs[use], owner[use], kind[use], segment[use]
+            # (bucket, low half) in one number: one fast sort
+            place = (sigs >> np.uint64(32)) * np.uint64(buckets) & ~_LOW | sigs & _LOW
+            order = np.argsort(place)
+            place, owner, kind, segment = place[order], owner[order], kind[order], segment[order]
+            cuts = np.searchsorted(place, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+            low = (place & _LOW).astype("u4")
             numbers, kinds, blobs = [], [], []
-            for b in range(buckets):
-                rows = order[cuts[b] : cuts[b + 1]]
-                if len(rows):
-                    here, local = np.unique(owner[rows], return_inverse=True)
-                    numbers.append(b)
-                    kinds.append(0)
-                    blobs.append(
-                        _pack(low[rows], (local * 4 + kind[rows]).astype("u2"), segment[rows].astype("u2"), ids[here])
-                    )
+            number, there = np.zeros(len(ids), np.uint16), np.zeros(len(ids), bool)
+            for b in np.flatnonzero(np.diff(cuts)):
+                rows = slice(cuts[b], cuts[b + 1])
+                there[owner[rows]] = True
+                here = np.flatnonzero(there)
+                there[here] = False
+                number[here] = np.arange(len(here), dtype=np.uint16) * 4
+                numbers.append(int(b))
+                kinds.append(0)
+                blobs.append(_pack(low[rows], number[owner[rows]] + kind[rows], segment[rows], ids[here]))
             facts = info[first]
             home = (facts[:, 0] % np.uint64(buckets)).astype(np.int64)
             for b in np.unique(home):
@@ -255,8 +284,7 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
             )
 
         for batch in batches:
-            for _, _, sets, ids in _sets(batch.column(0)):
-                n = np.array([len(s) for s in sets], np.int64)
+            for _, _, flat, values, n, ids in _sets(batch.column(0)):
                 real = np.flatnonzero(n)
                 if not len(real):
                     continue
@@ -264,18 +292,23 @@ def _signature_blobs(docs: DataFrame, text: str, buckets: int) -> DataFrame:
                 real = real[np.sort(once)]
                 for a in range(0, len(real), FLUSH_SETS):
                     part = real[a : a + FLUSH_SETS]
-                    chosen, size = [sets[i] for i in part], n[part]
+                    size, mine = n[part], slice(None)
+                    if len(part) < len(n):
+                        chosen = np.zeros(len(n), bool)
+                        chosen[part] = True
+                        mine = np.repeat(chosen, n)
+                    elements = flat[mine]
+                    spread = mix(elements ^ _SEGMENT_KEY) >> np.uint64(32)
                     band = band_of(size)
                     under = np.where((band > 0) & (4 * (BOUNDS[band] - 1) >= 3 * size), band - 1, -1)
-                    up = signatures(chosen, band, False)
-                    down = signatures(chosen, under, True)
+                    up = signatures(elements, values[mine], spread, size, band, False)
+                    down = signatures(elements, values[mine], spread, size, under, True)
                     info = np.column_stack([ids[part], size, up[4], up[5], down[4], down[5]]).astype(np.uint64)
                     info[:, 0] = ids[part]
                     if held and (sets_held + len(part) > FLUSH_SETS or entries_held > FLUSH_SIGNATURES):
                         yield flush()
                         sets_held = entries_held = 0
-                    kinds = (np.uint64, np.int32, np.uint8, np.uint16)
-                    merged = (np.concatenate([x.astype(t), y.astype(t)]) for x, y, t in zip(up, down, kinds, strict=False))
+                    merged = (np.concatenate(x) for x in zip(up[:4], down[:4], strict=True))
                     held.append((ids[part], *merged, info))
                     sets_held += len(part)
                     entries_held += len(up[0]) + len(down[0])
@@ -289,6 +322,28 @@ def _frame(buckets: list[int], kinds: list[int], blobs: list[bytes]) -> pd.DataF
     return pd.DataFrame({"bucket": np.array(buckets, np.int32), "kind": np.array(kinds, np.int32), "blob": blobs})
 
 
+def _repeated(low: np.ndarray) -> np.ndarray:
+    """Rows whose value occurs more than once, ordered by value and row."""
+    rows = np.sort(low.astype(np.uint64) << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
+    same = rows[1:] >> np.uint64(32) == rows[:-1] >> np.uint64(32)
+    met = np.zeros(len(rows), bool)
+    met[1:] = same
+    met[:-1] |= same
+    return (rows[met] & _LOW).astype(np.int64)
+
+
+def _ordered(low: np.ndarray, owner: np.ndarray, kind: np.ndarray, segment: np.ndarray) -> np.ndarray:
+    """Order of ascending ``low`` by (low, owner, kind, segment): one number per row where it has the room."""
+    group = np.cumsum(np.concatenate([[False], low[1:] != low[:-1]]))
+    bits = [int(x.max()).bit_length() for x in (group, owner, kind, segment)]
+    if sum(bits) > 64:
+        return np.lexsort((segment, kind, owner, low))
+    place = group.astype(np.uint64)
+    for x, n in zip((owner, kind, segment), bits[1:], strict=True):
+        place = place << np.uint64(n) | x.astype(np.uint64)
+    return np.argsort(place)
+
+
 def _find_shared(key, rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """One bucket of signatures: keeps those that two sets meet in, dealt by the sets' own buckets.
 
@@ -299,20 +354,23 @@ def _find_shared(key, rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
         numbers.append(int(key[0]))
         kinds.append(1)
         blobs.append(blob)
-    low, local, segment, ids, base = [], [], [], [], 0
+    entries, base = [], 0
     for blob in rows.blob[rows.kind == 0]:
         a, b, c, d = _unpack(blob, *ENTRY)
-        low.append(a)
-        local.append(b.astype(np.int64) + 4 * base)
-        segment.append(c)
-        ids.append(d)
+        entries.append((a, b.astype(np.int64) + 4 * base, c, d))
         base += len(d)
-    if not low:
+    if not entries:
         return _frame(numbers, kinds, blobs)
-    low, local, segment = np.concatenate(low), np.concatenate(local), np.concatenate(segment)
-    names, number = np.unique(np.concatenate(ids), return_inverse=True)
-    owner, kind = number[local >> 2], local & 3
-    order = np.lexsort((kind, owner, low))
+    low, local, segment, ids = (np.concatenate(x) for x in zip(*entries, strict=True))
+    del entries
+    # most signatures stand alone and go before anything else is done
+    rows_met = _repeated(low)
+    if not len(rows_met):
+        return _frame(numbers, kinds, blobs)
+    low, local, segment = low[rows_met], local[rows_met], segment[rows_met]
+    names, owner = np.unique(ids[local >> 2], return_inverse=True)
+    kind = local & 3
+    order = _ordered(low, owner, kind, segment)
     low, owner, kind, segment = low[order], owner[order], kind[order], segment[order]
     same = (low[1:] == low[:-1]) & (owner[1:] == owner[:-1])
     new = np.concatenate([[True], ~(same & (kind[1:] == kind[:-1]) & (segment[1:] == segment[:-1]))])
@@ -335,25 +393,25 @@ def _find_shared(key, rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
     follow = follow[follow < len(at)]
     follow = follow[~head[follow]]
     second[at[follow]] = owner[place[follow]]
-    is_member = np.zeros(len(low), bool)
-    pairs = group * (len(names) + 1) + owner
-    is_member[np.isin(pairs, pairs[indexed])] = True
+    is_member = indexed[np.flatnonzero(other)][np.cumsum(other) - 1]  # the indexed entry of a set comes first
     cost = count[group] - is_member
     mate = np.where(first[group] == owner, second[group], first[group])
     rows_kept = np.flatnonzero(keep & ((cost > 0) | indexed))
     owner, kind, segment, cost, mate = (x[rows_kept] for x in (owner, kind, segment, cost, mate))
     full = (np.uint64(key[0]) << np.uint64(32)) | low[rows_kept].astype(np.uint64)
     mates = np.where(mate >= 0, names[np.maximum(mate, 0)], np.uint64(0))
-    home = (names[owner] % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((names[owner], home))
-    cuts = np.searchsorted(home[order], np.arange(buckets + 1))
+    homes = (names % np.uint64(buckets)).astype(np.int64)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(homes, kind="stable")] = np.arange(len(names))
+    order = np.argsort(rank[owner], kind="stable")
+    home, owner, cost, kind = homes[owner[order]], names[owner[order]], cost[order].astype("u4"), kind[order].astype("u1")
+    full, mates, segment = full[order], mates[order], segment[order].astype("u2")
+    cuts = np.searchsorted(home, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cuts)):
-        r = order[cuts[b] : cuts[b + 1]]
+        r = slice(cuts[b], cuts[b + 1])
         numbers.append(int(b))
         kinds.append(0)
-        blobs.append(
-            _pack(names[owner[r]], full[r], mates[r], cost[r].astype("u4"), segment[r].astype("u2"), kind[r].astype("u1"))
-        )
+        blobs.append(_pack(owner[r], full[r], mates[r], cost[r], segment[r], kind[r]))
     return _frame(numbers, kinds, blobs)
 
 
@@ -631,18 +689,21 @@ def _verified_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def _set_table(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(set_hash, elements) of each wanted (set_hash, key): one row per set."""
+    """(set_hash, elements) of each wanted (set_hash, key): one row per set. Only texts of wanted keys are read again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, sets, ids in _sets(batch.column(1)):
+            for a, b, flat, _, sizes, ids in _sets(batch.column(1)):
+                raw, ends = flat.tobytes(), np.cumsum(sizes) * 8
+                sets = [raw[i:z] for i, z in zip(ends - sizes * 8, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(ids.view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    [batch.column(0).slice(a, b - a), pa.array(ids.view(np.int64)), pa.array(sets, pa.binary())],
                     names=[key, "set_hash", "elements"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    sets = docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, set_hash long, elements binary")
+    again = attach(docs.select(key, text), wanted.select(key).distinct().withColumn("_w", F.lit(1)), [key], "inner", salt_by=[text])
+    sets = again.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, set_hash long, elements binary")
     found = attach(sets, wanted.withColumn("_w", F.lit(1)), ["set_hash", key], "inner", salt_by=[key])
     return found.select("set_hash", "elements").dropDuplicates(["set_hash"])
 
@@ -688,10 +749,7 @@ def with_set_hash(docs: DataFrame, text: str = "text", name: str = "set_hash") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, sets, hashes in _sets(batch.column(text)):
-                empty = np.array([not len(s) for s in sets])
-                rows = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(hashes.view(np.int64), mask=empty)], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _hash_column(batch.column(text))[1]], names=names)
 
     return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields]).add(name, "long"))
 
@@ -735,7 +793,7 @@ def linked_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     first = materialize(shared.groupBy("bucket").applyInPandas(tidy_group(_first_pairs), "a long, b long"), "first-pairs")
     named = documents.filter(F.col("set_hash").isNotNull()).groupBy("set_hash").agg(F.min(key).alias(key))
-    wanted = first.select(F.col("a").alias("set_hash")).join(named, "set_hash")
+    wanted = materialize(first.select(F.col("a").alias("set_hash")).join(named, "set_hash"), "wanted")
     sets_at = scratch_dir(spark, "sets")
     sets = materialize_at(_set_table(docs, key, text, wanted), sets_at)
     edges = materialize(_verified(first.filter("b IS NOT NULL"), sets), "edges")

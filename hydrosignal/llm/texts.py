@@ -8,7 +8,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from functools import wraps
+from functools import cache, wraps
 from inspect import signature
 
 import numpy as np
@@ -28,6 +28,8 @@ FOLDED[0x80:0x9F] = FOLDED[0xA0:0xBF]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 CHUNK_BYTES = 1_000_000
+#: Powers that a worker keeps, of the base and of its inverse: 2 MB each.
+KEPT_POWERS = 1 << 18
 
 
 def release() -> None:
@@ -68,20 +70,28 @@ def tidy_group(run: Callable) -> Callable:
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over a 64-bit value."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _raised(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) for runs of rows of about a megabyte; a null is empty.
+_kept_powers = cache(_raised)
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return _kept_powers(base, KEPT_POWERS)[:n] if n <= KEPT_POWERS else _raised(base, n)
+
+
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) for runs of rows of at most ``limit`` bytes; a null is empty.
 
     A text is never cut: a longer one makes a chunk of its own.
     """
@@ -94,7 +104,7 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
         end = min(max(end, first + 1), n)
         part = offsets[first : end + 1]
         yield first, end, data[part[0] : part[-1]], part - part[0]
@@ -121,7 +131,9 @@ def words(
     after[cut] = False
     ends = np.flatnonzero(inside & ~after) + 1
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * _powers(_BASE, len(data)), out=sums[1:])
+    weighted = codes[data]
+    weighted *= _powers(_BASE, len(data))
+    np.cumsum(weighted, out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _powers(_BASE_INVERSE, len(data) + 1)[starts])
     hashes ^= (ends - starts).astype(np.uint64) << np.uint64(48)
     counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
@@ -134,7 +146,8 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(hashes) - n + 1, np.uint64)
     for i in range(n):
-        out = out * _BASE + hashes[i : len(hashes) - n + 1 + i]
+        out *= _BASE
+        out += hashes[i : len(hashes) - n + 1 + i]
     return mix(out)
 
 
